@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera_spark.operators.images import pixels, to_rgb
+from tessera_spark.session import spread_rows
 
 # Model names served by the hub source, and the two sources.
 HUB_MODELS = ("ViT-SO400M-14-SigLIP-384", "ViT-B-16-SigLIP-512", "ViT-L-14-SigLIP-384")
@@ -42,39 +43,42 @@ def embed(images: DataFrame, make_encoder: Callable[[], Encoder], batch_size: in
     def make_predict():
         encoder = make_encoder()
 
-        def one(image):
-            try:
-                return np.asarray(encoder([image])[0], dtype=np.float32), None
-            except Exception as problem:
-                return None, str(problem)
+        def attempt(images):
+            vectors = np.asarray(encoder(images), dtype=np.float32)
+            if len(vectors) != len(images):
+                raise ValueError("the encoder returned a different number of vectors")
+            return list(vectors)
 
         def predict(height, width, channels, data):
-            decoded, problems = [], {}
+            decoded, found = {}, {}
+            errors = np.full(len(data), "", dtype=object)
             for i, shape in enumerate(zip(height, width, channels)):
                 try:
-                    decoded.append(to_rgb(pixels(*[int(v) for v in shape], data[i])))
+                    decoded[i] = to_rgb(pixels(*[int(v) for v in shape], data[i]))
                 except Exception as problem:
-                    decoded.append(None)
-                    problems[i] = str(problem)
-            good = [i for i, image in enumerate(decoded) if image is not None]
-            found: dict[int, tuple] = {i: (None, text) for i, text in problems.items()}
+                    errors[i] = str(problem) or repr(problem)
             try:
-                vectors = encoder([decoded[i] for i in good]) if good else []
-                if len(vectors) != len(good):
-                    raise ValueError("the encoder returned a different number of vectors")
-                found.update({i: (np.asarray(v, dtype=np.float32), None) for i, v in zip(good, vectors)})
+                found = dict(zip(decoded, attempt(list(decoded.values())))) if decoded else {}
             except Exception:
-                found.update({i: one(decoded[i]) for i in good})
-            return [{"embedding": found[i][0], "error": found[i][1]} for i in range(len(decoded))]
+                for i, image in decoded.items():
+                    try:
+                        found[i] = attempt([image])[0]
+                    except Exception as problem:
+                        errors[i] = str(problem) or repr(problem)
+            width_out = len(next(iter(found.values()))) if found else 1
+            vectors = np.full((len(data), width_out), np.nan, dtype=np.float32)
+            for i, vector in found.items():
+                vectors[i] = vector
+            return {"embedding": vectors, "error": errors}
 
         return predict
 
     run = predict_batch_udf(make_predict, return_type=_RESULT, batch_size=batch_size)
-    done = images.withColumn("_e", run("height", "width", "nChannels", "data"))
+    done = spread_rows(images).withColumn("_e", run("height", "width", "nChannels", "data"))
     return done.select(
         *[c for c in images.columns if c not in ("height", "width", "nChannels", "data")],
-        "_e.embedding",
-        "_e.error",
+        F.when(F.col("_e.error") == "", F.col("_e.embedding")).alias("embedding"),
+        F.nullif(F.col("_e.error"), F.lit("")).alias("error"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera_spark.schemas import IMAGE_PIXELS
+from tessera_spark.session import spread_rows
 
 # Size of normalised images, taps of the resampling kernel.
 WIDTH = HEIGHT = 224
@@ -41,19 +42,23 @@ def lanczos_matrix(size: int, target: int) -> np.ndarray:
     return matrix
 
 
+def _clip(values: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(values), 0, 255).astype(np.uint8)
+
+
 def resize(image: np.ndarray, height: int = HEIGHT, width: int = WIDTH) -> np.ndarray:
     if image.shape[:2] == (height, width):
         return image
     rows, cols = lanczos_matrix(image.shape[0], height), lanczos_matrix(image.shape[1], width)
-    out = np.einsum("ay,yxc,bx->abc", rows, image.astype(np.float64), cols, optimize=True)
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+    planes = [rows @ image[:, :, c] @ cols.T for c in range(image.shape[2])]
+    return _clip(np.stack(planes, axis=2))
 
 
 def _each_image(df: DataFrame, change: Callable[..., np.ndarray], keep: Sequence[str]) -> DataFrame:
     """Apply a function to every image of every Arrow batch; other columns pass through. The
     batch size in bytes is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``."""
     columns = [*keep, *[c for c in IMAGE_PIXELS.fieldNames() if c not in keep]]
-    source = df.select(*columns)
+    source = spread_rows(df.select(*columns))
 
     def run(batches):
         for batch in batches:
@@ -88,35 +93,42 @@ def to_rgb(image: np.ndarray) -> np.ndarray:
     return image[:, :, 2::-1]
 
 
-def _clip(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(values), 0, 255).astype(np.uint8)
-
-
 def _sample(image: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Bilinear samples at real coordinates; outside the image the border is mirrored."""
 
     def mirror(v: np.ndarray, size: int) -> np.ndarray:
         if size == 1:
             return np.zeros_like(v)
-        period = 2 * (size - 1)
-        v = np.abs(v) % period
-        return np.where(v > size - 1, period - v, v)
+        v = np.abs(v) % (2 * (size - 1))
+        return np.where(v > size - 1, 2 * (size - 1) - v, v)
 
-    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
-    fy, fx = (y - y0)[..., None], (x - x0)[..., None]
+    y0, x0 = np.floor(y).astype(np.int32), np.floor(x).astype(np.int32)
+    fy, fx = ((y - y0)[..., None].astype(np.float32), (x - x0)[..., None].astype(np.float32))
     h, w = image.shape[:2]
     rows = [mirror(y0 + d, h) for d in (0, 1)]
     cols = [mirror(x0 + d, w) for d in (0, 1)]
-    source = image.astype(np.float64)
+    source = image.astype(np.float32)
     top = source[rows[0], cols[0]] * (1 - fx) + source[rows[0], cols[1]] * fx
     low = source[rows[1], cols[0]] * (1 - fx) + source[rows[1], cols[1]] * fx
     return _clip(top * (1 - fy) + low * fy)
 
 
+def _axis_weights(start: float, span: float, size: int, target: int) -> np.ndarray:
+    """Bilinear resampling of a stretch of one axis as a (target x size) matrix."""
+    centre = np.clip(start + (np.arange(target) + 0.5) * span / target - 0.5, 0, size - 1)
+    low = np.minimum(np.floor(centre).astype(int), max(size - 2, 0))
+    matrix = np.zeros((target, size), dtype=np.float32)
+    at = np.arange(target)
+    np.add.at(matrix, (at, low), 1 - (centre - low))
+    np.add.at(matrix, (at, np.minimum(low + 1, size - 1)), centre - low)
+    return matrix
+
+
 def _stretch(image: np.ndarray, top: float, left: float, h: float, w: float, height: int, width: int) -> np.ndarray:
-    y = top + (np.arange(height) + 0.5) * h / height - 0.5
-    x = left + (np.arange(width) + 0.5) * w / width - 0.5
-    return _sample(image, *np.meshgrid(y, x, indexing="ij"))
+    rows = _axis_weights(top, h, image.shape[0], height)
+    cols = _axis_weights(left, w, image.shape[1], width)
+    planes = [rows @ image[:, :, c].astype(np.float32) @ cols.T for c in range(image.shape[2])]
+    return _clip(np.stack(planes, axis=2))
 
 
 def random_resized_crop(size: tuple[int, int] = (384, 384), scale: tuple[float, float] = (0.8, 1.0)) -> Transform:
@@ -164,7 +176,7 @@ def brightness_contrast(limit: float = 0.2) -> Transform:
 
 def gauss_noise(low: float = 3.2, high: float = 7.1) -> Transform:
     def apply(image, rng):
-        return _clip(image + rng.normal(0, rng.uniform(low, high), image.shape))
+        return _clip(image + rng.standard_normal(image.shape, dtype=np.float32) * rng.uniform(low, high))
 
     return apply
 
@@ -226,8 +238,8 @@ def augment_images(
     seed: int = 42,
 ) -> DataFrame:
     """Originals (``aug_version`` 0, untouched) and ``copies`` variants of every image. The
-    random draws depend on seed, path and version only. Images are small next to a batch, and
-    the copies are generated where the image already is."""
+    random draws depend on seed, path and version only; the copies are made where the image
+    already is."""
     fanned = images.withColumn("aug_version", F.explode(F.sequence(F.lit(0), F.lit(copies))))
 
     def change(image, row):

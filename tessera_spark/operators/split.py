@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from tessera_spark.operators.labels import dense_classes
 from tessera_spark.operators.numbering import hash_bucket, order_hash, rank_in_group
-from tessera_spark.session import materialise, small_side
+from tessera_spark.session import settle, small_side
 
 VALIDATION_SHARE = 0.25
 SEED = 42
 # A boundary bucket above this size is cut again by its next digits before rows are ranked.
 _DIGITS_PER_LEVEL = 3
-_MAX_LEVELS = 8
+_MAX_DIGITS = 24
 EXACT_ROWS = 1_000_000
 
 
@@ -47,16 +47,17 @@ def class_quotas(counts: DataFrame, share: float = VALIDATION_SHARE) -> DataFram
 
 def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
     """``(group, threshold)``: the quota-th smallest digest of each group, by radix
-    selection. ``quotas`` holds one row per group with ``quota`` between 1 and its rows."""
+    selection. ``quotas`` holds one row per group with ``n`` and ``quota`` between 1 and n."""
     wanted = quotas.select(group, F.lit("").alias("_prefix"), F.col("quota").alias("_want"))
-    inside = hashed.select(group, "_digest")
-    for level in range(1, _MAX_LEVELS + 1):
-        digits = level * _DIGITS_PER_LEVEL
+    largest = quotas.agg(F.max("n")).first()[0] or 0
+    inside, digits = hashed.select(group, "_digest"), 0
+    while largest > EXACT_ROWS and digits < _MAX_DIGITS:
+        digits += _DIGITS_PER_LEVEL
         counts = inside.groupBy(group, F.left("_digest", F.lit(digits)).alias("_bucket")).agg(
             F.count(F.lit(1)).alias("_n")
         )
         upto = F.sum("_n").over(W.partitionBy(group).orderBy("_bucket"))
-        crossing = (
+        crossing, _ = settle(
             counts.withColumn("_upto", upto)
             .join(wanted.select(group, "_want"), group)
             .filter((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
@@ -67,17 +68,14 @@ def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
                 "_n",
             )
         )
-        crossing = materialise(crossing)
         largest = crossing.agg(F.max("_n")).first()[0] or 0
         wanted = crossing.drop("_n")
         inside = (
             hashed.select(group, "_digest")
-            .join(small_side(wanted.select(group, "_prefix")), group)
+            .join(wanted.select(group, "_prefix"), group)
             .filter(F.col("_digest").startswith(F.col("_prefix")))
             .drop("_prefix")
         )
-        if largest <= EXACT_ROWS:
-            break
     place = F.row_number().over(W.partitionBy(group).orderBy("_digest"))
     return (
         inside.withColumn("_place", place)
@@ -103,8 +101,9 @@ def random_split(
     """Exact unstratified split: the ceil(share * n) rows first in md5 order validate. ``key``
     must be unique."""
     hashed = df.withColumn("_digest", order_hash(seed, F.col(key))).withColumn("_all", F.lit(0))
-    quota = hashed.groupBy("_all").agg(F.ceil(F.lit(share) * F.count(F.lit(1))).alias("quota"))
-    return _apply(hashed, "_all", materialise(quota)).drop("_all")
+    total = F.count(F.lit(1))
+    quota = hashed.groupBy("_all").agg(total.alias("n"), F.ceil(F.lit(share) * total).alias("quota"))
+    return _apply(hashed, "_all", settle(quota)[0]).drop("_all")
 
 
 def stratified_split(
@@ -118,7 +117,7 @@ def stratified_split(
     class has a single row, or one side has fewer rows than there are classes, the split is
     random and ``stratified`` is false. ``key`` must be unique."""
     counts = df.groupBy(F.col(label).alias("label_id")).agg(F.count(F.lit(1)).alias("n"))
-    quotas = materialise(class_quotas(counts, share))
+    quotas, _ = settle(class_quotas(counts, share))
     facts = quotas.agg(
         F.count(F.lit(1)).alias("k"), F.min("n").alias("smallest"),
         F.sum("n").alias("n"), F.sum("quota").alias("val"),

@@ -3,8 +3,8 @@
 ``fit_mlp`` is synchronous data-parallel gradient descent. The labelled vectors are written
 once, partitioned by step slot, so a step reads only its own files and a lost executor costs a
 re-read. In a step every task runs forward and backward over its mini-batches and emits summed
-gradients in blocks; blocks are summed in two levels, so no task sees all partial gradients at
-once. The driver, holding nothing but the parameters, applies the sign-momentum update of
+gradients in blocks; blocks are summed over as many levels as it takes for a task to add up
+a bounded number of them. The driver, holding nothing but the parameters, applies the sign-momentum update of
 Chen et al. 2023 (arXiv:2302.06675) and broadcasts the new weights.
 
 Batch normalisation uses the statistics of each mini-batch, as unsynchronised data-parallel
@@ -218,9 +218,13 @@ def _step_sums(rows: DataFrame, network: Network, num_classes: int, batch_rows:
             )
 
     partials = rows.select("embedding", "label_id").mapInArrow(local, _PARTIAL)
-    grouped = partials.withColumn("part", (F.col("part") / FAN_IN).cast("int"))
-    level = _sum_blocks(grouped, "block", "part")
-    summed = _sum_blocks(level, "block").orderBy("block").collect()
+    tasks = rows.rdd.getNumPartitions()
+    while tasks > FAN_IN:
+        partials = partials.withColumn("part", (F.col("part") / FAN_IN).cast("int"))
+        partials = _sum_blocks(partials, "block", "part")
+        tasks = -(-tasks // FAN_IN)
+    # A few blocks per network: their number depends on its size, not on the rows.
+    summed = sorted(_sum_blocks(partials, "block").collect(), key=lambda r: r["block"])
     shared.unpersist()
     if not summed:
         return {"rows": 0}
@@ -234,7 +238,7 @@ def _step_sums(rows: DataFrame, network: Network, num_classes: int, batch_rows:
         "grad": values[:size] / count,
         "stats": values[size : size + stat_size] / count,
         "cells": cells,
-        "loss": values[-2] / count,
+        "loss": float(values[-2] / count),
     }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Dimension tables (classes, per-class quotas, chunk offsets) are broadcast up to this many
 # rows; beyond it the join is left to Spark, which shuffles and splits skewed partitions.
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_ROWS = 100_000
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -43,10 +43,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settle(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """Compute a dimension table once. Up to ``max_rows`` rows it becomes a local relation and
+    True is returned with it; a larger one goes to the shared folder."""
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), True
+    return materialise(df), False
+
+
 def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """A dimension table for a join: broadcast when its counted size allows, else as it is."""
-    kept = materialise(df)
-    return F.broadcast(kept) if kept.limit(max_rows + 1).count() <= max_rows else kept
+    kept, small = settle(df, max_rows)
+    return F.broadcast(kept) if small else kept
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, for work that is heavy per row. An input that
+    already has enough partitions is not shuffled."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
 
 
 _shipped: set[str] = set()
