@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,6 +21,12 @@ def doubles(vector: Column) -> Column:
     return vector.cast("array<double>")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once. Inside a lambda, an expression on the row
+    would be evaluated again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def vector_sum(vector: Column) -> Column:
     return F.aggregate(vector, F.lit(0.0), lambda acc, v: acc + v)
 
@@ -29,20 +35,27 @@ def dot(a: Column, b: Column) -> Column:
     return vector_sum(F.zip_with(doubles(a), doubles(b), lambda x, y: x * y))
 
 
+def _weights(logits: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over exp(logit - largest logit)."""
+    return let(
+        F.struct(doubles(logits).alias("x"), F.array_max(doubles(logits)).alias("top")),
+        lambda s: let(F.transform(s["x"], lambda v: F.exp(v - s["top"])), body),
+    )
+
+
 def softmax(logits: Column) -> Column:
-    shifted = F.transform(doubles(logits), lambda v: F.exp(v - F.array_max(doubles(logits))))
-    return F.transform(shifted, lambda v: v / vector_sum(shifted))
+    return _weights(
+        logits, lambda w: let(vector_sum(w), lambda total: F.transform(w, lambda v: v / total))
+    )
 
 
 def confidence(logits: Column) -> Column:
-    """Largest softmax probability. The largest exponent is exp(0), so one sum is enough."""
-    logits = doubles(logits)
-    top = F.array_max(logits)
-    return 1.0 / F.aggregate(logits, F.lit(0.0), lambda acc, v: acc + F.exp(v - top))
+    """Largest softmax probability; the largest weight is exp(0)."""
+    return _weights(logits, lambda w: 1.0 / vector_sum(w))
 
 
 def probability_of(logits: Column, class_id: Column) -> Column:
-    return F.get(softmax(logits), class_id)
+    return _weights(logits, lambda w: F.get(w, class_id) / vector_sum(w))
 
 
 def argmax(vector: Column) -> Column:
@@ -52,9 +65,9 @@ def argmax(vector: Column) -> Column:
 
 def row_cross_entropy(logits: Column, class_id: Column) -> Column:
     logits = doubles(logits)
-    top = F.array_max(logits)
-    total = F.aggregate(logits, F.lit(0.0), lambda acc, v: acc + F.exp(v - top))
-    return F.log(total) + top - F.get(logits, class_id)
+    return (
+        F.log(_weights(logits, vector_sum)) + F.array_max(logits) - F.get(logits, class_id)
+    )
 
 
 def linear(vector: Column, weights: Sequence[Sequence[float]], bias: Sequence[float]) -> Column:

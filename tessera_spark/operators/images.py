@@ -5,13 +5,13 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera_spark.schemas import IMAGE_PIXELS
 from tessera_spark.session import spread_rows
@@ -22,6 +22,11 @@ TAPS = 8
 
 Transform = Callable[[np.ndarray, np.random.Generator], np.ndarray]
 
+_VARIANTS = T.StructType(
+    [IMAGE_PIXELS["image_path"], T.StructField("aug_version", T.IntegerType()), *IMAGE_PIXELS.fields[1:]]
+)
+_VARIANT_COLUMNS = _VARIANTS.fieldNames()
+
 
 def pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
@@ -54,36 +59,44 @@ def resize(image: np.ndarray, height: int = HEIGHT, width: int = WIDTH) -> np.nd
     return _clip(np.stack(planes, axis=2))
 
 
-def _each_image(df: DataFrame, change: Callable[..., np.ndarray], keep: Sequence[str]) -> DataFrame:
-    """Apply a function to every image of every Arrow batch; other columns pass through. The
-    batch size in bytes is bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``."""
-    columns = [*keep, *[c for c in IMAGE_PIXELS.fieldNames() if c not in keep]]
-    source = spread_rows(df.select(*columns))
+# Pixels are handed back in portions of about this size, however many images a batch brings
+# and however many variants are made of each.
+FLUSH_BYTES = 32 << 20
+
+Variants = Callable[[np.ndarray, str], Iterator[tuple[int, np.ndarray]]]
+
+
+def _each_image(df: DataFrame, variants: Variants) -> DataFrame:
+    """``image_path, aug_version`` and pixels of the variants of every image. An image crosses
+    to Python once, in Arrow batches bounded by
+    ``spark.sql.execution.arrow.maxBytesPerBatch``."""
+    source = spread_rows(df.select(*IMAGE_PIXELS.fieldNames()))
 
     def run(batches):
+        rows, held = [], 0
         for batch in batches:
-            images = [
-                change(pixels(r.height, r.width, r.nChannels, r.data), r)
-                for r in batch.itertuples(index=False)
-            ]
-            yield pd.DataFrame(
-                {
-                    **{c: batch[c] for c in keep},
-                    "image_path": batch["image_path"],
-                    "height": [i.shape[0] for i in images],
-                    "width": [i.shape[1] for i in images],
-                    "nChannels": [i.shape[2] for i in images],
-                    "data": [i.tobytes() for i in images],
-                }
-            )[columns]
-
-    return source.mapInPandas(run, source.schema)
+            for r in batch.itertuples(index=False):
+                image = pixels(r.height, r.width, r.nChannels, r.data)
+                for version, out in variants(image, r.image_path):
+                    rows.append((r.image_path, version, *out.shape, out.tobytes()))
+                    held += out.size
+                    if held >= FLUSH_BYTES:
+                        yield pd.DataFrame(rows, columns=_VARIANT_COLUMNS)
+                        rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=_VARIANT_COLUMNS)
+
+    return source.mapInPandas(run, _VARIANTS)
 
 
 def normalize_images(images: DataFrame, width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
     """Resize to one size. Only pixels are kept, so metadata has nowhere to survive; the
     channel count stays."""
-    return _each_image(images, lambda image, _: resize(image, height, width), ["image_path"])
+
+    def variants(image, path):
+        yield 0, resize(image, height, width)
+
+    return _each_image(images, variants).drop("aug_version")
 
 
 def to_rgb(image: np.ndarray) -> np.ndarray:
@@ -240,17 +253,15 @@ def augment_images(
     """Originals (``aug_version`` 0, untouched) and ``copies`` variants of every image. The
     random draws depend on seed, path and version only; the copies are made where the image
     already is."""
-    fanned = images.withColumn("aug_version", F.explode(F.sequence(F.lit(0), F.lit(copies))))
-
-    def change(image, row):
-        if row.aug_version == 0:
-            return image
-        rng = np.random.default_rng(
-            [seed, zlib.crc32(row.image_path.encode()), int(row.aug_version)]
-        )
-        for chance, transform in transforms:
-            if rng.random() < chance:
-                image = transform(image, rng)
-        return np.ascontiguousarray(image)
-
-    return _each_image(fanned, change, ["image_path", "aug_version"])
+
+    def variants(image, path):
+        yield 0, image
+        for version in range(1, copies + 1):
+            rng = np.random.default_rng([seed, zlib.crc32(path.encode()), version])
+            out = image
+            for chance, transform in transforms:
+                if rng.random() < chance:
+                    out = transform(out, rng)
+            yield version, np.ascontiguousarray(out)
+
+    return _each_image(images, variants)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera_spark.functions.text import strip
+from tessera_spark.functions.vectors import let
 from tessera_spark.operators.numbering import integer_bucket, previous_in_group
 
 # A line with one of the first patterns is always kept, else one of the second
@@ -40,10 +41,13 @@ def _contains_any(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def is_shown(stripped: Column) -> Column:
-    lowered = F.lower(stripped)
-    return (stripped != "") & (
-        _contains_any(lowered, KEEP_PATTERNS) | ~_contains_any(lowered, NOISE_PATTERNS)
+    """Whether a stripped line passes. The lowered text is bound once: as a plain expression a
+    filter would lower the line again for every pattern."""
+    passes = let(
+        F.lower(stripped),
+        lambda low: _contains_any(low, KEEP_PATTERNS) | ~_contains_any(low, NOISE_PATTERNS),
     )
+    return (stripped != "") & passes
 
 
 def filter_lines(lines: DataFrame, line: str = "line") -> DataFrame:

@@ -153,11 +153,14 @@ def centroid_network(df: DataFrame, vector: str = "embedding") -> Network:
         df.select("label_id", F.posexplode(vector).alias("dim", "_x"))
         .groupBy("label_id", "dim")
         .agg(F.avg(F.col("_x").cast("double")).alias("mean"))
-        .collect()
+        .limit(MAX_PARAMETERS + 1)
+        .toArrow()
     )
-    if not means:
+    if not means.num_rows:
         raise ValueError("no labelled rows to take class means of")
-    weight = np.zeros((max(r["label_id"] for r in means) + 1, max(r["dim"] for r in means) + 1))
-    for r in means:
-        weight[r["label_id"], r["dim"]] = r["mean"]
+    if means.num_rows > MAX_PARAMETERS:
+        raise ValueError(f"class means exceed the broadcast bound of {MAX_PARAMETERS} numbers")
+    row, col, mean = (means.column(c).to_numpy() for c in ("label_id", "dim", "mean"))
+    weight = np.zeros((row.max() + 1, col.max() + 1))
+    weight[row, col] = mean
     return [Layer(weight, np.zeros(len(weight)))]

@@ -9,6 +9,8 @@ however large a class is.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,11 +47,11 @@ def class_quotas(counts: DataFrame, share: float = VALIDATION_SHARE) -> DataFram
     return base.select("label_id", "n", (F.col("_whole") + extra).alias("quota"))
 
 
-def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
+def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame, largest: int) -> DataFrame:
     """``(group, threshold)``: the quota-th smallest digest of each group, by radix
-    selection. ``quotas`` holds one row per group with ``n`` and ``quota`` between 1 and n."""
+    selection. ``quotas`` holds one row per group with ``quota`` between 1 and its rows, of
+    which the largest group has ``largest``."""
     wanted = quotas.select(group, F.lit("").alias("_prefix"), F.col("quota").alias("_want"))
-    largest = quotas.agg(F.max("n")).first()[0] or 0
     inside, digits = hashed.select(group, "_digest"), 0
     while largest > EXACT_ROWS and digits < _MAX_DIGITS:
         digits += _DIGITS_PER_LEVEL
@@ -85,8 +87,8 @@ def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
     )
 
 
-def _apply(hashed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
-    limits = small_side(_thresholds(hashed, group, quotas.filter(F.col("quota") > 0)))
+def _apply(hashed: DataFrame, group: str, quotas: DataFrame, largest: int) -> DataFrame:
+    limits = small_side(_thresholds(hashed, group, quotas.filter(F.col("quota") > 0), largest))
     chosen = F.coalesce(F.col("_digest") <= F.col("_threshold"), F.lit(False))
     return (
         hashed.join(limits, group, "left")
@@ -101,9 +103,9 @@ def random_split(
     """Exact unstratified split: the ceil(share * n) rows first in md5 order validate. ``key``
     must be unique."""
     hashed = df.withColumn("_digest", order_hash(seed, F.col(key))).withColumn("_all", F.lit(0))
-    total = F.count(F.lit(1))
-    quota = hashed.groupBy("_all").agg(total.alias("n"), F.ceil(F.lit(share) * total).alias("quota"))
-    return _apply(hashed, "_all", settle(quota)[0]).drop("_all")
+    total = hashed.count()
+    quota = hashed.sparkSession.createDataFrame([(0, math.ceil(share * total))], "_all int, quota long")
+    return _apply(hashed, "_all", quota, total).drop("_all")
 
 
 def stratified_split(
@@ -117,9 +119,9 @@ def stratified_split(
     class has a single row, or one side has fewer rows than there are classes, the split is
     random and ``stratified`` is false. ``key`` must be unique."""
     counts = df.groupBy(F.col(label).alias("label_id")).agg(F.count(F.lit(1)).alias("n"))
-    quotas, _ = settle(class_quotas(counts, share))
+    quotas, _ = settle(class_quotas(settle(counts)[0], share))
     facts = quotas.agg(
-        F.count(F.lit(1)).alias("k"), F.min("n").alias("smallest"),
+        F.count(F.lit(1)).alias("k"), F.min("n").alias("smallest"), F.max("n").alias("largest"),
         F.sum("n").alias("n"), F.sum("quota").alias("val"),
     ).first()
     if not facts["k"]:
@@ -132,7 +134,7 @@ def stratified_split(
     if not possible:
         return random_split(df, key, share, seed).withColumn("stratified", F.lit(False))
     hashed = df.withColumn("_digest", order_hash(seed, F.col(key)))
-    split = _apply(hashed, label, quotas.withColumnRenamed("label_id", label))
+    split = _apply(hashed, label, quotas.withColumnRenamed("label_id", label), facts["largest"])
     return split.withColumn("stratified", F.lit(True))
 
 
@@ -155,7 +157,7 @@ def sample_validation(split: DataFrame, key: str, n: int = 10, seed: int = SEED)
 
 def sample_info(rows: DataFrame, sample: DataFrame, key: str = "embedding_index") -> DataFrame:
     """Full rows of sampled keys."""
-    return rows.join(F.broadcast(sample.select(key)), key, "left_semi")
+    return rows.join(small_side(sample.select(key)), key, "left_semi")
 
 
 def class_counts(df: DataFrame, classes: DataFrame) -> DataFrame:

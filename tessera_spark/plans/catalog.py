@@ -48,11 +48,6 @@ def _confusion(spark: SparkSession, sf: str, part: str = "val") -> DataFrame:
     return M.confusion(T.scored(spark, sf, part)[0])
 
 
-def _stored_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    """The k x k counts, stored because a report reads them more than once."""
-    return materialise(_confusion(spark, sf))
-
-
 def class_report(spark, sf):
     report = M.class_report(_confusion(spark, sf), T.classes(spark, sf))
     return _rounded(report, "precision", "recall", "f1")
@@ -87,8 +82,7 @@ def confusion_summary(spark, sf):
 
 
 def accuracy_macro_micro(spark, sf):
-    cm = _stored_confusion(spark, sf)
-    measures = M.macro_metrics(cm)
+    measures = M.macro_metrics(_confusion(spark, sf))
     return _rounded(measures, *measures.columns)
 
 
@@ -234,14 +228,13 @@ def wrong_dimension(spark, sf):
 
 
 def positional_check(spark, sf):
-    manifest = _manifest(spark, sf)
-    indexed = MF.augment_fanout(manifest)
+    indexed = MF.augment_fanout(_manifest_table(spark, sf))
     vectors = T.read(spark, sf, "embeddings").select(F.col("vec_id").alias("embedding_index"))
     return checks.positional_check(indexed, vectors)
 
 
 def attach_embeddings(spark, sf):
-    indexed = MF.augment_fanout(_manifest(spark, sf))
+    indexed = MF.augment_fanout(_manifest_table(spark, sf))
     vectors = T.read(spark, sf, "embeddings").select(
         F.col("vec_id").alias("embedding_index"), "embedding"
     )
@@ -315,6 +308,11 @@ def _manifest(spark, sf):
     return MF.build_manifest(T.listing(spark, sf), T.RAW_ROOT, T.NORMALIZED_ROOT, PER_CLASS)
 
 
+def _manifest_table(spark, sf):
+    """The manifest as the stored table that later stages read."""
+    return materialise(_manifest(spark, sf))
+
+
 def _named(spark, sf):
     numbered = MF.number_files(T.listing(spark, sf), T.RAW_ROOT)
     return MF.name_files(numbered, T.NORMALIZED_ROOT, PER_CLASS)
@@ -352,13 +350,13 @@ def class_names(spark, sf):
 
 
 def augment_fanout(spark, sf):
-    return MF.augment_fanout(_manifest(spark, sf), 2).select(
+    return MF.augment_fanout(_manifest_table(spark, sf), 2).select(
         "embedding_index", "aug_version", "image_name"
     )
 
 
 def missing_files(spark, sf):
-    """Manifest rows whose document carries no label row, the labelled ones being on disk."""
+    """Manifest rows whose document has no row in ``labels``; those that have one are on disk."""
     present = (
         T.listing(spark, sf).join(T.read(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi")
     )
@@ -441,7 +439,7 @@ def early_stop(spark, sf):
 def epoch_progress(spark, sf):
     timed = T.runs(spark, sf).select("run_id", "epoch", "ts")
     progress = runs.epoch_progress(timed, TOTAL_EPOCHS)
-    return _rounded(progress, "percent", "elapsed", "eta", "epoch_seconds")
+    return _rounded(progress, "percent", "elapsed", "epoch_seconds").withColumn("eta", F.round("eta", 3))
 
 
 def val_cadence(spark, sf):

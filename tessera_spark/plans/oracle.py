@@ -381,8 +381,8 @@ SELECT p_partkey, label_name, is_test, label_id FROM c WHERE (label_id = -1) <>
     plain = "regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/]*', ''), '[?#].*$', '')"
     sql["path_functions"] = f"""WITH b AS (SELECT page_id, url, {plain} AS plain FROM pages)
 SELECT page_id, plain, regexp_extract(plain, '[^/]*$') AS name,
-       '/a' || CASE WHEN regexp_replace(plain, '/[^/]*$', '') = '' THEN '' ELSE regexp_replace(plain, '/[^/]*$', '') END AS normalised,
-       '/work' || plain AS absolute,
+       '/a' || regexp_replace(rtrim(plain, '/'), '/[^/]*$', '') AS normalised,
+       '/work' || rtrim(plain, '/') AS absolute,
        regexp_matches(lower(url), '\\.(png|jpg|jpeg|bmp)$') AS is_image,
        CASE WHEN length(url) > 30 THEN left(url, 27) || '...' ELSE url END AS short FROM b"""
     sql["output_folders"] = """
@@ -403,7 +403,7 @@ b AS (SELECT run_id, epoch, epoch / {TOTAL} * 100 AS percent,
 SELECT run_id, epoch, round(percent, 6) AS percent,
        repeat('#', CAST(floor(percent / 5) AS INTEGER)) || repeat('-', 20 - CAST(floor(percent / 5) AS INTEGER)) AS bar,
        round(elapsed, 6) AS elapsed, {_DURATION} AS elapsed_text,
-       round(CASE WHEN epoch > 0 THEN elapsed / epoch * ({TOTAL} - epoch) END, 6) AS eta, round(epoch_seconds, 6) AS epoch_seconds FROM b"""
+       round(CASE WHEN epoch > 0 THEN elapsed / epoch * ({TOTAL} - epoch) END, 3) AS eta, round(epoch_seconds, 6) AS epoch_seconds FROM b"""
     sql["val_cadence"] = f"""WITH {RUNS}
 SELECT run_id, epoch, CAST(epoch // 5 + 1 AS INTEGER) AS validation_run, epoch % 25 = 0 OR (epoch // 5 + 1) % 5 = 0 AS sampled
 FROM e WHERE epoch % 5 = 4"""

@@ -7,12 +7,15 @@ from pyspark.sql.types import StructType
 
 from tessera_spark.session import scratch_path
 
+MAX_BYTES_PER_TRIGGER = 1 << 30
+
 
 def stream_parquet(
     spark: SparkSession, folder: str, schema: StructType | str, glob: str | None = None, **options
 ) -> DataFrame:
-    """File stream of a folder. ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a
-    micro-batch, and with it the rows one key can bring at a time."""
+    """File stream of a folder. ``maxBytesPerTrigger`` bounds a micro-batch, and with it the
+    rows that one key can bring at a time to a stateful step."""
+    options.setdefault("maxBytesPerTrigger", MAX_BYTES_PER_TRIGGER)
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
