@@ -45,7 +45,7 @@ def is_shown(stripped: Column) -> Column:
     filter would lower the line again for every pattern."""
     passes = let(
         F.lower(stripped),
-        lambda low: _contains_any(low, KEEP_PATTERNS) | ~_contains_any(low, NOISE_PATTERNS),
+        lambda low: ~_contains_any(low, NOISE_PATTERNS) | _contains_any(low, KEEP_PATTERNS),
     )
     return (stripped != "") & passes
 

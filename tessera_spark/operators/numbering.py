@@ -107,10 +107,15 @@ def previous_in_group(
 ) -> DataFrame:
     """Add, for each ``out: column`` of ``values``, the column's value in the preceding row of
     the group; null in the first row. Rows look back inside their bucket, and the last row of
-    each bucket is handed to the next one, so no group is scanned by a single task."""
+    each bucket is handed to the next one, so no group is scanned by a single task. Group
+    columns must not be null."""
     group = list(group)
     inside = W.partitionBy(*group, "_bucket").orderBy(*order)
+    # Stated here, so that Spark need not infer it on one side only: both sides of the join
+    # below then have the same shuffle, which is run once.
     tagged = df.withColumn("_bucket", bucket)
+    for column in (*group, "_bucket"):
+        tagged = tagged.filter(F.col(column).isNotNull())
     looked = tagged.select(
         "*",
         *[F.lag(source).over(inside).alias(out) for out, source in values.items()],
@@ -123,7 +128,8 @@ def previous_in_group(
         "_bucket",
         *[F.lag(source).over(across).alias(f"_carry_{out}") for out, source in values.items()],
     )
-    joined = looked.join(handed, [*group, "_bucket"], "left")
+    # Every bucket has a last row, so the inner join keeps all rows.
+    joined = looked.join(handed, [*group, "_bucket"])
     return joined.select(
         *df.columns,
         *[
