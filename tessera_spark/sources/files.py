@@ -11,7 +11,9 @@ from tessera_spark.schemas import IMAGE_PIXELS
 
 def list_raw_files(spark: SparkSession, root: str) -> DataFrame:
     """One row per file below ``root``. Only listing columns are selected, so no content is
-    read; deeper files are left out by ``operators.manifest.classify_files``."""
+    read; deeper files are left out by ``operators.manifest.classify_files``. Spark's file
+    scan leaves out files of zero length, so these take no number in a folder; a listing from
+    elsewhere (any table with ``path``) can be handed to the manifest operators instead."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
