@@ -3,6 +3,8 @@ except the ``..`` folding, which needs an array fold."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +17,9 @@ TEST_LABEL_ID = -1
 NORMALIZED_PREFIX = "normalized_"
 NORMALIZED_ROOT = "datasets/normalized"
 
+# Scheme and authority of a file address.
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?"
+
 # Ordinals of the three listing branches, in manifest order.
 FROM_LABEL, FROM_ROOT, FROM_TEST_FOLDER = 0, 1, 2
 
@@ -30,7 +35,7 @@ def base_name(path: Column) -> Column:
 
 def strip_scheme(path: Column) -> Column:
     """``file:/a``, ``hdfs://host:1/a`` and ``/a`` all become ``/a``."""
-    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)", "")
+    return F.regexp_replace(path, SCHEME + "(?=/)", "")
 
 
 def normalise_path(path: Column) -> Column:
@@ -64,28 +69,40 @@ def absolute_path(path: Column, working_folder: str) -> Column:
 
 
 def relative_to(path: Column, root: str) -> Column:
-    """Part of ``path`` below ``root``; null for anything outside."""
-    plain = strip_scheme(path)
-    base = root.rstrip("/")
-    if ":" in base.split("/", 1)[0]:
-        scheme_free = base.split(":", 1)[1]
-        if scheme_free.startswith("//"):
-            scheme_free = "/" + scheme_free[2:].partition("/")[2]
-        base = scheme_free
-    return F.when(plain.startswith(base + "/"), F.substring(plain, len(base) + 2, 2**31 - 1))
-
-
-def split_source(relative: Column) -> dict[str, Column]:
-    """Branch of a listed file. Only the root and its direct sub-folders count, so anything
-    deeper gets a null ``source``."""
-    depth = F.size(F.split(relative, "/")) - 1
-    folder = F.when(depth == 1, F.substring_index(relative, "/", 1))
-    source = (
-        F.when(depth == 0, FROM_ROOT)
-        .when((depth == 1) & (folder == TEST_FOLDER), FROM_TEST_FOLDER)
-        .when(depth == 1, FROM_LABEL)
+    """Part of ``path`` below ``root``; null for anything outside. Schemes may differ."""
+    base = re.sub(SCHEME, "", root.rstrip("/")) + "/"
+    start = F.instr(path, base)
+    # The pattern sees only what stands before the root, usually nothing or a scheme.
+    below = (start == 1) | ((start > 1) & F.left(path, start).rlike(SCHEME + "/$"))
+    return F.when(below, F.substring(path, start + len(base), F.length(path)))
+
+
+def _below(root: str, rest: str) -> str:
+    """Pattern of paths whose part below ``root`` matches ``rest``."""
+    base = re.sub(SCHEME, "", root.rstrip("/")).replace("\\E", "\\E\\\\E\\Q")
+    return rf"^(?:{SCHEME[1:]})?\Q{base}\E/{rest}$"
+
+
+def is_listed(path: Column, root: str) -> Column:
+    """Files of the root and of its direct sub-folders; anything deeper does not count."""
+    return path.rlike(_below(root, r"(?:[^/]+/)?[^/]+"))
+
+
+def is_counted(path: Column, root: str) -> Column:
+    """Listed files that take a number: images, and every file of the test folder."""
+    suffixes = "|".join(IMAGE_SUFFIXES)
+    return path.rlike(_below(root, rf"(?:{TEST_FOLDER}/[^/]+|(?:[^/]+/)?[^/]*\.(?i:{suffixes}))"))
+
+
+def folder_of(path: Column, root: str) -> Column:
+    """Sub-folder of a listed file; empty for a file of the root."""
+    return F.regexp_extract(path, _below(root, r"(?:([^/]+)/)?[^/]+"), 1)
+
+
+def source_of(folder: Column) -> Column:
+    return (
+        F.when(folder == "", FROM_ROOT).when(folder == TEST_FOLDER, FROM_TEST_FOLDER).otherwise(FROM_LABEL)
     )
-    return {"source": source, "folder": F.coalesce(folder, F.lit(""))}
 
 
 def normalized_name(source: Column, folder: Column, index: Column, overflow: Column) -> Column:

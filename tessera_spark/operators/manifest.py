@@ -10,18 +10,21 @@ from tessera_spark.operators.labels import encode_labels, first_appearance_ids
 from tessera_spark.operators.numbering import integer_bucket, number_by_range, rank_in_group
 from tessera_spark.schemas import AUGMENTED_MANIFEST, MANIFEST
 
-_ORDER = ["_source", "_folder", "_path"]
+_ORDER = ["_source", "_folder", "path"]
+
+
+def _with_branch(files: DataFrame, root: str) -> DataFrame:
+    return files.withColumn("_folder", P.folder_of(F.col("path"), root)).withColumn(
+        "_source", P.source_of(F.col("_folder"))
+    )
 
 
 def classify_files(files: DataFrame, root: str) -> DataFrame:
     """Tag each listed file with its branch and folder. One scan stands for the union of the
-    three listings (label folders, root, test folder); deeper files are left out."""
-    parts = P.split_source(P.relative_to(F.col("path"), root))
-    return (
-        files.withColumn("_source", parts["source"])
-        .withColumn("_folder", parts["folder"])
-        .filter(F.col("_source").isNotNull())
-    )
+    three listings (label folders, root, test folder); deeper files are left out. The filter
+    is one pattern on the path itself: a filter on the derived columns would be pushed below
+    them and derive each again."""
+    return _with_branch(files.filter(P.is_listed(F.col("path"), root)), root)
 
 
 def union_sources(labelled: DataFrame, in_root: DataFrame, in_test: DataFrame) -> DataFrame:
@@ -37,14 +40,11 @@ def number_files(files: DataFrame, root: str) -> DataFrame:
     Label folders and the root count images only. The test folder counts every file, so a
     file that is no image leaves a gap in the numbering there.
     """
-    counted = (
-        classify_files(files, root)
-        .withColumn("_path", F.col("path"))
-        .withColumn("_image", P.is_image(F.col("path")))
-        .filter(F.col("_image") | (F.col("_source") == P.FROM_TEST_FOLDER))
+    counted = files.select("path").filter(P.is_counted(F.col("path"), root))
+    numbered = number_by_range(
+        _with_branch(counted, root), _ORDER, ["_source", "_folder"], "position", "index"
     )
-    numbered = number_by_range(counted, _ORDER, ["_source", "_folder"], "position", "index")
-    return numbered.filter("_image").drop("_image", "_path")
+    return numbered.filter(P.is_image(F.col("path")))
 
 
 def name_files(numbered: DataFrame, output_root: str, images_per_class: int | None = None) -> DataFrame:
