@@ -73,8 +73,14 @@ def embed(images: DataFrame, make_encoder: Callable[[], Encoder], batch_size: in
 
         return predict
 
-    run = predict_batch_udf(make_predict, return_type=_RESULT, batch_size=batch_size)
-    done = spread_rows(images).withColumn("_e", run("height", "width", "nChannels", "data"))
+    # Marked as not repeatable, so that a later filter on the result is not pushed below and
+    # the encoder run a second time for it.
+    run = predict_batch_udf(
+        make_predict, return_type=_RESULT, batch_size=batch_size
+    ).asNondeterministic()
+    done = spread_rows(images).withColumn(
+        "_e", run(F.struct("height", "width", "nChannels", "data"))
+    )
     return done.select(
         *[c for c in images.columns if c not in ("height", "width", "nChannels", "data")],
         F.when(F.col("_e.error") == "", F.col("_e.embedding")).alias("embedding"),

@@ -1,7 +1,9 @@
 """Scoring with a multilayer perceptron stored as a layer table.
 
 Weights are model-sized: they are read once, checked, broadcast, and applied to whole Arrow
-batches with one matrix product per layer. Rows stay where they are; nothing is shuffled.
+batches with one matrix product per layer. Rows stay where they are; nothing is shuffled. The
+UDFs are marked as not repeatable: a later filter on their result would otherwise be pushed
+below and score every row a second time.
 """
 
 from __future__ import annotations
@@ -109,7 +111,7 @@ def logits_column(spark: SparkSession, network: Network, vector: Column) -> Colu
             return pa.nulls(len(column), pa.list_(pa.float64()))
         return spread(list_array(forward(x, shared.value)), column)
 
-    return logits(vector)
+    return logits.asNondeterministic()(vector)
 
 
 def mlp_forward(df: DataFrame, network: Network, vector: str = "embedding", output: str = "logits") -> DataFrame:
@@ -136,7 +138,7 @@ def predict(df: DataFrame, network: Network, vector: str = "embedding") -> DataF
         )
         return spread(scored, column)
 
-    scored = df.withColumn("_score", score(F.col(vector)))
+    scored = df.withColumn("_score", score.asNondeterministic()(F.col(vector)))
     return scored.select(*df.columns, "_score.predicted_class", "_score.confidence_score")
 
 

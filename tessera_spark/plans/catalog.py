@@ -29,6 +29,7 @@ PER_CLASS = 40
 PATIENCE = 10
 COMPONENTS = 8
 HIDDEN = 16
+ENCODED = 16
 TOTAL_EPOCHS = 100
 
 
@@ -564,8 +565,8 @@ def image_augment(spark, sf):
 
 
 def _projection_encoder():
-    """Mean brightness of an 8 x 8 grid of cells, projected by a seeded matrix."""
-    weights = np.random.default_rng(7).normal(size=(192, 32))
+    """Mean brightness of an 8 x 8 grid of cells, projected by a matrix of a closed formula."""
+    weights = np.sin(np.arange(192)[:, None] * 7.0 + np.arange(ENCODED)[None, :])
 
     def encode_batch(batch):
         cells = []
@@ -579,7 +580,10 @@ def _projection_encoder():
 
 
 def embed_images(spark, sf):
-    return encode.embed(T.images(spark, sf), _projection_encoder)
+    done = encode.embed(T.images(spark, sf), _projection_encoder)
+    return done.select("image_path", "error", F.posexplode("embedding").alias("dim", "value")).withColumn(
+        "value", _r("value")
+    )
 
 
 def model_sources(spark, sf):

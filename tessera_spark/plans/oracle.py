@@ -454,6 +454,13 @@ FROM s LEFT JOIN l ON l.stage = s.stage AND l.place = 1"""
     sql["wrong_size"] = """
 SELECT '/normalized/' || vec_id || '.png' AS image_path, CAST(sqrt(len(embedding)) AS INTEGER) AS width,
        CAST(sqrt(len(embedding)) AS INTEGER) AS height FROM embeddings WHERE sqrt(len(embedding)) <> 224"""
+    sql["embed_images"] = f"""WITH
+px AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i,
+              round((CAST(unnest(embedding) AS DOUBLE) + 1) * 127.5) / 255.0 AS level FROM embeddings),
+u AS (SELECT CAST(unnest(range({catalog.ENCODED})) AS INTEGER) AS dim)
+SELECT '/normalized/' || vec_id || '.png' AS image_path, CAST(NULL AS VARCHAR) AS error, dim,
+       round(CAST(CAST(sum(level * (sin(3 * i * 7.0 + dim) + sin((3 * i + 1) * 7.0 + dim) + sin((3 * i + 2) * 7.0 + dim))) AS FLOAT) AS DOUBLE), 6) AS value
+FROM px, u GROUP BY vec_id, dim"""
     sql["model_sources"] = """
 SELECT p_name, count(*) AS n,
        CASE WHEN p_name IN ('ViT-SO400M-14-SigLIP-384', 'ViT-B-16-SigLIP-512', 'ViT-L-14-SigLIP-384') THEN 'hf-hub:timm' ELSE p_name END AS hub,

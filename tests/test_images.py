@@ -130,6 +130,22 @@ def test_embedding_reports_bad_pixels(spark):
     assert got["/a"].error is None and got["/b"].embedding is None and got["/b"].error
 
 
+def test_encoder_runs_once_and_takes_equal_columns(spark, monkeypatch):
+    # Height and width are the same expression here, which Spark hands to a UDF only once.
+    monkeypatch.setattr(encode, "spread_rows", lambda df: df)
+    rows = spark.range(5).select(
+        F.col("id").cast("string").alias("image_path"),
+        F.sqrt(F.lit(4) + F.col("id") * 0).cast("int").alias("height"),
+        F.sqrt(F.lit(4) + F.col("id") * 0).cast("int").alias("width"),
+        F.lit(1).alias("nChannels"),
+        F.unhex(F.lit("01020304")).alias("data"),
+    )
+    done = encode.embed(rows, _means).filter("embedding is not null")
+    assert done.count() == 5 and done.first().embedding == [2.5, 2.5, 2.5]
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_small_input_is_spread(spark):
     from tessera_spark.session import spread_rows
 

@@ -70,6 +70,14 @@ def test_null_vectors_stay_null(spark):
     assert [r.predicted_class for r in mlp.predict(none, net).collect()] == [None, None]
 
 
+def test_a_filter_does_not_score_twice(rows):
+    for frame in (
+        mlp.predict(rows, network()).filter("predicted_class = 1"),
+        mlp.mlp_forward(rows, network()).filter("size(logits) > 0"),
+    ):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_layers_round_trip(spark, tmp_path, monkeypatch):
     net = network()
     path = str(tmp_path / "layers")
