@@ -75,7 +75,7 @@ def name_files(numbered: DataFrame, output_root: str, images_per_class: int | No
 
 def drop_failed(df: DataFrame, failed: DataFrame, key: str = "original_path") -> DataFrame:
     """Leave out rows whose image could not be processed; names keep their gaps."""
-    return df.join(failed.select(key).distinct(), key, "left_anti")
+    return df.join(failed.select(key), key, "left_anti")
 
 
 def build_manifest(

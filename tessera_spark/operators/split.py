@@ -29,7 +29,8 @@ EXACT_ROWS = 1_000_000
 
 def class_quotas(counts: DataFrame, share: float = VALIDATION_SHARE) -> DataFrame:
     """Validation rows per class from ``(label_id, n)``: ceil(share * total) spread by largest
-    remainder, ties to the lower class id. Works on one row per class."""
+    remainder, ties to the lower class id. Works on one row per class; every row also carries
+    the totals that decide whether a stratified split is possible."""
     everything = W.partitionBy()
     base = (
         counts.withColumn("_total", F.sum("n").over(everything))
@@ -44,7 +45,15 @@ def class_quotas(counts: DataFrame, share: float = VALIDATION_SHARE) -> DataFram
         )
     )
     extra = F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0)
-    return base.select("label_id", "n", (F.col("_whole") + extra).alias("quota"))
+    return base.select(
+        "label_id",
+        (F.col("_whole") + extra).alias("quota"),
+        F.col("_total").alias("total"),
+        F.col("_val").alias("val"),
+        F.count(F.lit(1)).over(everything).alias("k"),
+        F.min("n").over(everything).alias("smallest"),
+        F.max("n").over(everything).alias("largest"),
+    )
 
 
 def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame, largest: int) -> DataFrame:
@@ -104,7 +113,9 @@ def random_split(
     must be unique."""
     hashed = df.withColumn("_digest", order_hash(seed, F.col(key))).withColumn("_all", F.lit(0))
     total = hashed.count()
-    quota = hashed.sparkSession.createDataFrame([(0, math.ceil(share * total))], "_all int, quota long")
+    quota = hashed.sparkSession.range(1).select(
+        F.lit(0).alias("_all"), F.lit(math.ceil(share * total)).alias("quota")
+    )
     return _apply(hashed, "_all", quota, total).drop("_all")
 
 
@@ -120,21 +131,19 @@ def stratified_split(
     random and ``stratified`` is false. ``key`` must be unique."""
     counts = df.groupBy(F.col(label).alias("label_id")).agg(F.count(F.lit(1)).alias("n"))
     quotas, _ = settle(class_quotas(settle(counts)[0], share))
-    facts = quotas.agg(
-        F.count(F.lit(1)).alias("k"), F.min("n").alias("smallest"), F.max("n").alias("largest"),
-        F.sum("n").alias("n"), F.sum("quota").alias("val"),
-    ).first()
-    if not facts["k"]:
+    facts = quotas.first()
+    if facts is None:
         return df.withColumn("split", F.lit("train")).withColumn("stratified", F.lit(True))
     possible = (
         facts["smallest"] >= 2
         and facts["val"] >= facts["k"]
-        and facts["n"] - facts["val"] >= facts["k"]
+        and facts["total"] - facts["val"] >= facts["k"]
     )
     if not possible:
         return random_split(df, key, share, seed).withColumn("stratified", F.lit(False))
     hashed = df.withColumn("_digest", order_hash(seed, F.col(key)))
-    split = _apply(hashed, label, quotas.withColumnRenamed("label_id", label), facts["largest"])
+    wanted = quotas.select(F.col("label_id").alias(label), "quota")
+    split = _apply(hashed, label, wanted, facts["largest"])
     return split.withColumn("stratified", F.lit(True))
 
 

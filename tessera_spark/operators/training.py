@@ -1,8 +1,8 @@
 """Distributed training of the perceptron.
 
 ``fit_mlp`` is synchronous data-parallel gradient descent. The labelled vectors are written
-once, partitioned by step slot, so a step reads only its own files and a lost executor costs a
-re-read. In a step every task runs forward and backward over its mini-batches and emits summed
+once, partitioned by step slot, so a step reads only its own files, a validation only its own
+rows, and a lost executor costs a re-read. In a step every task runs forward and backward over its mini-batches and emits summed
 gradients in blocks; blocks are summed over as many levels as it takes for a task to add up
 a bounded number of them. The driver, holding nothing but the parameters, applies the sign-momentum update of
 Chen et al. 2023 (arXiv:2302.06675) and broadcasts the new weights.
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera_spark.functions import vectors as V
@@ -296,6 +296,19 @@ def validate(val: DataFrame, network: Network) -> dict[str, float]:
     return measures
 
 
+def _store(rows: DataFrame, slot: Column, name: str) -> DataFrame:
+    """Labelled vectors as a table in the shared folder, one sub-folder per slot."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    (
+        rows.filter(F.col("label_id") >= 0)
+        .select("embedding", "label_id", slot.alias("slot"))
+        .write.partitionBy("slot")
+        .parquet(path)
+    )
+    return spark.read.schema("embedding array<float>, label_id int, slot int").parquet(path)
+
+
 def fit_mlp(
     train: DataFrame,
     val: DataFrame | None = None,
@@ -312,22 +325,16 @@ def fit_mlp(
 ) -> Fitted:
     """Train on ``(embedding_index, embedding, label_id)``. The rows of a step are those whose
     key hashes to its slot; the input size and the number of classes come from the data."""
-    spark = train.sparkSession
     slot = F.pmod(F.xxhash64("embedding_index", F.lit(seed)), F.lit(steps_per_epoch)).cast("int")
-    path = scratch_path(spark, "train")
-    (
-        train.filter(F.col("label_id") >= 0)
-        .select("embedding", "label_id", slot.alias("slot"))
-        .write.partitionBy("slot")
-        .parquet(path)
-    )
-    stored = spark.read.schema("embedding array<float>, label_id int, slot int").parquet(path)
+    stored = _store(train, slot, "train")
     shape = stored.agg(F.max("label_id"), F.max(F.size("embedding"))).first()
+    if shape[0] is None:
+        raise ValueError("no labelled rows to train on")
     classes, inputs = shape[0] + 1, shape[1]
     if val is not None:
+        val = _store(val, F.lit(0), "val")
         top = val.agg(F.max("label_id")).first()[0]
         classes = max(classes, (top if top is not None else -1) + 1)
-        val = val.filter(F.col("label_id") >= 0)
 
     network = new_network([inputs, *hidden, classes], seed)
     momentum = np.zeros(sum(a.size for a in _trainable(network)))

@@ -30,7 +30,9 @@ class Evaluation:
 def evaluate(scored: DataFrame, classes: DataFrame, split: str = "val", key: str = "embedding_index") -> Evaluation:
     """Measures over labelled rows of one ``split`` ('all' takes train rows as well), and
     distribution and samples over the unlabelled rows."""
-    kept = materialise(scored)
+    # Vectors and logits are not part of the report and would only be copied along.
+    columns = [key, "image_path", "label_id", "predicted_class", "confidence_score"]
+    kept = materialise(scored.select(*columns, *(["split"] if split != "all" else [])))
     labelled = labelled_rows(kept)
     if split != "all":
         labelled = labelled.filter(labelled["split"] == split)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera_spark.functions.paths import TEST_LABEL, TEST_LABEL_ID
 from tessera_spark.functions.text import explode_lines
@@ -51,8 +52,15 @@ KIND_OF_EVENT = {
 }
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables. Its footer is looked at once; later reads state the schema."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def lookup(column: str, values: dict[str, str]):
