@@ -37,14 +37,20 @@ Network = list[Layer]
 
 def layers_frame(spark: SparkSession, network: Network) -> DataFrame:
     """Layer table of a network."""
-    rows = []
+    arrays = []
     for i, layer in enumerate(network):
-        out_size, in_size = layer.weight.shape
-        rows.append((i, "weight", out_size, in_size, layer.weight.astype(float).ravel().tolist()))
-        rows.append((i, "bias", out_size, 1, layer.bias.astype(float).tolist()))
-        for kind, values in (layer.norm or {}).items():
-            rows.append((i, kind, out_size, 1, values.astype(float).tolist()))
-    return spark.createDataFrame(rows, LAYERS)
+        arrays += [(i, "weight", layer.weight), (i, "bias", layer.bias)]
+        arrays += [(i, kind, values) for kind, values in (layer.norm or {}).items()]
+    table = pa.table(
+        {
+            "layer": pa.array([i for i, _, _ in arrays], pa.int32()),
+            "kind": pa.array([kind for _, kind, _ in arrays], pa.string()),
+            "rows": pa.array([a.shape[0] for _, _, a in arrays], pa.int32()),
+            "cols": pa.array([a.shape[1] if a.ndim == 2 else 1 for _, _, a in arrays], pa.int32()),
+            "values": pa.array([a.astype(float).ravel() for _, _, a in arrays], pa.list_(pa.float64())),
+        }
+    )
+    return spark.createDataFrame(table, LAYERS)
 
 
 def network_from(layers: DataFrame) -> Network:
@@ -54,12 +60,12 @@ def network_from(layers: DataFrame) -> Network:
         raise ValueError("the layer table is empty")
     if count > MAX_PARAMETERS:
         raise ValueError(f"{count} parameters exceed the broadcast bound of {MAX_PARAMETERS}")
+    table = layers.toArrow()
     parts: dict[int, dict[str, np.ndarray]] = {}
-    for row in layers.collect():
-        values = np.asarray(row["values"], dtype=np.float64)
-        if row["kind"] == "weight":
-            values = values.reshape(row["rows"], row["cols"])
-        parts.setdefault(row["layer"], {})[row["kind"]] = values
+    for i in range(table.num_rows):
+        layer, kind, rows, cols = (table.column(c)[i].as_py() for c in ("layer", "kind", "rows", "cols"))
+        values = table.column("values")[i].values.to_numpy()
+        parts.setdefault(layer, {})[kind] = values.reshape(rows, cols) if kind == "weight" else values
     network = []
     for i in sorted(parts):
         found = parts[i]
