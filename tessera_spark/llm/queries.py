@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import secrets
+from tessera_spark.llm import quality, secrets
 from tessera_spark.llm.common import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     repository = F.concat_ws("/", "source", "lang")
@@ -18,7 +22,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_secrets": op10_secrets}
+    return {
+        "op2_quality_rules": op2_quality_rules,
+        "op10_secrets": op10_secrets,
+    }
 
 
 def all_sql() -> dict[str, str]:
