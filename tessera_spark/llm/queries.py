@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import quality, secrets
+from tessera_spark.llm import quality, secrets, tokens
 from tessera_spark.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     repository = F.concat_ws("/", "source", "lang")
@@ -24,6 +28,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op4_token_counts": op4_token_counts,
         "op10_secrets": op10_secrets,
     }
 
