@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import quality, secrets, tokens
+from tessera_spark.llm import mixing, quality, secrets, sharding, tokens
 from tessera_spark.llm.common import table
 
 
@@ -15,10 +15,19 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(sharding.shard(table(spark, sf_dir, "documents")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     repository = F.concat_ws("/", "source", "lang")
@@ -28,7 +37,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op3_sharding": op3_sharding,
         "op4_token_counts": op4_token_counts,
+        "op7_mixing": op7_mixing,
         "op10_secrets": op10_secrets,
     }
 
