@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import mixing, quality, secrets, sharding, tokens
+from tessera_spark.llm import jaccard_join, mixing, quality, secrets, sharding, tokens
 from tessera_spark.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     repository = F.concat_ws("/", "source", "lang")
@@ -40,6 +44,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_sharding": op3_sharding,
         "op4_token_counts": op4_token_counts,
         "op7_mixing": op7_mixing,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
     }
 
