@@ -7,9 +7,10 @@ that is shorter). Two sets of sizes r and s with similarity 3/4 or more differ i
 Large sets (24 and more): sizes fall into bands that double. A band cuts the universe of hashes into
 segments; a set's elements of one segment form one signature. A differing element spoils at most one
 segment, so of the non-empty segments all but H are equal in both sets, and in any common order the
-first H + 1 signatures of the two sets meet. The order is by cost: segments of many elements first,
-which hardly ever agree by chance; signatures of a single, perhaps very common element come last and
-are seldom allocated. A set just below a band is indexed in that band as well.
+first H + 1 signatures of the two sets meet. The order is by cost: signatures that are frequent in
+the whole table last, by frequency; before them segments of many elements first, which hardly ever
+agree by chance. A set just below a band is indexed in that band as well. The frequencies are counted
+in a pass of their own; they steer the cost only, the links are the same under any order.
 
 A set with no more than H non-empty segments is not covered by this count. Such sets are compared,
 in blocks, with all sets.
@@ -17,7 +18,9 @@ in blocks, with all sets.
 Small sets: every element is a segment. Their elements are counted over all small sets, and the
 H + 1 rarest are allocated.
 
-Candidates that share a signature are compared exactly on whole sets. Equal sets are one node.
+Candidates that share a signature pass a bitmap first (each element flips one bit; the bits that
+differ between two maps never outnumber the differing elements), then they are compared exactly on
+whole sets. Equal sets are one node.
 Every member of a signature is compared with one member first; then only members of different
 components of the links so far, so the members of a group of near copies are not compared in pairs,
 and no link between components is lost.
@@ -48,11 +51,42 @@ from tessera_spark.llm.components import components
 
 SMALL = 24
 SEGMENTS_A_SIZE = 0.55
-#: A signature with more rows than this in one block of documents leaves it as plain rows, which
-#: Spark can spread; the others leave packed by bucket.
-PLAIN_ROWS = 8
+#: A signature with more rows than this is frequent.
+FREQUENT = 8
+#: So many of the most frequent signatures are told to all tasks (12 bytes each). More would only
+#: lower the cost, never change the result.
+MOST_FREQUENT = 1 << 20
 BLOCK_BYTES = 24 << 20
-SETS = "key long, doc_id long, n_shingles long, set_id binary, shingles binary"
+SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
+#: Shingle hashes keep 48 bits: two sets of a thousand confuse a pair of elements once in 10^8 cases.
+HASH_MASK = np.uint64((1 << 48) - 1)
+
+
+def packed(members: np.ndarray) -> bytes:
+    return np.ascontiguousarray(members.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view(np.uint64).ravel()
+
+
+def bitmap(members: np.ndarray) -> bytes:
+    """One bit per hash place, flipped by each element: about as many places as elements."""
+    places = max(64, 1 << (len(members) - 1).bit_length())
+    flips = np.bincount((members % np.uint64(places)).astype(np.int64), minlength=places) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def least_differences(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of differing elements, from two bitmaps."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def shingle_set(text: bytes | None, hashes: common.WordHashes) -> np.ndarray:
@@ -61,8 +95,8 @@ def shingle_set(text: bytes | None, hashes: common.WordHashes) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     if len(words) < 5:
-        return common.mixed(common.shingles(hashes.of(words), len(words)) + np.uint64(len(words)))
-    return np.unique(common.shingles(hashes.of(words)))
+        return common.mixed(common.shingles(hashes.of(words), len(words)) + np.uint64(len(words))) & HASH_MASK
+    return np.unique(common.shingles(hashes.of(words)) & HASH_MASK)
 
 
 def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,16 +111,17 @@ def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), common.byte_column(batch, "text"), strict=True):
             members = shingle_set(text, hashes)
-            data = members.tobytes()
+            data = packed(members)
             name = xxhash.xxh3_128_digest(data) if data else None
-            rows.append((key, doc_id, len(members), name, None if name is None or name in seen else data))
+            fresh = name is not None and name not in seen
+            rows.append((key, doc_id, len(members), name, bitmap(members) if fresh else None, data if fresh else None))
             key += 1
             if name is not None:
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(name)
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in SETS.split(", ")])
 
 
@@ -108,8 +143,8 @@ def most_differences(size: int, band: int) -> int:
     return (size + min((SMALL << (band + 1)) - 1, 4 * size // 3)) // 7
 
 
-def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, bool]:
-    """The H + 1 allocated signatures of a set in a band, and whether they cover all partners."""
+def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of all non-empty segments of a set in a band, and their numbers of elements."""
     m = int(SEGMENTS_A_SIZE * (SMALL << (band + 1)))
     segment = (common.mixed(members + np.uint64(band + 1)) % np.uint64(m)).astype(np.int64)
     order = np.argsort(segment, kind="stable")
@@ -119,74 +154,130 @@ def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, bool]:
         total = np.add.reduceat(common.mixed(members[order]), start)
         count = np.diff(np.append(start, len(segment)))
         name = common.mixed(total + segment[start].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band) + (count.astype(np.uint64) << np.uint64(48)))
-    wanted = most_differences(len(members), band) + 1
-    if len(start) < wanted:
-        return name, False
-    return name[np.lexsort((name, -count))[:wanted]], True
+    return name, count
 
 
-INDEXED = "kind string, bucket int, base long, low binary, high binary, at binary, sig long, key long"
+def allocated(name: np.ndarray, count: np.ndarray, wanted: int, frequent: tuple[np.ndarray, np.ndarray] | None, buckets: int) -> np.ndarray:
+    """The first ``wanted`` signatures in the common order."""
+    times = np.zeros(len(name), np.int64)
+    if frequent is not None and len(frequent[0]):
+        code = short_name(name, buckets)
+        at = np.minimum(np.searchsorted(frequent[0], code), len(frequent[0]) - 1)
+        times = np.where(frequent[0][at] == code, frequent[1][at], 0)
+    return name[np.lexsort((name, -count, times))[:wanted]]
 
 
-def make_index(buckets: int):
-    """Packed cells per bucket, plain rows for signatures that are frequent in the block, and the
-    keys of uncovered sets."""
+def short_name(name: np.ndarray, buckets: int) -> np.ndarray:
+    """32 bits of a signature over its bucket: enough to tell frequent ones."""
+    return (name % np.uint64(buckets)) << np.uint64(32) | (name // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
 
-    def flush(found: list[np.ndarray], owners: list[int], uncovered: list[int]):
-        names = ["kind", "bucket", "base", "low", "high", "at", "sig", "key"]
-        kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        rows = [("uncovered", None, None, None, None, None, None, k) for k in uncovered]
-        if found:
-            sig = np.concatenate(found)
-            key = np.repeat(np.array(owners, np.int64), [len(f) for f in found])
-            _, where, times = np.unique(sig, return_inverse=True, return_counts=True)
-            plain = times[where] > PLAIN_ROWS
-            rows += [("plain", None, None, None, None, None, s, k) for s, k in zip(packed_name(sig[plain], buckets).tolist(), key[plain].tolist(), strict=True)]
-            # One row of a frequent signature stays, so that other blocks see that it exists.
-            first = np.zeros(len(sig), bool)
-            first[np.unique(where, return_index=True)[1]] = True
-            stay = ~plain | first
-            sig, key = sig[stay], key[stay]
-            bucket = (sig % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            sig, key, bucket = sig[order], key[order], bucket[order]
-            base = int(key.min())
-            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            # Keys of a block can lie in several tasks' ranges, hence 64 bits when they spread.
-            spread = np.uint32 if int(key.max()) - base < 1 << 32 else np.uint64
-            delta = (key - base).astype(spread)
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                s = sig[a:b] // np.uint64(buckets)
-                rows.append(("cell", int(bucket[a]), base, s.astype(np.uint32).tobytes(), (s >> np.uint64(32)).astype(np.uint16).tobytes(), delta[a:b].tobytes(), None, None))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, positions) of every bucket that occurs."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    for part in np.split(order, cuts) if len(order) else []:
+        yield int(bucket[part[0]]), part
+
+
+COUNTED = "bucket int, once binary, often binary, times binary, uncovered array<long>"
+CELLS = "bucket int, base long, low binary, high binary, at binary"
+
+
+def set_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """(key, members) in blocks of bounded size."""
+    block, held = [], 0
+    for batch in batches:
+        for key, data in zip(batch.column("key").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+            block.append((key, unpacked(data)))
+            held += len(data)
+        if held > BLOCK_BYTES:
+            yield block
+            block, held = [], 0
+    if block:
+        yield block
+
+
+def count_signatures(buckets: int):
+    """Half as many signatures again as will be allocated, counted per block, by bucket; and the
+    keys of sets that their segments do not cover."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in set_blocks(batches):
+            found, uncovered = [], []
+            for key, members in block:
+                for band in indexes(len(members)):
+                    name, size = signatures(members, band)
+                    wanted = most_differences(len(members), band) + 1
+                    if len(name) < wanted:
+                        uncovered.append(key)
+                    found.append(allocated(name, size, wanted + wanted // 2, None, buckets))
+            name, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            rest = ((name // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            rows = []
+            for bucket, part in by_bucket((name % np.uint64(buckets)).astype(np.int64)):
+                one = times[part] == 1
+                rows.append((bucket, rest[part[one]].tobytes(), rest[part[~one]].tobytes(), times[part[~one]].astype(np.uint32).tobytes(), None))
+            if uncovered:
+                rows.append((0, b"", b"", b"", uncovered))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in COUNTED.split(", ")])
+
+    return count
+
+
+def often_met(table: pa.Table) -> pa.Table:
+    """Frequent signatures of one bucket, by their short names, and the uncovered sets that came
+    with it."""
+    bucket = table.column("bucket")[0].as_py()
+    lists = {c: table.column(c).to_pylist() for c in ("once", "often", "times", "uncovered")}
+    once = np.frombuffer(b"".join(lists["once"]), np.uint32)
+    often = np.frombuffer(b"".join(lists["often"]), np.uint32)
+    times = np.frombuffer(b"".join(lists["times"]), np.uint32).astype(np.int64)
+    name, where = np.unique(np.concatenate([once, often]), return_inverse=True)
+    total = np.bincount(where, np.concatenate([np.ones(len(once), np.int64), times]), len(name)).astype(np.int64)
+    hot = total > FREQUENT
+    code = (np.int64(bucket) << 32) | name[hot].astype(np.int64)
+    uncovered = [k for keys in lists["uncovered"] if keys for k in keys]
+    return pa.table(
+        {
+            "code": pa.concat_arrays([pa.array(code), pa.nulls(len(uncovered), pa.int64())]),
+            "times": pa.concat_arrays([pa.array(total[hot]), pa.nulls(len(uncovered), pa.int64())]),
+            "key": pa.concat_arrays([pa.nulls(int(hot.sum()), pa.int64()), pa.array(uncovered, pa.int64())]),
+        }
+    )
+
+
+def index_cells(buckets: int, frequent):
+    """The H + 1 allocated signatures of each set, packed by bucket."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, owners, uncovered, held = [], [], [], 0
-        for batch in batches:
-            for key, data in zip(batch.column("key").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                members = np.frombuffer(data, np.uint64)
+        known = frequent.value
+        for block in set_blocks(batches):
+            found, owners = [], []
+            for key, members in block:
                 for band in indexes(len(members)):
-                    names, covered = signatures(members, band)
-                    found.append(names)
+                    name, size = signatures(members, band)
+                    found.append(allocated(name, size, most_differences(len(members), band) + 1, known, buckets))
                     owners.append(key)
-                    held += names.nbytes
-                    if not covered:
-                        uncovered.append(key)
-            if held > BLOCK_BYTES:
-                yield flush(found, owners, uncovered)
-                found, owners, uncovered, held = [], [], [], 0
-        yield flush(found, owners, uncovered)
+            sig = np.concatenate(found) if found else np.empty(0, np.uint64)
+            key = np.repeat(np.array(owners, np.int64), [len(f) for f in found])
+            base = int(key.min(initial=1 << 62))
+            # Keys of a block can come from several tasks and then lie far apart.
+            delta = (key - base).astype(np.uint32 if int(key.max(initial=0)) - base < 1 << 32 else np.uint64)
+            rest = sig // np.uint64(buckets)
+            rows = [
+                (bucket, base, rest[part].astype(np.uint32).tobytes(), (rest[part] >> np.uint64(32)).astype(np.uint16).tobytes(), delta[part].tobytes())
+                for bucket, part in by_bucket((sig % np.uint64(buckets)).astype(np.int64))
+            ]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in CELLS.split(", ")])
 
     return index
 
 
-def packed_name(sig: np.ndarray, buckets: int) -> np.ndarray:
-    """What is left of a signature in a cell, with its bucket: 48 bits over the bucket."""
-    s = (sig // np.uint64(buckets)) & np.uint64((1 << 48) - 1)
-    return ((sig % np.uint64(buckets)) << np.uint64(48) | s).astype(np.int64)
-
-
 def meet(table: pa.Table) -> pa.Table:
     """Rows of one bucket whose signature occurs at least twice."""
     bucket = table.column("bucket")[0].as_py()
@@ -212,7 +303,7 @@ def small_signatures(sets: DataFrame) -> DataFrame:
         for batch in batches:
             sig, key, wanted = [], [], []
             for k, data in zip(batch.column("key").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
-                members = np.frombuffer(data, np.int64)
+                members = unpacked(data)
                 size = len(members)
                 sig.extend(members.tolist())
                 key.extend([k] * size)
@@ -227,21 +318,41 @@ def small_signatures(sets: DataFrame) -> DataFrame:
     return counted.withColumn("rank", rank).filter("rank <= wanted and count > 1").select("sig", "key")
 
 
-def linked(pairs: DataFrame, contents: DataFrame) -> DataFrame:
+def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b) of set ids that sizes and bitmaps allow."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("xa", "xb", "na", "nb"))
+            keep = [least_differences(x, y) <= (na + nb) // 7 for x, y, na, nb in zip(*columns, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    of_a = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("xa"))
+    of_b = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("xb"))
+    both = pairs.join(of_a, "a").join(of_b, "b").filter(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))
+    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(compare, "a binary, b binary")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
     """Pairs (a, b) of set ids whose sets reach the similarity, compared exactly."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common_size = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common_size >= 75 * (len(x) + len(y) - common_size))
+                x, y = unpacked(x), unpacked(y)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * both >= 75 * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    left = common.stored(plausible(pairs, sketches), f"{name}-pairs")
+    asked = left.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sketches, "set_id").select("key")
+    asked = common.small_or_plain(common.stored(asked, f"{name}-keys"))
+    contents = common.stored(sets.select("key", "set_id", "shingles").join(asked, "key", "left_semi").drop("key"), f"{name}-sets")
     of_a = contents.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
     of_b = contents.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
+    found = left.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
+    return common.stored(found, f"{name}-links")
 
 
 def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame) -> DataFrame | None:
@@ -253,14 +364,14 @@ def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame)
     whole = sets.filter(F.col("shingles").isNotNull()).select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
     found = None
     for block in sorted(r[0] for r in blocks.select("block").distinct().collect()):
-        part = [(r["set_id"], np.frombuffer(r["shingles"], np.uint64)) for r in blocks.filter(F.col("block") == block).collect()]
+        part = [(bytes(r["set_id"]), unpacked(bytes(r["shingles"]))) for r in blocks.filter(F.col("block") == block).collect()]
         query = spark.sparkContext.broadcast(part)
 
         def compare(batches: Iterator[pa.RecordBatch], query=query) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 a, b = [], []
                 for name, data in zip(batch.column("b").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-                    y = np.frombuffer(data, np.uint64)
+                    y = unpacked(data)
                     for asked_name, x in query.value:
                         if 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)) and asked_name != name:
                             both = len(np.intersect1d(x, y, assume_unique=True))
@@ -274,50 +385,48 @@ def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame)
     return found
 
 
-def similar_size(a: str, b: str):
-    return 4 * F.least(a, b) >= 3 * F.greatest(a, b)
-
-
 def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per input row."""
     spark = docs.sparkSession
     common.prepared(spark)
-    buckets = min(1 << 16, buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = min(1 << 15, buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = common.stored(rows.mapInArrow(make_sets, SETS), "sets")
     large = sets.filter(F.col("shingles").isNotNull() & (F.col("n_shingles") >= 3 * SMALL // 4)).select("key", "shingles")
-    index = common.stored(large.mapInArrow(make_index(buckets), INDEXED), "index")
-    cells = index.filter("kind = 'cell'").select("bucket", "base", "low", "high", "at")
-    met = cells.groupBy("bucket").applyInArrow(meet, "sig long, key long")
-    plain = index.filter("kind = 'plain'").select("sig", "key")
+    counted = large.mapInArrow(count_signatures(buckets), COUNTED).groupBy("bucket").applyInArrow(often_met, "code long, times long, key long")
+    counted = common.stored(counted, "frequent")
+    told = counted.filter("code is not null").orderBy(F.desc("times"), "code").limit(MOST_FREQUENT).select("code", "times").toArrow()
+    code = told.column("code").to_numpy().astype(np.uint64)
+    order = np.argsort(code)
+    frequent = spark.sparkContext.broadcast((code[order], told.column("times").to_numpy()[order].astype(np.int32)))
+    met = large.mapInArrow(index_cells(buckets, frequent), CELLS).groupBy("bucket").applyInArrow(meet, "sig long, key long")
     small = small_signatures(sets).withColumn("sig", F.xxhash64(F.lit("small"), "sig"))
-    names = sets.filter(F.col("shingles").isNotNull()).select("key", "set_id", "n_shingles")
-    members = met.unionByName(plain).unionByName(small).join(names, "key").groupBy("sig", "set_id").agg(F.min("key").alias("key"), F.first("n_shingles").alias("n"))
+    met = common.stored(met.unionByName(small), "met")
+    names = sets.filter(F.col("shingles").isNotNull()).select("key", "set_id")
+    members = met.join(names, "key").groupBy("sig", "set_id").agg(F.min("key").alias("key"))
     members = common.stored(members, "members")
 
     stars = members.groupBy("sig").agg(F.min("set_id").alias("a"), F.count("*").alias("sets")).filter("sets > 1")
-    candidates = members.join(stars, "sig", "left_semi").groupBy("set_id").agg(F.min("key").alias("key"))
-    candidates = common.stored(candidates, "candidates")
+    members = common.stored(members.join(stars, "sig"), "starred")
+    candidates = common.stored(members.groupBy("set_id").agg(F.min("key").alias("key")), "candidates")
     keys = common.small_or_plain(candidates.select("key"))
-    contents = common.stored(sets.select("key", "set_id", "n_shingles", "shingles").join(keys, "key", "left_semi"), "contents")
-    sizes = contents.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"))
-    pairs = members.join(stars.drop("sets"), "sig").filter("a <> set_id").select("a", F.col("set_id").alias("b"), "n").distinct()
-    pairs = pairs.join(sizes, "a").filter(similar_size("n", "na")).select("a", "b")
-    links = common.stored(linked(pairs, contents), "star-links")
-    more = uncovered_pairs(spark, sets, index.filter("kind = 'uncovered'").select("key"))
+    sketches = common.stored(sets.select("key", "set_id", "n_shingles", "bits").join(keys, "key", "left_semi"), "sketches")
+    pairs = members.filter("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
+    links = linked(pairs, sets, sketches, "star")
+    more = uncovered_pairs(spark, sets, counted.filter("key is not null").select("key").distinct())
     if more is not None:
         links = links.unionByName(more)
 
     # Members of one signature in different components so far: each such pair is compared.
     roots = components(links)
     placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    placed = common.stored(placed.select("sig", "set_id", "n", "root"), "placed")
+    placed = common.stored(placed.select("sig", "set_id", "root"), "placed")
     several = placed.groupBy("sig", "root").agg(F.lit(1).alias("one")).groupBy("sig").count().filter("count > 1").select("sig")
     open_members = placed.join(several, "sig", "left_semi")
-    other = open_members.select("sig", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = open_members.withColumnRenamed("set_id", "a").join(other, "sig").filter(F.col("a") < F.col("b")).filter(F.col("root") != F.col("rb")).filter(similar_size("n", "nb"))
-    across = across.select("a", "b").distinct().join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    late = common.stored(linked(across, contents), "late-links")
+    other = open_members.select("sig", F.col("set_id").alias("b"), F.col("root").alias("rb"))
+    across = open_members.withColumnRenamed("set_id", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")))
+    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")  # the star's first is the smaller id
+    late = linked(across, sets, sketches, "late")
     if not late.isEmpty():
         roots = components(links.unionByName(late))
 
