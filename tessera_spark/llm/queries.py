@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import decontaminate, jaccard_join, mixing, quality, secrets, sharding, tokens
+from tessera_spark.llm import decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, tokens
 from tessera_spark.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), file="word_bpe_49k.json")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start_word", "stop_word", "edits")
@@ -48,6 +52,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": op2_quality_rules,
         "op3_sharding": op3_sharding,
         "op4_token_counts": op4_token_counts,
+        "op5_html_extraction": op5_html_extraction,
         "op6_decontaminate": op6_decontaminate,
         "op7_mixing": op7_mixing,
         "op9_jaccard_join": op9_jaccard_join,
