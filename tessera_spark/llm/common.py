@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,6 +43,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps: it does so when the driver's objects
+    that stand for them are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -71,7 +80,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound; the same in every process."""
 
-    def __init__(self, bound: int = 400_000):
+    def __init__(self, bound: int = 250_000):
         super().__init__()
         self._bound = bound
 

@@ -7,10 +7,11 @@ that is shorter). Two sets of sizes r and s with similarity 3/4 or more differ i
 Large sets (24 and more): sizes fall into bands that double. A band cuts the universe of hashes into
 segments; a set's elements of one segment form one signature. A differing element spoils at most one
 segment, so of the non-empty segments all but H are equal in both sets, and in any common order the
-first H + 1 signatures of the two sets meet. The order is by cost: signatures that are frequent in
-the whole table last, by frequency; before them segments of many elements first, which hardly ever
-agree by chance. A set just below a band is indexed in that band as well. The frequencies are counted
-in a pass of their own; they steer the cost only, the links are the same under any order.
+first H + 1 signatures of the two sets meet. The order is by cost: segments by the frequency of their
+rarest element in the whole table, so that a passage or line that many documents share is allocated
+last; of equals those of many elements first. A set just below a band is indexed in that band as well.
+The frequencies are counted in a pass of their own; they steer the cost only, the links are the same
+under any order.
 
 A set with no more than H non-empty segments is not covered by this count. Such sets are compared,
 in blocks, with all sets.
@@ -27,8 +28,8 @@ and no link between components is lost.
 
 Why exact segments and no one-deletion neighbourhoods for large sets: an exact signature costs one
 row and covers one difference, a neighbourhood of a segment of g elements costs g + 1 rows and
-covers two; at 3/4 the segments hold 2 to 3 elements, so exact signatures are always the cheaper
-allocation. The uncovered sets, where they would be needed, are few and compared directly.
+covers two, so exact signatures are always the cheaper allocation as long as there are segments
+enough, and with more segments than elements there are. The uncovered sets, where they would be needed, are few and compared directly.
 
 Defined results: null and wordless texts have an empty set, are linked with nothing and are their
 own component; a null id is no candidate for the smallest id of a component, and a component of
@@ -50,13 +51,13 @@ from tessera_spark.llm import common
 from tessera_spark.llm.components import components
 
 SMALL = 24
-SEGMENTS_A_SIZE = 0.55
-#: A signature with more rows than this is frequent.
+SEGMENTS_A_SIZE = 1.5
+#: An element with more rows than this is frequent.
 FREQUENT = 8
-#: So many of the most frequent signatures are told to all tasks (12 bytes each). More would only
+#: So many of the most frequent elements are told to all tasks (12 bytes each). More would only
 #: lower the cost, never change the result.
 MOST_FREQUENT = 1 << 20
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
 #: Shingle hashes keep 48 bits: two sets of a thousand confuse a pair of elements once in 10^8 cases.
 HASH_MASK = np.uint64((1 << 48) - 1)
@@ -143,8 +144,9 @@ def most_differences(size: int, band: int) -> int:
     return (size + min((SMALL << (band + 1)) - 1, 4 * size // 3)) // 7
 
 
-def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all non-empty segments of a set in a band, and their numbers of elements."""
+def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of all non-empty segments of a set in a band, their numbers of elements, and where
+    each begins in the order of the elements by segment, which is returned too."""
     m = int(SEGMENTS_A_SIZE * (SMALL << (band + 1)))
     segment = (common.mixed(members + np.uint64(band + 1)) % np.uint64(m)).astype(np.int64)
     order = np.argsort(segment, kind="stable")
@@ -154,22 +156,25 @@ def signatures(members: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
         total = np.add.reduceat(common.mixed(members[order]), start)
         count = np.diff(np.append(start, len(segment)))
         name = common.mixed(total + segment[start].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band) + (count.astype(np.uint64) << np.uint64(48)))
-    return name, count
+    return name, count, start, order
 
 
-def allocated(name: np.ndarray, count: np.ndarray, wanted: int, frequent: tuple[np.ndarray, np.ndarray] | None, buckets: int) -> np.ndarray:
-    """The first ``wanted`` signatures in the common order."""
-    times = np.zeros(len(name), np.int64)
-    if frequent is not None and len(frequent[0]):
-        code = short_name(name, buckets)
-        at = np.minimum(np.searchsorted(frequent[0], code), len(frequent[0]) - 1)
-        times = np.where(frequent[0][at] == code, frequent[1][at], 0)
-    return name[np.lexsort((name, -count, times))[:wanted]]
+def allocated(members: np.ndarray, band: int, times: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The first H + 1 signatures in the common order, and whether they cover all partners."""
+    name, count, start, order = signatures(members, band)
+    rarest = np.minimum.reduceat(times[order], start)
+    wanted = most_differences(len(members), band) + 1
+    return name[np.lexsort((name, -count, rarest))[:wanted]], len(name) >= wanted
 
 
-def short_name(name: np.ndarray, buckets: int) -> np.ndarray:
-    """32 bits of a signature over its bucket: enough to tell frequent ones."""
-    return (name % np.uint64(buckets)) << np.uint64(32) | (name // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+def frequencies(members: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], buckets: int) -> np.ndarray:
+    """Rows of each element if it is frequent, else 0."""
+    code, times = frequent
+    if not len(code):
+        return np.zeros(len(members), np.int64)
+    own = short_code(members, buckets)
+    at = np.minimum(np.searchsorted(code, own), len(code) - 1)
+    return np.where(code[at] == own, times[at], 0)
 
 
 def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -180,8 +185,8 @@ def by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[part[0]]), part
 
 
-COUNTED = "bucket int, once binary, often binary, times binary, uncovered array<long>"
-CELLS = "bucket int, base long, low binary, high binary, at binary"
+COUNTED = "bucket int, steps binary, wide binary, often binary, times binary"
+CELLS = "bucket int, base long, low binary, high binary, at binary, uncovered array<long>"
 
 
 def set_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np.ndarray]]]:
@@ -198,55 +203,60 @@ def set_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np
         yield block
 
 
-def count_signatures(buckets: int):
-    """Half as many signatures again as will be allocated, counted per block, by bucket; and the
-    keys of sets that their segments do not cover."""
+def short_code(element: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of an element over 32 bits of the rest: enough to tell frequent ones."""
+    return (element % np.uint64(buckets)) << np.uint64(32) | (element // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+
+
+def count_elements(buckets: int):
+    """Elements of each block by bucket, as their short codes in order: steps of 24 bits where they
+    fit, and those that the block holds more than once with their number."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in set_blocks(batches):
-            found, uncovered = [], []
-            for key, members in block:
-                for band in indexes(len(members)):
-                    name, size = signatures(members, band)
-                    wanted = most_differences(len(members), band) + 1
-                    if len(name) < wanted:
-                        uncovered.append(key)
-                    found.append(allocated(name, size, wanted + wanted // 2, None, buckets))
-            name, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            rest = ((name // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            code, times = np.unique(short_code(np.concatenate([m for _, m in block]), buckets), return_counts=True)
+            bucket, rest = (code >> np.uint64(32)).astype(np.int64), (code & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             rows = []
-            for bucket, part in by_bucket((name % np.uint64(buckets)).astype(np.int64)):
-                one = times[part] == 1
-                rows.append((bucket, rest[part[one]].tobytes(), rest[part[~one]].tobytes(), times[part[~one]].astype(np.uint32).tobytes(), None))
-            if uncovered:
-                rows.append((0, b"", b"", b"", uncovered))
+            for number, part in by_bucket(bucket):
+                one = rest[part[times[part] == 1]]
+                more = part[times[part] > 1]
+                step = np.diff(one, prepend=np.uint32(0))
+                fits = not len(step) or int(step.max()) < 1 << 24
+                rows.append((number, _three_bytes(step) if fits else b"", b"" if fits else one.tobytes(), rest[more].tobytes(), times[more].astype(np.uint32).tobytes()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
+            kinds = [pa.int32(), *[pa.binary()] * 4]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in COUNTED.split(", ")])
 
     return count
 
 
+def _three_bytes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3]).tobytes()
+
+
+def _from_three_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 3, 4), np.uint8)
+    wide[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return wide.view(np.uint32).ravel()
+
+
 def often_met(table: pa.Table) -> pa.Table:
-    """Frequent signatures of one bucket, by their short names, and the uncovered sets that came
-    with it."""
-    bucket = table.column("bucket")[0].as_py()
-    lists = {c: table.column(c).to_pylist() for c in ("once", "often", "times", "uncovered")}
-    once = np.frombuffer(b"".join(lists["once"]), np.uint32)
+    """Frequent elements of one bucket, by their short codes."""
+    lists = {c: table.column(c).to_pylist() for c in ("steps", "wide", "often", "times")}
+    once = [np.cumsum(_from_three_bytes(s), dtype=np.uint32) for s in lists["steps"]]
+    once += [np.frombuffer(w, np.uint32) for w in lists["wide"]]
     often = np.frombuffer(b"".join(lists["often"]), np.uint32)
     times = np.frombuffer(b"".join(lists["times"]), np.uint32).astype(np.int64)
-    name, where = np.unique(np.concatenate([once, often]), return_inverse=True)
-    total = np.bincount(where, np.concatenate([np.ones(len(once), np.int64), times]), len(name)).astype(np.int64)
+    single, number = np.unique(np.concatenate(once), return_counts=True)
+    # Only what one block holds twice or two blocks hold can be frequent.
+    several = number > 1
+    code, where = np.unique(np.concatenate([single[several], often]), return_inverse=True)
+    total = np.bincount(where, np.concatenate([number[several], times]), len(code)).astype(np.int64)
+    at = np.searchsorted(single, code)
+    alone = (at < len(single)) & (single[np.minimum(at, len(single) - 1)] == code) if len(single) else np.zeros(len(code), bool)
+    total += alone & ~np.isin(code, single[several])
     hot = total > FREQUENT
-    code = (np.int64(bucket) << 32) | name[hot].astype(np.int64)
-    uncovered = [k for keys in lists["uncovered"] if keys for k in keys]
-    return pa.table(
-        {
-            "code": pa.concat_arrays([pa.array(code), pa.nulls(len(uncovered), pa.int64())]),
-            "times": pa.concat_arrays([pa.array(total[hot]), pa.nulls(len(uncovered), pa.int64())]),
-            "key": pa.concat_arrays([pa.nulls(int(hot.sum()), pa.int64()), pa.array(uncovered, pa.int64())]),
-        }
-    )
+    return pa.table({"code": pa.array((table.column("bucket")[0].as_py() << 32) | code[hot].astype(np.int64)), "times": pa.array(total[hot])})
 
 
 def index_cells(buckets: int, frequent):
@@ -255,12 +265,15 @@ def index_cells(buckets: int, frequent):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
         for block in set_blocks(batches):
-            found, owners = [], []
+            found, owners, uncovered = [], [], []
             for key, members in block:
+                times = frequencies(members, known, buckets)
                 for band in indexes(len(members)):
-                    name, size = signatures(members, band)
-                    found.append(allocated(name, size, most_differences(len(members), band) + 1, known, buckets))
+                    name, covered = allocated(members, band, times)
+                    found.append(name)
                     owners.append(key)
+                    if not covered:
+                        uncovered.append(key)
             sig = np.concatenate(found) if found else np.empty(0, np.uint64)
             key = np.repeat(np.array(owners, np.int64), [len(f) for f in found])
             base = int(key.min(initial=1 << 62))
@@ -268,18 +281,20 @@ def index_cells(buckets: int, frequent):
             delta = (key - base).astype(np.uint32 if int(key.max(initial=0)) - base < 1 << 32 else np.uint64)
             rest = sig // np.uint64(buckets)
             rows = [
-                (bucket, base, rest[part].astype(np.uint32).tobytes(), (rest[part] >> np.uint64(32)).astype(np.uint16).tobytes(), delta[part].tobytes())
+                (bucket, base, rest[part].astype(np.uint32).tobytes(), (rest[part] >> np.uint64(32)).astype(np.uint16).tobytes(), delta[part].tobytes(), None)
                 for bucket, part in by_bucket((sig % np.uint64(buckets)).astype(np.int64))
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            if uncovered:
+                rows.append((0, 0, b"", b"", b"", uncovered))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in CELLS.split(", ")])
 
     return index
 
 
 def meet(table: pa.Table) -> pa.Table:
-    """Rows of one bucket whose signature occurs at least twice."""
+    """Rows of one bucket whose signature occurs at least twice; uncovered sets without one."""
     bucket = table.column("bucket")[0].as_py()
     sigs, keys = [], []
     for base, low, high, at in zip(*(table.column(c).to_pylist() for c in ("base", "low", "high", "at")), strict=True):
@@ -293,7 +308,13 @@ def meet(table: pa.Table) -> pa.Table:
     same = sig[1:] == sig[:-1]
     twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     sig = (np.uint64(bucket) << np.uint64(48) | sig[twice]).astype(np.int64)
-    return pa.table({"sig": pa.array(sig), "key": pa.array(key[twice])})
+    uncovered = [k for keys in table.column("uncovered").to_pylist() if keys for k in keys]
+    return pa.table(
+        {
+            "sig": pa.concat_arrays([pa.array(sig), pa.nulls(len(uncovered), pa.int64())]),
+            "key": pa.concat_arrays([pa.array(key[twice]), pa.array(uncovered, pa.int64())]),
+        }
+    )
 
 
 def small_signatures(sets: DataFrame) -> DataFrame:
@@ -393,17 +414,19 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = common.stored(rows.mapInArrow(make_sets, SETS), "sets")
     large = sets.filter(F.col("shingles").isNotNull() & (F.col("n_shingles") >= 3 * SMALL // 4)).select("key", "shingles")
-    counted = large.mapInArrow(count_signatures(buckets), COUNTED).groupBy("bucket").applyInArrow(often_met, "code long, times long, key long")
+    counted = large.mapInArrow(count_elements(buckets), COUNTED).groupBy("bucket").applyInArrow(often_met, "code long, times long")
     counted = common.stored(counted, "frequent")
-    told = counted.filter("code is not null").orderBy(F.desc("times"), "code").limit(MOST_FREQUENT).select("code", "times").toArrow()
+    common.release(spark)
+    told = counted.orderBy(F.desc("times"), "code").limit(MOST_FREQUENT).select("code", "times").toArrow()
     code = told.column("code").to_numpy().astype(np.uint64)
     order = np.argsort(code)
     frequent = spark.sparkContext.broadcast((code[order], told.column("times").to_numpy()[order].astype(np.int32)))
     met = large.mapInArrow(index_cells(buckets, frequent), CELLS).groupBy("bucket").applyInArrow(meet, "sig long, key long")
     small = small_signatures(sets).withColumn("sig", F.xxhash64(F.lit("small"), "sig"))
     met = common.stored(met.unionByName(small), "met")
+    common.release(spark)
     names = sets.filter(F.col("shingles").isNotNull()).select("key", "set_id")
-    members = met.join(names, "key").groupBy("sig", "set_id").agg(F.min("key").alias("key"))
+    members = met.filter(F.col("sig").isNotNull()).join(names, "key").groupBy("sig", "set_id").agg(F.min("key").alias("key"))
     members = common.stored(members, "members")
 
     stars = members.groupBy("sig").agg(F.min("set_id").alias("a"), F.count("*").alias("sets")).filter("sets > 1")
@@ -413,7 +436,7 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     sketches = common.stored(sets.select("key", "set_id", "n_shingles", "bits").join(keys, "key", "left_semi"), "sketches")
     pairs = members.filter("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
     links = linked(pairs, sets, sketches, "star")
-    more = uncovered_pairs(spark, sets, counted.filter("key is not null").select("key").distinct())
+    more = uncovered_pairs(spark, sets, met.filter(F.col("sig").isNull()).select("key").distinct())
     if more is not None:
         links = links.unionByName(more)
 
