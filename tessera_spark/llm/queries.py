@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, tokens
+from tessera_spark.llm import decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_extraction": op5_html_extraction,
         "op6_decontaminate": op6_decontaminate,
         "op7_mixing": op7_mixing,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
     }
