@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, substring_dedup, tokens
+from tessera_spark.llm import brown, decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
+def op1_brown_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_brown_scores": op1_brown_scores,
         "op2_quality_rules": op2_quality_rules,
         "op3_sharding": op3_sharding,
         "op4_token_counts": op4_token_counts,
