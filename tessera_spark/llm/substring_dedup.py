@@ -122,9 +122,18 @@ def star(sig: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarra
     return order, first, chief
 
 
-ROWS = "bucket int, sig binary, keys binary, at binary, key long, place int, other long, other_place int"
-PAIRS = "key long, place int, other long, other_place int"
-KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+ROWS = "bucket int, sig binary, keys binary, at binary, key long, other long, places binary"
+PAIRS = "key long, other long, places binary"
+KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+
+
+def packed_pairs(key: np.ndarray, place: np.ndarray, other: np.ndarray, other_place: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """One row per pair of texts, with all places that they share."""
+    order = np.lexsort((other_place, place, other, key))
+    key, other = key[order], other[order]
+    places = np.stack([place[order], other_place[order]], axis=1).astype(np.int32)
+    cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(other) != 0)) + 1
+    return [(int(key[p[0]]), int(other[p[0]]), places[p].tobytes()) for p in (np.split(np.arange(len(key)), cuts) if len(key) else [])]
 
 
 def make_windows(buckets: int):
@@ -142,23 +151,14 @@ def make_windows(buckets: int):
         order, first, chief = star(sig, key, place)
         sig, key, place = sig[order], key[order], place[order]
         pair = ~first & (key != key[chief])
-        columns = [
-            pa.nulls(int(pair.sum()), KINDS[0]),
-            *(pa.nulls(int(pair.sum()), pa.binary()) for _ in range(3)),
-            pa.array(key[pair]),
-            pa.array(place[pair].astype(np.int32)),
-            pa.array(key[chief][pair]),
-            pa.array(place[chief][pair].astype(np.int32)),
-        ]
+        rows = [(None,) * 4 + p for p in packed_pairs(key[pair], place[pair], key[chief][pair], place[chief][pair])]
         sig, key, place = sig[first], key[first], place[first]
         bucket = (sig % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        cells = []
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-            cells.append((int(bucket[part[0]]), sig[part].tobytes(), key[part].tobytes(), place[part].astype(np.uint32).tobytes()))
-        packed = list(zip(*cells, strict=True)) if cells else [[]] * 4
-        whole = [pa.array(c, k) for c, k in zip(packed, KINDS, strict=False)] + [pa.nulls(len(cells), k) for k in KINDS[4:]]
-        return pa.RecordBatch.from_arrays([pa.concat_arrays([a, b]) for a, b in zip(columns, whole, strict=True)], names)
+            rows.append((int(bucket[part[0]]), sig[part].tobytes(), key[part].tobytes(), place[part].astype(np.uint32).tobytes(), None, None, None))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)], names)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = common.WordHashes()
@@ -176,7 +176,7 @@ def make_windows(buckets: int):
                 for at in range(0, max(len(shingles) - RUN + 1, 0), BLOCK_SHINGLES):
                     part = shingles[at : at + BLOCK_SHINGLES + RUN - 1]
                     if at:
-                        yield from moved(flush([(key, part)]), key, at)
+                        yield moved(flush([(key, part)]), at)
                         continue
                     if held + len(part) > BLOCK_SHINGLES and block:
                         yield flush(block)
@@ -186,11 +186,10 @@ def make_windows(buckets: int):
         if block:
             yield flush(block)
 
-    def moved(batch: pa.RecordBatch, key: int, by: int) -> Iterator[pa.RecordBatch]:
-        """A later part of a long text: its places count from the text's begin."""
-        columns = batch.to_pydict()
-        columns["at"] = [None if a is None else (np.frombuffer(a, np.uint32) + np.uint32(by)).tobytes() for a in columns["at"]]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[n], k) for n, k in zip(names, KINDS, strict=True)], names)
+    def moved(batch: pa.RecordBatch, by: int) -> pa.RecordBatch:
+        """A later part of a long text: its places count from the text's begin. One text makes no pairs."""
+        at = [None if a is None else (np.frombuffer(a, np.uint32) + np.uint32(by)).tobytes() for a in batch.column("at").to_pylist()]
+        return batch.set_column(3, "at", pa.array(at, pa.binary()))
 
     return windows
 
@@ -208,12 +207,12 @@ def pair_up(table: pa.Table) -> pa.Table:
     order, first, chief = star(sig, key, place)
     key, place = key[order], place[order]
     pair = ~first & (key != key[chief])
-    return pa.table(
-        {"key": pa.array(key[pair]), "place": pa.array(place[pair]), "other": pa.array(key[chief][pair]), "other_place": pa.array(place[chief][pair])}
-    )
+    rows = packed_pairs(key[pair], place[pair], key[chief][pair], place[chief][pair])
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("key", "other", "places"), columns, KINDS[4:], strict=True)})
 
 
-def clusters(places: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+def clusters(places: list[list[int]]) -> list[tuple[int, int, int, int]]:
     """Regions (lo, hi, other lo, other hi) of shingle places to verify: shared places that lie near
     each other on both sides, with a run's length around them."""
     out: list[list[int]] = []
@@ -269,7 +268,8 @@ def _cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, other, places in zip(batch.column("key").to_pylist(), batch.column("other").to_pylist(), batch.column("places").to_pylist(), strict=True):
-            rows += [(key, other, *c) for c in clusters([(p["place"], p["other_place"]) for p in places])]
+            shared = np.unique(np.frombuffer(b"".join(places), np.int32).reshape(-1, 2), axis=0)
+            rows += [(key, other, *c) for c in clusters(shared.tolist())]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], names)
 
@@ -323,9 +323,8 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     narrow = common.stored(rows.select("doc_id", "key", common.word_count(F.col("text")).alias("words")).filter(F.col("words") >= PASSAGE), "repeat-ids")
     windows = common.stored(rows.select("key", "text").mapInArrow(make_windows(buckets), ROWS), "windows")
     cells = windows.filter(F.col("bucket").isNotNull()).select("bucket", "sig", "keys", "at")
-    pairs = cells.groupBy("bucket").applyInArrow(pair_up, PAIRS).unionByName(windows.filter(F.col("bucket").isNull()).select("key", "place", "other", "other_place"))
-    places = F.array_sort(F.collect_set(F.struct("place", "other_place")))
-    grouped = pairs.groupBy("key", "other").agg(places.alias("places"))
+    pairs = cells.groupBy("bucket").applyInArrow(pair_up, PAIRS).unionByName(windows.filter(F.col("bucket").isNull()).select("key", "other", "places"))
+    grouped = pairs.groupBy("key", "other").agg(F.collect_list("places").alias("places"))
     asked = common.stored(grouped.mapInArrow(_cluster, "key long, other long, lo int, hi int, other_lo int, other_hi int"), "regions")
 
     both = asked.select("key", "lo", "hi").unionByName(asked.select(F.col("other").alias("key"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi")))
