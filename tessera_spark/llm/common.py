@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of three or four numbers that may be broadcast, and only after they were counted.
 BROADCAST_ROWS = 400_000
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -25,9 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession) -> None:
-    """The shared folder is known and workers can import this package."""
+    """The shared folder is known, workers can import this package, and batches of long texts stay
+    small: the default of 10,000 rows a batch is lowered, any other setting is left alone."""
     checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
 
 
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> str:
@@ -80,7 +85,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound; the same in every process."""
 
-    def __init__(self, bound: int = 250_000):
+    def __init__(self, bound: int = 100_000):
         super().__init__()
         self._bound = bound
 

@@ -59,6 +59,7 @@ FREQUENT = 8
 MOST_FREQUENT = 1 << 20
 BLOCK_BYTES = 12 << 20
 SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
+PAIR = "a long, b long"
 #: Shingle hashes keep 48 bits: two sets of a thousand confuse a pair of elements once in 10^8 cases.
 HASH_MASK = np.uint64((1 << 48) - 1)
 
@@ -118,7 +119,7 @@ def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((key, doc_id, len(members), name, bitmap(members) if fresh else None, data if fresh else None))
             key += 1
             if name is not None:
-                if len(seen) > 200_000:
+                if len(seen) > 50_000:
                     seen.clear()
                 seen.add(name)
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
@@ -294,7 +295,8 @@ def index_cells(buckets: int, frequent):
 
 
 def meet(table: pa.Table) -> pa.Table:
-    """Rows of one bucket whose signature occurs at least twice; uncovered sets without one."""
+    """Rows of one bucket whose signature occurs at least twice, with the smallest key that has it;
+    uncovered sets without a signature."""
     bucket = table.column("bucket")[0].as_py()
     sigs, keys = [], []
     for base, low, high, at in zip(*(table.column(c).to_pylist() for c in ("base", "low", "high", "at")), strict=True):
@@ -303,22 +305,26 @@ def meet(table: pa.Table) -> pa.Table:
         sigs.append(s)
         keys.append(np.frombuffer(at, width).astype(np.int64) + base)
     sig, key = np.concatenate(sigs), np.concatenate(keys)
-    order = np.argsort(sig, kind="stable")
+    order = np.lexsort((key, sig))
     sig, key = sig[order], key[order]
     same = sig[1:] == sig[:-1]
-    twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    sig = (np.uint64(bucket) << np.uint64(48) | sig[twice]).astype(np.int64)
+    twice = np.concatenate([[False], same]) | np.concatenate([same, [False]]) if len(sig) else np.zeros(0, bool)
+    sig, key = sig[twice], key[twice]
+    first = np.concatenate([[True], sig[1:] != sig[:-1]]) if len(sig) else np.zeros(0, bool)
+    chief = key[np.maximum.accumulate(np.where(first, np.arange(len(sig)), 0))] if len(sig) else key
+    sig = (np.uint64(bucket) << np.uint64(48) | sig).astype(np.int64)
     uncovered = [k for keys in table.column("uncovered").to_pylist() if keys for k in keys]
     return pa.table(
         {
             "sig": pa.concat_arrays([pa.array(sig), pa.nulls(len(uncovered), pa.int64())]),
-            "key": pa.concat_arrays([pa.array(key[twice]), pa.array(uncovered, pa.int64())]),
+            "key": pa.concat_arrays([pa.array(key), pa.array(uncovered, pa.int64())]),
+            "chief": pa.concat_arrays([pa.array(chief), pa.nulls(len(uncovered), pa.int64())]),
         }
     )
 
 
 def small_signatures(sets: DataFrame) -> DataFrame:
-    """sig, key for sets below SMALL: the H + 1 elements that fewest small sets hold."""
+    """sig, key, chief for sets below SMALL: the H + 1 elements that fewest small sets hold."""
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,11 +342,13 @@ def small_signatures(sets: DataFrame) -> DataFrame:
     often = each.groupBy("sig").count().filter("count > 1")
     counted = each.join(often, "sig", "left").withColumn("count", F.coalesce("count", F.lit(1)))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("count", "sig"))
-    return counted.withColumn("rank", rank).filter("rank <= wanted and count > 1").select("sig", "key")
+    chosen = common.stored(counted.withColumn("rank", rank).filter("rank <= wanted and count > 1").select("sig", "key"), "small-chosen")
+    chiefs = chosen.groupBy("sig").agg(F.min("key").alias("chief"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return chosen.join(chiefs, "sig").select(F.xxhash64(F.lit("small"), "sig").alias("sig"), "key", "chief")
 
 
 def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs (a, b) of set ids that sizes and bitmaps allow."""
+    """Pairs (a, b) of keys of sets that sizes and bitmaps allow."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,14 +356,14 @@ def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             keep = [least_differences(x, y) <= (na + nb) // 7 for x, y, na, nb in zip(*columns, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    of_a = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("xa"))
-    of_b = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("xb"))
+    of_a = sketches.select(F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("xa"))
+    of_b = sketches.select(F.col("key").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("xb"))
     both = pairs.join(of_a, "a").join(of_b, "b").filter(4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb"))
-    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(compare, "a binary, b binary")
+    return both.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(compare, PAIR)
 
 
 def linked(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, name: str) -> DataFrame:
-    """Pairs (a, b) of set ids whose sets reach the similarity, compared exactly."""
+    """Pairs (a, b) of keys whose sets reach the similarity, compared exactly."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,12 +375,11 @@ def linked(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, name: str) ->
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     left = common.stored(plausible(pairs, sketches), f"{name}-pairs")
-    asked = left.select(F.explode(F.array("a", "b")).alias("set_id")).distinct().join(sketches, "set_id").select("key")
-    asked = common.small_or_plain(common.stored(asked, f"{name}-keys"))
-    contents = common.stored(sets.select("key", "set_id", "shingles").join(asked, "key", "left_semi").drop("key"), f"{name}-sets")
-    of_a = contents.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
-    of_b = contents.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
-    found = left.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a binary, b binary")
+    asked = common.stored(left.select(F.explode(F.array("a", "b")).alias("key")).distinct(), f"{name}-keys")
+    contents = common.stored(sets.select("key", "shingles").join(common.small_or_plain(asked), "key", "left_semi"), f"{name}-sets")
+    of_a = contents.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
+    of_b = contents.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
+    found = left.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(compare, PAIR)
     return common.stored(found, f"{name}-links")
 
 
@@ -380,28 +387,28 @@ def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame)
     """Links of uncovered sets, found by comparing blocks of them with every set."""
     if uncovered.isEmpty():
         return None
-    asked = common.stored(sets.join(uncovered, "key", "left_semi").select("set_id", "shingles").dropDuplicates(["set_id"]), "uncovered")
-    blocks = asked.withColumn("block", F.pmod(F.xxhash64("set_id"), F.lit(-(-asked.count() // 1000))))
-    whole = sets.filter(F.col("shingles").isNotNull()).select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
+    asked = common.stored(sets.join(uncovered, "key", "left_semi").select("key", "shingles"), "uncovered")
+    blocks = asked.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(-(-asked.count() // 1000))))
+    whole = sets.filter(F.col("shingles").isNotNull()).select("key", "shingles")
     found = None
     for block in sorted(r[0] for r in blocks.select("block").distinct().collect()):
-        part = [(bytes(r["set_id"]), unpacked(bytes(r["shingles"]))) for r in blocks.filter(F.col("block") == block).collect()]
+        part = [(r["key"], unpacked(bytes(r["shingles"]))) for r in blocks.filter(F.col("block") == block).collect()]
         query = spark.sparkContext.broadcast(part)
 
         def compare(batches: Iterator[pa.RecordBatch], query=query) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 a, b = [], []
-                for name, data in zip(batch.column("b").to_pylist(), batch.column("sb").to_pylist(), strict=True):
+                for key, data in zip(batch.column("key").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
                     y = unpacked(data)
-                    for asked_name, x in query.value:
-                        if 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)) and asked_name != name:
+                    for own, x in query.value:
+                        if 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)) and own != key:
                             both = len(np.intersect1d(x, y, assume_unique=True))
                             if 100 * both >= 75 * (len(x) + len(y) - both):
-                                a.append(asked_name)
-                                b.append(name)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                                a.append(own)
+                                b.append(key)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        links = common.stored(whole.mapInArrow(compare, "a binary, b binary"), "uncovered-links")
+        links = common.stored(whole.mapInArrow(compare, PAIR), "uncovered-links")
         found = links if found is None else found.unionByName(links)
     return found
 
@@ -421,42 +428,68 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     code = told.column("code").to_numpy().astype(np.uint64)
     order = np.argsort(code)
     frequent = spark.sparkContext.broadcast((code[order], told.column("times").to_numpy()[order].astype(np.int32)))
-    met = large.mapInArrow(index_cells(buckets, frequent), CELLS).groupBy("bucket").applyInArrow(meet, "sig long, key long")
-    small = small_signatures(sets).withColumn("sig", F.xxhash64(F.lit("small"), "sig"))
-    met = common.stored(met.unionByName(small), "met")
+    met = large.mapInArrow(index_cells(buckets, frequent), CELLS).groupBy("bucket").applyInArrow(meet, "sig long, key long, chief long")
+    met = common.stored(met.unionByName(small_signatures(sets)), "met")
     common.release(spark)
+
+    # Equal sets that different tasks have seen are one node: the smallest key among them.
     names = sets.filter(F.col("shingles").isNotNull()).select("key", "set_id")
-    members = met.filter(F.col("sig").isNotNull()).join(names, "key").groupBy("sig", "set_id").agg(F.min("key").alias("key"))
-    members = common.stored(members, "members")
-
-    stars = members.groupBy("sig").agg(F.min("set_id").alias("a"), F.count("*").alias("sets")).filter("sets > 1")
-    members = common.stored(members.join(stars, "sig"), "starred")
-    candidates = common.stored(members.groupBy("set_id").agg(F.min("key").alias("key")), "candidates")
-    keys = common.small_or_plain(candidates.select("key"))
-    sketches = common.stored(sets.select("key", "set_id", "n_shingles", "bits").join(keys, "key", "left_semi"), "sketches")
-    pairs = members.filter("a <> set_id").select("a", F.col("set_id").alias("b")).distinct()
+    nodes = names.groupBy("set_id").agg(F.min("key").alias("node"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    again = common.stored(names.join(nodes, "set_id").filter("key <> node").select("key", "node"), "again")
+    again = common.small_or_plain(again)
+
+    def as_nodes(table: DataFrame, column: str) -> DataFrame:
+        known = again.select(F.col("key").alias(column), F.col("node").alias("own_node"))
+        joined = table.join(known, column, "left").withColumn(column, F.coalesce("own_node", column))
+        return joined.select(table.columns)
+
+    chiefs = met.filter(F.col("sig").isNotNull() & (F.col("key") != F.col("chief"))).select("key", "chief").distinct()
+    pairs = as_nodes(as_nodes(chiefs, "key"), "chief").select(F.least("key", "chief").alias("a"), F.greatest("key", "chief").alias("b"))
+    pairs = common.stored(pairs.filter("a <> b").distinct(), "star-candidates")
+    candidates = common.stored(met.filter(F.col("sig").isNotNull()).select("key").distinct(), "candidates")
+    sketches = sets.select("key", "n_shingles", "bits").join(common.small_or_plain(candidates), "key", "left_semi")
+    sketches = common.stored(sketches, "sketches")
     links = linked(pairs, sets, sketches, "star")
     more = uncovered_pairs(spark, sets, met.filter(F.col("sig").isNull()).select("key").distinct())
     if more is not None:
-        links = links.unionByName(more)
+        links = common.stored(links.unionByName(as_nodes(as_nodes(more, "a"), "b").select("a", "b")), "more-links")
+    common.release(spark)
 
     # Members of one signature in different components so far: each such pair is compared.
     roots = components(links)
-    placed = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("root", F.coalesce("root", "set_id"))
-    placed = common.stored(placed.select("sig", "set_id", "root"), "placed")
-    several = placed.groupBy("sig", "root").agg(F.lit(1).alias("one")).groupBy("sig").count().filter("count > 1").select("sig")
-    open_members = placed.join(several, "sig", "left_semi")
-    other = open_members.select("sig", F.col("set_id").alias("b"), F.col("root").alias("rb"))
-    across = open_members.withColumnRenamed("set_id", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")))
-    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")  # the star's first is the smaller id
+    members = as_nodes(met.filter(F.col("sig").isNotNull()).select("sig", "key"), "key")
+    told_roots = common.small_or_plain(roots.withColumnRenamed("node", "key"))
+    placed = members.join(told_roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
+    several = common.small_or_plain(common.stored(several, "several"))
+    open_members = common.stored(placed.join(several, "sig", "left_semi").select("sig", "key", "root").distinct(), "open-members")
+    other = open_members.select("sig", F.col("key").alias("b"), F.col("root").alias("rb"))
+    across = open_members.withColumnRenamed("key", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")))
+    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
     late = linked(across, sets, sketches, "late")
     if not late.isEmpty():
         roots = components(links.unionByName(late))
 
-    every = sets.select("doc_id", "n_shingles", "set_id")
+    every = sets.select("doc_id", "n_shingles", "set_id", "key", F.col("shingles").isNotNull().alias("first"))
     lone = every.filter(F.col("set_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    by_set = every.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("low"))
-    by_set = common.stored(by_set.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left"), "set-roots")
+    by_set = every.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("low"), F.min(F.when(F.col("first"), F.col("key"))).alias("node"))
+    by_set = common.stored(by_set.join(roots, "node", "left"), "set-roots")
     by_root = by_set.filter(F.col("root").isNotNull()).groupBy("root").agg(F.min("low").alias("least"))
     named = common.stored(by_set.join(by_root, "root", "left").select("set_id", F.coalesce("least", "low").alias("component_id")), "set-names")
     return lone.unionByName(every.join(named, "set_id").select("doc_id", "n_shingles", "component_id"))
+
+
+def one_of_each_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The input's rows and columns, of each component only the row with the smallest id (null ids
+    last; of rows that repeat it, one). Documents without words are kept, each on its own."""
+    common.prepared(docs.sparkSession)
+    numbered = common.stored(docs.select(F.monotonically_increasing_id().alias("own_row"), F.struct("*").alias("row")), "numbered")
+    ids = numbered.select("own_row", F.col(f"row.{doc_id}").alias("own_id"))
+    slim = numbered.select("own_row", F.col(f"row.{text}").alias("text"))
+    groups = common.stored(jaccard_join(slim, doc_id="own_row").select(F.col("doc_id").alias("own_row"), "component_id"), "groups")
+    sized = groups.groupBy("component_id").agg(F.count("*").alias("rows")).filter("rows > 1")
+    several = groups.join(sized.select("component_id"), "component_id", "left_semi").join(ids, "own_row")
+    first = several.groupBy("component_id").agg(F.min(F.struct(F.col("own_id").isNull().alias("none"), "own_id", "own_row")).alias("first"))
+    dropped = several.join(first, "component_id").filter(F.col("own_row") != F.col("first.own_row")).select("own_row")
+    dropped = common.stored(dropped, "copies")
+    return numbered.join(common.small_or_plain(dropped), "own_row", "left_anti").select("row.*")
