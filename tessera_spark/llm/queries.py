@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.llm import brown, decontaminate, jaccard_join, mixing, pages, quality, secrets, sharding, substring_dedup, tokens
+import corpus_pipeline
+from tessera_spark.llm import brown, decontaminate, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
@@ -67,8 +68,13 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_sharding": oracle.SHARDING,
+        "op7_mixing": oracle.MIXING,
+        "op9_jaccard_join": oracle.JACCARD_JOIN,
+    }
