@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
 import numpy as np
@@ -55,6 +56,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trim() -> None:
+    """Give memory that a worker no longer uses back to the machine: workers are kept for later
+    tasks, beside an executor that then wants the room itself."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -57,7 +57,7 @@ FREQUENT = 8
 #: So many of the most frequent elements are told to all tasks (12 bytes each). More would only
 #: lower the cost, never change the result.
 MOST_FREQUENT = 1 << 20
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 5 << 20
 SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
 PAIR = "a long, b long"
 #: Shingle hashes keep 48 bits: two sets of a thousand confuse a pair of elements once in 10^8 cases.
@@ -125,6 +125,8 @@ def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [c.split()[0] for c in SETS.split(", ")])
+    del hashes, seen
+    common.trim()
 
 
 def band_of(size: int) -> int:
@@ -202,6 +204,7 @@ def set_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, np
             block, held = [], 0
     if block:
         yield block
+    common.trim()
 
 
 def short_code(element: np.ndarray, buckets: int) -> np.ndarray:
