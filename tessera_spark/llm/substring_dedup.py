@@ -185,6 +185,8 @@ def make_windows(buckets: int):
                     held += len(part)
         if block:
             yield flush(block)
+        del hashes, seen, block
+        common.trim()
 
     def moved(batch: pa.RecordBatch, by: int) -> pa.RecordBatch:
         """A later part of a long text: its places count from the text's begin. One text makes no pairs."""
@@ -287,6 +289,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "lo", "hi", "shingles"])
+    del hashes
+    common.trim()
 
 
 def _wide(data: bytes) -> np.ndarray:
