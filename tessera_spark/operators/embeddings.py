@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
-
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,26 +17,6 @@ from tessera_spark.functions import vectors as V
 from tessera_spark.functions.paths import TEST_LABEL_ID
 
 
-@dataclass
-class EmbeddingConfig:
-    """Parameters of the embedding stage."""
-
-    model_name: str
-    pretrained: str
-    device: str = "cpu"
-    batch_size: int = 256
-    num_workers: int = 4
-    pca_components: int | None = 256
-    use_standardization: bool = True
-
-    def to_dict(self) -> dict:
-        return asdict(self)
-
-    @classmethod
-    def from_dict(cls, values: dict) -> "EmbeddingConfig":
-        return cls(**values)
-
-
 def value_range(df: DataFrame, vector: str = "embedding") -> DataFrame:
     """Smallest and largest label, and smallest and largest vector element."""
     return df.agg(
@@ -48,18 +27,25 @@ def value_range(df: DataFrame, vector: str = "embedding") -> DataFrame:
     )
 
 
+def vector_means(df: DataFrame, vector: str = "embedding", *group: str) -> DataFrame:
+    """Mean, population deviation and number of the vectors that are not null, as arrays per
+    group. Whole vectors are combined on each task, so cells never become rows."""
+    known = df.filter(F.col(vector).isNotNull()).withColumn("_v", array_to_vector(V.doubles(F.col(vector))))
+    summary = Summarizer.metrics("mean", "variance", "count").summary(F.col("_v"))
+    found = known.groupBy(*group).agg(summary.alias("_s"))
+    n = F.col("_s.count")
+    # MLlib's variance is the sample's.
+    deviation = F.transform(vector_to_array("_s.variance"), lambda v: F.sqrt(v * (n - 1) / n))
+    return found.filter(n > 0).select(*group, vector_to_array("_s.mean").alias("mean"), deviation.alias("deviation"), n.alias("n"))
+
+
 def dimension_moments(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """``(dim, mean, scale, n)``: mean and population deviation of every dimension. Elements
-    are combined per dimension before the shuffle, which then carries one row per dimension
-    and task; a constant dimension gets scale 1."""
-    cells = df.select(F.posexplode(vector).alias("dim", "_x"))
-    value = F.col("_x").cast("double")
-    deviation = F.stddev_pop(value)
-    return (
-        cells.groupBy("dim")
-        .agg(F.avg(value).alias("mean"), deviation.alias("_dev"), F.count(value).alias("n"))
-        .select("dim", "mean", F.when(F.col("_dev") == 0, 1.0).otherwise(F.col("_dev")).alias("scale"), "n")
-    )
+    """``(dim, mean, scale, n)``: mean and population deviation of every dimension; a constant
+    dimension gets scale 1. Null vectors are left out."""
+    cells = F.arrays_zip("mean", "deviation")
+    rows = vector_means(df, vector).select("n", F.posexplode(cells).alias("dim", "_c"))
+    scale = F.when(F.col("_c.deviation") == 0, 1.0).otherwise(F.col("_c.deviation"))
+    return rows.select("dim", F.col("_c.mean").alias("mean"), scale.alias("scale"), "n")
 
 
 class Standardize(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -82,16 +68,20 @@ class Standardize(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
 
 class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Array column to ML vector."""
+    """Array column to ML vector. Later stages cannot read a null, so a null becomes a vector of
+    ``size`` zeros; ``transform_embeddings`` makes it a null again."""
+
+    size = Param(Params._dummy(), "size", "elements of a vector", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, outputCol=None):
+    def __init__(self, *, inputCol=None, outputCol=None, size=None):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        zeros = F.array_repeat(F.lit(0.0), self.getOrDefault("size"))
         return dataset.withColumn(
-            self.getOutputCol(), array_to_vector(V.doubles(F.col(self.getInputCol())))
+            self.getOutputCol(), array_to_vector(F.coalesce(V.doubles(F.col(self.getInputCol())), zeros))
         )
 
 
@@ -102,10 +92,11 @@ def fit_scaler(
     per dimension."""
     if fit_on == "labelled":
         df = df.filter(F.col("label_id") != TEST_LABEL_ID)
-    rows = dimension_moments(df, vector).orderBy("dim").collect()
-    return Standardize(
-        inputCol=vector, outputCol=output, mean=[r["mean"] for r in rows], scale=[r["scale"] for r in rows]
-    )
+    found = vector_means(df, vector).first()
+    if found is None:
+        raise ValueError("no vectors to fit a scaler on")
+    scale = [d if d else 1.0 for d in found["deviation"]]
+    return Standardize(inputCol=vector, outputCol=output, mean=found["mean"], scale=scale)
 
 
 def fit_steps(
@@ -115,11 +106,12 @@ def fit_steps(
     components: int | None = None,
     fit_on: str = "all",
 ) -> PipelineModel:
-    """Fit the optional steps in order. The components come from a distributed covariance, so
+    """Fit the optional steps in order on the vectors that are not null. The components come from a distributed covariance, so
     the driver holds dimension squared numbers whatever the rows. MLlib's projection does not
     subtract a mean, so data that was not standardised is centred by its own stage."""
     stages: list = []
     column = vector
+    df = df.filter(F.col(vector).isNotNull())
     if standardize or components:
         scaler = fit_scaler(df, vector, fit_on)
         if not standardize:
@@ -127,7 +119,8 @@ def fit_steps(
         stages.append(scaler)
         column = "standardized"
     if components:
-        stages.append(ArrayToVector(inputCol=column, outputCol="_vector"))
+        size = len(stages[0].getOrDefault("mean"))
+        stages.append(ArrayToVector(inputCol=column, outputCol="_vector", size=size))
         stages.append(PCA(k=components, inputCol="_vector", outputCol="_components"))
     return Pipeline(stages=stages).fit(df)
 
@@ -153,7 +146,7 @@ def principal_components(steps: PipelineModel):
 
 
 def transform_embeddings(df: DataFrame, steps: PipelineModel, output: str = "features") -> DataFrame:
-    """Apply fitted steps; without any, the vector is handed through."""
+    """Apply fitted steps; without any, the vector is handed through. Null stays null."""
     if not steps.stages:
         return df.withColumn(output, V.doubles(F.col("embedding")))
     done = steps.transform(df)
@@ -162,7 +155,7 @@ def transform_embeddings(df: DataFrame, steps: PipelineModel, output: str = "fea
         return done.withColumnRenamed("standardized", output)
     signs = V.literal_array(_signs(model))
     turned = F.transform(vector_to_array("_components"), lambda v, i: v * F.get(signs, i))
-    return done.withColumn(output, turned).drop("standardized", "_vector", "_components")
+    return done.withColumn(output, F.when(F.col("standardized").isNotNull(), turned)).drop("standardized", "_vector", "_components")
 
 
 def fit_transform_embeddings(

@@ -78,7 +78,7 @@ def embed(images: DataFrame, make_encoder: Callable[[], Encoder], batch_size: in
     run = predict_batch_udf(
         make_predict, return_type=_RESULT, batch_size=batch_size
     ).asNondeterministic()
-    done = spread_rows(images).withColumn(
+    done = spread_rows(images, "image_path").withColumn(
         "_e", run(F.struct("height", "width", "nChannels", "data"))
     )
     return done.select(

@@ -70,7 +70,7 @@ def _each_image(df: DataFrame, variants: Variants) -> DataFrame:
     """``image_path, aug_version`` and pixels of the variants of every image. An image crosses
     to Python once, in Arrow batches bounded by
     ``spark.sql.execution.arrow.maxBytesPerBatch``."""
-    source = spread_rows(df.select(*IMAGE_PIXELS.fieldNames()))
+    source = spread_rows(df.select(*IMAGE_PIXELS.fieldNames()), "image_path")
 
     def run(batches):
         rows, held = [], 0

@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera_spark.functions.vectors import BATCH_NORM_EPS, LEAKY_SLOPE
+from tessera_spark.operators.embeddings import vector_means
 from tessera_spark.schemas import LAYERS, SCORED
 
-# Broadcast bound of a network: 2^28 doubles are 2 GB.
-MAX_PARAMETERS = 1 << 28
+# Broadcast bound of a network in bytes of its parameters, half of Spark's default limit for
+# results on the driver.
+MAX_NETWORK_BYTES = 512 << 20
 _NORM = ("bn_mean", "bn_var", "bn_gamma", "bn_beta")
 
 
@@ -35,6 +37,12 @@ class Layer:
 Network = list[Layer]
 
 
+def check_size(parameters: int) -> None:
+    """A network is broadcast and passes through the driver, so its size is bounded."""
+    if 8 * parameters > MAX_NETWORK_BYTES:
+        raise ValueError(f"{parameters} parameters exceed the bound of {MAX_NETWORK_BYTES} bytes")
+
+
 def layers_frame(spark: SparkSession, network: Network) -> DataFrame:
     """Layer table of a network."""
     arrays = []
@@ -58,8 +66,7 @@ def network_from(layers: DataFrame) -> Network:
     count = layers.agg(F.sum(F.col("rows").cast("long") * F.col("cols"))).first()[0]
     if count is None:
         raise ValueError("the layer table is empty")
-    if count > MAX_PARAMETERS:
-        raise ValueError(f"{count} parameters exceed the broadcast bound of {MAX_PARAMETERS}")
+    check_size(count)
     table = layers.toArrow()
     parts: dict[int, dict[str, np.ndarray]] = {}
     for i in range(table.num_rows):
@@ -155,20 +162,13 @@ def as_scored(df: DataFrame) -> DataFrame:
 
 def centroid_network(df: DataFrame, vector: str = "embedding") -> Network:
     """One linear layer whose weight rows are the class means of ``df``; classes must be
-    0..k-1 and each must have rows. Means are combined per (class, dimension) before the
-    shuffle."""
-    means = (
-        df.select("label_id", F.posexplode(vector).alias("dim", "_x"))
-        .groupBy("label_id", "dim")
-        .agg(F.avg(F.col("_x").cast("double")).alias("mean"))
-        .limit(MAX_PARAMETERS + 1)
-        .toArrow()
-    )
-    if not means.num_rows:
+    0..k-1 and each must have rows. Whole vectors are combined per class before the shuffle;
+    the size is checked by class count and dimension before the means are fetched."""
+    shape = df.filter(F.col(vector).isNotNull()).agg(F.max("label_id"), F.max(F.size(vector))).first()
+    if shape[0] is None:
         raise ValueError("no labelled rows to take class means of")
-    if means.num_rows > MAX_PARAMETERS:
-        raise ValueError(f"class means exceed the broadcast bound of {MAX_PARAMETERS} numbers")
-    row, col, mean = (means.column(c).to_numpy() for c in ("label_id", "dim", "mean"))
-    weight = np.zeros((row.max() + 1, col.max() + 1))
-    weight[row, col] = mean
+    check_size((shape[0] + 1) * shape[1])
+    means = vector_means(df, vector, "label_id").select("label_id", "mean").toArrow()
+    weight = np.zeros((shape[0] + 1, shape[1]))
+    weight[means.column("label_id").to_numpy()] = np.array(means.column("mean").to_pylist())
     return [Layer(weight, np.zeros(len(weight)))]

@@ -14,8 +14,6 @@ from tessera_spark.session import materialise, small_side
 PATIENCE = 50
 MIN_DELTA = 1e-7
 MONITORED = "val_recall"
-# A run is folded as one array up to this length; longer runs take the prefix route.
-FOLD_ROWS = 50_000
 
 
 def _finite(value: Column) -> Column:
@@ -40,12 +38,7 @@ def best_epoch(values: DataFrame) -> DataFrame:
     )
 
 
-def early_stop(
-    values: DataFrame,
-    patience: int = PATIENCE,
-    min_delta: float = MIN_DELTA,
-    fold_rows: int = FOLD_ROWS,
-) -> DataFrame:
+def early_stop(values: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> DataFrame:
     """Where early stopping ends each run of ``(run_id, epoch, value)``.
 
     A value improves when it exceeds the best improvement so far by more than ``min_delta``;
@@ -53,62 +46,10 @@ def early_stop(
     Returns ``run_id, stop_epoch`` (null when it never stops)``, best_epoch, best_value,
     misses`` (epochs without improvement when it ended)`` , epochs``. Epochs are unique per run.
 
-    Runs of ordinary length are folded as one array each. A longer run is never gathered: see
-    ``_early_stop_long``.
-    """
-    lengths = values.groupBy("run_id").agg(F.count(F.lit(1)).alias("_n"))
-    long_runs = materialise(lengths.filter(F.col("_n") > fold_rows).select("run_id"))
-    if long_runs.isEmpty():
-        return _early_stop_folded(values, patience, min_delta)
-    side = small_side(long_runs)
-    short = _early_stop_folded(values.join(side, "run_id", "left_anti"), patience, min_delta)
-    return short.unionByName(
-        _early_stop_long(values.join(side, "run_id", "left_semi"), patience, min_delta)
-    )
-
-
-def _early_stop_folded(values: DataFrame, patience: int, min_delta: float) -> DataFrame:
-    steps = F.sort_array(F.collect_list(F.struct("epoch", "value")))
-    start = F.struct(
-        F.lit(None).cast("double").alias("best"),
-        F.lit(None).cast("long").alias("best_epoch"),
-        F.lit(0).cast("long").alias("misses"),
-        F.lit(None).cast("long").alias("stop_epoch"),
-    )
-
-    def fold(state: Column, step: Column) -> Column:
-        value, epoch = step["value"], step["epoch"].cast("long")
-        finite = _finite(value)
-        improved = finite & (state["best"].isNull() | (value - min_delta > state["best"]))
-        misses = F.when(improved, F.lit(0).cast("long")).when(finite, state["misses"] + 1).otherwise(state["misses"])
-        moved = F.struct(
-            F.when(improved, value).otherwise(state["best"]).alias("best"),
-            F.when(improved, epoch).otherwise(state["best_epoch"]).alias("best_epoch"),
-            misses.alias("misses"),
-            F.when(~finite | (misses >= patience), epoch).alias("stop_epoch"),
-        )
-        return F.when(state["stop_epoch"].isNotNull(), state).otherwise(moved)
-
-    folded = values.groupBy("run_id").agg(steps.alias("_s")).select(
-        "run_id", F.aggregate("_s", start, fold).alias("_f"), F.size("_s").cast("long").alias("epochs")
-    )
-    return folded.select(
-        "run_id",
-        F.col("_f.stop_epoch").alias("stop_epoch"),
-        F.col("_f.best_epoch").alias("best_epoch"),
-        F.col("_f.best").alias("best_value"),
-        F.col("_f.misses").alias("misses"),
-        "epochs",
-    )
-
-
-def _early_stop_long(values: DataFrame, patience: int, min_delta: float) -> DataFrame:
-    """The same fold for runs of any length, as prefix computations over epoch buckets.
-
-    Only a strict running maximum can be an improvement, and one that exceeds the previous
-    maximum by more than ``min_delta`` surely is. Both follow from a prefix maximum. Records
-    with a smaller gain depend on the improvements before them; they are walked in order,
-    streaming, from the last sure improvement on.
+    A run is never gathered. Only a strict running maximum can be an improvement, and one that
+    exceeds the previous maximum by more than ``min_delta`` surely is. Both follow from a prefix
+    maximum over epoch buckets. Records with a smaller gain depend on the improvements before
+    them; they are walked in order, streaming, from the last sure improvement on.
     """
     epoch = F.col("epoch").cast("long")
     finite = _finite(F.col("value"))
@@ -279,13 +220,19 @@ def event_line(kind: Column, **fields: Column) -> Column:
 
 
 def parse_run_events(lines: DataFrame, line: str = "line") -> DataFrame:
-    """Kind and fields of event lines; lines of another form are left out."""
+    """Kind and fields of event lines; lines of another form are left out. A field begins at
+    ``name=`` after the kind or a comma, so a value may hold commas itself; an epoch that is no
+    number is null."""
     kind = F.regexp_extract(line, r"^([A-Z_]+): ", 1)
     parsed = lines.withColumn("kind", kind).filter(F.col("kind") != "")
-    fields = F.str_to_map(F.expr(f"substring({line}, length(kind) + 3)"), F.lit(", "), F.lit("="))
+    pairs = F.split(F.expr(f"substring({line}, length(kind) + 3)"), r", (?=[A-Za-z_]\w*=)")
+    named = F.filter(F.transform(pairs, lambda p: F.split(p, "=", 2)), lambda p: F.size(p) == 2)
+    # Of a name that occurs twice the last value counts.
+    last = F.filter(named, lambda p, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda q: q[0] == p[0]))
+    fields = F.map_from_entries(F.transform(last, lambda p: F.struct(p[0], p[1])))
     return parsed.withColumn("fields", fields).withColumns(
         {
-            "epoch": F.coalesce(F.col("fields")["epoch"], F.col("fields")["final_epoch"]).cast("int"),
+            "epoch": F.coalesce(F.col("fields")["epoch"], F.col("fields")["final_epoch"]).try_cast("int"),
             "time": F.col("fields")["time"].try_cast("timestamp"),
         }
     )

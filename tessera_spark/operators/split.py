@@ -62,7 +62,8 @@ def _thresholds(hashed: DataFrame, group: str, quotas: DataFrame, largest: int)
     which the largest group has ``largest``."""
     wanted = quotas.select(group, F.lit("").alias("_prefix"), F.col("quota").alias("_want"))
     inside, digits = hashed.select(group, "_digest"), 0
-    while largest > EXACT_ROWS and digits < _MAX_DIGITS:
+    # At least one round of counting, so that no class is ever ranked as a whole.
+    while digits == 0 or (largest > EXACT_ROWS and digits < _MAX_DIGITS):
         digits += _DIGITS_PER_LEVEL
         counts = inside.groupBy(group, F.left("_digest", F.lit(digits)).alias("_bucket")).agg(
             F.count(F.lit(1)).alias("_n")
@@ -128,7 +129,9 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``split`` ('train' or 'val') with class shares kept, and ``stratified``. When a
     class has a single row, or one side has fewer rows than there are classes, the split is
-    random and ``stratified`` is false. ``key`` must be unique."""
+    random and ``stratified`` is false. Rows without a label belong to no class and are left
+    out. ``key`` must be unique."""
+    df = df.filter(F.col(label).isNotNull())
     counts = df.groupBy(F.col(label).alias("label_id")).agg(F.count(F.lit(1)).alias("n"))
     quotas, _ = settle(class_quotas(settle(counts)[0], share))
     facts = quotas.first()

@@ -409,7 +409,7 @@ def path_functions(spark, sf):
         tail.alias("plain"),
         P.base_name(tail).alias("name"),
         P.normalise_path(detour).alias("normalised"),
-        P.absolute_path(F.substring(tail, 2, 10000), "/work").alias("absolute"),
+        P.absolute_path(F.substr(tail, F.lit(2)), "/work").alias("absolute"),
         P.is_image(url).alias("is_image"),
         text.truncate(url, 30, 27).alias("short"),
     )

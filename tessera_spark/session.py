@@ -58,11 +58,12 @@ def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(kept) if small else kept
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Rows of a small input over all cores, for work that is heavy per row. An input that
-    already has enough partitions is not shuffled."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all cores by a key, for work that is heavy per row. The number of
+    partitions is stated, so nothing has to be run to learn how many there are."""
+    spark = df.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(wanted, key)
 
 
 _shipped: set[str] = set()

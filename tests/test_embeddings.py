@@ -93,9 +93,16 @@ def test_value_range(rows, matrix):
     assert row.min_value == pytest.approx(float(matrix.min())) and row.max_value == pytest.approx(float(matrix.max()))
 
 
-def test_config():
-    config = E.EmbeddingConfig("m", "p", pca_components=None)
-    assert E.EmbeddingConfig.from_dict(config.to_dict()) == config and config.batch_size == 256
+def test_null_vectors_are_left_out_of_fits_and_stay_null(spark, rows, matrix):
+    broken = rows.select("label_id", F.lit(None).cast("array<float>").alias("embedding")).limit(2)
+    mixed = rows.select("label_id", "embedding").unionByName(broken)
+    plain, _ = E.fit_transform_embeddings(rows.select("label_id", "embedding"), components=2)
+    done, _ = E.fit_transform_embeddings(mixed, components=2)
+    got = [r.features for r in done.collect()]
+    assert got.count(None) == 2
+    expected = sorted(r.features for r in plain.collect())
+    assert np.allclose(sorted(g for g in got if g), expected)
+    assert E.dimension_moments(mixed).agg(F.max("n")).first()[0] == len(matrix)
 
 
 def test_model_source(spark):
@@ -114,7 +121,7 @@ def test_config_tables(spark, tmp_path):
     IO.write_config(config, path)
     assert IO.read_config(spark, path).first() == config.first()
     processor = spark.createDataFrame(
-        [((*E.EmbeddingConfig("m", "p").to_dict().values(),), 64, False, True)], schemas.PROCESSOR_CONFIG
+        [(("m", "p", "cpu", 256, 4, None, True), 64, False, True)], schemas.PROCESSOR_CONFIG
     )
     IO.write_config(processor, path + "2")
     assert IO.read_config(spark, path + "2", schemas.PROCESSOR_CONFIG).first() == processor.first()

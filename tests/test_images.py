@@ -132,7 +132,7 @@ def test_embedding_reports_bad_pixels(spark):
 
 def test_encoder_runs_once_and_takes_equal_columns(spark, monkeypatch):
     # Height and width are the same expression here, which Spark hands to a UDF only once.
-    monkeypatch.setattr(encode, "spread_rows", lambda df: df)
+    monkeypatch.setattr(encode, "spread_rows", lambda df, key: df)
     rows = spark.range(5).select(
         F.col("id").cast("string").alias("image_path"),
         F.sqrt(F.lit(4) + F.col("id") * 0).cast("int").alias("height"),
@@ -146,13 +146,21 @@ def test_encoder_runs_once_and_takes_equal_columns(spark, monkeypatch):
     assert plan.count("ArrowEvalPython") == 1
 
 
-def test_small_input_is_spread(spark):
+def test_input_is_spread_and_read_once(spark):
     from tessera_spark.session import spread_rows
 
-    cores = spark.sparkContext.defaultParallelism
-    assert spread_rows(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    wide = spark.range(10).repartition(cores + 3)
-    assert spread_rows(wide) is wide
-    assert I.normalize_images(
-        spark.createDataFrame([("/a", 1, 1, 1, bytearray(b"7"))], "image_path string, height int, width int, nChannels int, data binary")
-    ).select(F.length("data")).first()[0] == 224 * 224
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(len(batch))
+            yield batch
+
+    schema = "image_path string, height int, width int, nChannels int, data binary"
+    rows = spark.createDataFrame([(f"/{k}", 1, 1, 1, bytearray(b"7")) for k in range(40)], schema)
+    source = rows.coalesce(1).mapInPandas(counted, rows.schema)
+    done = encode.embed(I.normalize_images(source), _means)
+    assert reads.value == 0
+    assert done.filter("error is null").count() == 40 and reads.value == 40
+    assert spread_rows(rows, "image_path").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert I.normalize_images(rows.limit(1)).select(F.length("data")).first()[0] == 224 * 224

@@ -86,7 +86,7 @@ def test_layers_round_trip(spark, tmp_path, monkeypatch):
     assert np.allclose(plain_forward(np.ones((2, D)), back), plain_forward(np.ones((2, D)), net))
     with pytest.raises(Exception):
         IO.load_layers(spark, str(tmp_path / "absent"))
-    monkeypatch.setattr(mlp, "MAX_PARAMETERS", 10)
+    monkeypatch.setattr(mlp, "MAX_NETWORK_BYTES", 80)
     with pytest.raises(ValueError):
         IO.load_layers(spark, path)
 

@@ -48,8 +48,7 @@ def cases():
     return {k: [(e * 2 + 1, None if v is None else float(v)) for e, v in enumerate(vs)] for k, vs in made.items()}
 
 
-@pytest.mark.parametrize("fold_rows", [50_000, 20, 0])
-def test_early_stop_against_a_loop(spark, monkeypatch, fold_rows):
+def test_early_stop_against_a_loop(spark, monkeypatch):
     # A short span makes even these runs cross bucket borders on the long route.
     monkeypatch.setattr(R, "integer_bucket", lambda key: F.floor(key / 16))
     data = cases()
@@ -58,7 +57,7 @@ def test_early_stop_against_a_loop(spark, monkeypatch, fold_rows):
     df = spark.createDataFrame(rows, "run_id string, epoch int, value double").repartition(5)
     got = {
         r.run_id: (r.stop_epoch, r.best_epoch, r.best_value, r.misses, r.epochs)
-        for r in R.early_stop(df, patience=5, fold_rows=fold_rows).collect()
+        for r in R.early_stop(df, patience=5).collect()
     }
     assert got == {k: walk(vs, 5) for k, vs in data.items()}
 
@@ -139,7 +138,16 @@ def test_long_run_spreads_over_tasks(spark):
     values = spark.range(4000).select(
         F.lit(1).alias("run_id"), F.col("id").alias("epoch"), F.sin(F.col("id") / 300).alias("value")
     )
-    row = R.early_stop(values, patience=1000, fold_rows=10).first()
+    row = R.early_stop(values, patience=1000).first()
     want = walk([(i, math.sin(i / 300)) for i in range(4000)], 1000)
     assert (row.stop_epoch, row.best_epoch, row.misses) == (want[0], want[1], want[3])
     assert np.isclose(row.best_value, want[2])
+
+
+def test_odd_event_lines(spark):
+    lines = ["ERROR: epoch=N/A, reason=a, b, and c=d", "STEP: epoch=3, epoch=4", "STEP: nothing", "no kind"]
+    rows = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: r for r in R.parse_run_events(rows).collect()}
+    assert len(got) == 3
+    assert got[lines[0]].epoch is None and got[lines[0]].fields == {"epoch": "N/A", "reason": "a, b, and c=d"}
+    assert got[lines[1]].epoch == 4 and got[lines[2]].fields == {}

@@ -97,3 +97,9 @@ def test_the_rows_are_not_shuffled(spark):
     rows.write.mode("overwrite").format("noop").save()
     plan = split.stratified_split(rows, "k")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_rows_without_label_belong_to_no_class(spark):
+    rows = spark.createDataFrame([(k, k % 2 if k < 40 else None) for k in range(50)], "key long, label_id int")
+    done = split.stratified_split(rows, "key").collect()
+    assert len(done) == 40 and all(r.stratified and r.label_id is not None for r in done)
