@@ -38,7 +38,7 @@ def embed(images: DataFrame, make_encoder: Callable[[], Encoder], batch_size: in
     """Add ``embedding`` and ``error``. ``make_encoder`` runs once per Python worker and
     returns a function from a list of RGB arrays to one vector per image. When a batch fails,
     its images are tried one by one, so only those that fail themselves end up with a null
-    vector and the message."""
+    vector and the message. An ``error`` that the images bring, for want of pixels, is kept."""
 
     def make_predict():
         encoder = make_encoder()
@@ -81,10 +81,13 @@ def embed(images: DataFrame, make_encoder: Callable[[], Encoder], batch_size: in
     done = spread_rows(images, "image_path").withColumn(
         "_e", run(F.struct("height", "width", "nChannels", "data"))
     )
+    error = F.nullif(F.col("_e.error"), F.lit(""))
+    if "error" in images.columns:
+        error = F.coalesce(F.col("error"), error)
     return done.select(
-        *[c for c in images.columns if c not in ("height", "width", "nChannels", "data")],
+        *[c for c in images.columns if c not in ("height", "width", "nChannels", "data", "error")],
         F.when(F.col("_e.error") == "", F.col("_e.embedding")).alias("embedding"),
-        F.nullif(F.col("_e.error"), F.lit("")).alias("error"),
+        error.alias("error"),
     )
 
 

@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera_spark.schemas import IMAGE_PIXELS
@@ -67,10 +68,10 @@ Variants = Callable[[np.ndarray, str], Iterator[tuple[int, np.ndarray]]]
 
 
 def _each_image(df: DataFrame, variants: Variants) -> DataFrame:
-    """``image_path, aug_version`` and pixels of the variants of every image. An image crosses
-    to Python once, in Arrow batches bounded by
+    """``image_path, aug_version`` and pixels of the variants of every image that has pixels. An
+    image crosses to Python once, in Arrow batches bounded by
     ``spark.sql.execution.arrow.maxBytesPerBatch``."""
-    source = spread_rows(df.select(*IMAGE_PIXELS.fieldNames()), "image_path")
+    source = spread_rows(df.filter(F.col("data").isNotNull()).select(*IMAGE_PIXELS.fieldNames()), "image_path")
 
     def run(batches):
         rows, held = [], 0

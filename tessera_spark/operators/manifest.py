@@ -171,3 +171,20 @@ def missing_files(manifest: DataFrame, files: DataFrame, key: str = "image_path"
 
 def existing_files(manifest: DataFrame, files: DataFrame, key: str = "image_path") -> DataFrame:
     return manifest.join(files.select(F.col("path").alias(key)), key, "left_semi")
+
+
+def with_normalized_paths(images: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Images under the names of the manifest instead of their raw paths; images that it does not
+    list, such as broken ones, are left out."""
+    names = manifest.select(P.strip_scheme(F.col("original_path")).alias("_plain"), F.col("image_path").alias("_name"))
+    found = images.withColumn("_plain", P.strip_scheme(F.col("image_path"))).join(names, "_plain")
+    return found.withColumn("image_path", F.col("_name")).drop("_plain", "_name")
+
+
+def with_embedding_index(images: DataFrame, augmented: DataFrame) -> DataFrame:
+    """``embedding_index`` for rows keyed by normalised ``image_path`` and, where they have it,
+    ``aug_version``; without it they are originals."""
+    version = F.col("aug_version") if "aug_version" in images.columns else F.lit(0)
+    keyed = images.withColumn("_path", P.normalise_path(F.col("image_path"))).withColumn("_version", version)
+    index = augmented.select(F.col("image_path").alias("_path"), F.col("aug_version").alias("_version"), "embedding_index")
+    return keyed.join(index, ["_path", "_version"]).drop("_path", "_version")
