@@ -15,6 +15,7 @@ from tessera_spark.operators import checks, embeddings, encode, images, inventor
 from tessera_spark.operators import manifest as MF
 from tessera_spark.operators import metrics as M
 from tessera_spark.operators import mlp, numbering, runs, split, training
+from tessera_spark.plans import round_trips
 from tessera_spark.plans import tables as T
 from tessera_spark.session import materialise, ship_package
 from tessera_spark.streaming import early_stop as early
@@ -647,7 +648,7 @@ _QUERIES: tuple[Query, ...] = (
 
 
 def all_queries() -> dict[str, Query]:
-    named = {q.__name__: q for q in _QUERIES}
+    named = {q.__name__: q for q in (*_QUERIES, *round_trips.QUERIES)}
     named["score_stream"] = score_stream_query
 
     def prepared(query: Query) -> Query:

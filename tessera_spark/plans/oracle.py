@@ -469,4 +469,34 @@ FROM part GROUP BY p_name"""
     sql["score_stream"] = f"""WITH {SCORED}
 SELECT v.embedding_index AS vec_id, v.label, r.predicted_class, round(r.confidence_score, 6) AS confidence_score
 FROM r JOIN v USING (embedding_index)"""
+    # Round trips: what comes back is what the stage had made.
+    for name, same in (
+        ("manifest_table", "manifest"), ("manifest_csv", "manifest"), ("processors_table", "standardize"), ("results_table", "class_report_all"),
+        ("results_csv", "class_report_all"), ("evaluation_report", "class_report"), ("epoch_metrics_table", "best_epoch"),
+        ("run_lines_table", "run_events"), ("embedding_index_of_images", "augment_fanout"),
+    ):
+        sql[name] = sql[same]
+    sql["train_test_rows"] = f"""
+SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS part, label_name, count(*) AS n FROM ({sql["manifest"]}) GROUP BY ALL"""
+    sql["confusion_csv"] = f"SELECT * EXCLUDE (label_id) FROM ({sql['confusion_wide']})"
+    sql["embeddings_table"] = f"""WITH {VECTORS}
+SELECT v.embedding_index, '/normalized/' || vn.label_name || '/' || image_name AS image_path, CAST(len(embedding) AS INTEGER) AS dimension,
+       round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 3) AS total
+FROM v JOIN vn ON vn.embedding_index = v.embedding_index"""
+    sql["model_config_json"] = """
+SELECT CAST(max(len(embedding)) AS INTEGER) AS input_size, CAST(count(DISTINCT label) AS INTEGER) AS num_classes, '16-8' AS hidden,
+       string_agg(DISTINCT 'class_' || label, ',' ORDER BY 'class_' || label) AS classes FROM embeddings"""
+    sql["layers_table"] = f"""WITH {VECTORS},
+c AS (SELECT label_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS dim FROM v WHERE label_id >= 0)
+SELECT CAST(label_id AS INTEGER) AS label_id, CAST(dim AS INTEGER) AS dim, round(avg(x::DOUBLE), 6) AS mean FROM c GROUP BY ALL"""
+    sql["standardize_with_nulls"] = """WITH
+c AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings WHERE vec_id % 10 <> 0),
+m AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1 ELSE stddev_pop(x) END AS scale FROM c GROUP BY dim),
+z AS (SELECT vec_id, round(sum(((x - mean) / scale) ** 2), 4) AS squares FROM c JOIN m USING (dim) GROUP BY vec_id)
+SELECT vec_id, squares FROM embeddings LEFT JOIN z USING (vec_id)"""
+    sql["pca_check"] = """WITH
+c AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings),
+m AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS scale FROM c GROUP BY dim),
+t AS (SELECT round(sum(v), 6) AS total FROM (SELECT avg(((x - mean) / scale) ** 2) AS v FROM c JOIN m USING (dim) WHERE scale > 0 GROUP BY dim))
+SELECT CAST(i AS INTEGER) AS component, 0.0::DOUBLE AS residual, 0.0::DOUBLE AS overlap, 1.0::DOUBLE AS length, total FROM range(8) r(i), t"""
     return sql
