@@ -1,14 +1,15 @@
 """Distributed training of the perceptron.
 
-``fit_mlp`` is synchronous data-parallel gradient descent. The labelled vectors are written
-once, partitioned by step slot, so a step reads only its own files, a validation only its own
-rows, and a lost executor costs a re-read. In a step every task runs forward and backward over its mini-batches and emits summed
-gradients in blocks; blocks are summed over as many levels as it takes for a task to add up
-a bounded number of them. The driver, holding nothing but the parameters, applies the sign-momentum update of
-Chen et al. 2023 (arXiv:2302.06675) and broadcasts the new weights.
-
-Batch normalisation uses the statistics of each mini-batch, as unsynchronised data-parallel
-training does; the stored statistics are bias-corrected running means.
+``fit_mlp`` is data-parallel descent with parameter averaging. An epoch deals the rows to workers by a
+hash of their key; each worker takes its rows in an order that a hash of epoch and key gives, cut into
+mini-batches, and makes one update per mini-batch on its own copy. Then the copies are averaged by rows,
+in blocks and over as many levels as it takes for a task to add up a bounded number of them. A worker
+has at most ``WORKER_ROWS`` rows on average, so their number follows the rows and one job covers all
+updates of an epoch. Batches, order and dropout depend on keys and epoch only: the result is the same
+however the input is partitioned, and a retried task repeats itself.
+
+The update is the sign-momentum rule of Chen et al. 2023 (arXiv:2302.06675). Batch normalisation uses
+the statistics of each mini-batch; the stored statistics are bias-corrected running means.
 """
 
 from __future__ import annotations
@@ -22,16 +23,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera_spark.functions import vectors as V
 from tessera_spark.functions.schedules import LR_END, LR_START, VALIDATE_EVERY
 from tessera_spark.functions.vectors import BATCH_NORM_EPS, LEAKY_SLOPE
-from tessera_spark.operators.mlp import Layer, Network, batch_matrix, mlp_forward
+from tessera_spark.operators.mlp import Layer, Network, batch_matrix, check_size, mlp_forward
 from tessera_spark.operators.runs import MIN_DELTA, PATIENCE
 from tessera_spark.schemas import EPOCH_METRICS
-from tessera_spark.session import scratch_path
+from tessera_spark.session import remove_scratch, scratch_path
 
 # Layer sizes, seed, momentum pair, dropout of inner and last hidden layer.
 HIDDEN_UNITS = (4096, 1024, 512, 128)
@@ -40,7 +41,8 @@ BETAS = (0.95, 0.98)
 DROPOUT, LAST_DROPOUT = 0.7, 0.5
 BATCH_ROWS = 256
 NORM_MOMENTUM = 0.1
-# Parameters of one gradient block (512 KB) and partial sums one task adds up per block.
+# Rows of one worker, parameters of one block (512 KB) and copies one task adds up per block.
+WORKER_ROWS = 1 << 15
 BLOCK = 1 << 16
 FAN_IN = 64
 
@@ -182,64 +184,80 @@ def _sum_blocks(partials: DataFrame, *keys: str) -> DataFrame:
     return partials.groupBy(*keys).applyInArrow(add, _PARTIAL)
 
 
-def _step_sums(rows: DataFrame, network: Network, num_classes: int, batch_rows: int, seed: str) -> dict:
-    """One job: gradients, loss, counts and batch statistics summed over all mini-batches."""
-    shared = rows.sparkSession.sparkContext.broadcast(network)
-
-    def local(batches):
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        total = None
-        for n, batch in enumerate(batches):
-            x, y = batch_matrix(batch.column("embedding")), batch.column("label_id").to_numpy()
-            # An even cut, so that no mini-batch is left with a single row.
-            for k, chosen in enumerate(np.array_split(np.arange(len(y)), max(1, len(y) // batch_rows))):
-                if not len(chosen):
-                    continue
-                draw = zlib.crc32(f"{seed}:{part}:{n}:{k}".encode())
-                rng = np.random.default_rng(draw) if seed else None
-                loss, grad, stats, logits = batch_gradient(shared.value, x[chosen], y[chosen], rng)
-                cells = np.zeros((num_classes, num_classes))
-                np.add.at(cells, (y[chosen], logits.argmax(axis=1)), 1)
-                summed = np.concatenate(
-                    [grad, _flat(stats) * len(chosen), cells.ravel(), [loss, len(chosen)]]
-                )
-                total = summed if total is None else total + summed
-        if total is not None:
-            starts = range(0, len(total), BLOCK)
-            yield pa.record_batch(
-                [
-                    pa.array(range(len(starts)), pa.int32()),
-                    pa.array([part] * len(starts), pa.int32()),
-                    pa.array([total[s : s + BLOCK].tobytes() for s in starts], pa.binary()),
-                ],
-                names=["block", "part", "payload"],
-            )
+def _norms(network: Network) -> list[np.ndarray]:
+    return [layer.norm[kind] for layer in network if layer.norm is not None for kind in ("bn_mean", "bn_var")]
+
+
+def local_epoch(
+    network: Network, momentum: np.ndarray, x: np.ndarray, y: np.ndarray, rate: float, batch_rows: int, step: int, seed: str
+) -> dict:
+    """One pass over ordered rows with an update per mini-batch; network and momentum are changed.
+    Without ``seed`` no dropout."""
+    classes = len(network[-1].bias)
+    support, predicted, hits = np.zeros((3, classes))
+    total, taken = 0.0, 0
+    # An even cut, so that no mini-batch is left with a single row.
+    for k, chosen in enumerate(np.array_split(np.arange(len(y)), max(1, len(y) // batch_rows))):
+        rng = np.random.default_rng(zlib.crc32(f"{seed}:{k}".encode())) if seed else None
+        loss, grad, stats, logits = batch_gradient(network, x[chosen], y[chosen], rng)
+        grad /= len(chosen)
+        theta = _flat(_trainable(network))
+        theta -= rate * np.sign(BETAS[0] * momentum + (1 - BETAS[0]) * grad)
+        momentum *= BETAS[1]
+        momentum += (1 - BETAS[1]) * grad
+        _assign(_trainable(network), theta)
+        taken += 1
+        _update_norms(network, _flat(stats), step + taken)
+        guess = logits.argmax(axis=1)
+        support += np.bincount(y[chosen], minlength=classes)
+        predicted += np.bincount(guess, minlength=classes)
+        hits += np.bincount(y[chosen][guess == y[chosen]], minlength=classes)
+        total += loss
+    return {"loss": total, "steps": taken, "counts": np.concatenate([support, predicted, hits])}
+
+
+def _epoch(stored: DataFrame, network: Network, momentum: np.ndarray, workers: int, rate: float, batch_rows: int, step: int, seed: int, epoch: int, dropout: bool) -> dict:
+    """All workers' passes over their rows, averaged by rows."""
+    shared = stored.sparkSession.sparkContext.broadcast((network, momentum))
+    worker = F.pmod(F.xxhash64("key", F.lit(seed), F.lit(epoch)), F.lit(workers)).cast("int")
+    order = F.xxhash64(F.lit(epoch), F.lit(seed), "key")
+
+    def run(table: pa.Table) -> pa.Table:
+        start, moving = shared.value
+        own, own_momentum = copy_network(start), moving.copy()
+        table = table.sort_by([("order", "ascending"), ("key", "ascending")])
+        number = table.column("worker")[0].as_py()
+        x, y = batch_matrix(table.column("embedding").combine_chunks()), table.column("label_id").to_numpy()
+        done = local_epoch(own, own_momentum, x, y, rate, batch_rows, step, f"{seed}:{epoch}:{number}" if dropout else "")
+        rows = len(y)
+        copy = rows * np.concatenate([_flat(_trainable(own)), own_momentum, _flat(_norms(own))])
+        whole = np.concatenate([copy, done["counts"], [done["loss"], done["steps"] * rows, rows]])
+        starts = range(0, len(whole), BLOCK)
+        return pa.table(
+            {
+                "block": pa.array(range(len(starts)), pa.int32()),
+                "part": pa.array([number] * len(starts), pa.int32()),
+                "payload": pa.array([whole[s : s + BLOCK].tobytes() for s in starts], pa.binary()),
+            }
+        )
 
-    partials = rows.select("embedding", "label_id").mapInArrow(local, _PARTIAL)
-    tasks = rows.rdd.getNumPartitions()
-    while tasks > FAN_IN:
+    dealt = stored.select("key", "embedding", "label_id", worker.alias("worker"), order.alias("order"))
+    partials, parts = dealt.groupBy("worker").applyInArrow(run, _PARTIAL), workers
+    while parts > FAN_IN:
         partials = partials.withColumn("part", (F.col("part") / FAN_IN).cast("int"))
         partials = _sum_blocks(partials, "block", "part")
-        tasks = -(-tasks // FAN_IN)
+        parts = -(-parts // FAN_IN)
     # A few blocks per network: their number depends on its size, not on the rows.
     summed = sorted(_sum_blocks(partials, "block").collect(), key=lambda r: r["block"])
-    shared.unpersist()
-    if not summed:
-        return {"rows": 0}
+    shared.destroy()
     values = np.concatenate([np.frombuffer(r["payload"], dtype=np.float64) for r in summed])
-    size = sum(a.size for a in _trainable(network))
-    stat_size = sum(2 * len(l.bias) for l in network if l.norm is not None)
-    count = values[-1]
-    cells = values[size + stat_size : -2].reshape(num_classes, num_classes)
-    return {
-        "rows": int(count),
-        "grad": values[:size] / count,
-        "stats": values[size : size + stat_size] / count,
-        "cells": cells,
-        "loss": float(values[-2] / count),
-    }
+    size, norms, classes = len(momentum), sum(a.size for a in _norms(network)), len(network[-1].bias)
+    rows = values[-1]
+    _assign(_trainable(network), values[:size] / rows)
+    momentum[...] = values[size : 2 * size] / rows
+    _assign(_norms(network), values[2 * size : 2 * size + norms] / rows)
+    counts = values[2 * size + norms : -3].reshape(3, classes)
+    return {"counts": counts, "loss": float(values[-3] / rows), "steps": max(1, round(values[-2] / rows)), "rows": int(rows)}
 
 
 def _update_norms(network: Network, stats: np.ndarray, step: int) -> None:
@@ -255,9 +273,8 @@ def _update_norms(network: Network, stats: np.ndarray, step: int) -> None:
             start += width
 
 
-def _macro(cells: np.ndarray) -> dict[str, float]:
-    """Macro measures of a k x k count matrix over the classes that occur."""
-    hits, support, predicted = np.diag(cells), cells.sum(axis=1), cells.sum(axis=0)
+def _macro(support: np.ndarray, predicted: np.ndarray, hits: np.ndarray) -> dict[str, float]:
+    """Macro measures of counts per class, over the classes that occur."""
     seen = (support + predicted) > 0
 
     def mean(part, whole):
@@ -273,8 +290,8 @@ def _macro(cells: np.ndarray) -> dict[str, float]:
 
 
 def validate(val: DataFrame, network: Network) -> dict[str, float]:
-    """Loss and measures on validation rows: one scoring pass combined to one row per
-    (true, predicted) pair. Accuracy is micro, the others are macro."""
+    """Loss and measures on validation rows: one scoring pass combined to three counts per class.
+    Accuracy is micro, the others are macro."""
     cells = (
         mlp_forward(val.select("embedding", "label_id"), network)
         .groupBy(F.col("label_id").alias("true_id"), V.argmax(F.col("logits")).alias("pred_id"))
@@ -283,30 +300,32 @@ def validate(val: DataFrame, network: Network) -> dict[str, float]:
             F.sum(V.row_cross_entropy(F.col("logits"), F.col("label_id"))).alias("loss"),
         )
     )
-    found = cells.collect()
+    sides = F.array(
+        F.struct(F.col("true_id").alias("id"), F.col("n").alias("support"), F.lit(0).alias("predicted"), "loss"),
+        F.struct(F.col("pred_id").alias("id"), F.lit(0).alias("support"), F.col("n").alias("predicted"), F.lit(0.0).alias("loss")),
+    )
+    hit = F.when((F.col("true_id") == F.col("pred_id")) & (F.col("s.support") > 0), F.col("n")).otherwise(0)
+    per_class = cells.withColumn("s", F.explode(sides)).groupBy("s.id").agg(
+        F.sum("s.support").alias("support"), F.sum("s.predicted").alias("predicted"), F.sum(hit).alias("hits"), F.sum("s.loss").alias("loss")
+    )
+    found = per_class.collect()  # one row per class
     if not found:
         return {}
-    size = max(max(r["true_id"], r["pred_id"]) for r in found) + 1
-    matrix = np.zeros((size, size))
-    for r in found:
-        matrix[r["true_id"], r["pred_id"]] = r["n"]
-    measures = _macro(matrix)
-    measures["acc"] = float(np.trace(matrix) / matrix.sum())
-    measures["loss"] = sum(r["loss"] for r in found) / float(matrix.sum())
+    support, predicted, hits = (np.array([float(r[c]) for r in found]) for c in ("support", "predicted", "hits"))
+    measures = _macro(support, predicted, hits)
+    measures["acc"] = float(hits.sum() / support.sum())
+    measures["loss"] = sum(r["loss"] for r in found) / float(support.sum())
     return measures
 
 
-def _store(rows: DataFrame, slot: Column, name: str) -> DataFrame:
-    """Labelled vectors as a table in the shared folder, one sub-folder per slot."""
+def _store(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Labelled rows with a vector, as a table in the shared folder. Rows whose image failed have
+    no vector and take no part."""
     spark = rows.sparkSession
     path = scratch_path(spark, name)
-    (
-        rows.filter(F.col("label_id") >= 0)
-        .select("embedding", "label_id", slot.alias("slot"))
-        .write.partitionBy("slot")
-        .parquet(path)
-    )
-    return spark.read.schema("embedding array<float>, label_id int, slot int").parquet(path)
+    known = rows.filter((F.col("label_id") >= 0) & F.col("embedding").isNotNull())
+    known.select(F.col("embedding_index").alias("key"), "embedding", "label_id").write.parquet(path)
+    return spark.read.schema("key long, embedding array<float>, label_id int").parquet(path), path
 
 
 def fit_mlp(
@@ -314,7 +333,6 @@ def fit_mlp(
     val: DataFrame | None = None,
     hidden: Sequence[int] = HIDDEN_UNITS,
     epochs: int = 100,
-    steps_per_epoch: int = 1,
     batch_rows: int = BATCH_ROWS,
     lr: float = LR_START,
     lr_end: float = LR_END,
@@ -322,44 +340,38 @@ def fit_mlp(
     validate_every: int = VALIDATE_EVERY,
     patience: int = PATIENCE,
     seed: int = SEED,
+    worker_rows: int = WORKER_ROWS,
+    start: Network | None = None,
 ) -> Fitted:
-    """Train on ``(embedding_index, embedding, label_id)``. The rows of a step are those whose
-    key hashes to its slot; the input size and the number of classes come from the data."""
-    slot = F.pmod(F.xxhash64("embedding_index", F.lit(seed)), F.lit(steps_per_epoch)).cast("int")
-    stored = _store(train, slot, "train")
-    shape = stored.agg(F.max("label_id"), F.max(F.size("embedding"))).first()
+    """Train on ``(embedding_index, embedding, label_id)``. The number of workers follows the rows;
+    input size and number of classes come from the data, the network begins with ``start`` or with
+    seeded numbers. What is stored on the way is removed at the end."""
+    spark = train.sparkSession
+    stored, train_path = _store(train, "train")
+    shape = stored.agg(F.max("label_id"), F.max(F.size("embedding")), F.count(F.lit(1))).first()
     if shape[0] is None:
         raise ValueError("no labelled rows to train on")
     classes, inputs = shape[0] + 1, shape[1]
+    paths = [train_path]
     if val is not None:
-        val = _store(val, F.lit(0), "val")
+        val, val_path = _store(val, "val")
+        paths.append(val_path)
         top = val.agg(F.max("label_id")).first()[0]
         classes = max(classes, (top if top is not None else -1) + 1)
 
-    network = new_network([inputs, *hidden, classes], seed)
+    sizes = [inputs, *hidden, classes]
+    check_size(3 * sum((n + 3) * m for n, m in zip(sizes[:-1], sizes[1:])))
+    network = copy_network(start) if start is not None else new_network(sizes, seed)
     momentum = np.zeros(sum(a.size for a in _trainable(network)))
+    workers = max(1, -(-shape[2] // worker_rows))
     fitted = Fitted(network, network, None)
     best, misses, step = None, 0, 0
     for epoch in range(epochs):
         rate = lr_end + (lr - lr_end) * (1 + math.cos(math.pi * epoch / epochs)) / 2
-        loss, rows, cells = 0.0, 0, np.zeros((classes, classes))
-        for s in range(steps_per_epoch):
-            marker = f"{seed}:{epoch}:{s}" if dropout else ""
-            sums = _step_sums(stored.filter(F.col("slot") == s), network, classes, batch_rows, marker)
-            if not sums["rows"]:
-                continue
-            step += 1
-            grad = sums["grad"]
-            theta = _flat(_trainable(network))
-            theta -= rate * np.sign(BETAS[0] * momentum + (1 - BETAS[0]) * grad)
-            momentum = BETAS[1] * momentum + (1 - BETAS[1]) * grad
-            _assign(_trainable(network), theta)
-            _update_norms(network, sums["stats"], step)
-            loss, rows, cells = loss + sums["loss"] * sums["rows"], rows + sums["rows"], cells + sums["cells"]
-        if not rows:
-            break
-        fitted.history.append((epoch, "train", "loss", loss / rows))
-        fitted.history += [(epoch, "train", name, v) for name, v in _macro(cells).items()]
+        done = _epoch(stored, network, momentum, workers, rate, batch_rows, step, seed, epoch, dropout)
+        step += done["steps"]
+        fitted.history.append((epoch, "train", "loss", done["loss"]))
+        fitted.history += [(epoch, "train", name, v) for name, v in _macro(*done["counts"]).items()]
         if val is None or (epoch + 1) % validate_every:
             continue
         measures = validate(val, network)
@@ -377,6 +389,8 @@ def fit_mlp(
         if fitted.stopped:
             break
     fitted.last = network
+    for path in paths:
+        remove_scratch(spark, path)
     return fitted
 
 
@@ -384,11 +398,12 @@ def fit_builtin_mlp(
     train: DataFrame, hidden: Sequence[int], max_iter: int = 100, seed: int = SEED, block_size: int = BATCH_ROWS
 ):
     """The same task with MLlib's own network (sigmoid units, L-BFGS)."""
-    labelled = train.filter(F.col("label_id") >= 0).select(
+    train = train.filter((F.col("label_id") >= 0) & F.col("embedding").isNotNull())
+    labelled = train.select(
         array_to_vector(V.doubles(F.col("embedding"))).alias("features"),
         F.col("label_id").cast("double").alias("label"),
     )
-    shape = train.filter(F.col("label_id") >= 0).agg(F.max("label_id"), F.max(F.size("embedding"))).first()
+    shape = train.agg(F.max("label_id"), F.max(F.size("embedding"))).first()
     classifier = MultilayerPerceptronClassifier(
         layers=[shape[1], *hidden, shape[0] + 1], maxIter=max_iter, seed=seed, blockSize=block_size
     )

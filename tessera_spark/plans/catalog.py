@@ -286,16 +286,25 @@ def mlp_forward(spark, sf):
 def mlp_fit(spark, sf):
     parts = T.labelled_split(spark, sf)
     fitted = training.fit_mlp(
-        parts.filter(F.col("split") == "train"),
-        parts.filter(F.col("split") == "val"),
-        hidden=(32, 16),
-        epochs=5,
-        lr=5e-3,
-        lr_end=1e-4,
+        parts.filter(F.col("split") == "train"), parts.filter(F.col("split") == "val"), hidden=(64, 32), epochs=20, batch_rows=64
     )
     return fitted.epoch_metrics(spark)
 
 
+def mlp_step(spark, sf):
+    """One update over all vectors from weights of a closed formula, without hidden layer."""
+    rows = T.read(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("embedding_index"), "embedding", F.col("label").cast("int").alias("label_id")
+    )
+    size = rows.agg(F.max(F.size("embedding")), F.max("label_id"), F.count(F.lit(1))).first()
+    fitted = training.fit_mlp(
+        rows, hidden=(), epochs=1, batch_rows=size[2], worker_rows=size[2], lr=0.01, dropout=False, start=T.linear_formula(size[0], size[1] + 1)
+    )
+    weight = mlp.layers_frame(spark, fitted.last).filter("kind = 'weight'")
+    cells = weight.select("cols", F.posexplode("values").alias("at", "v"))
+    return cells.select(F.expr("cast(at div cols as int)").alias("class_id"), F.expr("cast(at % cols as int)").alias("dim"), _r("v").alias("weight"))
+
+
 def mlp_builtin(spark, sf):
     parts = T.labelled_split(spark, sf)
     model = training.fit_builtin_mlp(parts.filter(F.col("split") == "train"), (16,), max_iter=20)
@@ -635,7 +644,7 @@ _QUERIES: tuple[Query, ...] = (
     class_counts, class_coverage, class_count_check, value_range, batches, batches_sequential,
     sample_info,
     scaler_stats, standardize, dim_check, wrong_dimension, positional_check, attach_embeddings,
-    pca_variance, pca_transform, feature_noise, softmax_rows, mlp_forward, mlp_fit, mlp_builtin,
+    pca_variance, pca_transform, feature_noise, softmax_rows, mlp_forward, mlp_fit, mlp_step, mlp_builtin,
     manifest, normalized_names, manifest_summary, moved_to_test, label_ids, class_names,
     augment_fanout, missing_files, existing_files, failed_images, sentinel_check,
     path_functions, output_folders,

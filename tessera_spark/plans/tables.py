@@ -134,12 +134,17 @@ def scored(spark: SparkSession, sf_dir: str, part: str = "val") -> tuple[DataFra
     return predict(rows, network), network
 
 
-def formula_network(inputs: int, hidden: int, outputs: int) -> Network:
-    """Network whose numbers follow a closed formula, so that SQL can write them too."""
+def _grid(rows: int, cols: int) -> np.ndarray:
+    return np.sin(np.arange(rows)[:, None] * 7.0 + np.arange(cols)[None, :])
+
 
-    def grid(rows: int, cols: int) -> np.ndarray:
-        return np.sin(np.arange(rows)[:, None] * 7.0 + np.arange(cols)[None, :])
+def linear_formula(inputs: int, outputs: int) -> Network:
+    """One linear layer whose numbers follow a closed formula, so that SQL can write them too."""
+    return [Layer(_grid(outputs, inputs), np.cos(np.arange(outputs, dtype=float)), None)]
 
+
+def formula_network(inputs: int, hidden: int, outputs: int) -> Network:
+    """The same with a hidden layer before it."""
     unit = np.arange(hidden, dtype=float)
     norm = {
         "bn_mean": np.sin(unit) / 10,
@@ -147,10 +152,7 @@ def formula_network(inputs: int, hidden: int, outputs: int) -> Network:
         "bn_gamma": 1 + np.sin(unit + 1) / 2,
         "bn_beta": np.cos(unit) / 10,
     }
-    return [
-        Layer(grid(hidden, inputs), np.cos(unit), norm),
-        Layer(grid(outputs, hidden), np.cos(np.arange(outputs, dtype=float)), None),
-    ]
+    return [Layer(_grid(hidden, inputs), np.cos(unit), norm), *linear_formula(hidden, outputs)]
 
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a table below the shared folder once nothing reads it any more."""
+    if f"{checkpoint_dir(spark).rstrip('/')}/tables/" not in path:
+        raise ValueError(f"{path} is no scratch table")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute once into the shared folder; later reads see the same rows and partitions."""
     checkpoint_dir(df.sparkSession)

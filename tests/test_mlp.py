@@ -110,24 +110,50 @@ def test_gradient_against_finite_differences(data):
 
 
 @pytest.mark.parametrize("block, fan_in", [(1 << 16, 64), (17, 2)])
-def test_summed_gradient_is_partition_independent(rows, data, monkeypatch, block, fan_in):
+def test_epoch_is_partition_independent(rows, data, monkeypatch, block, fan_in):
     monkeypatch.setattr(TR, "BLOCK", block)
     monkeypatch.setattr(TR, "FAN_IN", fan_in)
-    net = TR.new_network([D, K])
+    found = []
+    for parts in (1, 4, 17):
+        fitted = TR.fit_mlp(rows.repartition(parts), hidden=(6,), epochs=3, batch_rows=16, lr=0.02, worker_rows=40)
+        found.append(np.concatenate([a.ravel() for a in TR._trainable(fitted.last)]))
+        assert [h[:3] for h in fitted.history if h[2] == "loss"] == [(e, "train", "loss") for e in range(3)]
+    assert np.allclose(found[0], found[1], rtol=0, atol=1e-12) and np.allclose(found[0], found[2], rtol=0, atol=1e-12)
+
+
+def test_one_worker_is_plain_descent(rows, data):
     x, y = data
-    loss, grad, _, _ = TR.batch_gradient(net, x.astype(float), y)
-    for parts in (1, 5):
-        sums = TR._step_sums(rows.repartition(parts), net, K, 16, "")
-        assert sums["rows"] == len(y) and sums["loss"] == pytest.approx(loss / len(y))
-        assert np.allclose(sums["grad"], grad / len(y))
-        assert sums["cells"].sum() == len(y)
+    net = TR.new_network([D, K])
+    fitted = TR.fit_mlp(rows, hidden=(), epochs=1, batch_rows=10_000, lr=0.01, dropout=False, start=net)
+    _, grad, _, _ = TR.batch_gradient(net, x.astype(float), y)
+    expected = TR._flat(TR._trainable(net)) - 0.01 * np.sign(grad)
+    assert np.allclose(TR._flat(TR._trainable(fitted.last)), expected)
+
+
+def test_default_rate_learns(spark):
+    rng = np.random.default_rng(0)
+    centres = rng.normal(size=(4, 8)) * 3
+    points = [(k, (centres[k % 4] + rng.normal(size=8)).tolist(), k % 4) for k in range(4000)]
+    frame = spark.createDataFrame(points, "embedding_index long, embedding array<float>, label_id int")
+    fitted = TR.fit_mlp(frame, hidden=(64,), epochs=12, batch_rows=32, dropout=False, validate_every=100)
+    loss = [v for _, _, n, v in fitted.history if n == "loss"]
+    assert loss[-1] < 0.6 * loss[0]
+
+
+def test_rows_without_vector_take_no_part(spark, rows):
+    broken = rows.withColumn("embedding", F.when(F.col("embedding_index") % 7 != 0, F.col("embedding")))
+    fitted = TR.fit_mlp(broken, broken, hidden=(), epochs=1, validate_every=1)
+    whole = TR.fit_mlp(rows.filter("embedding_index % 7 <> 0"), hidden=(), epochs=1)
+    assert np.allclose(TR._flat(TR._trainable(fitted.last)), TR._flat(TR._trainable(whole.last)))
+    model = TR.fit_builtin_mlp(broken, (4,), max_iter=2)
+    assert model.numFeatures == D
 
 
 def test_training_learns(spark, rows):
     val = rows.filter(F.col("embedding_index") % 4 == 0)
     train = rows.filter(F.col("embedding_index") % 4 != 0)
     fitted = TR.fit_mlp(
-        train, val, hidden=(8,), epochs=12, steps_per_epoch=2, batch_rows=32, lr=0.05, lr_end=0.01,
+        train, val, hidden=(8,), epochs=12, batch_rows=32, lr=0.05, lr_end=0.01,
         dropout=False, validate_every=3,
     )
     loss = [v for e, p, n, v in fitted.history if (p, n) == ("train", "loss")]
