@@ -1,12 +1,15 @@
 """Image tables: resize to one size, and seeded variants. Pixels are rows of
 ``image_path, height, width, nChannels, data`` in the channel order of Spark's image source
-(blue, green, red[, alpha])."""
+(blue, green, red[, alpha]).
+
+What is done to a single image is the user's: a resize function and a list of transforms are handed
+in, as an encoder is (``operators.encode``). This module deals images over the cluster, bounds the
+portions and makes the draws reproducible."""
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,10 +20,12 @@ from pyspark.sql import types as T
 from tessera_spark.schemas import IMAGE_PIXELS
 from tessera_spark.session import spread_rows
 
-# Size of normalised images, taps of the resampling kernel.
+# Size of normalised images.
 WIDTH = HEIGHT = 224
-TAPS = 8
 
+#: An image and the wanted height and width to the resized image.
+Resize = Callable[[np.ndarray, int, int], np.ndarray]
+#: An image and a seeded generator to the changed image.
 Transform = Callable[[np.ndarray, np.random.Generator], np.ndarray]
 
 _VARIANTS = T.StructType(
@@ -33,31 +38,11 @@ def pixels(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
 
 
-@lru_cache(maxsize=256)
-def lanczos_matrix(size: int, target: int) -> np.ndarray:
-    """Resampling along one axis as a (target x size) matrix: eight taps of the Lanczos window
-    on pixel centres, weights summing to one, border pixels repeated."""
-    centre = (np.arange(target) + 0.5) * size / target - 0.5
-    first = np.floor(centre).astype(int) - (TAPS // 2 - 1)
-    taps = first[:, None] + np.arange(TAPS)
-    distance = centre[:, None] - taps
-    weight = np.sinc(distance) * np.sinc(distance / (TAPS // 2))
-    weight /= weight.sum(axis=1, keepdims=True)
-    matrix = np.zeros((target, size))
-    np.add.at(matrix, (np.arange(target)[:, None], np.clip(taps, 0, size - 1)), weight)
-    return matrix
-
-
-def _clip(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(values), 0, 255).astype(np.uint8)
-
-
-def resize(image: np.ndarray, height: int = HEIGHT, width: int = WIDTH) -> np.ndarray:
-    if image.shape[:2] == (height, width):
-        return image
-    rows, cols = lanczos_matrix(image.shape[0], height), lanczos_matrix(image.shape[1], width)
-    planes = [rows @ image[:, :, c] @ cols.T for c in range(image.shape[2])]
-    return _clip(np.stack(planes, axis=2))
+def nearest(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    """The pixel at the same relative place."""
+    rows = np.arange(height) * image.shape[0] // height
+    cols = np.arange(width) * image.shape[1] // width
+    return image[rows[:, None], cols]
 
 
 # Pixels are handed back in portions of about this size, however many images a batch brings
@@ -90,12 +75,12 @@ def _each_image(df: DataFrame, variants: Variants) -> DataFrame:
     return source.mapInPandas(run, _VARIANTS)
 
 
-def normalize_images(images: DataFrame, width: int = WIDTH, height: int = HEIGHT) -> DataFrame:
+def normalize_images(images: DataFrame, width: int = WIDTH, height: int = HEIGHT, resize: Resize = nearest) -> DataFrame:
     """Resize to one size. Only pixels are kept, so metadata has nowhere to survive; the
     channel count stays."""
 
     def variants(image, path):
-        yield 0, resize(image, height, width)
+        yield 0, np.ascontiguousarray(resize(image, height, width), dtype=np.uint8)
 
     return _each_image(images, variants).drop("aug_version")
 
@@ -107,152 +92,14 @@ def to_rgb(image: np.ndarray) -> np.ndarray:
     return image[:, :, 2::-1]
 
 
-def _sample(image: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Bilinear samples at real coordinates; outside the image the border is mirrored."""
-
-    def mirror(v: np.ndarray, size: int) -> np.ndarray:
-        if size == 1:
-            return np.zeros_like(v)
-        v = np.abs(v) % (2 * (size - 1))
-        return np.where(v > size - 1, 2 * (size - 1) - v, v)
-
-    y0, x0 = np.floor(y).astype(np.int32), np.floor(x).astype(np.int32)
-    fy, fx = ((y - y0)[..., None].astype(np.float32), (x - x0)[..., None].astype(np.float32))
-    h, w = image.shape[:2]
-    rows = [mirror(y0 + d, h) for d in (0, 1)]
-    cols = [mirror(x0 + d, w) for d in (0, 1)]
-    source = image.astype(np.float32)
-    top = source[rows[0], cols[0]] * (1 - fx) + source[rows[0], cols[1]] * fx
-    low = source[rows[1], cols[0]] * (1 - fx) + source[rows[1], cols[1]] * fx
-    return _clip(top * (1 - fy) + low * fy)
-
-
-def _axis_weights(start: float, span: float, size: int, target: int) -> np.ndarray:
-    """Bilinear resampling of a stretch of one axis as a (target x size) matrix."""
-    centre = np.clip(start + (np.arange(target) + 0.5) * span / target - 0.5, 0, size - 1)
-    low = np.minimum(np.floor(centre).astype(int), max(size - 2, 0))
-    matrix = np.zeros((target, size), dtype=np.float32)
-    at = np.arange(target)
-    np.add.at(matrix, (at, low), 1 - (centre - low))
-    np.add.at(matrix, (at, np.minimum(low + 1, size - 1)), centre - low)
-    return matrix
-
-
-def _stretch(image: np.ndarray, top: float, left: float, h: float, w: float, height: int, width: int) -> np.ndarray:
-    rows = _axis_weights(top, h, image.shape[0], height)
-    cols = _axis_weights(left, w, image.shape[1], width)
-    planes = [rows @ image[:, :, c].astype(np.float32) @ cols.T for c in range(image.shape[2])]
-    return _clip(np.stack(planes, axis=2))
-
-
-def random_resized_crop(size: tuple[int, int] = (384, 384), scale: tuple[float, float] = (0.8, 1.0)) -> Transform:
-    def apply(image, rng):
-        h, w = image.shape[:2]
-        area = h * w * rng.uniform(*scale)
-        aspect = np.exp(rng.uniform(np.log(3 / 4), np.log(4 / 3)))
-        ch = min(h, max(1, round(np.sqrt(area / aspect))))
-        cw = min(w, max(1, round(np.sqrt(area * aspect))))
-        top, left = rng.integers(0, h - ch + 1), rng.integers(0, w - cw + 1)
-        return _stretch(image, top, left, ch, cw, *size)
-
-    return apply
-
-
-def horizontal_flip(image, rng):
-    return image[:, ::-1]
-
-
-def vertical_flip(image, rng):
-    return image[::-1]
-
-
-def shift_scale_rotate(shift: float = 0.0625, scale: float = 0.1, degrees: float = 45) -> Transform:
-    def apply(image, rng):
-        h, w = image.shape[:2]
-        angle = np.deg2rad(rng.uniform(-degrees, degrees))
-        zoom = 1 + rng.uniform(-scale, scale)
-        dy, dx = rng.uniform(-shift, shift, 2) * (h, w)
-        cy, cx = (h - 1) / 2, (w - 1) / 2
-        y, x = np.meshgrid(np.arange(h) - cy - dy, np.arange(w) - cx - dx, indexing="ij")
-        cos, sin = np.cos(angle) / zoom, np.sin(angle) / zoom
-        return _sample(image, cos * y - sin * x + cy, sin * y + cos * x + cx)
-
-    return apply
-
-
-def brightness_contrast(limit: float = 0.2) -> Transform:
-    def apply(image, rng):
-        contrast, brightness = 1 + rng.uniform(-limit, limit), rng.uniform(-limit, limit)
-        return _clip(image * contrast + 255 * brightness)
-
-    return apply
-
-
-def gauss_noise(low: float = 3.2, high: float = 7.1) -> Transform:
-    def apply(image, rng):
-        return _clip(image + rng.standard_normal(image.shape, dtype=np.float32) * rng.uniform(low, high))
-
-    return apply
-
-
-def color_jitter(limit: float = 0.2) -> Transform:
-    """Brightness, contrast and saturation, each by a random factor around one."""
-
-    def apply(image, rng):
-        bright, contrast, saturation = 1 + rng.uniform(-limit, limit, 3)
-        out = image * bright
-        out = (out - out.mean()) * contrast + out.mean()
-        gray = out.mean(axis=2, keepdims=True)
-        return _clip(gray + (out - gray) * saturation)
-
-    return apply
-
-
-def channel_dropout(image, rng):
-    if image.shape[2] == 1:
-        return image
-    out = image.copy()
-    out[:, :, rng.integers(image.shape[2])] = 0
-    return out
-
-
-def downscale(low: float = 0.1, high: float = 0.8) -> Transform:
-    """Nearest-pixel reduction and enlargement."""
-
-    def apply(image, rng):
-        h, w = image.shape[:2]
-        factor = rng.uniform(low, high)
-        sh, sw = max(1, int(h * factor)), max(1, int(w * factor))
-        y = (np.arange(h) * sh // h) * h // sh
-        x = (np.arange(w) * sw // w) * w // sw
-        return image[y[:, None], x]
-
-    return apply
-
-
-# Transforms and their probabilities, in order.
-AUGMENTATIONS: tuple[tuple[float, Transform], ...] = (
-    (1.0, random_resized_crop()),
-    (0.5, horizontal_flip),
-    (0.3, vertical_flip),
-    (0.5, shift_scale_rotate()),
-    (0.5, brightness_contrast()),
-    (0.3, gauss_noise()),
-    (0.3, color_jitter()),
-    (0.3, brightness_contrast()),
-    (0.3, channel_dropout),
-    (0.2, downscale()),
-)
-
-
 def augment_images(
     images: DataFrame,
     copies: int,
-    transforms: Sequence[tuple[float, Transform]] = AUGMENTATIONS,
+    transforms: Sequence[tuple[float, Transform]],
     seed: int = 42,
 ) -> DataFrame:
-    """Originals (``aug_version`` 0, untouched) and ``copies`` variants of every image. The
-    random draws depend on seed, path and version only; the copies are made where the image
+    """Originals (``aug_version`` 0, untouched) and ``copies`` variants of every image, each made
+    by the given transforms in order, with the given chances. The random draws depend on seed, path and version only; the copies are made where the image
     already is."""
 
     def variants(image, path):

@@ -31,6 +31,8 @@ PATIENCE = 10
 COMPONENTS = 8
 HIDDEN = 16
 ENCODED = 16
+# The encoder of the registered query refuses images above this mean level.
+BRIGHTEST = 128.5
 TOTAL_EPOCHS = 100
 
 
@@ -221,11 +223,10 @@ def dim_check(spark, sf):
 
 
 def wrong_dimension(spark, sf):
-    """Both encoders side by side against the size of one: every row is a finding."""
-    rows = T.read(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("embedding_index"),
-        embeddings.combine_encoders(F.col("embedding"), F.col("embedding")).alias("embedding"),
-    )
+    """One vector in four has both encoders side by side, one in ten is missing."""
+    both = embeddings.combine_encoders(F.col("embedding"), F.col("embedding"))
+    vector = F.when(F.col("vec_id") % 10 == 9, F.lit(None)).when(F.col("vec_id") % 4 == 0, both).otherwise(F.col("embedding"))
+    rows = T.read(spark, sf, "embeddings").select(F.col("vec_id").alias("embedding_index"), vector.alias("embedding"))
     return checks.wrong_dimension(rows, 64)
 
 
@@ -561,17 +562,28 @@ def log_filter_documents(spark, sf):
 
 
 def image_resize(spark, sf):
-    done = images.normalize_images(T.images(spark, sf))
-    return done.select("image_path", "height", "width", "nChannels", F.md5("data").alias("pixels"))
+    done = images.normalize_images(T.images(spark, sf), 12, 20)
+    return done.select("image_path", "height", "width", "nChannels", F.hex("data").alias("pixels"))
 
 
 def wrong_size(spark, sf):
-    return checks.wrong_size(T.images(spark, sf))
+    """Two images in three have the size that is asked for."""
+    odd = F.when(F.col("place") % 3 == 0, F.col("height")).otherwise(F.lit(images.HEIGHT))
+    rows = T.images(spark, sf).withColumn("place", F.regexp_extract("image_path", r"(\d+)\.png", 1).cast("long"))
+    return checks.wrong_size(rows.withColumn("height", odd).withColumn("width", F.lit(images.WIDTH)))
+
+
+def _flipped(image, rng):
+    return image[:, ::-1]
+
+
+def _brighter(image, rng):
+    return np.clip(image.astype(int) + 40, 0, 255).astype(np.uint8)
 
 
 def image_augment(spark, sf):
-    done = images.augment_images(T.images(spark, sf), 1)
-    return done.select("image_path", "aug_version", "height", "width", F.md5("data").alias("pixels"))
+    done = images.augment_images(T.images(spark, sf), 1, ((1.0, _flipped), (0.0, _flipped), (1.0, _brighter)))
+    return done.select("image_path", "aug_version", "height", "width", F.hex("data").alias("pixels"))
 
 
 def _projection_encoder():
@@ -581,6 +593,8 @@ def _projection_encoder():
     def encode_batch(batch):
         cells = []
         for image in batch:
+            if image.mean() > BRIGHTEST:
+                raise ValueError("too bright")
             h, w = (image.shape[0] // 8) * 8, (image.shape[1] // 8) * 8
             grid = image[:h, :w].reshape(8, h // 8, 8, w // 8, 3).mean(axis=(1, 3))
             cells.append(grid.ravel() / 255.0)
@@ -591,14 +605,17 @@ def _projection_encoder():
 
 def embed_images(spark, sf):
     done = encode.embed(T.images(spark, sf), _projection_encoder)
-    return done.select("image_path", "error", F.posexplode("embedding").alias("dim", "value")).withColumn(
+    return done.select("image_path", "error", F.posexplode_outer("embedding").alias("dim", "value")).withColumn(
         "value", _r("value")
     )
 
 
 def model_sources(spark, sf):
-    """Part names stand for model names; hub names never occur among them."""
-    names = T.read(spark, sf, "part").groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
+    """Part names stand for model names; parts of the first sizes bear a hub model's."""
+    name = F.col("p_name")
+    for size, hub in enumerate(encode.HUB_MODELS, start=1):
+        name = F.when(F.col("p_size") == size, hub).otherwise(name)
+    names = T.read(spark, sf, "part").groupBy(name.alias("p_name")).agg(F.count(F.lit(1)).alias("n"))
     source = encode.model_source(F.col("p_name"))
     return names.select("p_name", "n", source["hub"].alias("hub"), source["name"].alias("name"))
 

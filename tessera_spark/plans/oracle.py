@@ -326,7 +326,8 @@ st AS (SELECT dim, avg(x) AS mean, CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE std
     sql["standardize"] = f"WITH {moments} SELECT vec_id, dim, round((x - mean) / scale, 6) AS z FROM x JOIN st USING (dim)"
     sql["dim_check"] = "SELECT CAST(len(embedding) AS INTEGER) AS dimension, count(*) AS n FROM embeddings GROUP BY 1"
     sql["wrong_dimension"] = """
-SELECT vec_id AS embedding_index, CAST(2 * len(embedding) AS INTEGER) AS dimension FROM embeddings WHERE 2 * len(embedding) <> 64"""
+SELECT vec_id AS embedding_index, CASE WHEN vec_id % 10 = 9 THEN NULL ELSE CAST(2 * len(embedding) AS INTEGER) END AS dimension
+FROM embeddings WHERE vec_id % 10 = 9 OR vec_id % 4 = 0"""
     sql["positional_check"] = f"""WITH {MANIFEST},
 b AS (SELECT mf.embedding_index AS m, e.vec_id AS e FROM mf FULL JOIN embeddings e ON e.vec_id = mf.embedding_index)
 SELECT count(m) AS manifest_rows, count(e) AS embedding_rows, count(*) FILTER (e IS NULL) AS manifest_only,
@@ -452,20 +453,34 @@ FROM s LEFT JOIN l ON l.stage = s.stage AND l.place = 1"""
 
     # Images and models
     sql["wrong_size"] = """
-SELECT '/normalized/' || vec_id || '.png' AS image_path, CAST(sqrt(len(embedding)) AS INTEGER) AS width,
-       CAST(sqrt(len(embedding)) AS INTEGER) AS height FROM embeddings WHERE sqrt(len(embedding)) <> 224"""
+SELECT '/normalized/' || vec_id || '.png' AS image_path, 224 AS width, CAST(sqrt(len(embedding)) AS INTEGER) AS height
+FROM embeddings WHERE vec_id % 3 = 0"""
+    levels = """px AS (SELECT vec_id, '/normalized/' || vec_id || '.png' AS image_path, CAST(sqrt(len(embedding)) AS INTEGER) AS side,
+       list_transform(embedding, lambda v: CAST(round((v::DOUBLE + 1) * 127.5) AS INTEGER)) AS p FROM embeddings)"""
+    sql["image_resize"] = f"""WITH {levels}
+SELECT image_path, 20 AS height, 12 AS width, 1 AS "nChannels", array_to_string(list_transform(range(20 * 12),
+       lambda i: lpad(upper(to_hex(p[((i // 12) * side // 20) * side + (i % 12) * side // 12 + 1])), 2, '0')), '') AS pixels FROM px"""
+    sql["image_augment"] = f"""WITH {levels},
+two AS (SELECT *, 0 AS aug_version, p AS q FROM px UNION ALL
+        SELECT *, 1, list_transform(range(side * side), lambda i: least(255, p[(i // side) * side + side - i % side] + 40)) FROM px)
+SELECT image_path, aug_version, side AS height, side AS width,
+       array_to_string(list_transform(q, lambda v: lpad(upper(to_hex(v)), 2, '0')), '') AS pixels FROM two"""
     sql["embed_images"] = f"""WITH
 px AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i,
-              round((CAST(unnest(embedding) AS DOUBLE) + 1) * 127.5) / 255.0 AS level FROM embeddings),
+              round((CAST(unnest(embedding) AS DOUBLE) + 1) * 127.5) AS level FROM embeddings),
+m AS (SELECT vec_id FROM px GROUP BY vec_id HAVING avg(level) > {catalog.BRIGHTEST}),
 u AS (SELECT CAST(unnest(range({catalog.ENCODED})) AS INTEGER) AS dim)
 SELECT '/normalized/' || vec_id || '.png' AS image_path, CAST(NULL AS VARCHAR) AS error, dim,
-       round(CAST(CAST(sum(level * (sin(3 * i * 7.0 + dim) + sin((3 * i + 1) * 7.0 + dim) + sin((3 * i + 2) * 7.0 + dim))) AS FLOAT) AS DOUBLE), 6) AS value
-FROM px, u GROUP BY vec_id, dim"""
+       round(CAST(CAST(sum(level / 255.0 * (sin(3 * i * 7.0 + dim) + sin((3 * i + 1) * 7.0 + dim) + sin((3 * i + 2) * 7.0 + dim))) AS FLOAT) AS DOUBLE), 6) AS value
+FROM px, u WHERE vec_id NOT IN (FROM m) GROUP BY vec_id, dim
+UNION ALL SELECT '/normalized/' || vec_id || '.png', 'too bright', NULL, NULL FROM m"""
     sql["model_sources"] = """
+WITH n AS (SELECT CASE p_size WHEN 1 THEN 'ViT-SO400M-14-SigLIP-384' WHEN 2 THEN 'ViT-B-16-SigLIP-512' WHEN 3 THEN 'ViT-L-14-SigLIP-384' ELSE p_name END AS p_name
+           FROM part)
 SELECT p_name, count(*) AS n,
        CASE WHEN p_name IN ('ViT-SO400M-14-SigLIP-384', 'ViT-B-16-SigLIP-512', 'ViT-L-14-SigLIP-384') THEN 'hf-hub:timm' ELSE p_name END AS hub,
        CASE WHEN p_name IN ('ViT-SO400M-14-SigLIP-384', 'ViT-B-16-SigLIP-512', 'ViT-L-14-SigLIP-384') THEN p_name ELSE 'openai' END AS name
-FROM part GROUP BY p_name"""
+FROM n GROUP BY p_name"""
     sql["score_stream"] = f"""WITH {SCORED}
 SELECT v.embedding_index AS vec_id, v.label, r.predicted_class, round(r.confidence_score, 6) AS confidence_score
 FROM r JOIN v USING (embedding_index)"""
