@@ -7,9 +7,9 @@ one row per run it touched, and ``latest`` keeps the newest of them.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,24 @@ STATE = (
 )
 
 
+def fold(values: np.ndarray, best: float | None, misses: int, patience: int, min_delta: float) -> tuple[float | None, int | None, int, int | None]:
+    """Fold the next values of a run in order: (best, place of its last improvement here, misses,
+    place where it stops). Only a value above all before it can improve, so only those are
+    walked; where misses reach the patience follows from the places of the improvements."""
+    broken = np.flatnonzero(~np.isfinite(values))
+    end = int(broken[0]) if len(broken) else len(values)
+    before = np.maximum.accumulate(np.concatenate([[-np.inf if best is None else best], values[:end]]))[:-1]
+    improved, last = None, -1 - misses
+    for at in np.flatnonzero(values[:end] > before).tolist():
+        if at - last - 1 >= patience:
+            break
+        if best is None or values[at] - min_delta > best:
+            best, improved, last = float(values[at]), at, at
+    if last + patience < end:
+        return best, improved, patience, last + patience
+    return best, improved, end - 1 - last, end if end < len(values) else None
+
+
 def early_stop_stream(values: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> DataFrame:
     """State rows for a stream of ``(run_id long, epoch long, value double)``."""
 
@@ -36,21 +54,18 @@ def early_stop_stream(values: DataFrame, patience: int = PATIENCE, min_delta: fl
         else:
             last, stop, best_epoch, best, misses, epochs, late = None, None, None, None, 0, 0, 0
         rows = pd.concat(list(batches)).sort_values("epoch", kind="stable")
-        for epoch, value in zip(rows["epoch"].tolist(), rows["value"].tolist()):
-            if last is not None and epoch <= last:
-                late += 1
-                continue
-            last, epochs = epoch, epochs + 1
-            if stop is not None:
-                continue
-            if value is None or not math.isfinite(value):
-                stop = epoch
-            elif best is None or value - min_delta > best:
-                best, best_epoch, misses = value, epoch, 0
-            else:
-                misses += 1
-                if misses >= patience:
-                    stop = epoch
+        fresh = ~rows["epoch"].duplicated().to_numpy()
+        if last is not None:
+            fresh &= (rows["epoch"] > last).to_numpy()
+        late += int((~fresh).sum())
+        rows = rows[fresh]
+        number = rows["epoch"].to_numpy()
+        if len(number):
+            last, epochs = int(number[-1]), epochs + len(number)
+        if len(number) and stop is None:
+            best, improved, misses, stopped = fold(rows["value"].to_numpy(dtype=float), best, misses, patience, min_delta)
+            best_epoch = best_epoch if improved is None else int(number[improved])
+            stop = None if stopped is None else int(number[stopped])
         kept = (last, stop, best_epoch, best, misses, epochs, late)
         state.update(kept)
         yield pd.DataFrame(

@@ -110,3 +110,30 @@ def test_a_restarted_stream_goes_on(spark, tmp_path):
     run_to_table(early.early_stop_stream(stream_parquet(spark, folder, values.schema), 10), "t", out)
     got = early.latest(spark.read.parquet(out)).agg(F.sum("epochs"), F.sum("late")).first()
     assert tuple(got) == (1000, 0)
+
+
+def test_fold_equals_a_loop():
+    import math
+    import random
+
+    import numpy as np
+
+    from tessera_spark.streaming.early_stop import fold
+
+    rng = random.Random(8)
+    for _ in range(2000):
+        values = [rng.choice([0.1, 0.2, 0.2 + 1e-8, 0.3, 0.5, rng.random(), float("nan"), float("inf")][: rng.choice([6, 8])]) for _ in range(rng.randint(1, 15))]
+        best, misses = rng.choice([(None, 0), (0.2, 0), (0.3, 1)])
+        patience, state = rng.choice([2, 3, 50]), (best, None, misses, None)
+        b, improved, m, stop = state
+        for at, v in enumerate(values):
+            if not math.isfinite(v):
+                stop = at
+            elif b is None or v - 1e-7 > b:
+                b, improved, m = v, at, 0
+            else:
+                m += 1
+                stop = at if m >= patience else None
+            if stop is not None:
+                break
+        assert fold(np.array(values), best, misses, patience, 1e-7) == (b, improved, m, stop)
