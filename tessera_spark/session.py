@@ -39,7 +39,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table below the shared folder once nothing reads it any more."""
-    if f"{checkpoint_dir(spark).rstrip('/')}/tables/" not in path:
+    if not path.startswith(f"{checkpoint_dir(spark).rstrip('/')}/tables/"):
         raise ValueError(f"{path} is no scratch table")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
