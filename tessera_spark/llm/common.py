@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera_spark.session import checkpoint_dir, scratch_path, ship_package
+from tessera_spark.session import checkpoint_dir, remove_scratch, scratch_path, ship_package
 
 #: A word, as the contracts of all operators define it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,7 +46,17 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+    path = written(df, name)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path)
+    frame.scratch_path = path
+    return frame
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more, and let go of finished shuffles."""
+    for frame in frames:
+        remove_scratch(frame.sparkSession, frame.scratch_path)
+    release(frames[0].sparkSession)
 
 
 def release(spark: SparkSession) -> None:

@@ -22,9 +22,11 @@ H + 1 rarest are allocated.
 Candidates that share a signature pass a bitmap first (each element flips one bit; the bits that
 differ between two maps never outnumber the differing elements), then they are compared exactly on
 whole sets. Equal sets are one node.
-Every member of a signature is compared with one member first; then only members of different
-components of the links so far, so the members of a group of near copies are not compared in pairs,
-and no link between components is lost.
+Every member of a signature is compared with one member first, then, in further rounds, with members
+drawn anew among those of other components, so a group of near copies grows together by a number of
+comparisons in proportion to its members. In the end all pairs of members that are still in different
+components are compared, in chunks from which only plausible pairs leave, so no link between components
+is lost.
 
 Why exact segments and no one-deletion neighbourhoods for large sets: an exact signature costs one
 row and covers one difference, a neighbourhood of a segment of g elements costs g + 1 rows and
@@ -57,6 +59,11 @@ FREQUENT = 8
 #: So many of the most frequent elements are told to all tasks (12 bytes each). More would only
 #: lower the cost, never change the result.
 MOST_FREQUENT = 1 << 20
+#: A signature with more open members than this is compared by chunks of CHUNK_MEMBERS.
+FEW = 16
+CHUNK_MEMBERS = 1024
+#: Rounds of comparing members with drawn ones before the rest is compared in full.
+MOST_TURNS = 4
 BLOCK_BYTES = 5 << 20
 SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
 PAIR = "a long, b long"
@@ -75,8 +82,8 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def bitmap(members: np.ndarray) -> bytes:
-    """One bit per hash place, flipped by each element: about as many places as elements."""
-    places = max(64, 1 << (len(members) - 1).bit_length())
+    """One bit per hash place, flipped by each element: about twice as many places as elements."""
+    places = max(64, 2 << (len(members) - 1).bit_length())
     flips = np.bincount((members % np.uint64(places)).astype(np.int64), minlength=places) & 1
     return np.packbits(flips.astype(np.uint8)).tobytes()
 
@@ -416,6 +423,78 @@ def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame)
     return found
 
 
+def _folded(bits: np.ndarray) -> np.ndarray:
+    half = bits.shape[1] // 2
+    return bits[:, :half] ^ bits[:, half:]
+
+
+def compare_block(table: pa.Table) -> pa.Table:
+    """Plausible pairs of members of different components, of one signature and pair of chunks."""
+    first, second = table.column("first")[0].as_py(), table.column("second")[0].as_py()
+    key, root, n, chunk = (table.column(c).to_numpy() for c in ("key", "root", "n_shingles", "chunk"))
+    bits = table.column("bits").to_pylist()
+    width = np.array([len(b) for b in bits])
+    out_a, out_b = [], []
+    for w in np.unique(width).tolist():
+        for v in (w, 2 * w):  # sets of similar size have maps of the same or of twice the width
+            left, right = np.flatnonzero((width == w) & (chunk == first)), np.flatnonzero((width == v) & (chunk == second))
+            pairs = [(left, right)]
+            if v != w and first != second:
+                pairs.append((np.flatnonzero((width == w) & (chunk == second)), np.flatnonzero((width == v) & (chunk == first))))
+            for x, y in pairs:
+                if not len(x) or not len(y):
+                    continue
+                map_x = np.frombuffer(b"".join(bits[k] for k in x), np.uint8).reshape(len(x), -1).view(np.uint64)
+                map_y = np.frombuffer(b"".join(bits[k] for k in y), np.uint8).reshape(len(y), -1)
+                map_y = (map_y if v == w else _folded(map_y)).view(np.uint64)
+                for k, own in enumerate(map_x):
+                    at = x[k]
+                    differ = np.bitwise_count(map_y ^ own).sum(axis=1, dtype=np.int64)
+                    low, high = np.minimum(n[y], n[at]), np.maximum(n[y], n[at])
+                    good = (root[y] != root[at]) & (differ <= (n[y] + n[at]) // 7) & (4 * low >= 3 * high)
+                    if first == second and v == w:
+                        good &= key[y] > key[at]
+                    for other in key[y[good]].tolist():
+                        out_a.append(min(other, int(key[at])))
+                        out_b.append(max(other, int(key[at])))
+    return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+
+
+def open_pairs(open_members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs (a, b), a < b, that share a signature and lie in different components. Signatures of
+    few members are joined; those of many are dealt out by pairs of chunks, and only what the
+    bitmaps allow leaves a task."""
+    sizes = common.stored(open_members.groupBy("sig").agg(F.count("*").alias("n")), "open-sizes")
+    few = open_members.join(sizes.filter(F.col("n") <= FEW), "sig", "left_semi")
+    other = few.select("sig", F.col("key").alias("b"), F.col("root").alias("rb"))
+    joined = few.withColumnRenamed("key", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb"))).select("a", "b")
+    chunks = F.ceil(F.col("n") / CHUNK_MEMBERS).cast("int")
+    many = open_members.join(sizes.filter(F.col("n") > FEW), "sig").withColumn("chunks", chunks)
+    many = many.withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
+    # A chunk meets itself and every other one once.
+    many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    many = many.withColumn("first", F.least("chunk", "with")).withColumn("second", F.greatest("chunk", "with"))
+    many = many.select("sig", "first", "second", "key", "root", "chunk").join(sketches.select("key", "n_shingles", "bits"), "key")
+    blocks = many.groupBy("sig", "first", "second").applyInArrow(compare_block, PAIR)
+    return joined.unionByName(blocks).distinct()
+
+
+def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """sig, key, root of signatures whose members lie in several components."""
+    told = common.small_or_plain(roots.withColumnRenamed("node", "key"))
+    placed = members.join(told, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
+    several = common.small_or_plain(common.stored(several, "several"))
+    return placed.join(several, "sig", "left_semi").select("sig", "key", "root")
+
+
+def _open_pairs(open_members: DataFrame) -> DataFrame:
+    """Rows, and pairs of members of one signature in different components, without making them."""
+    by_root = open_members.groupBy("sig", "root").agg(F.count("*").alias("n"))
+    by_sig = by_root.groupBy("sig").agg(F.sum("n").cast("double").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"))
+    return by_sig.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs"))
+
+
 def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id, one row per input row."""
     spark = docs.sparkSession
@@ -458,22 +537,35 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         links = common.stored(links.unionByName(as_nodes(as_nodes(more, "a"), "b").select("a", "b")), "more-links")
     common.release(spark)
 
-    # Members of one signature in different components so far: each such pair is compared.
     roots = components(links)
-    members = as_nodes(met.filter(F.col("sig").isNotNull()).select("sig", "key"), "key")
-    told_roots = common.small_or_plain(roots.withColumnRenamed("node", "key"))
-    placed = members.join(told_roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    several = placed.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("sig")
-    several = common.small_or_plain(common.stored(several, "several"))
-    open_members = common.stored(placed.join(several, "sig", "left_semi").select("sig", "key", "root").distinct(), "open-members")
-    other = open_members.select("sig", F.col("key").alias("b"), F.col("root").alias("rb"))
-    across = open_members.withColumnRenamed("key", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb")))
-    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    members = common.stored(as_nodes(met.filter(F.col("sig").isNotNull()).select("sig", "key"), "key").distinct(), "members")
+    tested = pairs
+    for turn in range(MOST_TURNS):
+        # Members of one signature in different components so far.
+        open_members = common.stored(_open_members(members, roots), "open-members")
+        sums = _open_pairs(open_members).first()
+        if (sums["pairs"] or 0) <= 2 * (sums["rows"] or 0):
+            break
+        # Every signature draws another member; those not yet in its component are compared with it.
+        chief = F.min(F.struct(F.xxhash64("key", "sig", F.lit(turn)).alias("draw"), F.col("key").alias("chief"), F.col("root").alias("chief_root")))
+        chiefs = open_members.groupBy("sig").agg(chief.alias("c")).select("sig", "c.chief", "c.chief_root")
+        drawn = open_members.join(chiefs, "sig").filter("root <> chief_root")
+        drawn = drawn.select(F.least("key", "chief").alias("a"), F.greatest("key", "chief").alias("b")).distinct()
+        fresh = common.stored(drawn.join(tested, ["a", "b"], "left_anti"), "drawn")
+        found = linked(fresh, sets, sketches, f"turn-{turn}")
+        tested = tested.unionByName(fresh)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        roots = components(links)
+    open_members = common.stored(_open_members(members, roots), "open-members")
+    across = open_pairs(open_members, sketches).join(tested, ["a", "b"], "left_anti")
     late = linked(across, sets, sketches, "late")
     if not late.isEmpty():
         roots = components(links.unionByName(late))
 
-    every = sets.select("doc_id", "n_shingles", "set_id", "key", F.col("shingles").isNotNull().alias("first"))
+    every = common.stored(sets.select("doc_id", "n_shingles", "set_id", "key", F.col("shingles").isNotNull().alias("first")), "set-of-document")
+    common.discard(sets, met, members, sketches, open_members)
     lone = every.filter(F.col("set_id").isNull()).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     by_set = every.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("low"), F.min(F.when(F.col("first"), F.col("key"))).alias("node"))
     by_set = common.stored(by_set.join(roots, "node", "left"), "set-roots")

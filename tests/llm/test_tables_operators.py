@@ -175,6 +175,21 @@ def test_jaccard_join_on_near_copies(spark, seed):
     assert Counter(map(tuple, jaccard_join.jaccard_join(docs).collect())) == plain_groups(rows)
 
 
+def test_large_groups_of_unlinked_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "FEW", 2)
+    monkeypatch.setattr(jaccard_join, "CHUNK_MEMBERS", 7)
+    rng = random.Random(9)
+    base = prose(77, 120).split()
+    rows = []
+    for k in range(120):
+        own = list(base) + prose(k, rng.choice([0, 20, 40])).split()
+        for _ in range(rng.choice([1, 3, 6, 9])):
+            own[rng.randrange(120)] = f"edit{rng.randrange(9)}"
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(map(tuple, jaccard_join.jaccard_join(docs).collect())) == plain_groups(rows)
+
+
 def test_uncovered_sets_are_compared(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SEGMENTS_A_SIZE", 0.05)  # too few segments for any set
     base = prose(7, 60).split()
