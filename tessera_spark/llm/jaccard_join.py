@@ -62,8 +62,10 @@ MOST_FREQUENT = 1 << 20
 #: A signature with more open members than this is compared by chunks of CHUNK_MEMBERS.
 FEW = 16
 CHUNK_MEMBERS = 1024
-#: Rounds of comparing members with drawn ones before the rest is compared in full.
-MOST_TURNS = 4
+#: Rounds of comparing members with drawn ones before the rest is compared in full: as long as a
+#: round leaves at most this share of the open pairs.
+MOST_TURNS = 8
+STILL_GAINING = 0.7
 BLOCK_BYTES = 5 << 20
 SETS = "key long, doc_id long, n_shingles long, set_id binary, bits binary, shingles binary"
 PAIR = "a long, b long"
@@ -539,13 +541,15 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 
     roots = components(links)
     members = common.stored(as_nodes(met.filter(F.col("sig").isNotNull()).select("sig", "key"), "key").distinct(), "members")
-    tested = pairs
+    tested, before = pairs, float("inf")
     for turn in range(MOST_TURNS):
         # Members of one signature in different components so far.
         open_members = common.stored(_open_members(members, roots), "open-members")
         sums = _open_pairs(open_members).first()
-        if (sums["pairs"] or 0) <= 2 * (sums["rows"] or 0):
+        left = sums["pairs"] or 0.0
+        if left <= 2 * (sums["rows"] or 0) or left > STILL_GAINING * before:
             break
+        before = left
         # Every signature draws another member; those not yet in its component are compared with it.
         chief = F.min(F.struct(F.xxhash64("key", "sig", F.lit(turn)).alias("draw"), F.col("key").alias("chief"), F.col("root").alias("chief_root")))
         chiefs = open_members.groupBy("sig").agg(chief.alias("c")).select("sig", "c.chief", "c.chief_root")
