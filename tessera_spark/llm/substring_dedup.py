@@ -10,9 +10,13 @@ passages always do.
 
 Texts that share a signature are linked to one of them, first inside a block of texts, then, by its
 representative, across blocks, so a passage that a third of all texts hold is never gathered in one
-task. The representative depends on the signature, so that one stray text does not stand for all. Each
-linked pair is then verified on the shingles around the shared places: a passage is kept if both
-sides have ``PASSAGE`` words or more and their shingle sets reach the similarity.
+task. Each linked pair is then verified on the shingles around the shared places: a passage is kept if
+both sides have ``PASSAGE`` words or more and their shingle sets reach the similarity.
+
+A place whose comparison failed is open: its text and the representative share the minima, but no
+passage around them. Open places are compared with all texts of their signature, first inside a chunk of
+these, then, if none was found there, with the other chunks. In a chunk an open place that is found similar
+to another is linked to it and needs no comparisons of its own, so the representatives only save work.
 
 Equal texts are one node: they repeat as a whole if they have ``PASSAGE`` words.
 
@@ -40,6 +44,10 @@ SIMILARITY_PERCENT = 75
 #: Pairs of hash functions: a passage at the similarity is found with 1 - (1 - 0.75²)² per run.
 BANDS = ((1, 2), (3, 4))
 BLOCK_SHINGLES = 1 << 19
+#: Texts of a signature with open places are compared in chunks of so many.
+CHUNK_MEMBERS = 1024
+#: Places of the table that tells which keys and signatures are open.
+SLOTS = 1 << 21
 PLACE_BITS = 20
 
 
@@ -85,29 +93,31 @@ def run_starts(windows: tuple[np.ndarray, np.ndarray, np.ndarray], run: int) ->
     return first[order], c[order]
 
 
-def signature_rows(shingles: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, place of its first run) for all bands."""
-    sigs, places = [], []
+def signature_rows(shingles: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, place of the first of its two minima, distance to the second) for all bands."""
+    sigs, places, spans = [], [], []
     for number, functions in enumerate(BANDS):
-        parts = []
+        parts, drawn = [], []
         for f in functions:
             with np.errstate(over="ignore"):
                 h = common.mixed(shingles + np.uint64(f) * np.uint64(0xD1B54A32D192ED03))
             first, centre = run_starts(compact_windows(h, begin, stop, RUN), RUN)
-            parts.append((first, h[centre]))
+            parts.append((first, centre))
+            drawn.append(h)
         # Interval join: at each begin of a piece of either division, the piece of the other.
-        (a, ha), (b, hb) = parts
+        (a, ca), (b, cb), (ha, hb) = *parts, drawn
         place = np.union1d(a, b)
         if not len(place):
             continue
+        x = ca[np.searchsorted(a, place, side="right") - 1]
+        y = cb[np.searchsorted(b, place, side="right") - 1]
         with np.errstate(over="ignore"):
-            x = ha[np.searchsorted(a, place, side="right") - 1]
-            y = hb[np.searchsorted(b, place, side="right") - 1]
-            sigs.append(common.mixed(x * np.uint64(3) + common.mixed(y + np.uint64(number))))
-        places.append(place)
+            sigs.append(common.mixed(ha[x] * np.uint64(3) + common.mixed(hb[y] + np.uint64(number))))
+        places.append(np.minimum(x, y))
+        spans.append(np.abs(x - y))
     if not sigs:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    return np.concatenate(sigs), np.concatenate(places)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(sigs), np.concatenate(places), np.concatenate(spans)
 
 
 def star(sig: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,16 +132,18 @@ def star(sig: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarra
     return order, first, chief
 
 
-ROWS = "bucket int, sig binary, keys binary, at binary, key long, other long, places binary"
+ROWS = "bucket int, sig binary, keys binary, at binary, spans binary, key long, other long, places binary"
 PAIRS = "key long, other long, places binary"
-KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary()]
+#: The bucket of the texts of a block that are not its representatives.
+OTHERS = -1
 
 
-def packed_pairs(key: np.ndarray, place: np.ndarray, other: np.ndarray, other_place: np.ndarray) -> list[tuple[int, int, bytes]]:
-    """One row per pair of texts, with all places that they share."""
+def packed_pairs(key: np.ndarray, place: np.ndarray, span: np.ndarray, other: np.ndarray, other_place: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """One row per pair of texts, with all places that they share and the distances of their minima."""
     order = np.lexsort((other_place, place, other, key))
     key, other = key[order], other[order]
-    places = np.stack([place[order], other_place[order]], axis=1).astype(np.int32)
+    places = np.stack([place[order], other_place[order], span[order]], axis=1).astype(np.int32)
     cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(other) != 0)) + 1
     return [(int(key[p[0]]), int(other[p[0]]), places[p].tobytes()) for p in (np.split(np.arange(len(key)), cuts) if len(key) else [])]
 
@@ -144,19 +156,21 @@ def make_windows(buckets: int):
         lengths = np.array([len(s) for _, s in texts], np.int64)
         stop = np.cumsum(lengths)
         begin = stop - lengths
-        sig, place = signature_rows(np.concatenate([s for _, s in texts]), begin, stop)
+        sig, place, span = signature_rows(np.concatenate([s for _, s in texts]), begin, stop)
         owner = np.searchsorted(stop, place, side="right")
         key = np.array([k for k, _ in texts], np.int64)[owner]
         place = place - begin[owner]
         order, first, chief = star(sig, key, place)
-        sig, key, place = sig[order], key[order], place[order]
+        sig, key, place, span = sig[order], key[order], place[order], span[order]
         pair = ~first & (key != key[chief])
-        rows = [(None,) * 4 + p for p in packed_pairs(key[pair], place[pair], key[chief][pair], place[chief][pair])]
-        sig, key, place = sig[first], key[first], place[first]
+        rows = [(None,) * 5 + p for p in packed_pairs(key[pair], place[pair], span[pair], key[chief][pair], place[chief][pair])]
+        if pair.any():
+            rows.append((OTHERS, sig[pair].tobytes(), key[pair].tobytes(), place[pair].astype(np.uint32).tobytes(), None, None, None, None))
+        sig, key, place, span = sig[first], key[first], place[first], span[first]
         bucket = (sig % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(order) else []:
-            rows.append((int(bucket[part[0]]), sig[part].tobytes(), key[part].tobytes(), place[part].astype(np.uint32).tobytes(), None, None, None))
+            rows.append((int(bucket[part[0]]), sig[part].tobytes(), key[part].tobytes(), place[part].astype(np.uint32).tobytes(), span[part].astype(np.uint8).tobytes(), None, None, None))
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)], names)
 
@@ -201,30 +215,31 @@ def pair_up(table: pa.Table) -> pa.Table:
     sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint64)
     key = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.int64)
     place = np.frombuffer(b"".join(table.column("at").to_pylist()), np.uint32).astype(np.int32)
+    span = np.frombuffer(b"".join(table.column("spans").to_pylist()), np.uint8)
     order = np.argsort(sig, kind="stable")
     s = sig[order]
     same = s[1:] == s[:-1]
     twice = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])] if len(s) else order
-    sig, key, place = sig[twice], key[twice], place[twice]
+    sig, key, place, span = sig[twice], key[twice], place[twice], span[twice]
     order, first, chief = star(sig, key, place)
-    key, place = key[order], place[order]
+    key, place, span = key[order], place[order], span[order]
     pair = ~first & (key != key[chief])
-    rows = packed_pairs(key[pair], place[pair], key[chief][pair], place[chief][pair])
+    rows = packed_pairs(key[pair], place[pair], span[pair], key[chief][pair], place[chief][pair])
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 3
-    return pa.table({n: pa.array(c, k) for n, c, k in zip(("key", "other", "places"), columns, KINDS[4:], strict=True)})
+    return pa.table({n: pa.array(c, k) for n, c, k in zip(("key", "other", "places"), columns, KINDS[5:], strict=True)})
 
 
-def clusters(places: list[list[int]]) -> list[tuple[int, int, int, int]]:
-    """Regions (lo, hi, other lo, other hi) of shingle places to verify: shared places that lie near
-    each other on both sides, with a run's length around them."""
-    out: list[list[int]] = []
-    for x, y in places:
+def clusters(places: list[list[int]]) -> list[tuple[int, int, int, int, list]]:
+    """Regions (lo, hi, other lo, other hi) of shingle places to verify, and the places: shared places
+    that lie near each other on both sides, with a run's length around them."""
+    out: list[list] = []
+    for x, y, span in places:
         near = out and x - out[-1][1] <= 2 * RUN and out[-1][2] - 2 * RUN <= y <= out[-1][3] + 2 * RUN
         if near:
-            out[-1] = [out[-1][0], x, min(out[-1][2], y), max(out[-1][3], y)]
+            out[-1] = [out[-1][0], x, min(out[-1][2], y), max(out[-1][3], y), [*out[-1][4], (x, y, span)]]
         else:
-            out.append([x, x, y, y])
-    return [(max(a - RUN, 0), b + 2 * RUN, max(c - RUN, 0), d + 2 * RUN) for a, b, c, d in out]
+            out.append([x, x, y, y, [(x, y, span)]])
+    return [(max(a - RUN, 0), b + 2 * RUN, max(c - RUN, 0), d + 2 * RUN, at) for a, b, c, d, at in out]
 
 
 def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[int, int, int, int, float]]:
@@ -266,14 +281,15 @@ REGION = "struct<lo:int,hi:int,other_lo:int,other_hi:int>"
 
 
 def _cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "other", "lo", "hi", "other_lo", "other_hi"]
+    names = ["key", "other", "lo", "hi", "other_lo", "other_hi", "places"]
+    kinds = [pa.int64()] * 2 + [pa.int32()] * 4 + [pa.binary()]
     for batch in batches:
         rows = []
         for key, other, places in zip(batch.column("key").to_pylist(), batch.column("other").to_pylist(), batch.column("places").to_pylist(), strict=True):
-            shared = np.unique(np.frombuffer(b"".join(places), np.int32).reshape(-1, 2), axis=0)
-            rows += [(key, other, *c) for c in clusters(shared.tolist())]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 2 else pa.int32()) for k, c in enumerate(columns)], names)
+            shared = np.unique(np.frombuffer(b"".join(places), np.int32).reshape(-1, 3), axis=0)
+            rows += [(key, other, *c, np.array(at, np.int32).tobytes()) for *c, at in clusters(shared.tolist())]
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,19 +315,123 @@ def _wide(data: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
+FOUND = "key long, start_word int, stop_word int, other long, other_start int, other_stop int, similarity double"
+#: Passages, or, without the other columns, an open place of a text.
+CHECKED = f"{FOUND}, sig long, place int"
+CHECKED_KINDS = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.int32()]
+
+
+def _checked(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(CHECKED_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, CHECKED_KINDS, strict=True)], [c.split()[0] for c in CHECKED.split(", ")])
+
+
+def _passage(key: int, lo: int, other: int, other_lo: int, found: tuple[int, int, int, int, float]) -> tuple:
+    a, b, c, d, similarity = found
+    return (key, lo + a, lo + b + SHINGLE - 1, other, other_lo + c, other_lo + d + SHINGLE - 1, similarity, None, None)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Passages of the regions, and the places of both sides that are in none of them."""
     for batch in batches:
         rows = []
-        columns = (batch.column(c).to_pylist() for c in ("key", "other", "lo", "other_lo", "x", "y"))
-        for key, other, lo, other_lo, x, y in zip(*columns, strict=True):
-            for a, b, c, d, similarity in common_passages(_wide(x), _wide(y)):
-                rows.append((key, lo + a, lo + b + SHINGLE - 1, other, other_lo + c, other_lo + d + SHINGLE - 1, similarity))
-        out = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], [c.split()[0] for c in FOUND.split(", ")])
+        columns = (batch.column(c).to_pylist() for c in ("key", "other", "lo", "other_lo", "x", "y", "places"))
+        for key, other, lo, other_lo, x, y, places in zip(*columns, strict=True):
+            passages = common_passages(_wide(x), _wide(y))
+            rows += [_passage(key, lo, other, other_lo, p) for p in passages]
+            at, there, span = np.frombuffer(places, np.int32).reshape(-1, 3).T
+            held = np.zeros(len(at), bool)
+            for a, b, c, d, _ in passages:
+                held |= (at >= lo + a) & (at + span < lo + b) & (there >= other_lo + c) & (there < other_lo + d)
+            for k, p in {*((key, p) for p in at[~held].tolist()), *((other, p) for p in there[~held].tolist())}:
+                rows.append((k, *(None,) * 7, p))
+        yield _checked(rows)
 
 
-FOUND = "key long, start_word int, stop_word int, other long, other_start int, other_stop int, similarity double"
+MEMBERS = "sig long, key long, place int"
+
+
+def make_members(column: str, told):
+    """Single rows of the packed signatures whose key or signature is told."""
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = told.value
+        for batch in batches:
+            for sig, keys, at in zip(*(batch.column(c).to_pylist() for c in ("sig", "keys", "at")), strict=True):
+                data = {"sig": np.frombuffer(sig, np.int64), "key": np.frombuffer(keys, np.int64), "place": np.frombuffer(at, np.uint32).astype(np.int32)}
+                keep = bits[data[column] % SLOTS]
+                if keep.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in data.values()], list(data))
+
+    return members
+
+
+def told_slots(table: DataFrame, column: str):
+    """A table of SLOTS marks, in which those of the column's values are set."""
+    bits = np.zeros(SLOTS, bool)
+    bits[table.select(F.pmod(F.col(column), F.lit(SLOTS)).alias("slot")).distinct().toArrow().column("slot").to_numpy()] = True
+    return table.sparkSession.sparkContext.broadcast(bits)
+
+
+def compare_chunk(table: pa.Table) -> pa.Table:
+    """Compare the open places of a chunk with all of its places. Returned are passages, and the
+    places that are still open."""
+    sig = table.column("sig")[0].as_py()
+    key, place, lo = (table.column(c).to_numpy() for c in ("key", "place", "lo"))
+    parts = [_wide(x) for x in table.column("shingles").to_pylist()]
+    open_ = table.column("open").to_numpy(zero_copy_only=False).copy()
+    names, code = np.unique(np.concatenate(parts), return_inverse=True)
+    begin = np.cumsum([0, *(len(x) for x in parts[:-1])])
+    rows = []
+    for k in np.lexsort((place, key)).tolist():
+        if not open_[k]:
+            continue
+        mark = np.zeros(len(names), np.int32)
+        mark[code[begin[k] : begin[k] + len(parts[k])]] = 1
+        shared = np.add.reduceat(mark[code], begin)
+        for j in np.flatnonzero((shared >= RUN * SIMILARITY_PERCENT // 100) & (key != key[k])).tolist():
+            if not open_[k] and not open_[j]:
+                continue
+            # Only passages around the minima, as for pairs with representatives.
+            passages = [p for p in common_passages(parts[j], parts[k]) if p[0] <= place[j] - lo[j] < p[1] and p[2] <= place[k] - lo[k] < p[3]]
+            if passages:
+                rows += [_passage(int(key[j]), int(lo[j]), int(key[k]), int(lo[k]), p) for p in passages]
+                open_[k] = open_[j] = False
+    rows += [(int(key[k]), *(None,) * 6, sig, int(place[k])) for k in np.flatnonzero(open_).tolist()]
+    return pa.Table.from_batches([_checked(rows)])
+
+
+def compare_open(failed: DataFrame, windows: DataFrame, cut_out) -> list[DataFrame]:
+    """Passages of the open places (key, place) with any text of their signatures."""
+    packed = windows.filter(F.col("sig").isNotNull()).select("sig", "keys", "at")
+    failed = common.stored(failed.distinct(), "open-places")
+    if failed.isEmpty():
+        return []
+    known = packed.mapInArrow(make_members("key", told_slots(failed, "key")), MEMBERS)
+    asked = common.stored(known.join(common.small_or_plain(failed), ["key", "place"], "left_semi").select("sig", "key", "place").distinct(), "open")
+    sigs = common.stored(asked.select("sig").distinct(), "open-signatures")
+    members = packed.mapInArrow(make_members("sig", told_slots(sigs, "sig")), MEMBERS).join(common.small_or_plain(sigs), "sig", "left_semi")
+    both = members.withColumn("open", F.lit(False)).unionByName(asked.withColumn("open", F.lit(True)))
+    members = common.stored(both.groupBy("sig", "key", "place").agg(F.max("open").alias("open")), "open-members")
+    sized = members.groupBy("sig").agg(F.ceil(F.count("*") / F.lit(CHUNK_MEMBERS)).cast("int").alias("chunks"))
+    lo = F.greatest(F.col("place") - RUN, F.lit(0))
+    places = members.join(sized, "sig").withColumn("lo", lo).withColumn("hi", F.col("place") + 2 * RUN)
+    regions = cut_out(places.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "open")
+    chunk = F.pmod(F.xxhash64("key", "sig"), F.col("chunks")).cast("int")
+    columns = ["sig", "chunk", "key", "place", "lo", "open", "shingles"]
+    spots = common.stored(places.join(regions, ["key", "lo", "hi"]).withColumn("chunk", chunk).select(*columns, "chunks"), "open-spots")
+    own = common.stored(spots.select(columns).groupBy("sig", "chunk").applyInArrow(compare_chunk, CHECKED), "open-chunks")
+
+    # What has found nothing in its own chunk meets the other chunks.
+    left = own.filter(F.col("place").isNotNull()).select("sig", "key", "place")
+    still = spots.filter("open and chunks > 1").join(left, ["sig", "key", "place"], "left_semi")
+    still = common.stored(still, "still-open")
+    if still.isEmpty():
+        return [own]
+    visits = still.withColumn("home", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("chunk != home")
+    hosts = spots.withColumn("open", F.lit(False)).join(still.select("sig", F.col("chunk").alias("home")).distinct(), "sig").filter("chunk != home")
+    whole = visits.select(*columns, "home").unionByName(hosts.select(*columns, "home"))
+    return [own, common.stored(whole.groupBy("sig", "chunk", "home").applyInArrow(compare_chunk, CHECKED), "other-chunks")]
 
 
 def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
@@ -326,24 +446,33 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     )
     narrow = common.stored(rows.select("doc_id", "key", common.word_count(F.col("text")).alias("words")).filter(F.col("words") >= PASSAGE), "repeat-ids")
     windows = common.stored(rows.select("key", "text").mapInArrow(make_windows(buckets), ROWS), "windows")
-    cells = windows.filter(F.col("bucket").isNotNull()).select("bucket", "sig", "keys", "at")
+    cells = windows.filter(F.col("bucket") != OTHERS).select("bucket", "sig", "keys", "at", "spans")
     pairs = cells.groupBy("bucket").applyInArrow(pair_up, PAIRS).unionByName(windows.filter(F.col("bucket").isNull()).select("key", "other", "places"))
     grouped = pairs.groupBy("key", "other").agg(F.collect_list("places").alias("places"))
-    asked = common.stored(grouped.mapInArrow(_cluster, "key long, other long, lo int, hi int, other_lo int, other_hi int"), "regions")
+    asked = common.stored(grouped.mapInArrow(_cluster, "key long, other long, lo int, hi int, other_lo int, other_hi int, places binary"), "regions")
 
     both = asked.select("key", "lo", "hi").unionByName(asked.select(F.col("other").alias("key"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi")))
-    wanted = common.stored(both.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "wanted")
-    # One row of each wanted text: that of the smallest id.
     holders = narrow.groupBy("key").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"), F.count("*").alias("copies"), F.max("words").alias("words"))
     holders = common.stored(holders, "holders")
-    one = common.stored(wanted.select("key").join(holders, "key").select(F.col("key").alias("one_key"), "holder"), "wanted-ids")
-    texts = rows.join(common.small_or_plain(one), (F.col("key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("key", "text")
-    cut = texts.join(wanted, "key").mapInArrow(_cut, "key long, lo int, hi int, shingles binary")
-    cut = common.stored(cut.dropDuplicates(["key", "lo", "hi"]), "cut-regions")
+
+    def cut_out(wanted: DataFrame, name: str) -> DataFrame:
+        """Shingles of the wanted regions, from one row of each wanted text: that of the smallest id."""
+        wanted = common.stored(wanted, f"{name}-wanted")
+        one = common.stored(wanted.select("key").join(holders, "key").select(F.col("key").alias("one_key"), "holder"), f"{name}-ids")
+        texts = rows.join(common.small_or_plain(one), (F.col("key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("key", "text")
+        cut = texts.join(wanted, "key").mapInArrow(_cut, "key long, lo int, hi int, shingles binary")
+        return common.stored(cut.dropDuplicates(["key", "lo", "hi"]), f"{name}-cut")
+
+    cut = cut_out(both.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "repeat")
     at_key = cut.withColumnRenamed("shingles", "x")
     at_other = cut.select(F.col("key").alias("other"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"), F.col("shingles").alias("y"))
-    found = asked.join(at_key, ["key", "lo", "hi"]).join(at_other, ["other", "other_lo", "other_hi"]).select("key", "other", "lo", "other_lo", "x", "y")
-    found = common.stored(found.mapInArrow(_verify, FOUND).distinct(), "passages")
+    found = asked.join(at_key, ["key", "lo", "hi"]).join(at_other, ["other", "other_lo", "other_hi"]).select("key", "other", "lo", "other_lo", "x", "y", "places")
+    checked = common.stored(found.mapInArrow(_verify, CHECKED), "checked")
+    more = compare_open(checked.filter(F.col("place").isNotNull()).select("key", "place"), windows, cut_out)
+    found = checked
+    for table in more:
+        found = found.unionByName(table)
+    found = common.stored(found.filter(F.col("place").isNull()).drop("sig", "place").distinct(), "passages")
 
     # The other side's passage is a passage of its own document: one row, with one of the texts.
     first = F.min(F.struct("key", "start_word", "stop_word", "similarity")).alias("m")

@@ -354,6 +354,19 @@ def test_repeated_passages(spark, edge_docs, no_docs):
     assert substring_dedup.repeated_passages(no_docs).count() == 0
 
 
+def test_exact_copies_under_a_common_phrase(spark, monkeypatch):
+    """Every pair shares 50 words of its own around a phrase of 200 other texts, one of which stands for
+    the phrase's signatures."""
+    monkeypatch.setattr(substring_dedup, "CHUNK_MEMBERS", 64, raising=False)
+    phrase = prose(90, 30)
+    rows = [full(k, f"{prose(9000 + k, 40)} {phrase} {prose(9500 + k, 40)}") for k in range(200)]
+    for k in range(60):
+        passage = f"{prose(10000 + k, 10)} {phrase} {prose(10100 + k, 10)}"
+        rows += [full(1000 + 2 * k + side, f"{prose(11000 + 2 * k + side, 30)} {passage} {prose(12000 + 2 * k + side, 30)}") for side in (0, 1)]
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert {(r.doc_id, r.other_doc_id) for r in found if r.start_word <= 30 and r.stop_word >= 80} == {(k, k ^ 1) for k in range(1000, 1120)}
+
+
 def test_long_texts_are_cut_with_overlap(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BLOCK_SHINGLES", 64)
     text = prose(80, 400)
