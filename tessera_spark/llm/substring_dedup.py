@@ -41,8 +41,8 @@ SHINGLE = 5
 PASSAGE = 50
 RUN = PASSAGE - SHINGLE + 1
 SIMILARITY_PERCENT = 75
-#: Pairs of hash functions: a passage at the similarity is found with 1 - (1 - 0.75²)² per run.
-BANDS = ((1, 2), (3, 4))
+#: Pairs of hash functions: a passage at the similarity is found with 1 - (1 - 0.75²)³ = 0.916 per run.
+BANDS = ((1, 2), (3, 4), (5, 6))
 BLOCK_SHINGLES = 1 << 19
 #: Texts of a signature with open places are compared in chunks of so many.
 CHUNK_MEMBERS = 1024

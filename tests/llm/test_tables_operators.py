@@ -367,6 +367,23 @@ def test_exact_copies_under_a_common_phrase(spark, monkeypatch):
     assert {(r.doc_id, r.other_doc_id) for r in found if r.start_word <= 30 and r.stop_word >= 80} == {(k, k ^ 1) for k in range(1000, 1120)}
 
 
+def test_recall_of_short_near_copies(spark):
+    """Pairs of 50 to 60 words that differ in one or two words of the middle, against their similarity."""
+    rows, pairs = [], 0
+    for k in range(400):
+        text = prose(20000 + k, 50 + k % 11).split()
+        other = list(text)
+        for at in range(1 + k % 2):
+            other[len(text) // 2 + at] = f"changed{at}"
+        a, b = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (text, other))
+        if len(a & b) >= 0.75 * len(a | b):
+            rows += [full(2 * pairs, " ".join(text)), full(2 * pairs + 1, " ".join(other))]
+            pairs += 1
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    recall = len({(r.doc_id, r.other_doc_id) for r in found if r.other_doc_id == r.doc_id ^ 1}) / (2 * pairs)
+    assert pairs > 350 and recall >= 0.9
+
+
 def test_long_texts_are_cut_with_overlap(spark, monkeypatch):
     monkeypatch.setattr(substring_dedup, "BLOCK_SHINGLES", 64)
     text = prose(80, 400)
