@@ -382,14 +382,30 @@ def compare_chunk(table: pa.Table) -> pa.Table:
     open_ = table.column("open").to_numpy(zero_copy_only=False).copy()
     names, code = np.unique(np.concatenate(parts), return_inverse=True)
     begin = np.cumsum([0, *(len(x) for x in parts[:-1])])
+    # Both sides of a passage have RUN shingles or more, of which only a region's repetitions are not
+    # distinct; so many of them at least are common at the similarity.
+    least = np.array([max(RUN - len(x) + len(np.unique(x)), 0) for x in parts])
+    # A run around the place gains by common shingles what it must pay for its length and the other's.
+    wide = np.full((len(parts), max(len(x) for x in parts)), len(names))
+    for k, x in enumerate(parts):
+        wide[k, : len(x)] = code[begin[k] : begin[k] + len(x)]
+    ends = np.arange(wide.shape[1] + 1)
+    at = (place - lo)[:, None]
+    repeats = np.array([len(x) - len(np.unique(x)) for x in parts])
     rows = []
     for k in np.lexsort((place, key)).tolist():
         if not open_[k]:
             continue
-        mark = np.zeros(len(names), np.int32)
+        mark = np.zeros(len(names) + 1, np.int32)
         mark[code[begin[k] : begin[k] + len(parts[k])]] = 1
         shared = np.add.reduceat(mark[code], begin)
-        for j in np.flatnonzero((shared >= RUN * SIMILARITY_PERCENT // 100) & (key != key[k])).tolist():
+        enough = np.maximum(RUN * SIMILARITY_PERCENT // 100 * (100 + SIMILARITY_PERCENT), SIMILARITY_PERCENT * (least + least[k]))
+        near = np.flatnonzero((shared * (100 + SIMILARITY_PERCENT) >= enough) & (key != key[k]) & (open_[k] | open_))
+        gain = np.zeros((len(near), len(ends)), np.int64)
+        np.cumsum(mark[wide[near]] * (100 + SIMILARITY_PERCENT) - SIMILARITY_PERCENT, axis=1, out=gain[:, 1:])
+        before = ends <= at[near]
+        best = np.where(before, np.iinfo(np.int64).min // 2, gain).max(axis=1, initial=np.iinfo(np.int64).min // 2) - np.where(before, gain, np.iinfo(np.int64).max // 4).min(axis=1, initial=np.iinfo(np.int64).max // 4)
+        for j in near[best >= SIMILARITY_PERCENT * (least[k] - repeats[near])].tolist():
             if not open_[k] and not open_[j]:
                 continue
             # Only passages around the minima, as for pairs with representatives.
