@@ -73,3 +73,28 @@ named AS (SELECT r.x, min(i.low) AS component_id FROM reach r JOIN nodes m ON m.
 SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE c.component_id END AS component_id
 FROM sets s LEFT JOIN nodes m ON m.s = s.s LEFT JOIN named c ON c.x = m.node
 """
+
+#: The neighbour in a circle by a window over all rows, sketches by lists of MD5 prefixes.
+FINGERPRINTS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (
+    SELECT doc_id, t, length(t) AS c, coalesce(lead(t) OVER o, first_value(t) OVER o) AS other
+    FROM d WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, t)),
+e AS (SELECT *, substr(t, 1, c - c // 3) || substr(other, 1, c // 3) AS edited FROM n),
+w AS (
+    SELECT *, list_transform([t, edited, other], lambda x: regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words FROM e),
+s AS (
+    SELECT *, list_transform(words, lambda w: list_sort(list_distinct(list_filter(
+        CASE WHEN len(w) > 0 THEN list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda k: substr(md5(array_to_string(w[k : k + 4], ' ')), 1, 16)) ELSE [] END,
+        lambda h: h < '4000')))) AS k
+    FROM w),
+j AS (
+    SELECT *, len(list_intersect(k[1], k[2])) AS both_e, len(list_distinct(k[1] || k[2])) AS all_e,
+        len(list_intersect(k[1], k[3])) AS both_n, len(list_distinct(k[1] || k[3])) AS all_n
+    FROM s)
+SELECT doc_id, CAST(c AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
+    md5(t) || ':' || coalesce(array_to_string(k[1], ','), '') AS fingerprint, md5(edited) || ':' || coalesce(array_to_string(k[2], ','), '') AS edited_fingerprint,
+    CASE WHEN all_e > 0 THEN both_e::DOUBLE / all_e::DOUBLE WHEN t = edited THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS near_edited,
+    CASE WHEN all_n > 0 THEN both_n::DOUBLE / all_n::DOUBLE WHEN t = other THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS near_next
+FROM j
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera_spark.llm import brown, decontaminate, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
+from tessera_spark.llm import brown, decontaminate, fingerprints, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(docs, repository=repository))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_brown_scores": op1_brown_scores,
@@ -68,6 +72,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
+        "op12_fingerprints": op12_fingerprints,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -77,4 +82,5 @@ def all_sql() -> dict[str, str]:
         "op3_sharding": oracle.SHARDING,
         "op7_mixing": oracle.MIXING,
         "op9_jaccard_join": oracle.JACCARD_JOIN,
+        "op12_fingerprints": oracle.FINGERPRINTS,
     }
