@@ -98,3 +98,24 @@ SELECT doc_id, CAST(c AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256,
     CASE WHEN all_n > 0 THEN both_n::DOUBLE / all_n::DOUBLE WHEN t = other THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS near_next
 FROM j
 """
+
+#: All scores of all anchors, ranked by windows.
+HARD_NEGATIVES = """
+WITH sound AS (
+    SELECT row_number() OVER () AS n, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+    SELECT a.n AS anchor, a.vec_id AS anchor_id, b.n AS other, b.vec_id AS id, a.label = b.label AS same,
+        CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda k: a.v[k] * b.v[k])) AS BIGINT) AS score
+    FROM sound a JOIN sound b ON a.vec_id % 100 = 0 AND a.n <> b.n),
+positives AS (
+    SELECT anchor, anchor_id, other, id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id NULLS LAST) <= 5),
+ranked AS (
+    SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY s.score DESC, s.id NULLS LAST) AS INTEGER) AS rank
+    FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera_spark.llm import brown, decontaminate, fingerprints, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
+from tessera_spark.llm import brown, decontaminate, fingerprints, hard_negatives, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
@@ -60,6 +60,12 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", hard_negatives.noisy_label(F.col("vec_id"), F.col("label")))
+    return hard_negatives.mine(rows, anchor=F.col("vec_id") % 100 == 0)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_brown_scores": op1_brown_scores,
@@ -73,6 +79,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
         "op12_fingerprints": op12_fingerprints,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -83,4 +90,5 @@ def all_sql() -> dict[str, str]:
         "op7_mixing": oracle.MIXING,
         "op9_jaccard_join": oracle.JACCARD_JOIN,
         "op12_fingerprints": oracle.FINGERPRINTS,
+        "op13_hard_negatives": oracle.HARD_NEGATIVES,
     }
