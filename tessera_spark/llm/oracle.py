@@ -119,3 +119,78 @@ ranked AS (
     FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
 """
+
+
+def _conversation_repair() -> str:
+    """The same search by recursion over the rows of a conversation: each state holds (cost, edits,
+    repaired lines), and the least of them is taken."""
+    never = "{'c': 1000000000, 'a': '', 'r': ''}"
+
+    def step(of: str, cost: str, edit: str, line: str = "", allowed: str = "true") -> str:
+        return f"{{'c': CASE WHEN {allowed} THEN {of}.c + {cost} ELSE 1000000000 END, 'a': {of}.a || '{edit}', 'r': {of}.r{' || ' + line if line else ''}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort([{', '.join(ways)}])[1]"
+
+    def insert(of: str, role: str) -> str:
+        return step(of, "5", "I", f"chr(10) || '{role}:'")
+
+    def row(of: str, initial: str, rerole: str | None) -> list[str]:
+        keep = step(of, "5 * truncated", "K", "chr(10) || role || ':' || text", f"NOT must_go AND initial = '{initial}'")
+        return [keep] + ([step(of, "1 + 5 * truncated", "R", f"chr(10) || '{rerole}:' || text", "NOT must_go")] if rerole else [])
+
+    def inserted(source: str, columns: str) -> str:
+        first = f"SELECT {columns}, s[1] AS t0, s[2] AS t1, s[4] AS s3, {least('s[3]', insert('s[1]', 'user'), insert('s[2]', 'user'))} AS u FROM {source}"
+        return f"SELECT {columns}, t0, t1, {least('u', insert('s3', 'user'))} AS t2, {least('s3', insert('u', 'assistant'))} AS t3 FROM ({first})"
+
+    after = [
+        step("t0", "2", "D"),
+        least(step("t1", "2", "D"), *row("t0", "s", None)),
+        least(step("t2", "2", "D"), *row("t0", "u", "user"), *row("t1", "u", "user"), *row("t3", "u", "user")),
+        least(step("t3", "2", "D"), *row("t2", "a", "assistant")),
+    ]
+    columns = "g, i, role, text, initial, must_go, truncated"
+    joined = "(SELECT w.g, w.s, r.i, r.role, r.text, r.initial, r.must_go, r.truncated FROM walk w JOIN faults r ON r.g = w.g AND r.i = w.i + 1)"
+    return rf"""
+WITH RECURSIVE steps AS (
+    SELECT list(value ORDER BY k) AS crc_table FROM (
+        SELECT k, list_reduce([k] || range(8), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END) AS value
+        FROM range(256) t(k))),
+named AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+kinds AS (
+    SELECT *, xor(list_reduce([4294967295] || list_transform(range(1, length(name) + 1), lambda k: ascii(substr(name, k, 1))::BIGINT),
+        lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS kind FROM named, steps),
+convs AS (SELECT conv_id, row_number() OVER () AS g FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+    SELECT g, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+        unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM kinds k JOIN convs c ON k.conv_id IS NOT DISTINCT FROM c.conv_id WHERE kind <> 0),
+numbered AS (
+    SELECT *, substr(role, 1, 1) AS initial, row_number() OVER o AS i, lag(substr(role, 1, 1)) OVER o AS before,
+        NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank
+    FROM damaged WINDOW o AS (PARTITION BY g ORDER BY turn NULLS FIRST, role, text)),
+seen AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) AS nth FROM numbered),
+faults AS (
+    SELECT *, CAST(NOT blank AND nth > 1 AS INTEGER) AS duplicate, blank OR nth > 1 AS must_go,
+        CAST(NOT blank AND nth = 1 AND NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS INTEGER) AS truncated,
+        CAST(before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au') AS INTEGER) AS illegal
+    FROM seen),
+walk AS (
+    SELECT g, 0::BIGINT AS i, [{{'c': 0, 'a': '', 'r': ''}}, {never}, {never}, {never}] AS s FROM convs
+    UNION ALL
+    SELECT g, i, [{", ".join(after)}] AS s FROM ({inserted(joined, columns)})),
+ends AS (SELECT g, arg_max(s, i) AS s FROM walk GROUP BY g),
+chosen AS (SELECT g, {least("t0", "t3")} AS e FROM ({inserted("ends", "g")})),
+counted AS (
+    SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, sum(duplicate) AS duplicate,
+        sum(truncated) AS truncated, sum(illegal) AS illegal
+    FROM faults GROUP BY g)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+    CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+    CAST(e.c AS BIGINT) AS cost, e.a AS audit, sha256(substr(e.r, 2)) AS repaired_sha256
+FROM convs JOIN chosen USING (g) LEFT JOIN counted USING (g)
+"""
+
+
+CONVERSATION_REPAIR = _conversation_repair()

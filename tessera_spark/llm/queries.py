@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tessera_spark.llm import brown, decontaminate, fingerprints, hard_negatives, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
+from tessera_spark.llm import brown, conversations, decontaminate, fingerprints, hard_negatives, jaccard_join, mixing, oracle, pages, quality, secrets, sharding, substring_dedup, tokens
 from tessera_spark.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(docs, repository=repository))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.damaged(table(spark, sf_dir, "conversations")), absent="gone")
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_secrets": op10_secrets,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_fingerprints": op12_fingerprints,
         "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
@@ -89,6 +94,7 @@ def all_sql() -> dict[str, str]:
         "op3_sharding": oracle.SHARDING,
         "op7_mixing": oracle.MIXING,
         "op9_jaccard_join": oracle.JACCARD_JOIN,
+        "op11_conversation_repair": oracle.CONVERSATION_REPAIR,
         "op12_fingerprints": oracle.FINGERPRINTS,
         "op13_hard_negatives": oracle.HARD_NEGATIVES,
     }
