@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera_spark.functions.permutation import permuted
 from tessera_spark.session import materialise, small_side
 
 # Rows of one bucket are sorted by one task.
@@ -202,3 +203,17 @@ def assign_batches(
         order, bucket = [F.col(key)], integer_bucket(F.col(key))
     ranked = rank_in_group(hashed, [], order, bucket, "_rank")
     return ranked.withColumn(out, F.floor(F.col("_rank") / batch_rows)).drop("_digest", "_rank")
+
+
+def permuted_batches(
+    df: DataFrame,
+    index: str,
+    rows: int,
+    batch_rows: int = DEFAULT_BATCH,
+    seed: int = 42,
+    epoch: int = 0,
+    out: str = "batch",
+) -> DataFrame:
+    """Batch number of every row in an order that changes with the epoch, for rows whose ``index``
+    is dense from 0 to ``rows`` - 1. The place is computed from the index, so no row is moved."""
+    return df.withColumn(out, F.floor(permuted(F.col(index), rows, f"{seed}:{epoch}") / batch_rows))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -342,9 +342,10 @@ def fit_mlp(
     seed: int = SEED,
     worker_rows: int = WORKER_ROWS,
     start: Network | None = None,
+    epoch: Callable[..., dict] = _epoch,
 ) -> Fitted:
     """Train on ``(embedding_index, embedding, label_id)``. The number of workers follows the rows;
-    input size and number of classes come from the data, the network begins with ``start`` or with
+    ``epoch`` makes one pass over them (``synchronous`` has another one); input size and number of classes come from the data, the network begins with ``start`` or with
     seeded numbers. What is stored on the way is removed at the end."""
     spark = train.sparkSession
     stored, train_path = _store(train, "train")
@@ -366,19 +367,19 @@ def fit_mlp(
     workers = max(1, -(-shape[2] // worker_rows))
     fitted = Fitted(network, network, None)
     best, misses, step = None, 0, 0
-    for epoch in range(epochs):
-        rate = lr_end + (lr - lr_end) * (1 + math.cos(math.pi * epoch / epochs)) / 2
-        done = _epoch(stored, network, momentum, workers, rate, batch_rows, step, seed, epoch, dropout)
+    for number in range(epochs):
+        rate = lr_end + (lr - lr_end) * (1 + math.cos(math.pi * number / epochs)) / 2
+        done = epoch(stored, network, momentum, workers, rate, batch_rows, step, seed, number, dropout)
         step += done["steps"]
-        fitted.history.append((epoch, "train", "loss", done["loss"]))
-        fitted.history += [(epoch, "train", name, v) for name, v in _macro(*done["counts"]).items()]
-        if val is None or (epoch + 1) % validate_every:
+        fitted.history.append((number, "train", "loss", done["loss"]))
+        fitted.history += [(number, "train", name, v) for name, v in _macro(*done["counts"]).items()]
+        if val is None or (number + 1) % validate_every:
             continue
         measures = validate(val, network)
-        fitted.history += [(epoch, "val", name, float(v)) for name, v in measures.items()]
+        fitted.history += [(number, "val", name, float(v)) for name, v in measures.items()]
         recall = measures.get("recall", float("nan"))
         if best is None or recall > best:
-            fitted.best, fitted.best_epoch = copy_network(network), epoch
+            fitted.best, fitted.best_epoch = copy_network(network), number
         if not math.isfinite(recall):
             fitted.stopped = True
         elif best is None or recall - MIN_DELTA > best:

@@ -14,7 +14,7 @@ from tessera_spark.functions import vectors as V
 from tessera_spark.operators import checks, embeddings, encode, images, inventory, labels, logs
 from tessera_spark.operators import manifest as MF
 from tessera_spark.operators import metrics as M
-from tessera_spark.operators import mlp, numbering, runs, split, training
+from tessera_spark.operators import mlp, numbering, runs, split, synchronous, training
 from tessera_spark.plans import round_trips
 from tessera_spark.plans import tables as T
 from tessera_spark.session import materialise, ship_package
@@ -30,6 +30,7 @@ PER_CLASS = 40
 PATIENCE = 10
 COMPONENTS = 8
 HIDDEN = 16
+STEP_HIDDEN = 4
 ENCODED = 16
 # The encoder of the registered query refuses images above this mean level.
 BRIGHTEST = 128.5
@@ -192,6 +193,11 @@ def batches(spark, sf):
     return numbering.assign_batches(rows, "embedding_index", epoch=3)
 
 
+def batches_permuted(spark, sf):
+    rows = T.read(spark, sf, "embeddings").select(F.col("vec_id").alias("embedding_index"))
+    return numbering.permuted_batches(rows, "embedding_index", rows.count(), epoch=3)
+
+
 def batches_sequential(spark, sf):
     rows = T.read(spark, sf, "documents").select("doc_id")
     return numbering.assign_batches(rows, "doc_id", shuffle=False)
@@ -292,18 +298,45 @@ def mlp_fit(spark, sf):
     return fitted.epoch_metrics(spark)
 
 
-def mlp_step(spark, sf):
-    """One update over all vectors from weights of a closed formula, without hidden layer."""
-    rows = T.read(spark, sf, "embeddings").select(
+def _labelled_vectors(spark, sf):
+    return T.read(spark, sf, "embeddings").select(
         F.col("vec_id").alias("embedding_index"), "embedding", F.col("label").cast("int").alias("label_id")
     )
+
+
+#: Parts the rows of a synchronous update are dealt to.
+STEP_WORKERS = 16
+
+
+def _cells(spark, network, *kinds):
+    """(layer, kind, row, col, value) of a network."""
+    table = mlp.layers_frame(spark, network).filter(F.col("kind").isin(*kinds))
+    cells = table.select("layer", "kind", "cols", F.posexplode("values").alias("at", "v"))
+    place = [F.expr(f"cast(at {op} cols as int)") for op in ("div", "%")]
+    return cells.select("layer", "kind", place[0].alias("row"), place[1].alias("col"), _r("v").alias("value"))
+
+
+def mlp_step(spark, sf):
+    """One update over all vectors from weights of a closed formula, without hidden layer."""
+    rows = _labelled_vectors(spark, sf)
     size = rows.agg(F.max(F.size("embedding")), F.max("label_id"), F.count(F.lit(1))).first()
-    fitted = training.fit_mlp(
-        rows, hidden=(), epochs=1, batch_rows=size[2], worker_rows=size[2], lr=0.01, dropout=False, start=T.linear_formula(size[0], size[1] + 1)
+    start = T.linear_formula(size[0], size[1] + 1)
+    fitted = synchronous.fit_mlp(rows, hidden=(), workers=STEP_WORKERS, epochs=1, batch_rows=size[2], lr=0.01, dropout=False, start=start)
+    cells = _cells(spark, fitted.last, "weight")
+    return cells.select(F.col("row").alias("class_id"), F.col("col").alias("dim"), F.col("value").alias("weight"))
+
+
+def mlp_three_steps(spark, sf):
+    """Three updates over all vectors with a hidden layer normalised over the whole mini-batch. The
+    hidden bias is left out: normalisation takes it away, so its gradient is nothing but rounding."""
+    rows = _labelled_vectors(spark, sf)
+    size = rows.agg(F.max(F.size("embedding")), F.max("label_id"), F.count(F.lit(1))).first()
+    start = T.formula_network(size[0], STEP_HIDDEN, size[1] + 1)
+    fitted = synchronous.fit_mlp(
+        rows, hidden=(STEP_HIDDEN,), workers=STEP_WORKERS, epochs=3, batch_rows=size[2], lr=0.01, lr_end=0.01, dropout=False, start=start
     )
-    weight = mlp.layers_frame(spark, fitted.last).filter("kind = 'weight'")
-    cells = weight.select("cols", F.posexplode("values").alias("at", "v"))
-    return cells.select(F.expr("cast(at div cols as int)").alias("class_id"), F.expr("cast(at % cols as int)").alias("dim"), _r("v").alias("weight"))
+    cells = _cells(spark, fitted.last, "weight", "bias", "bn_gamma", "bn_beta")
+    return cells.filter("layer = 1 or kind <> 'bias'")
 
 
 def mlp_builtin(spark, sf):
@@ -658,10 +691,10 @@ _QUERIES: tuple[Query, ...] = (
     cross_entropy_loss, confidence_stats, prediction_distribution, sample_predictions,
     validation_samples, decode_unknown, label_quality_report,
     stratified_split, stratified_documents, random_split, stratified_rank, split_counts,
-    class_counts, class_coverage, class_count_check, value_range, batches, batches_sequential,
+    class_counts, class_coverage, class_count_check, value_range, batches, batches_permuted, batches_sequential,
     sample_info,
     scaler_stats, standardize, dim_check, wrong_dimension, positional_check, attach_embeddings,
-    pca_variance, pca_transform, feature_noise, softmax_rows, mlp_forward, mlp_fit, mlp_step, mlp_builtin,
+    pca_variance, pca_transform, feature_noise, softmax_rows, mlp_forward, mlp_fit, mlp_step, mlp_three_steps, mlp_builtin,
     manifest, normalized_names, manifest_summary, moved_to_test, label_ids, class_names,
     augment_fanout, missing_files, existing_files, failed_images, sentinel_check,
     path_functions, output_folders,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tessera_spark.functions.permutation import PRIME, round_keys
 from tessera_spark.operators.logs import KEEP_PATTERNS, NOISE_PATTERNS
 from tessera_spark.plans import catalog, tables
 
+STEP_HIDDEN = catalog.STEP_HIDDEN
 PER_CLASS, PATIENCE, HIDDEN, TOTAL = catalog.PER_CLASS, catalog.PATIENCE, catalog.HIDDEN, catalog.TOTAL_EPOCHS
 
 
@@ -310,6 +312,18 @@ SELECT CAST(min(label_id) AS INTEGER) AS min_label, CAST(max(label_id) AS INTEGE
     sql["batches"] = """
 SELECT vec_id AS embedding_index,
        (row_number() OVER (ORDER BY md5('42:3:' || CAST(vec_id AS VARCHAR)), vec_id) - 1) // 256 AS batch FROM embeddings"""
+    # The digits' bases need the number of rows; n numbers land at n or above at most so often in a row.
+    rounds = round_keys("42:3")
+    digits = "SELECT w, n, f, s, v // s AS h, v % s AS l FROM {0}"
+    for k, (a, b, c) in enumerate(rounds):
+        x, y, base = ("h", "l", "f") if k % 2 == 0 else ("l", "h", "s")
+        moved = f"({x} + ({y} * {y} % {PRIME} * {a} % {PRIME} + {y} * {b} % {PRIME} + {c}) % {PRIME}) % {base} AS {x}"
+        digits = f"SELECT w, n, f, s, {moved}, {y} FROM ({digits})"
+    walked = digits.format("(SELECT vec_id AS w, v, n, CAST(ceil(sqrt(n)) AS BIGINT) AS f, CAST(ceil(n / ceil(sqrt(n))) AS BIGINT) AS s FROM walk WHERE turn = 0 OR v >= n)")
+    sql["batches_permuted"] = f"""WITH RECURSIVE walk AS (
+SELECT vec_id, vec_id AS v, (SELECT count(*) FROM embeddings) AS n, 0 AS turn FROM embeddings
+UNION ALL SELECT w AS vec_id, h * s + l AS v, n, 1 AS turn FROM ({walked}))
+SELECT vec_id AS embedding_index, CAST(v // 256 AS BIGINT) AS batch FROM walk WHERE turn = 1 AND v < n"""
     sql["batches_sequential"] = "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 256 AS batch FROM documents"
     sql["sample_info"] = f"""WITH {SPLIT},
 sm AS (SELECT embedding_index FROM s WHERE split = 'val' ORDER BY md5('42:' || CAST(embedding_index AS VARCHAR)), embedding_index LIMIT 10)
@@ -519,4 +533,44 @@ o AS (SELECT CAST(unnest(range((SELECT max(label) + 1 FROM embeddings))) AS INTE
 l AS (SELECT vec_id, label, c, sum(x * sin(c * 7.0 + dim)) + cos(c) AS z FROM x, o GROUP BY vec_id, label, c),
 p AS (SELECT vec_id, c, exp(z) / sum(exp(z)) OVER (PARTITION BY vec_id) - CASE WHEN c = label THEN 1 ELSE 0 END AS d FROM l)
 SELECT c AS class_id, dim, round(sin(c * 7.0 + dim) - 0.01 * sign(sum(d * x)), 6) AS weight FROM p JOIN x USING (vec_id) GROUP BY c, dim"""
+    sql["mlp_three_steps"] = _three_steps(cells_cte)
     return sql
+
+
+def _three_steps(cells_cte: str) -> str:
+    """Three updates of a network with one normalised hidden layer, each as a chain of sums."""
+    eps, slope = 1e-5, 0.02
+    parts = [
+        cells_cte,
+        "rs AS (SELECT DISTINCT vec_id, label FROM x)",
+        f"hid AS (SELECT CAST(unnest(range({STEP_HIDDEN})) AS INTEGER) AS j)",
+        "cls AS (SELECT CAST(unnest(range((SELECT max(label) + 1 FROM embeddings))) AS INTEGER) AS c)",
+        "p0 AS (SELECT 0 AS layer, 'weight' AS kind, j AS r, dim AS q, sin(j * 7.0 + dim) AS v, 0.0 AS m FROM hid, (SELECT DISTINCT dim FROM x)"
+        " UNION ALL SELECT 0, 'bn_gamma', j, 0, 1 + sin(j + 1.0) / 2, 0.0 FROM hid UNION ALL SELECT 0, 'bn_beta', j, 0, cos(j * 1.0) / 10, 0.0 FROM hid"
+        " UNION ALL SELECT 1, 'weight', c, j, sin(c * 7.0 + j), 0.0 FROM cls, hid UNION ALL SELECT 1, 'bias', c, 0, cos(c * 1.0), 0.0 FROM cls)",
+    ]
+    for k in range(3):
+        p = f"p{k}"
+
+        def of(layer: int, kind: str, p: str = p) -> str:
+            return f"(SELECT r, q, v FROM {p} WHERE layer = {layer} AND kind = '{kind}')"
+
+        parts += [
+            # Inputs of the hidden layer, normalised over all rows; the bias would cancel out.
+            f"z{k} AS MATERIALIZED (SELECT vec_id, r AS j, sum(x * v) AS z FROM x JOIN {of(0, 'weight')} ON q = dim GROUP BY vec_id, r)",
+            f"n{k} AS (SELECT j, avg(z) AS mu, var_pop(z) AS va FROM z{k} GROUP BY j)",
+            f"u{k} AS MATERIALIZED (SELECT vec_id, j, (z - mu) / sqrt(va + {eps}) AS u, 1 / sqrt(va + {eps}) AS w FROM z{k} JOIN n{k} USING (j))",
+            f"y{k} AS MATERIALIZED (SELECT vec_id, j, u, w, g.v AS gamma, u * g.v + b.v AS y FROM u{k} JOIN {of(0, 'bn_gamma')} g ON g.r = j JOIN {of(0, 'bn_beta')} b ON b.r = j)",
+            f"h{k} AS MATERIALIZED (SELECT *, CASE WHEN y < 0 THEN {slope} ELSE 1 END AS sl, y * CASE WHEN y < 0 THEN {slope} ELSE 1 END AS h FROM y{k})",
+            f"l{k} AS (SELECT vec_id, o.r AS c, sum(h * o.v) + any_value(b.v) AS l FROM h{k} JOIN {of(1, 'weight')} o ON o.q = j JOIN {of(1, 'bias')} b ON b.r = o.r GROUP BY vec_id, o.r)",
+            f"d{k} AS MATERIALIZED (SELECT vec_id, c, exp(l) / sum(exp(l)) OVER (PARTITION BY vec_id) - CASE WHEN c = label THEN 1 ELSE 0 END AS d FROM l{k} JOIN rs USING (vec_id))",
+            f"e{k} AS MATERIALIZED (SELECT vec_id, j, u, w, gamma, sum(d * o.v) * any_value(sl) AS e FROM h{k} JOIN d{k} USING (vec_id) JOIN {of(1, 'weight')} o ON o.q = j AND o.r = c GROUP BY vec_id, j, u, w, gamma)",
+            f"s{k} AS (SELECT j, avg(e * gamma) AS s1, avg(e * gamma * u) AS s2 FROM e{k} GROUP BY j)",
+            f"b{k} AS MATERIALIZED (SELECT vec_id, j, w * (e * gamma - s1 - u * s2) AS b FROM e{k} JOIN s{k} USING (j))",
+            f"g{k} AS (SELECT 0 AS layer, 'weight' AS kind, j AS r, dim AS q, sum(b * x) AS g FROM b{k} JOIN x USING (vec_id) GROUP BY j, dim"
+            f" UNION ALL SELECT 0, 'bn_gamma', j, 0, sum(e * u) FROM e{k} GROUP BY j UNION ALL SELECT 0, 'bn_beta', j, 0, sum(e) FROM e{k} GROUP BY j"
+            f" UNION ALL SELECT 1, 'weight', c, j, sum(d * h) FROM d{k} JOIN h{k} USING (vec_id) GROUP BY c, j UNION ALL SELECT 1, 'bias', c, 0, sum(d) FROM d{k} GROUP BY c)",
+            f"p{k + 1} AS MATERIALIZED (SELECT layer, kind, r, q, v - 0.01 * sign(0.95 * m + 0.05 * g / (SELECT count(*) FROM rs)) AS v,"
+            f" 0.98 * m + 0.02 * g / (SELECT count(*) FROM rs) AS m FROM {p} JOIN g{k} USING (layer, kind, r, q))",
+        ]
+    return f"WITH {','.join(parts)} SELECT CAST(layer AS INTEGER) AS layer, kind, CAST(r AS INTEGER) AS row, CAST(q AS INTEGER) AS col, round(CAST(v AS DOUBLE), 6) AS value FROM p3"
