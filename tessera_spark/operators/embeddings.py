@@ -187,15 +187,17 @@ def embedding_dim(df: DataFrame, vector: str = "embedding") -> DataFrame:
 
 
 def noisy_features(vector: Column, key: Column, seed: int = 42, noise: float = 0.1, keep: float = 0.9) -> Column:
-    """Training-time feature noise: Gaussian noise, then random zeroing. The draws come from a
-    hash of (seed, key, dimension), so a retried task repeats them."""
-
-    def uniform(i: Column, stream: int) -> Column:
-        h = F.xxhash64(F.lit(seed), F.lit(stream), key, i)
-        return (F.pmod(h, F.lit(1 << 53)).cast("double") + 0.5) / float(1 << 53)
+    """Training-time feature noise: Gaussian noise, then random zeroing. A cell's three draws come
+    from one hash of seed, key and dimension, so a retried task repeats them."""
 
     def one(x: Column, i: Column) -> Column:
-        normal = F.sqrt(-2 * F.log(uniform(i, 1))) * F.cos(2 * F.pi() * uniform(i, 2))
-        return F.when(uniform(i, 3) < keep, x + noise * normal).otherwise(F.lit(0.0))
+        digest = F.md5(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string")).cast("binary"))
+
+        def drawn(h: Column) -> Column:
+            u = [(F.conv(F.substring(h, 1 + 10 * k, 10), 16, 10).cast("double") + 0.5) / float(1 << 40) for k in range(3)]
+            normal = F.sqrt(-2 * F.log(u[0])) * F.cos(2 * F.pi() * u[1])
+            return F.when(u[2] < keep, x + noise * normal).otherwise(F.lit(0.0))
+
+        return V.let(digest, drawn)
 
     return F.transform(V.doubles(vector), one)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera_spark.functions import paths as P
@@ -17,10 +18,11 @@ from tessera_spark.operators import metrics as M
 from tessera_spark.operators import mlp, numbering, runs, split, synchronous, training
 from tessera_spark.plans import round_trips
 from tessera_spark.plans import tables as T
-from tessera_spark.session import materialise, ship_package
+from tessera_spark.session import materialise, scratch_path, ship_package
+from tessera_spark.sources import bucketed
 from tessera_spark.streaming import early_stop as early
 from tessera_spark.streaming import logs as log_stream
-from tessera_spark.streaming.common import run_to_table, stream_parquet
+from tessera_spark.streaming.common import run_by_batch, run_to_table, stream_parquet
 from tessera_spark.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +34,7 @@ COMPONENTS = 8
 HIDDEN = 16
 STEP_HIDDEN = 4
 ENCODED = 16
+PROJECTED = 6
 # The encoder of the registered query refuses images above this mean level.
 BRIGHTEST = 128.5
 TOTAL_EPOCHS = 100
@@ -251,6 +254,19 @@ def attach_embeddings(spark, sf):
     return joined.select("embedding_index", "image_name", "label_id", F.size("embedding").alias("dimension"))
 
 
+def attach_embeddings_bucketed(spark, sf):
+    """The same join from stored buckets, which moves neither side."""
+    indexed = MF.augment_fanout(_manifest_table(spark, sf))
+    vectors = T.read(spark, sf, "embeddings").select(F.col("vec_id").alias("embedding_index"), "embedding")
+    buckets = max(4, bucketed.buckets_for(vectors.count()))
+    opened = []
+    for frame, name in ((indexed, "bucketed-names"), (vectors, "bucketed-vectors")):
+        path = scratch_path(spark, name)
+        bucketed.write_bucketed(frame, path, buckets)
+        opened.append(bucketed.read_bucketed(spark, path))
+    return bucketed.attach_bucketed(*opened).select("embedding_index", "image_name", "label_id", F.size("embedding").alias("dimension"))
+
+
 def pca_variance(spark, sf):
     steps = embeddings.fit_steps(T.read(spark, sf, "embeddings"), components=COMPONENTS)
     ratios = embeddings.pca_model(steps).explainedVariance.toArray().tolist()
@@ -267,7 +283,35 @@ def pca_transform(spark, sf):
 
 def feature_noise(spark, sf):
     noisy = embeddings.noisy_features(F.col("embedding"), F.col("vec_id"))
-    return T.read(spark, sf, "embeddings").select("vec_id", noisy.alias("noisy"))
+    cells = T.read(spark, sf, "embeddings").select("vec_id", F.posexplode(noisy).alias("dim", "v"))
+    return cells.select("vec_id", "dim", _r("v").alias("value"))
+
+
+def project_rows(spark, sf):
+    """Vectors centred and projected onto rows of a closed formula."""
+    rows = T.read(spark, sf, "embeddings")
+    size = rows.agg(F.max(F.size("embedding"))).first()[0] or 0
+    start = T.formula_network(size, PROJECTED, 1)[0]
+    centre = np.cos(np.arange(size)).tolist()
+    projected = V.project(F.col("embedding"), centre, start.weight.tolist())
+    return rows.select("vec_id", F.posexplode(projected).alias("component", "v")).select("vec_id", "component", _r("v").alias("value"))
+
+
+def number_texts(spark, sf):
+    """Counts and shares of event types as the text of a report."""
+    counts = T.read(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy())
+    return counts.select(
+        "event_type", text.thousands_text(F.col("n") * 1000).alias("thousands"), text.percent_text(share, 3).alias("share"), text.fixed_text(F.col("total"), 3).alias("total")
+    )
+
+
+def config_text(spark, sf):
+    """Suppliers as JSON text, and what is read back from it."""
+    fields = T.read(spark, sf, "supplier").select("s_suppkey", F.struct("s_name", F.col("s_nationkey").alias("nation"), F.array("s_suppkey", "s_nationkey").alias("keys")).alias("c"))
+    written = fields.withColumn("json", text.to_json_text(F.col("c")))
+    back = text.from_json_text(F.col("json"), fields.schema["c"].dataType)
+    return written.withColumn("back", back).select("s_suppkey", "json", "back.s_name", F.element_at("back.keys", 2).cast("long").alias("second"))
 
 
 def softmax_rows(spark, sf):
@@ -595,8 +639,9 @@ def log_filter_documents(spark, sf):
 
 
 def image_resize(spark, sf):
-    done = images.normalize_images(T.images(spark, sf), 12, 20)
-    return done.select("image_path", "height", "width", "nChannels", F.hex("data").alias("pixels"))
+    """All images at the size the encoders take, 224 x 224; the pixels as one digest."""
+    done = images.normalize_images(T.images(spark, sf))
+    return done.select("image_path", "height", "width", "nChannels", F.md5(F.hex("data").cast("binary")).alias("pixels_md5"))
 
 
 def wrong_size(spark, sf):
@@ -666,6 +711,25 @@ def score_stream_query(spark, sf):
     return _rounded(spark.read.parquet(path), "confidence_score")
 
 
+def score_stream_replayed(spark, sf):
+    """The same scores when the job ends between writing a micro-batch and noting it, and starts again."""
+    parts = T.labelled_split(spark, sf)
+    network = mlp.centroid_network(parts.filter(F.col("split") == "train"))
+    output = scratch_path(spark, "replayed-scores")
+
+    def end_here(number):
+        raise InterruptedError(f"ended after batch {number}")
+
+    for after in (end_here, None):
+        stream = stream_parquet(spark, sf, T.read(spark, sf, "embeddings").schema, glob="embeddings.parquet")
+        try:
+            run_by_batch(score_stream(stream, network).drop("embedding"), "scores", output, after)
+        except StreamingQueryException:
+            if after is None:
+                raise
+    return _rounded(spark.read.parquet(output).drop("batch"), "confidence_score")
+
+
 def early_stop_stream(spark, sf):
     stream = stream_parquet(spark, sf, T.read(spark, sf, "events").schema, glob="events.parquet")
     values = stream.select(
@@ -694,7 +758,7 @@ _QUERIES: tuple[Query, ...] = (
     class_counts, class_coverage, class_count_check, value_range, batches, batches_permuted, batches_sequential,
     sample_info,
     scaler_stats, standardize, dim_check, wrong_dimension, positional_check, attach_embeddings,
-    pca_variance, pca_transform, feature_noise, softmax_rows, mlp_forward, mlp_fit, mlp_step, mlp_three_steps, mlp_builtin,
+    attach_embeddings_bucketed, pca_variance, pca_transform, project_rows, feature_noise, number_texts, config_text, softmax_rows, mlp_forward, mlp_fit, mlp_step, mlp_three_steps, mlp_builtin,
     manifest, normalized_names, manifest_summary, moved_to_test, label_ids, class_names,
     augment_fanout, missing_files, existing_files, failed_images, sentinel_check,
     path_functions, output_folders,
@@ -702,7 +766,7 @@ _QUERIES: tuple[Query, ...] = (
     run_events, run_registry, dataset_inventory, stage_ready, dataset_lookup, stage_summary,
     log_filter, log_filter_documents,
     image_resize, wrong_size, image_augment, embed_images, model_sources,
-    early_stop_stream, log_filter_stream,
+    score_stream_replayed, early_stop_stream, log_filter_stream,
 )
 
 

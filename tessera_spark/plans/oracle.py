@@ -472,8 +472,8 @@ FROM embeddings WHERE vec_id % 3 = 0"""
     levels = """px AS (SELECT vec_id, '/normalized/' || vec_id || '.png' AS image_path, CAST(sqrt(len(embedding)) AS INTEGER) AS side,
        list_transform(embedding, lambda v: CAST(round((v::DOUBLE + 1) * 127.5) AS INTEGER)) AS p FROM embeddings)"""
     sql["image_resize"] = f"""WITH {levels}
-SELECT image_path, 20 AS height, 12 AS width, 1 AS "nChannels", array_to_string(list_transform(range(20 * 12),
-       lambda i: lpad(upper(to_hex(p[((i // 12) * side // 20) * side + (i % 12) * side // 12 + 1])), 2, '0')), '') AS pixels FROM px"""
+SELECT image_path, 224 AS height, 224 AS width, 1 AS "nChannels", md5(array_to_string(list_transform(range(224 * 224),
+       lambda i: lpad(upper(to_hex(p[((i // 224) * side // 224) * side + (i % 224) * side // 224 + 1])), 2, '0')), '')) AS pixels_md5 FROM px"""
     sql["image_augment"] = f"""WITH {levels},
 two AS (SELECT *, 0 AS aug_version, p AS q FROM px UNION ALL
         SELECT *, 1, list_transform(range(side * side), lambda i: least(255, p[(i // side) * side + side - i % side] + 40)) FROM px)
@@ -533,6 +533,21 @@ o AS (SELECT CAST(unnest(range((SELECT max(label) + 1 FROM embeddings))) AS INTE
 l AS (SELECT vec_id, label, c, sum(x * sin(c * 7.0 + dim)) + cos(c) AS z FROM x, o GROUP BY vec_id, label, c),
 p AS (SELECT vec_id, c, exp(z) / sum(exp(z)) OVER (PARTITION BY vec_id) - CASE WHEN c = label THEN 1 ELSE 0 END AS d FROM l)
 SELECT c AS class_id, dim, round(sin(c * 7.0 + dim) - 0.01 * sign(sum(d * x)), 6) AS weight FROM p JOIN x USING (vec_id) GROUP BY c, dim"""
+    sql["attach_embeddings_bucketed"] = sql["attach_embeddings"]
+    sql["score_stream_replayed"] = sql["score_stream"]
+    sql["npy_round_trip"] = """
+SELECT vec_id AS embedding_index, CAST(len(embedding) AS INTEGER) AS dimension, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE)), 3) AS total FROM embeddings"""
+    sql["project_rows"] = f"""WITH {cells_cte}, u AS (SELECT CAST(unnest(range({catalog.PROJECTED})) AS INTEGER) AS component)
+SELECT vec_id, component, round(sum((x - cos(dim * 1.0)) * sin(component * 7.0 + dim)), 6) AS value FROM x, u GROUP BY vec_id, component"""
+    sql["feature_noise"] = f"""WITH {cells_cte},
+h AS (SELECT *, md5('42:' || vec_id || ':' || dim) AS h FROM x),
+d AS (SELECT vec_id, dim, x, list_transform([1, 11, 21], lambda k: (('0x' || substr(h, k, 10))::BIGINT + 0.5::DOUBLE) / 1099511627776.0::DOUBLE) AS u FROM h)
+SELECT vec_id, dim, CASE WHEN u[3] < 0.9 THEN round(x + 0.1 * (sqrt(-2 * ln(u[1])) * cos(2 * pi() * u[2])), 6) ELSE 0.0::DOUBLE END AS value FROM d"""
+    sql["number_texts"] = """
+SELECT event_type, format('{:,}', count(*) * 1000) AS thousands, printf('%.3f%%', 100.0 * count(*) / sum(count(*)) OVER ()) AS share, printf('%.3f', sum(value)) AS total
+FROM events GROUP BY event_type"""
+    sql["config_text"] = """
+SELECT s_suppkey, CAST(to_json({'s_name': s_name, 'nation': s_nationkey, 'keys': [s_suppkey, s_nationkey]}) AS VARCHAR) AS json, s_name, CAST(s_nationkey AS BIGINT) AS second FROM supplier"""
     sql["mlp_three_steps"] = _three_steps(cells_cte)
     return sql
 

@@ -3,6 +3,8 @@ sources and then looked at, so that the query sees what a later stage would see.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from tessera_spark.operators import metrics as M
 from tessera_spark.plans import tables as T
 from tessera_spark.plans.evaluation import evaluate
 from tessera_spark.session import materialise, scratch_path
+from tessera_spark.sources import npy
 from tessera_spark.sources import runs as run_tables
 from tessera_spark.sources import tables as IO
 
@@ -54,6 +57,16 @@ def embeddings_table(spark, sf):
     return IO.read_embeddings(spark, path).select("embedding_index", "image_path", F.size("embedding").alias("dimension"), F.round(total, 3).alias("total"))
 
 
+def npy_round_trip(spark, sf):
+    """All vectors through one ``.npy`` matrix."""
+    path = f"{scratch_path(spark, 'matrix')}.npy"
+    plain = path.removeprefix("file://").removeprefix("file:")
+    os.makedirs(os.path.dirname(plain), exist_ok=True)
+    npy.write_npy(T.read(spark, sf, "embeddings").select(F.col("vec_id").alias("embedding_index"), "embedding"), path)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double"))
+    return npy.read_npy(spark, path, partition_bytes=1 << 16).select("embedding_index", F.size("embedding").alias("dimension"), F.round(total, 3).alias("total"))
+
+
 def model_config_json(spark, sf):
     """The configuration that belongs to the vectors and their classes."""
     size = T.read(spark, sf, "embeddings").agg(F.max(F.size("embedding"))).first()[0]
@@ -191,7 +204,7 @@ def embedding_index_of_images(spark, sf):
 
 
 QUERIES = (
-    manifest_table, manifest_csv, train_test_rows, embeddings_table, model_config_json, layers_table, processors_table,
+    manifest_table, manifest_csv, train_test_rows, embeddings_table, npy_round_trip, model_config_json, layers_table, processors_table,
     standardize_with_nulls, pca_check, confusion_csv, results_table, results_csv, evaluation_report, epoch_metrics_table,
     run_lines_table, embedding_index_of_images,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -37,3 +39,24 @@ def run_to_table(stream: DataFrame, name: str, output: str | None = None) -> str
     )
     query.awaitTermination()
     return output
+
+
+def run_by_batch(stream: DataFrame, name: str, output: str | None = None, after: Callable[[int], None] | None = None) -> str:
+    """As ``run_to_table``, each micro-batch into a folder of its own that its number names. A batch
+    that is run again, because the job ended between writing it and noting that it is done, replaces
+    what it wrote before: no row is there twice. ``after`` is called once a batch is written."""
+    output = output or scratch_path(stream.sparkSession, name)
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        if after is not None:
+            after(number)
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{output}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return output
