@@ -26,7 +26,7 @@ Every member of a signature is compared with one member first, then, in further
 drawn anew among those of other components, so a group of near copies grows together by a number of
 comparisons in proportion to its members. In the end all pairs of members that are still in different
 components are compared, in chunks from which only plausible pairs leave, so no link between components
-is lost.
+is lost. Crowded signatures of nearly the same members are compared as one crowd.
 
 Why exact segments and no one-deletion neighbourhoods for large sets: an exact signature costs one
 row and covers one difference, a neighbourhood of a segment of g elements costs g + 1 rows and
@@ -61,7 +61,7 @@ FREQUENT = 8
 MOST_FREQUENT = 1 << 20
 #: A signature with more open members than this is compared by chunks of CHUNK_MEMBERS.
 FEW = 16
-CHUNK_MEMBERS = 1024
+CHUNK_MEMBERS = 4096
 #: Rounds of comparing members with drawn ones before the rest is compared in full: as long as a
 #: round leaves at most this share of the open pairs.
 MOST_TURNS = 8
@@ -392,7 +392,9 @@ def linked(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, name: str) ->
     of_a = contents.select(F.col("key").alias("a"), F.col("shingles").alias("sa"))
     of_b = contents.select(F.col("key").alias("b"), F.col("shingles").alias("sb"))
     found = left.join(of_a, "a").join(of_b, "b").select("a", "b", "sa", "sb").mapInArrow(compare, PAIR)
-    return common.stored(found, f"{name}-links")
+    links = common.stored(found, f"{name}-links")
+    common.discard(left, asked, contents)
+    return links
 
 
 def uncovered_pairs(spark: SparkSession, sets: DataFrame, uncovered: DataFrame) -> DataFrame | None:
@@ -462,16 +464,26 @@ def compare_block(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
 
+def crowds(many: DataFrame) -> DataFrame:
+    """sig, key, root of crowded signatures, those of nearly the same members as one: a signature
+    is named by the member that comes first in a hashed order. A passage that many documents share
+    fills many signatures with the same members, whose pairs are then met once and not in each."""
+    leader = F.min(F.struct(F.xxhash64("key").alias("draw"), F.col("key").alias("leader")))
+    leaders = many.groupBy("sig").agg(leader.alias("first")).select("sig", "first.leader")
+    return many.join(leaders, "sig").select(F.col("leader").alias("sig"), "key", "root").distinct()
+
+
 def open_pairs(open_members: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, that share a signature and lie in different components. Signatures of
-    few members are joined; those of many are dealt out by pairs of chunks, and only what the
-    bitmaps allow leaves a task."""
+    few members are joined; crowds are dealt out by pairs of chunks, and only what the bitmaps
+    allow leaves a task."""
     sizes = common.stored(open_members.groupBy("sig").agg(F.count("*").alias("n")), "open-sizes")
     few = open_members.join(sizes.filter(F.col("n") <= FEW), "sig", "left_semi")
     other = few.select("sig", F.col("key").alias("b"), F.col("root").alias("rb"))
     joined = few.withColumnRenamed("key", "a").join(other, "sig").filter((F.col("a") < F.col("b")) & (F.col("root") != F.col("rb"))).select("a", "b")
+    many = common.stored(crowds(open_members.join(sizes.filter(F.col("n") > FEW), "sig", "left_semi")), "open-crowds")
     chunks = F.ceil(F.col("n") / CHUNK_MEMBERS).cast("int")
-    many = open_members.join(sizes.filter(F.col("n") > FEW), "sig").withColumn("chunks", chunks)
+    many = many.join(many.groupBy("sig").agg(F.count("*").alias("n")), "sig").withColumn("chunks", chunks)
     many = many.withColumn("chunk", F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
     # A chunk meets itself and every other one once.
     many = many.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
