@@ -11,8 +11,8 @@ over; sums per cell, combined before the shuffle, tell which cells are taken who
 rows of each source's boundary cell are ranked.
 
 Defined results: a null text has size 0 and is taken in no words; a null source is a source of its
-own, last in order; a null id draws as the empty string; rows that repeat an id and a size
-are taken or left together; a source of size 0 has target 0; an empty table gives an empty
+own, last in order; a null id draws as the empty string; of rows that repeat an id and a size
+exactly as many are taken as fit; a very long text counts by its words; a source of size 0 has target 0; an empty table gives an empty
 result. Only the named columns are read, and the caller's columns travel below one struct.
 """
 
@@ -102,6 +102,33 @@ def _place(rows: DataFrame, seed: int, most_copies: int) -> DataFrame:
 PLACE = ("cell", "fine", "rank", "doc_id", "size")
 
 
+def _bounds(last: DataFrame) -> DataFrame:
+    """Per source the last place of which rows fit, how many rows have this place and how many of
+    them fit. Rows of one place are counted first, combined before the shuffle."""
+    places = last.groupBy("source", "left", *PLACE).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("left") - F.coalesce(F.sum(F.col("n") * F.col("size")).over(order), F.lit(0))
+    fit = F.floor((room - F.col("size") / 2) / F.when(F.col("size") > 0, F.col("size"))) + 1
+    fit = F.coalesce(fit, F.when(room >= 0, F.col("n")).otherwise(0))
+    places = places.withColumn("fit", F.greatest(F.least(fit, F.col("n")), F.lit(0)).cast("long"))
+    none = F.struct("cell", "fine", F.lit(-1.0).alias("rank"), F.col("doc_id"), "size", F.lit(0).cast("long").alias("fit"), "n")
+    found = places.groupBy("source").agg(F.max(F.when(F.col("fit") > 0, F.struct(*PLACE, "fit", "n")).otherwise(none)).alias("b"))
+    return found.select("source", F.struct(*[F.col(f"b.{c}").alias(c) for c in PLACE]).alias("bound"), "b.fit", "b.n")
+
+
+def _first_of_equals(rows: DataFrame) -> DataFrame:
+    """``chosen`` for rows of one place of which only ``fit`` fit: they are numbered inside the part
+    of the stored table they lie in, and counts of the parts tell where each part begins."""
+    rows = rows.withColumn("part", F.shiftright("own", 33))
+    counts = rows.groupBy("source", "part").agg(F.count("*").alias("in_part"))
+    order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col("source").alias("key"), F.col("part").alias("key_part"), F.coalesce(F.sum("in_part").over(order), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("source", "part").orderBy("own"))
+    numbered = rows.withColumn("inside", inside).join(before, F.col("source").eqNullSafe(F.col("key")) & (F.col("part") == F.col("key_part")))
+    chosen = F.col("before") + F.col("inside") <= F.col("fit")
+    return numbered.withColumn("chosen", chosen).drop("own", "part", "key", "key_part", "before", "inside")
+
+
 def mix(
     docs: DataFrame,
     *,
@@ -144,18 +171,21 @@ def mix(
     inside = common.stored(inside.select(*PLACE, "source", "room"), "mix-edge")
     fine = common.stored(_first_not_whole(inside, "fine"), "mix-fine")
     last = _with_source(inside, fine, "inner").filter(F.col("fine") == F.col("edge_fine"))
-    ahead = Window.partitionBy("source").orderBy("rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    last = last.withColumn("ahead", F.coalesce(F.sum("size").over(ahead), F.lit(0)))
-    fits = F.col("ahead") + F.col("size") / 2 <= F.col("left")
-    nothing = F.struct("cell", "fine", F.lit(-1.0).alias("rank"), F.col("doc_id"), "size")
-    bound = last.groupBy("source").agg(F.max(F.when(fits, F.struct(*PLACE)).otherwise(nothing)).alias("bound"))
-    bound = common.stored(bound.withColumnRenamed("source", "key"), "mix-bounds")
+    bound = common.stored(_bounds(last).withColumnRenamed("source", "key"), "mix-bounds")
 
     rows = _place(_with_source(sized, targets), seed, most_copies) if carry else placed
     rows = _with_source(rows, bound)
     # A source without a bound fits whole.
-    chosen = (F.col("p") > 0) & (F.col("bound").isNull() | (F.struct(*PLACE) <= F.col("bound")))
-    rows = rows.withColumn("copies", F.col("certain") + F.when(chosen, 1).otherwise(0))
+    below = F.col("bound").isNull() | (F.struct(*PLACE) < F.col("bound"))
+    level = F.coalesce(F.struct(*PLACE) == F.col("bound"), F.lit(False))
+    chosen = (F.col("p") > 0) & (below | (level & (F.col("fit") == F.col("n"))))
+    parted = (F.col("p") > 0) & level & (F.col("fit") > 0) & (F.col("fit") < F.col("n"))
+    if bound.filter((F.col("fit") > 0) & (F.col("fit") < F.col("n"))).isEmpty():
+        rows = rows.withColumn("chosen", chosen)
+    else:
+        some = _first_of_equals(common.stored(rows.filter(parted).withColumn("own", F.monotonically_increasing_id()), "mix-equals"))
+        rows = rows.filter(~F.coalesce(parted, F.lit(False))).withColumn("chosen", chosen).unionByName(some)
+    rows = rows.withColumn("copies", F.col("certain") + F.when(F.col("chosen"), 1).otherwise(0))
     return rows.select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *(["row"] if carry else [])
     )
