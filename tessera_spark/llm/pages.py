@@ -7,7 +7,8 @@ winning path of its host; a page without such a container falls back to its own
 
 Defined results: null, empty or textless html gives an empty text; a null or malformed url belongs
 to the host of the empty name; a tie of votes goes to more clean text, then to the smaller path;
-repeated rows vote each and are extracted alike; an empty table gives an empty result. Only the
+repeated rows vote each and are extracted alike; a very long page is read whole; an empty table
+gives an empty result. Only the
 named columns are read. ``br`` ends a line as a block does; a character reference without meaning
 stays as written; markup that never closes runs to the end of the page.
 """
@@ -45,15 +46,19 @@ CLOSES = {
 }
 STOPS = {"ul", "ol", "dl", "table", "body", "article", "main", "section", "div", "center", "form"}
 #: Never content.
-DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "svg", "dialog", "menu", "object", "canvas", "audio", "video"} | RAW
+DROPPED = {"head", "nav", "footer", "aside", "button", "select", "svg", "dialog", "menu", "object", "canvas", "audio", "video"} | RAW
 HINTS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar nav navbar navigation menu menus breadcrumb "
     "breadcrumbs cookie cookies consent notice notices notification banner newsletter subscribe popup modal comment comments disqus respond "
     "reply replies share sharing social related footer masthead widget toolbar pagination pager login signup".split()
 )
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-#: A page's own choice holds at least this share of its clean text.
+#: A page's own choice holds at least this share of its clean text, and what looks like furniture by
+#: its names, or is a form, is none if it holds as much.
 NEARLY_ALL = 0.9
+#: A host's path counts on a page unless the page's own choice holds more than twice as much and is
+#: no stray remark but an article of its own.
+HOST_SHARE, ARTICLE_CHARS = 0.5, 250
 
 
 @dataclass
@@ -64,6 +69,7 @@ class Page:
     tag: list[str]
     path: list[str]
     barred: list[int]  # nearest element at or above that is never content, -1 if none
+    hinted: set[int]  # elements that are only taken for furniture by their names, or forms
     texts: list[tuple[int, int, bool, str]]
 
 
@@ -72,10 +78,16 @@ def _never_content(tag: str, attributes: dict[str, str], in_article: bool) -> bo
         return True
     if attributes.get("role", "") in ROLES or attributes.get("aria-hidden") == "true" or "hidden" in attributes:
         return True
-    if "display:none" in attributes.get("style", "").replace(" ", ""):
-        return True
-    words = set(re.split(r"[\s_-]+", f"{attributes.get('class', '')} {attributes.get('id', '')}"))
-    return bool(words & HINTS) or ("header" in words and not in_article)
+    return "display:none" in attributes.get("style", "").replace(" ", "")
+
+
+def _looks_like_furniture(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """By the parts of class and id names; an article or main part by whole names only."""
+    if tag == "body":
+        return False
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
+    words = set(names.split() if tag in ("article", "main") else re.split(r"[\s_-]+", names))
+    return tag == "form" or bool(words & HINTS) or ("header" in words and not in_article)
 
 
 def _below(path: str, part: str) -> str:
@@ -86,7 +98,7 @@ def _below(path: str, part: str) -> str:
 
 
 def parse(text: str) -> Page:
-    page = Page([-1], ["html"], ["html"], [-1], [])
+    page = Page([-1], ["html"], ["html"], [-1], set(), [])
     stack = [0]
     articles = links = block = 0
     at, end = 0, len(text)
@@ -147,12 +159,25 @@ def parse(text: str) -> Page:
         page.tag.append(tag)
         page.path.append(_below(page.path[parent], ".".join([tag, *kinds])))
         page.barred.append(number if _never_content(tag, attributes, articles > 0) else page.barred[parent])
+        if page.barred[number] < 0 and _looks_like_furniture(tag, attributes, articles > 0):
+            page.hinted.add(number)
         stack.append(number)
         articles += tag in ("article", "main")
         links += tag == "a"
+    _bar_furniture(page)
     return page
 
 
+def _bar_furniture(page: Page) -> None:
+    """Bar what looks like furniture, unless it holds nearly all text: a page in one form, a body or
+    a wrapper with an unlucky name."""
+    sizes = clean_sizes(page)
+    for k in range(1, len(page.tag)):
+        if page.barred[k] < 0:
+            furniture = k in page.hinted and sizes[k] < NEARLY_ALL * max(sizes[0], 1)
+            page.barred[k] = k if furniture else page.barred[page.parent[k]]
+
+
 def clean_sizes(page: Page) -> list[int]:
     """Clean characters below each element: not in links, not in what is never content."""
     sizes = [0] * len(page.tag)
@@ -164,30 +189,62 @@ def clean_sizes(page: Page) -> list[int]:
     return sizes
 
 
-def vote(page: Page) -> tuple[str, int] | None:
-    """Path and clean size of the page's own choice: an article or main part that holds text, else
-    the smallest container with nearly all clean text."""
+def _with_headline(page: Page, k: int) -> int:
+    """Container k, or one above it in which headline or lead stand before it on their own. Of the
+    body, only if there is a first headline among them."""
+    while k > 0:
+        up = page.parent[k]
+        while up > 0 and page.tag[up] not in CONTAINERS:
+            up = page.parent[up]
+        if up <= 0 or page.barred[up] >= 0:
+            return k
+        before, headline = False, False
+        for element, _, linked, piece in page.texts:
+            if element >= k:
+                break
+            inside, first = element, False
+            while inside > up and page.tag[inside] not in CONTAINERS:
+                first |= page.tag[inside] == "h1"
+                inside = page.parent[inside]
+            if inside == up and not linked and page.barred[element] < 0 and piece.strip():
+                before, headline = True, headline or first
+        if not before or (page.tag[up] == "body" and not headline):
+            return k
+        k = up
+    return k
+
+
+def choice(page: Page) -> int | None:
+    """The page's own choice: an article or main part that holds most text, else the smallest
+    container with nearly all clean text, and headline and lead right before it."""
     sizes = clean_sizes(page)
     whole = sizes[0]
-    best: tuple | None = None
+    best: tuple[tuple[bool, int], int] | None = None
     for k, tag in enumerate(page.tag):
         if sizes[k] and (k == 0 or tag in CONTAINERS) and page.barred[k] < 0:
             named = tag in ("article", "main") and 2 * sizes[k] >= whole
             if named or sizes[k] >= NEARLY_ALL * whole:
                 # Of the named ones and of the others the last is the innermost.
-                rank = (named, k)
-                if best is None or rank > best[0]:
-                    best = (rank, page.path[k], sizes[k])
-    return best and (best[1], best[2])
+                best = max(best or ((named, k), k), ((named, k), k))
+    return best and (best[1] if best[0][0] else _with_headline(page, best[1]))
+
+
+def vote(page: Page) -> tuple[str, int] | None:
+    """Path and clean size of the page's own choice."""
+    k = choice(page)
+    return None if k is None else (page.path[k], clean_sizes(page)[k])
 
 
 def extract(page: Page, path: str | None) -> str:
-    """Text of all containers with this path, block by block."""
-    chosen = [k for k, p in enumerate(page.path) if p == path]
-    sizes = clean_sizes(page)
-    if not any(sizes[k] for k in chosen):
-        own = vote(page)
-        chosen = [k for k, p in enumerate(page.path) if own and p == own[0]]
+    """Text of all containers with this path, block by block; of the page's own choice if they hold
+    nothing, or much less than an article that stands elsewhere."""
+    sizes, own = clean_sizes(page), choice(page)
+    if own is None:
+        return ""
+    chosen = [k for k, p in enumerate(page.path) if p == path and sizes[k]]
+    held = sum(sizes[k] for k in chosen)
+    if not held or (held < HOST_SHARE * sizes[own] and sizes[own] >= ARTICLE_CHARS):
+        chosen = [k for k, p in enumerate(page.path) if p == page.path[own]]
     above = [-1] * len(page.tag)  # the outermost chosen element at or above
     inside = set(chosen)
     for k in range(len(page.tag)):
