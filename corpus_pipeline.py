@@ -3,7 +3,7 @@
 Each stage takes all rows its predecessor kept and returns the columns of ``documents`` (the last one
 adds shard and slot); ``run`` writes every stage's rows as Parquet into the shared folder and reads
 them again. A stage with no rows hands none on. Columns that documents have besides are carried
-through unread.
+through unread, whatever their names; only ``shard`` and ``slot`` are replaced by the last stage's.
 """
 
 from __future__ import annotations
@@ -39,8 +39,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard and their place in it."""
-    return sharding.shard(docs, carry=True).select("row.*", "shard", "slot")
+    """Documents with their shard and their place in it, in place of columns that have these names."""
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return sharding.shard(docs, carry=True).select(*own, "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

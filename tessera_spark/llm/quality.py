@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tessera_spark.llm import common, trees
 
@@ -147,9 +148,9 @@ def judge(docs: DataFrame, model: trees.NodeArrays, *, doc_id: str = "doc_id", t
                 names.append("row")
             yield pa.RecordBatch.from_arrays(out, names)
 
-    schema = f"doc_id long, {COUNTS}, base_failed boolean, quality double, kept boolean"
+    schema = StructType.fromDDL(f"doc_id long, {COUNTS}, base_failed boolean, quality double, kept boolean")
     if carry:
-        schema += f", row {docs.schema.simpleString()}"
+        schema.add("row", docs.schema)
     return rows.mapInArrow(score, schema)
 
 
