@@ -554,9 +554,10 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     roots = components(links)
     members = common.stored(as_nodes(met.filter(F.col("sig").isNotNull()).select("sig", "key"), "key").distinct(), "members")
     tested, before = pairs, float("inf")
+    # Members of one signature in different components so far. Components only grow together, so
+    # what is open later is among what is open now.
+    open_members = common.stored(_open_members(members, roots), "open-members")
     for turn in range(MOST_TURNS):
-        # Members of one signature in different components so far.
-        open_members = common.stored(_open_members(members, roots), "open-members")
         sums = _open_pairs(open_members).first()
         left = sums["pairs"] or 0.0
         if left <= 2 * (sums["rows"] or 0) or left > STILL_GAINING * before:
@@ -574,7 +575,9 @@ def jaccard_join(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             break
         links = links.unionByName(found)
         roots = components(links)
-    open_members = common.stored(_open_members(members, roots), "open-members")
+        still = common.stored(_open_members(open_members.select("sig", "key"), roots), "open-members")
+        common.discard(open_members)
+        open_members = still
     across = open_pairs(open_members, sketches).join(tested, ["a", "b"], "left_anti")
     late = linked(across, sets, sketches, "late")
     if not late.isEmpty():
