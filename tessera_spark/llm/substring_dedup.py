@@ -45,7 +45,11 @@ SIMILARITY_PERCENT = 75
 BANDS = ((1, 2), (3, 4), (5, 6))
 BLOCK_SHINGLES = 1 << 19
 #: Texts of a signature with open places are compared in chunks of so many.
-CHUNK_MEMBERS = 1024
+CHUNK_MEMBERS = 1 << 13
+#: A shingle that no more texts of a chunk hold is rare there; any number gives the same passages.
+RARE_TEXTS = 8
+#: So many stretches are compared without an index.
+FEW = 4
 #: Places of the table that tells which keys and signatures are open.
 SLOTS = 1 << 21
 PLACE_BITS = 20
@@ -256,7 +260,8 @@ def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[
         if len(at) < run * SIMILARITY_PERCENT // 100:
             continue
         there = hit[at]
-        low, high = int(np.percentile(there, 2)), int(np.percentile(there, 98))
+        ranked = np.sort(there)
+        low, high = int(ranked[len(there) // 50]), int(ranked[-1 - len(there) // 50])
         # A shingle that also stands elsewhere may point far away; the bulk tells the place.
         close = (there >= low - run) & (there <= high + run)
         at, there = at[close], there[close]
@@ -373,46 +378,143 @@ def told_slots(table: DataFrame, column: str):
     return table.sparkSession.sparkContext.broadcast(bits)
 
 
+def _first_in_row(codes: np.ndarray) -> np.ndarray:
+    """Whether a place holds the first occurrence of its code in its row."""
+    order = np.argsort(codes, axis=1, kind="stable")
+    ranked = np.take_along_axis(codes, order, axis=1)
+    fresh = np.ones(codes.shape, bool)
+    fresh[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    out = np.empty(codes.shape, bool)
+    np.put_along_axis(out, order, fresh, axis=1)
+    return out
+
+
+class Surroundings:
+    """Codes of the shingles up to a run before and after the places of many members.
+
+    A passage holds a run of exactly ``RUN`` shingles that holds its place, and each distinct shingle of
+    either that the other lacks must be paid for by three that both hold. ``misses`` gives a lower bound
+    of the former for the best such run: shingles that occur once are counted, and of the others those
+    first met on one side of the place, whichever side has more."""
+
+    def __init__(self, parts: list[np.ndarray], at: np.ndarray, names: int):
+        self.codes = np.full((len(parts), 2 * RUN - 1), names, np.int32)
+        for k, (x, p) in enumerate(zip(parts, at.tolist(), strict=True)):
+            low, high = max(p - RUN + 1, 0), min(p + RUN, len(x))
+            self.codes[k, low - p + RUN - 1 : high - p + RUN - 1] = x[low:high]
+        outside = self.codes == names
+        once = _first_in_row(self.codes) & _first_in_row(self.codes[:, ::-1])[:, ::-1]
+        # No run leaves the text.
+        self.once = np.where(outside, 2 * RUN, once).astype(np.int32)
+        self.after = _first_in_row(self.codes[:, RUN - 1 :]) & ~once[:, RUN - 1 :] & ~outside[:, RUN - 1 :]
+        self.before = _first_in_row(self.codes[:, : RUN - 1][:, ::-1]) & ~(once | outside)[:, : RUN - 1][:, ::-1]
+
+    def misses(self, held: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Least number of distinct shingles of a run that are not among the held codes."""
+        lacks = ~held[self.codes[rows]]
+        nothing = np.zeros((len(rows), 1), np.int32)
+        single = np.concatenate([nothing, np.cumsum(lacks * self.once[rows], axis=1, dtype=np.int32)], axis=1)
+        after = np.cumsum(lacks[:, RUN - 1 :] & self.after[rows], axis=1, dtype=np.int32)
+        before = np.concatenate([nothing, np.cumsum(lacks[:, : RUN - 1][:, ::-1] & self.before[rows], axis=1, dtype=np.int32)], axis=1)
+        return (single[:, RUN:] - single[:, :RUN] + np.maximum(after, before[:, ::-1])).min(axis=1)
+
+
+def _stretches(key: np.ndarray, place: np.ndarray, lo: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """First member and shingles of each stretch of places of one text, a run or less apart, of members
+    in order of (key, place): a repeated word or line has the same two minima at place after place."""
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (place[1:] - place[:-1] > RUN)]))
+    whole = []
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=True):
+        pieces, end = [parts[a]], lo[a] + len(parts[a])
+        for k in range(a + 1, b):
+            pieces.append(parts[k][max(end - lo[k], 0) :])
+            end = max(end, lo[k] + len(parts[k]))
+        whole.append(np.concatenate(pieces))
+    return first, whole
+
+
+class Candidates:
+    """For each stretch, the others that may be similar to it.
+
+    Two similar stretches share a shingle that few texts hold, which an index of these finds, or both
+    have a run that common shingles alone could make similar to another; such stretches are checked with
+    each other. Only pairs that ``Surroundings`` proves to be dissimilar are skipped."""
+
+    def __init__(self, key: np.ndarray, at: np.ndarray, begin: np.ndarray, stop: np.ndarray, whole: list[np.ndarray]):
+        stretch = np.repeat(np.arange(len(begin)), stop - begin)
+        sizes = np.array([len(x) for x in whole])
+        names, code = np.unique(np.concatenate(whole), return_inverse=True)
+        coded = np.split(code.astype(np.int32), np.cumsum(sizes)[:-1])
+        self.begin, self.stop = begin, stop
+        self.around = Surroundings([coded[n] for n in stretch], at, len(names))
+        # Distinct (stretch, shingle), by stretch and, of the rare shingles, by shingle.
+        count = len(names) + 1
+        cells = np.unique(np.repeat(np.arange(len(begin)), sizes) * np.int64(count) + code)
+        member, self.held = cells // count, cells % count
+        self.texts = np.unique(key[begin], return_inverse=True)[1]
+        holders = np.bincount(np.unique(self.texts[member] * np.int64(count) + self.held) % count, minlength=count)
+        self.common = holders > RARE_TEXTS
+        self.edge = np.searchsorted(member, np.arange(len(begin) + 1))
+        rare = ~self.common[self.held]
+        by_code = np.argsort(self.held[rare], kind="stable")
+        self.listed = member[rare][by_code]
+        self.at_code = np.searchsorted(self.held[rare][by_code], np.arange(count))
+        self.paid = np.bincount(member, weights=~rare, minlength=len(begin)) // 3
+        least = [self.around.misses(self.common, m) for m in np.array_split(np.arange(len(key)), len(key) // 1024 + 1)]
+        self.least = np.minimum.reduceat(np.concatenate(least), begin)
+        self.among = np.flatnonzero(self.least <= self.paid)
+        self.mark, self.other = np.zeros(count, bool), np.zeros(count, bool)
+
+    def of(self, k: int) -> Iterator[int]:
+        own = self.held[self.edge[k] : self.edge[k + 1]]
+        met = [self.among[self.least[self.among] + self.least[k] <= np.minimum(self.paid[self.among], self.paid[k])]]
+        near = np.unique(np.concatenate(met + [self.listed[self.at_code[c] : self.at_code[c + 1]] for c in own[~self.common[own]].tolist()]))
+        for j in near[self.texts[near] != self.texts[k]].tolist():
+            there = self.held[self.edge[j] : self.edge[j + 1]]
+            self.mark[own] = True
+            shared = int(self.mark[there].sum())
+            lacking = self.around.misses(self.mark, np.arange(self.begin[j], self.stop[j])).min()
+            self.mark[own] = False
+            if lacking > shared // 3:
+                continue
+            self.other[there] = True
+            lacking += self.around.misses(self.other, np.arange(self.begin[k], self.stop[k])).min()
+            self.other[there] = False
+            if lacking <= shared // 3:
+                yield j
+
+
 def compare_chunk(table: pa.Table) -> pa.Table:
     """Compare the open places of a chunk with all of its places. Returned are passages, and the
-    places that are still open."""
+    places that are still open. Places of one text that lie close are compared as one stretch; which
+    stretches are compared, ``Candidates`` tells, or, where there are few, all are."""
     sig = table.column("sig")[0].as_py()
     key, place, lo = (table.column(c).to_numpy() for c in ("key", "place", "lo"))
-    parts = [_wide(x) for x in table.column("shingles").to_pylist()]
-    open_ = table.column("open").to_numpy(zero_copy_only=False).copy()
-    names, code = np.unique(np.concatenate(parts), return_inverse=True)
-    begin = np.cumsum([0, *(len(x) for x in parts[:-1])])
-    # Both sides of a passage have RUN shingles or more, of which only a region's repetitions are not
-    # distinct; so many of them at least are common at the similarity.
-    least = np.array([max(RUN - len(x) + len(np.unique(x)), 0) for x in parts])
-    # A run around the place gains by common shingles what it must pay for its length and the other's.
-    wide = np.full((len(parts), max(len(x) for x in parts)), len(names))
-    for k, x in enumerate(parts):
-        wide[k, : len(x)] = code[begin[k] : begin[k] + len(x)]
-    ends = np.arange(wide.shape[1] + 1)
-    at = (place - lo)[:, None]
-    repeats = np.array([len(x) - len(np.unique(x)) for x in parts])
+    order = np.lexsort((place, key))
+    shingles = table.column("shingles").to_pylist()
+    key, place, lo, parts = key[order], place[order], lo[order], [_wide(shingles[k]) for k in order.tolist()]
+    open_ = table.column("open").to_numpy(zero_copy_only=False)[order]
+    begin, whole = _stretches(key, place, lo, parts)
+    stop = np.append(begin[1:], len(key))
+    index = Candidates(key, place - np.repeat(lo[begin], stop - begin), begin, stop, whole) if len(begin) > FEW else None
     rows = []
-    for k in np.lexsort((place, key)).tolist():
-        if not open_[k]:
+    for k in range(len(begin)):
+        mine = slice(begin[k], stop[k])
+        if not open_[mine].any():
             continue
-        mark = np.zeros(len(names) + 1, np.int32)
-        mark[code[begin[k] : begin[k] + len(parts[k])]] = 1
-        shared = np.add.reduceat(mark[code], begin)
-        enough = np.maximum(RUN * SIMILARITY_PERCENT // 100 * (100 + SIMILARITY_PERCENT), SIMILARITY_PERCENT * (least + least[k]))
-        near = np.flatnonzero((shared * (100 + SIMILARITY_PERCENT) >= enough) & (key != key[k]) & (open_[k] | open_))
-        gain = np.zeros((len(near), len(ends)), np.int64)
-        np.cumsum(mark[wide[near]] * (100 + SIMILARITY_PERCENT) - SIMILARITY_PERCENT, axis=1, out=gain[:, 1:])
-        before = ends <= at[near]
-        best = np.where(before, np.iinfo(np.int64).min // 2, gain).max(axis=1, initial=np.iinfo(np.int64).min // 2) - np.where(before, gain, np.iinfo(np.int64).max // 4).min(axis=1, initial=np.iinfo(np.int64).max // 4)
-        for j in near[best >= SIMILARITY_PERCENT * (least[k] - repeats[near])].tolist():
-            if not open_[k] and not open_[j]:
+        for j in index.of(k) if index else np.flatnonzero(key[begin] != key[begin[k]]).tolist():
+            theirs = slice(begin[j], stop[j])
+            if not open_[mine].any() and not open_[theirs].any():
                 continue
-            # Only passages around the minima, as for pairs with representatives.
-            passages = [p for p in common_passages(parts[j], parts[k]) if p[0] <= place[j] - lo[j] < p[1] and p[2] <= place[k] - lo[k] < p[3]]
-            if passages:
-                rows += [_passage(int(key[j]), int(lo[j]), int(key[k]), int(lo[k]), p) for p in passages]
-                open_[k] = open_[j] = False
+            at, to = lo[begin[j]], lo[begin[k]]
+            for p in common_passages(whole[j], whole[k]):
+                # Only passages around the minima, as for pairs with representatives.
+                x = (place[theirs] - at >= p[0]) & (place[theirs] - at < p[1])
+                y = (place[mine] - to >= p[2]) & (place[mine] - to < p[3])
+                if x.any() and y.any():
+                    rows.append(_passage(int(key[begin[j]]), int(at), int(key[begin[k]]), int(to), p))
+                    open_[theirs] &= ~x
+                    open_[mine] &= ~y
     rows += [(int(key[k]), *(None,) * 6, sig, int(place[k])) for k in np.flatnonzero(open_).tolist()]
     return pa.Table.from_batches([_checked(rows)])
 
