@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,26 +51,33 @@ def early_stop(values: DataFrame, patience: int = PATIENCE, min_delta: float = M
     A run is never gathered. Only a strict running maximum can be an improvement, and one that
     exceeds the previous maximum by more than ``min_delta`` surely is. Both follow from a prefix
     maximum over epoch buckets. Records with a smaller gain depend on the improvements before
-    them; they are walked in order, streaming, from the last sure improvement on.
+    them: each bucket is summed up as a function from the best before it to the best after it,
+    and these functions are applied in turn (``_small_gains``).
     """
+    return resume_early_stop(values.withColumn("weight", F.lit(1).cast("long")), patience, min_delta)
+
+
+def resume_early_stop(values: DataFrame, patience: int = PATIENCE, min_delta: float = MIN_DELTA) -> DataFrame:
+    """``early_stop`` for runs that began before. A row of weight w stands for itself and w - 1
+    epochs after it that did not improve; ``epochs`` counts weights. So the state of a run
+    (its best epoch and value, and the misses since) is one row before the new ones."""
     epoch = F.col("epoch").cast("long")
     finite = _finite(F.col("value"))
     clean = F.when(finite, F.col("value"))
     order, bucket = [F.col("epoch")], integer_bucket(epoch)
     ranked = prefix_in_group(
-        values, ["run_id"], order, bucket, {"_pos": ("sum", F.lit(1)), "_top": ("max", clean)}
+        values, ["run_id"], order, bucket, {"_pos": ("sum", F.col("weight")), "_top": ("max", clean)}
     ).withColumn("_pos", F.coalesce(F.col("_pos"), F.lit(0)) + 1)
     ranked = materialise(ranked)
     totals = ranked.groupBy("run_id").agg(
-        F.max("_pos").alias("epochs"), F.min(F.when(~finite, F.col("_pos"))).alias("_broken")
+        F.max(F.col("_pos") + F.col("weight") - 1).alias("epochs"), F.min(F.when(~finite, F.col("_pos"))).alias("_broken")
     )
     records = ranked.filter(finite & (F.col("_top").isNull() | (F.col("value") > F.col("_top"))))
-    sure = F.col("_top").isNull() | (F.col("value") - min_delta > F.col("_top"))
-    records = records.select("run_id", "epoch", "value", "_pos", sure.alias("_sure"))
-    if records.filter(~F.col("_sure")).isEmpty():
-        improved = records.drop("_sure")
+    unsure = F.col("_top").isNotNull() & (F.col("value") - min_delta <= F.col("_top"))
+    if records.filter(unsure).isEmpty():
+        improved = records.select("run_id", "epoch", "value", "_pos")
     else:
-        improved = materialise(_walk_small_gains(records, min_delta))
+        improved = materialise(_small_gains(records, min_delta))
     linked = previous_in_group(
         improved, ["run_id"], ["epoch"], bucket, {"_previous": "_pos"}
     )
@@ -123,33 +132,80 @@ def early_stop(values: DataFrame, patience: int = PATIENCE, min_delta: float = M
     )
 
 
-def _walk_small_gains(records: DataFrame, min_delta: float) -> DataFrame:
-    """Improvements among records, segment by segment. A segment runs from one sure
-    improvement to the next; its rows pass through in order and only the current best is
-    held."""
-    key = F.col("epoch").cast("long")
-    segments = prefix_in_group(
-        records, ["run_id"], [F.col("epoch")], integer_bucket(key),
-        {"_before": ("sum", F.col("_sure").cast("long"))},
-    ).select(
-        "run_id", "epoch", "value", "_pos", "_sure",
-        (F.coalesce(F.col("_before"), F.lit(0)) + F.col("_sure").cast("long")).alias("_segment"),
+def summarise(values: np.ndarray, top: float, min_delta: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rising records of one bucket as a step function (limits, exits): from a best b before the
+    bucket, the best after it is the exit of the first limit above b, or b beyond all of them.
+
+    From any improvement the next one is the first record that exceeds it by more than
+    ``min_delta``, so each record has one exit. The best before lies at most at ``top``, the
+    highest value before; steps above it cannot be entered and are left out. Step functions
+    compose to step functions, in any grouping of the buckets.
+    """
+    low = values - min_delta
+    following = np.searchsorted(low, values, "right")
+    exits = np.empty(len(values))
+    for i in range(len(values) - 1, -1, -1):
+        exits[i] = values[i] if following[i] == len(values) else exits[following[i]]
+    reach = int(np.searchsorted(low, top, "right")) + 1
+    last = np.append(np.flatnonzero(np.diff(exits)), len(exits) - 1)
+    keep = last[: int(np.searchsorted(last, reach - 1)) + 1]
+    return low[keep], exits[keep]
+
+
+def leave(limits: np.ndarray, exits: np.ndarray, best: float) -> float:
+    """The best after a bucket, from the best before it."""
+    at = int(np.searchsorted(limits, best, "right"))
+    return float(exits[at]) if at < len(exits) else best
+
+
+def improvements(values: np.ndarray, best: float, min_delta: float) -> np.ndarray:
+    """Places of the improvements among rising records, from the best before them."""
+    low = values - min_delta
+    places = []
+    at = int(np.searchsorted(low, best, "right"))
+    while at < len(values):
+        places.append(at)
+        at = int(np.searchsorted(low, values[at], "right"))
+    return np.array(places, np.int64)
+
+
+def _small_gains(records: DataFrame, min_delta: float) -> DataFrame:
+    """Improvements among records. One row per run and epoch bucket, a short step function, is
+    read in order, streaming, with one number held; rows of a run meet only in their bucket."""
+    keys = ["run_id", "_bucket"]
+    bucketed = materialise(
+        records.select("run_id", "epoch", "value", "_pos", "_top", integer_bucket(F.col("epoch").cast("long")).alias("_bucket"))
     )
-    sorted_rows = segments.repartition("run_id", "_segment").sortWithinPartitions("run_id", "_segment", "_pos")
-    columns = ["run_id", "epoch", "value", "_pos"]
 
-    def walk(batches):
-        best = None
+    def sum_up(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        top = table.column("_top")[0].as_py()
+        limits, exits = summarise(table.column("value").to_numpy(), -np.inf if top is None else top, min_delta)
+        return pa.table({**{k: table.column(k).slice(0, 1) for k in keys}, "limits": [limits], "exits": [exits]})
+
+    types = {c: t for c, t in bucketed.dtypes}
+    named = ", ".join(f"{k} {types[k]}" for k in keys)
+    functions = bucketed.groupBy(*keys).applyInArrow(sum_up, f"{named}, limits array<double>, exits array<double>")
+
+    def scan(batches):
+        run, best = None, -np.inf
         for batch in batches:
-            keep = []
-            for value, is_sure in zip(batch["value"].to_numpy(), batch["_sure"].to_numpy()):
-                improved = bool(is_sure) or value - min_delta > best
-                if improved:
-                    best = value
-                keep.append(improved)
-            yield batch.loc[keep, columns]
-
-    return sorted_rows.mapInPandas(walk, sorted_rows.select(*columns).schema)
+            entries = []
+            for name, limits, exits in zip(batch["run_id"], batch["limits"], batch["exits"]):
+                if name != run:
+                    run, best = name, -np.inf
+                entries.append(best)
+                best = leave(np.asarray(limits), np.asarray(exits), best)
+            yield batch[keys].assign(_entry=entries)
+
+    entries = functions.repartition("run_id").sortWithinPartitions(*keys).mapInPandas(scan, f"{named}, _entry double")
+
+    def pick(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_pos")
+        found = improvements(table.column("value").to_numpy(), table.column("_entry")[0].as_py(), min_delta)
+        return table.take(found).select(["run_id", "epoch", "value", "_pos"])
+
+    return bucketed.drop("_top").join(entries, keys).groupBy(*keys).applyInArrow(pick, records.select("run_id", "epoch", "value", "_pos").schema)
 
 
 def epoch_progress(timed: DataFrame, total_epochs: int) -> DataFrame:

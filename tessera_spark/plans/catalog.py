@@ -739,6 +739,16 @@ def early_stop_stream(spark, sf):
     return early.latest(spark.read.parquet(path))
 
 
+def early_stop_batches(spark, sf):
+    """The same with its state in tables, one run spread over tasks."""
+    stream = stream_parquet(spark, sf, T.read(spark, sf, "events").schema, glob="events.parquet")
+    values = stream.select(
+        F.col("user_id").alias("run_id"), F.col("event_id").alias("epoch"), (F.col("value") / 1000).alias("value")
+    )
+    path = early.early_stop_batches(values, scratch_path(spark, "stops"), PATIENCE)
+    return early.latest(spark.read.parquet(path).drop("batch"))
+
+
 def log_filter_stream(spark, sf):
     stream = stream_parquet(
         spark, sf, T.read(spark, sf, "conversations").schema, glob="conversations.parquet"
@@ -749,6 +759,15 @@ def log_filter_stream(spark, sf):
     return spark.read.parquet(path)
 
 
+def log_filter_by_time(spark, sf):
+    """The same by event time, the number of a turn, with a delay of two turns."""
+    stream = stream_parquet(
+        spark, sf, T.read(spark, sf, "conversations").schema, glob="conversations.parquet"
+    )
+    lines = text.explode_lines(stream.select(F.col("conv_id").alias("source"), F.col("turn").cast("long").alias("turn"), "text"), "text")
+    return log_stream.log_filter_by_time(lines, scratch_path(spark, "lines"), 2).withColumn("turn", F.col("turn").cast(T.read(spark, sf, "conversations").schema["turn"].dataType))
+
+
 _QUERIES: tuple[Query, ...] = (
     class_report, class_report_all, confusion_long, confusion_wide, confusion_normalized,
     recall_ranking, confusion_summary, accuracy_macro_micro, overall_accuracy,
@@ -766,7 +785,7 @@ _QUERIES: tuple[Query, ...] = (
     run_events, run_registry, dataset_inventory, stage_ready, dataset_lookup, stage_summary,
     log_filter, log_filter_documents,
     image_resize, wrong_size, image_augment, embed_images, model_sources,
-    score_stream_replayed, early_stop_stream, log_filter_stream,
+    score_stream_replayed, early_stop_stream, early_stop_batches, log_filter_stream, log_filter_by_time,
 )
 
 

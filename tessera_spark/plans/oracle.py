@@ -410,6 +410,7 @@ o AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY value DESC, epoc
 SELECT run_id, epoch AS best_epoch, value AS best_value, last_epoch FROM o WHERE place = 1"""
     sql["early_stop"] = _fold("epoch") + "FROM ended WHERE back = 1"
     sql["early_stop_stream"] = _fold("event_id") + ", CAST(0 AS BIGINT) AS late FROM ended WHERE back = 1"
+    sql["early_stop_batches"] = sql["early_stop_stream"]
     sql["epoch_progress"] = f"""WITH {RUNS},
 b AS (SELECT run_id, epoch, epoch / {TOTAL} * 100 AS percent,
              (epoch_us(ts) - epoch_us(first(ts) OVER o)) / 1e6 AS elapsed,
@@ -463,6 +464,7 @@ SELECT s.place, s.stage_name, COALESCE(completed, FALSE) AS completed,
 FROM s LEFT JOIN l ON l.stage = s.stage AND l.place = 1"""
     sql["log_filter"] = _shown("conversations", "conv_id", "turn")
     sql["log_filter_stream"] = sql["log_filter"]
+    sql["log_filter_by_time"] = sql["log_filter"]
     sql["log_filter_documents"] = _shown("documents", "source", "doc_id")
 
     # Images and models

@@ -41,6 +41,11 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete a table below the shared folder once nothing reads it any more."""
     if not path.startswith(f"{checkpoint_dir(spark).rstrip('/')}/tables/"):
         raise ValueError(f"{path} is no scratch table")
+    delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller wrote, on whatever file system it lies."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 

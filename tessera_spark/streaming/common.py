@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from tessera_spark.session import scratch_path
+from tessera_spark.session import delete_folder, materialise, scratch_path
 
 MAX_BYTES_PER_TRIGGER = 1 << 30
 
@@ -60,3 +60,40 @@ def run_by_batch(stream: DataFrame, name: str, output: str | None = None, after:
     )
     query.awaitTermination()
     return output
+
+
+def run_with_state(stream: DataFrame, step: Callable, schemas: dict[str, str], output: str) -> None:
+    """Micro-batches with state in tables: ``step(batch, state)`` gets a batch and the named tables of
+    the batch before and returns the rows to write and the new tables. A hot key is thus worked on by
+    many tasks, with every batch operator at hand. Rows and state of a batch stand in folders that its
+    number names: a batch that is run again reads the same state and replaces what it wrote. Of the
+    state the last two batches are kept; a table costs one write of all its rows a batch."""
+    spark = stream.sparkSession
+
+    def advance(rows: DataFrame, number: int) -> None:
+        state = read_state(spark, schemas, output, number - 1)
+        shown, after = step(materialise(rows), state)
+        for name, table in after.items():
+            table.write.mode("overwrite").parquet(f"{output}-state/{number}/{name}")
+        shown.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        spark.createDataFrame([(number,)], "number long").coalesce(1).write.mode("overwrite").parquet(f"{output}-newest")
+        if number > 1:
+            delete_folder(spark, f"{output}-state/{number - 2}")
+
+    query = (
+        stream.writeStream.foreachBatch(advance)
+        .option("checkpointLocation", f"{output}-progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def read_state(spark: SparkSession, schemas: dict[str, str], output: str, number: int | None = None) -> dict[str, DataFrame]:
+    """The state tables after a batch, by default the newest; before the first they are empty."""
+    if number is None:
+        found = spark.read.schema("number long").parquet(f"{output}-newest").first()
+        number = found["number"]
+    if number < 0:
+        return {name: spark.createDataFrame([], schema) for name, schema in schemas.items()}
+    return {name: spark.read.schema(schema).parquet(f"{output}-state/{number}/{name}") for name, schema in schemas.items()}
