@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera_spark.functions import vectors as V
 from tessera_spark.functions.paths import TEST_LABEL_ID
+from tessera_spark.operators import random_range
 
 
 def value_range(df: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -105,10 +106,13 @@ def fit_steps(
     standardize: bool = True,
     components: int | None = None,
     fit_on: str = "all",
+    method: str = "covariance",
 ) -> PipelineModel:
-    """Fit the optional steps in order on the vectors that are not null. The components come from a distributed covariance, so
-    the driver holds dimension squared numbers whatever the rows. MLlib's projection does not
-    subtract a mean, so data that was not standardised is centred by its own stage."""
+    """Fit the optional steps in order on the vectors that are not null. The components come from a distributed covariance,
+    one pass, and the driver holds dimension squared numbers whatever the rows; or with ``method``
+    "randomized" from a random range, several passes, and it holds dimension x (components + 8).
+    MLlib's projection does not subtract a mean, so data that was not standardised is centred by its
+    own stage."""
     stages: list = []
     column = vector
     df = df.filter(F.col(vector).isNotNull())
@@ -121,7 +125,10 @@ def fit_steps(
     if components:
         size = len(stages[0].getOrDefault("mean"))
         stages.append(ArrayToVector(inputCol=column, outputCol="_vector", size=size))
-        stages.append(PCA(k=components, inputCol="_vector", outputCol="_components"))
+        if method == "randomized":
+            stages.append(random_range.fit(stages[0].transform(df), column, size, components))
+        else:
+            stages.append(PCA(k=components, inputCol="_vector", outputCol="_components"))
     return Pipeline(stages=stages).fit(df)
 
 

@@ -530,6 +530,7 @@ c AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) A
 m AS (SELECT dim, avg(x) AS mean, stddev_pop(x) AS scale FROM c GROUP BY dim),
 t AS (SELECT round(sum(v), 6) AS total FROM (SELECT avg(((x - mean) / scale) ** 2) AS v FROM c JOIN m USING (dim) WHERE scale > 0 GROUP BY dim))
 SELECT CAST(i AS INTEGER) AS component, 0.0::DOUBLE AS residual, 0.0::DOUBLE AS overlap, 1.0::DOUBLE AS length, total FROM range(8) r(i), t"""
+    sql["pca_check_randomized"] = sql["pca_check"]
     sql["mlp_step"] = f"""WITH {cells_cte},
 o AS (SELECT CAST(unnest(range((SELECT max(label) + 1 FROM embeddings))) AS INTEGER) AS c),
 l AS (SELECT vec_id, label, c, sum(x * sin(c * 7.0 + dim)) + cos(c) AS z FROM x, o GROUP BY vec_id, label, c),

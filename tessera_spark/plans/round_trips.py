@@ -10,6 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera_spark import schemas
 from tessera_spark.functions import paths as P
 from tessera_spark.operators import embeddings, mlp, runs
 from tessera_spark.operators import manifest as MF
@@ -17,7 +18,7 @@ from tessera_spark.operators import metrics as M
 from tessera_spark.plans import tables as T
 from tessera_spark.plans.evaluation import evaluate
 from tessera_spark.session import materialise, scratch_path
-from tessera_spark.sources import npy
+from tessera_spark.sources import append_log, npy
 from tessera_spark.sources import runs as run_tables
 from tessera_spark.sources import tables as IO
 
@@ -112,11 +113,11 @@ def standardize_with_nulls(spark, sf):
     return done.select("vec_id", F.round(total, 4).alias("squares"))
 
 
-def pca_check(spark, sf):
+def pca_check(spark, sf, method="covariance"):
     """Each component against the correlation matrix: what is left of its eigen equation, its
     length, and the total variance of the standardised vectors."""
     rows = T.read(spark, sf, "embeddings")
-    steps = embeddings.fit_steps(rows, components=COMPONENTS)
+    steps = embeddings.fit_steps(rows, components=COMPONENTS, method=method)
     parts = embeddings.principal_components(steps)
     vectors = embeddings.ArrayToVector(inputCol="embedding", outputCol="v", size=parts.shape[1]).transform(rows)
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
@@ -129,6 +130,11 @@ def pca_check(spark, sf):
     return spark.createDataFrame(found, "component int, residual double, overlap double, length double, total double")
 
 
+def pca_check_randomized(spark, sf):
+    """The same of components found by a random range."""
+    return pca_check(spark, sf, "randomized")
+
+
 def confusion_csv(spark, sf):
     known = T.classes(spark, sf)
     names = [r["label_name"] for r in known.orderBy("label_id").collect()]
@@ -165,13 +171,16 @@ def evaluation_report(spark, sf):
 
 
 def epoch_metrics_table(spark, sf):
-    """Metrics appended in two goes, read back as one series."""
+    """Metrics appended in two goes, each repeated as by a retried job, with a compaction between;
+    read back as one series."""
     rows = T.runs(spark, sf).select(
         F.col("run_id").cast("string").alias("run_id"), F.col("epoch").cast("int").alias("epoch"), F.lit("val").alias("phase"), F.lit("recall").alias("name"), "value"
     )
     path = scratch_path(spark, "metrics")
     for turn in (0, 1):
-        run_tables.log_epoch_metrics(rows.filter(F.col("epoch") % 2 == turn), path)
+        for _ in range(2):
+            run_tables.log_epoch_metrics(rows.filter(F.col("epoch") % 2 == turn), path, "trainer", turn)
+            append_log.compact(spark, path, schemas.EPOCH_METRICS)
     best = runs.best_epoch(runs.series(run_tables.read_epoch_metrics(spark, path)))
     return best.select(F.col("run_id").cast("long").alias("run_id"), *(F.col(c).cast("long").alias(c) for c in ("best_epoch", "last_epoch")), "best_value")
 
@@ -182,7 +191,8 @@ def run_lines_table(spark, sf):
     lines = rows.select(F.col("run_id").cast("string").alias("run_id"), "epoch", line.alias("line"))
     path = scratch_path(spark, "run-lines")
     for turn in (0, 1):
-        run_tables.append_run_events(lines.filter(F.col("epoch") % 2 == turn), path)
+        for _ in range(2):
+            run_tables.append_run_events(lines.filter(F.col("epoch") % 2 == turn), path, "trainer", turn)
     parsed = runs.parse_run_events(run_tables.read_run_lines(spark, path))
     return parsed.select(
         F.col("run_id").cast("long").alias("run_id"),
@@ -205,6 +215,6 @@ def embedding_index_of_images(spark, sf):
 
 QUERIES = (
     manifest_table, manifest_csv, train_test_rows, embeddings_table, npy_round_trip, model_config_json, layers_table, processors_table,
-    standardize_with_nulls, pca_check, confusion_csv, results_table, results_csv, evaluation_report, epoch_metrics_table,
+    standardize_with_nulls, pca_check, pca_check_randomized, confusion_csv, results_table, results_csv, evaluation_report, epoch_metrics_table,
     run_lines_table, embedding_index_of_images,
 )
