@@ -1,24 +1,27 @@
 """Brown class n-grams: exchange clustering in Spark, then smoothed scores of whole texts.
 
 Tokens are words with A-Z in lower case, and one end after each text. All training words are counted
-in Spark. Words with at least N / 2^18 of the N training tokens are *items* of their own; by the
-pigeonhole principle there are never more than 2^18 of them, at any size of the corpus. Every other
-word, seen or not, belongs to one of 4,096 *shapes* (kinds of characters and a hash of its ending),
-which are items too. So the table of items and classes has a proven bound and may be broadcast, while
-the counts of the other words, which grow with the corpus, are only ever shuffled.
-
-Exchange clustering: the most frequent items begin with a class each, the others in one class. A round
-counts, over all training tokens, the classes to the left and right of every item, and moves each item
-to the class that gives these neighbours the highest likelihood under the current class bigrams. All
-items move at once; the counts are then taken anew.
-
-Probability of a word after a word of class d: P(c | d) P(item | c), and for a word that stands below
-a shape, times P(word | shape). P(c | d) is interpolated with P(c); item counts are smoothed by half a
+in Spark, in buckets whose number follows the bytes of the texts. Words with at least N / 2^18 of the N
+training tokens are *head* items; by the pigeonhole principle there are never more than 2^18 of them, at
+any size of the corpus, so their table may be broadcast. *Tail* words have fewer, but at least ``LEAST``
+training tokens, and a class of their own as well; their counts and classes are only ever shuffled, by
+bucket. Words below ``LEAST``, and unseen ones, belong to one of 4,096 *shapes* (kinds of characters and
+a hash of the ending), which are items too.
+
+Exchange clustering: the most frequent head items begin with a class each, the others in one class, and
+tail words in that of their shape. A round counts, over all training tokens, the classes to the left and
+right of every head item, and moves each to the class that gives these neighbours the highest likelihood
+under the current class bigrams. All items move at once; counts are taken anew, and if the likelihood of
+the training tokens fell, the round is taken back and rounds end. Then every tail word moves likewise,
+once, by its neighbours in all training texts, and the class bigrams are counted a last time.
+
+Probability of a word after a word of class d: P(c | d) P(item | c), where tail words are items of their
+class, and for a word that stands below a shape, times P(word | shape). P(c | d) is interpolated with P(c); item counts are smoothed by half a
 count; a shape gives a new word the weight of its number of seen words (Witten and Bell). As in the
 base model all unseen words of a kind are one type. The sum over types is 1.
 
 Defined results: a null text is empty, it has the end as its one token; a null id is hashed as the
-empty string; repeated rows count and score each on their own; without training texts every
+empty string; very long texts are scored whole, one text being the least a task takes; repeated rows count and score each on their own; without training texts every
 probability is that of the smoothing alone; an empty table gives an empty result. Only the named
 columns are read.
 """
@@ -33,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +49,10 @@ ITEM_BITS = 18
 SHAPES = 4096
 END = SHAPES  # shapes are items 0 .. SHAPES - 1, then the end, then the frequent words
 FIRST_WORD = SHAPES + 1
+LEAST = 8  # training tokens from which a word has a class of its own
 BLOCK_TOKENS = 1 << 20
+BUCKET_BYTES = 16 << 20
+MOST_BUCKETS = 1 << 17
 COUNTER_WORDS = 400_000
 INTERPOLATION = float(CLASSES)
 HALF = 0.5
@@ -109,8 +116,9 @@ def count_words(buckets: int):
 VOCABULARY = "kind string, bucket int, word binary, shape int, count long, types long, words binary, counts binary"
 
 
-def merge_words(least: int):
-    """Of one bucket: frequent words, the shapes' sums over the other words, and those, packed."""
+def merge_words(head: int, least: int):
+    """Of one bucket: head words, the other words packed, and the shapes' sums over the other words
+    ("shape") and over those below ``least`` alone ("deep")."""
     kinds = [pa.string(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
     def merge(table: pa.Table) -> pa.Table:
@@ -119,36 +127,32 @@ def merge_words(least: int):
             for word, n in zip(words.split(b" ") if words else (), np.frombuffer(counts, np.uint32).tolist(), strict=True):
                 total[word] += n
         bucket = table.column("bucket")[0].as_py()
-        rows = [("word", bucket, w, None, n, None, None, None) for w, n in total.items() if n >= least]
-        rare = sorted(w for w, n in total.items() if n < least)
-        sums: dict[int, list[int]] = {}
+        rows = [("word", bucket, w, None, n, None, None, None) for w, n in total.items() if n >= head]
+        rare = sorted(w for w, n in total.items() if n < head)
+        sums: dict[tuple[str, int], list[int]] = {}
         for w in rare:
-            s = sums.setdefault(shape(w), [0, 0])
-            s[0] += total[w]
-            s[1] += 1
-        rows += [("shape", bucket, None, k, n, types, None, None) for k, (n, types) in sums.items()]
+            for kind in ("shape", "deep") if total[w] < least else ("shape",):
+                s = sums.setdefault((kind, shape(w)), [0, 0])
+                s[0] += total[w]
+                s[1] += 1
+        rows += [(kind, bucket, None, k, n, types, None, None) for (kind, k), (n, types) in sums.items()]
         rows.append(("rare", bucket, None, None, sum(total[w] for w in rare), len(rare), b" ".join(rare), np.array([total[w] for w in rare], np.uint32).tobytes()))
         return pa.Table.from_batches([_batch(rows, kinds, _names(VOCABULARY))])
 
     return merge
 
 
-ENCODED = "kind string, block long, doc_ids array<long>, held array<boolean>, lengths binary, items binary, rare binary, bucket int, words binary, rids binary"
-ENCODED_KINDS = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 3, pa.int32(), *[pa.binary()] * 2]
+ENCODED = "block long, doc_ids array<long>, held array<boolean>, lengths binary, items binary, rare binary, words binary"
+ENCODED_KINDS = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 4]
 
 
-def encode_texts(buckets: int, words):
-    """Blocks of texts as item numbers, and the block's questions for counts of words below shapes."""
+def encode_texts(words):
+    """Blocks of texts as item numbers, and the block's distinct words below the head."""
 
     def flush(block: int, ids: list, held: list, lengths: list, items: list, rare: list, local: dict) -> pa.RecordBatch:
-        by_bucket: dict[int, list[bytes]] = {}
-        for word in local:
-            by_bucket.setdefault(_bucket(word, buckets), []).append(word)
-        none = (None,) * 6
-        rows = [("asked", block, *none[:5], b, b" ".join(w), np.array([local[x][0] for x in w], np.uint32).tobytes()) for b, w in by_bucket.items()]
         whole = np.concatenate(items).astype(np.int32) if items else np.empty(0, np.int32)
-        rows.append(("block", block, ids, held, np.array(lengths, np.int32).tobytes(), whole.tobytes(), np.array(rare, np.uint32).tobytes(), None, None, None))
-        return _batch(rows, ENCODED_KINDS, _names(ENCODED))
+        row = (block, ids, held, np.array(lengths, np.int32).tobytes(), whole.tobytes(), np.array(rare, np.uint32).tobytes(), b" ".join(local))
+        return _batch([row], ENCODED_KINDS, _names(ENCODED))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = words.value.get
@@ -193,6 +197,87 @@ def _training(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield before[use], items[use]
 
 
+ASKED = "bucket int, block long, words binary, rids binary, codes binary, seen binary"
+
+
+def ask(buckets: int, classes):
+    """A block's questions for its words below the head, by bucket, with the classes around them in the
+    block's training texts: a code is place of the word in the question x 2C + class, plus C for classes
+    after it."""
+    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+
+    def questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        class_of = classes.value.astype(np.int64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                if not row["words"]:
+                    continue
+                words = row["words"].split(b" ")
+                items = np.frombuffer(row["items"], np.int32).astype(np.int64)
+                used = np.repeat(~np.array(row["held"], bool), np.frombuffer(row["lengths"], np.int32))
+                at = np.flatnonzero(items < SHAPES)
+                rid = np.frombuffer(row["rare"], np.uint32).astype(np.int64)
+                at, rid = at[used[at]], rid[used[at]]
+                around = class_of[np.concatenate([[END], items])]  # an end is the last token of every text
+                codes = np.concatenate([rid * (2 * CLASSES) + around[at], rid * (2 * CLASSES) + CLASSES + around[at + 2]])
+                codes, seen = np.unique(codes, return_counts=True)
+                bucket = np.fromiter((_bucket(w, buckets) for w in words), np.int64, len(words))
+                order = np.argsort(bucket, kind="stable")
+                place = np.empty(len(words), np.int64)
+                groups = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+                for g in groups:
+                    place[g] = np.arange(len(g))
+                owner = codes // (2 * CLASSES)
+                codes = place[owner] * (2 * CLASSES) + codes % (2 * CLASSES)
+                owner = bucket[owner]
+                by = np.argsort(owner, kind="stable")
+                first = np.searchsorted(owner[by], [bucket[g[0]] for g in groups])
+                last = np.searchsorted(owner[by], [bucket[g[0]] for g in groups], "right")
+                rows = [
+                    (int(bucket[g[0]]), row["block"], b" ".join(words[i] for i in g), g.astype(np.uint32).tobytes(), codes[by[i:j]].astype(np.uint32).tobytes(), seen[by[i:j]].astype(np.uint32).tobytes())
+                    for g, i, j in zip(groups, first, last, strict=True)
+                ]
+                yield _batch(rows, kinds, _names(ASKED))
+        common.trim()
+
+    return questions
+
+
+ANSWERED = "kind string, block long, rids binary, counts binary, classes binary, c int, n long, members long"
+
+
+def answer(classes, bigrams: np.ndarray, least: int):
+    """In one bucket: tail words find their class; counts and classes (-1: below a shape) of the words
+    that blocks ask for; and tokens and words of the tail by class."""
+    kinds = [pa.string(), pa.int64(), *[pa.binary()] * 3, pa.int32(), *[pa.int64()] * 2]
+
+    def reply(table: pa.Table) -> pa.Table:
+        known: dict[bytes, int] = {}
+        for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist(), strict=True):
+            if counts is not None and words:
+                known.update(zip(words.split(b" "), np.frombuffer(counts, np.uint32).tolist(), strict=True))
+        tail = {w: k for k, w in enumerate(w for w, n in known.items() if n >= least)}
+        grid = np.zeros((len(tail) + 1) * 2 * CLASSES, np.int64)  # the last line takes all other words
+        asked = []
+        for row in table.filter(table.column("block").is_valid()).select(["block", "words", "rids", "codes", "seen"]).to_pylist():
+            words = row["words"].split(b" ")
+            place = np.fromiter((tail.get(w, len(tail)) for w in words), np.int64, len(words))
+            codes = np.frombuffer(row["codes"], np.uint32).astype(np.int64)
+            np.add.at(grid, place[codes // (2 * CLASSES)] * (2 * CLASSES) + codes % (2 * CLASSES), np.frombuffer(row["seen"], np.uint32))
+            asked.append((row["block"], row["rids"], np.fromiter((known.get(w, 0) for w in words), np.uint32, len(words)), place))
+        grid = grid.reshape(-1, 2 * CLASSES)[:-1]
+        own = classes.value[np.fromiter((shape(w) for w in tail), np.int64, len(tail))]
+        best = best_classes(bigrams, grid[:, :CLASSES], grid[:, CLASSES:], own).astype(np.int8)
+        told = np.append(best, np.int8(-1))
+        rows = [("answer", block, rids, counts.tobytes(), told[place].tobytes(), None, None, None) for block, rids, counts, place in asked]
+        n = np.bincount(best, np.fromiter((known[w] for w in tail), np.int64, len(tail)), CLASSES)
+        members = np.bincount(best, minlength=CLASSES)
+        rows += [("class", None, None, None, None, c, int(n[c]), int(members[c])) for c in np.flatnonzero(members).tolist()]
+        return pa.Table.from_batches([_batch(rows, kinds, _names(ANSWERED))])
+
+    return reply
+
+
 NEIGHBOURS = "bucket int, codes binary, counts binary"
 STATS = "kind string, bucket int, items binary, left binary, right binary, d int, c int, n long"
 
@@ -268,74 +353,98 @@ class Model:
     item_counts: np.ndarray
     shape_counts: np.ndarray
     shape_types: np.ndarray
+    weights: np.ndarray
 
 
-def make_model(n: int, v: int, class_of: np.ndarray, bigrams: np.ndarray, item_counts: np.ndarray, shape_counts: np.ndarray, shape_types: np.ndarray) -> Model:
-    sizes = np.bincount(class_of, item_counts, CLASSES)
-    members = np.bincount(class_of, minlength=CLASSES)
+def make_model(n: int, v: int, class_of: np.ndarray, bigrams: np.ndarray, item_counts: np.ndarray, shape_counts: np.ndarray, shape_types: np.ndarray, tail: np.ndarray | None = None) -> Model:
+    """``tail``: tokens and words of the tail by class."""
+    tail = np.zeros((2, CLASSES), np.int64) if tail is None else tail
+    sizes = np.bincount(class_of, item_counts, CLASSES) + tail[0]
+    members = np.bincount(class_of, minlength=CLASSES) + tail[1]
     alone = (sizes + 1) * (members > 0)
     alone = alone / alone.sum()
     transition = (bigrams + INTERPOLATION * alone) / (bigrams.sum(axis=1, keepdims=True) + INTERPOLATION)
-    emission = (item_counts + HALF) / (sizes + HALF * members)[class_of]
+    weights = sizes + HALF * members
     with np.errstate(divide="ignore"):
-        return Model(n, v, class_of, np.log10(transition), np.log10(emission), item_counts, shape_counts, shape_types)
+        emission = np.log10((item_counts + HALF) / weights[class_of])
+        return Model(n, v, class_of, np.log10(transition), emission, item_counts, shape_counts, shape_types, np.log10(weights))
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+PLACED = "kind string, doc_ids array<long>, held array<boolean>, lengths binary, known binary, base binary, emitted binary, classes binary, d int, c int, n long"
+PLACED_KINDS = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 5, *[pa.int32()] * 2, pa.int64()]
 
 
-def score_block(model):
-    """Scores of a block's texts, from its items and the counts it had asked for."""
+def place_block(model):
+    """A block's texts as classes, with all sums that need no transitions, and its class bigrams."""
 
-    def score(table: pa.Table) -> pa.Table:
+    def place(table: pa.Table) -> pa.Table:
         m: Model = model.value
-        is_block = [k == "block" for k in table.column("kind").to_pylist()]
-        row = table.filter(pa.array(is_block)).to_pylist()[0]
+        is_block = table.column("items").is_valid()
+        row = table.filter(is_block).to_pylist()[0]
         lengths = np.frombuffer(row["lengths"], np.int32)
         items = np.frombuffer(row["items"], np.int32).astype(np.int64)
         rare = np.frombuffer(row["rare"], np.uint32)
         answers = np.zeros(int(rare.max(initial=0)) + 1, np.int64)
-        for part in table.filter(pa.array([not b for b in is_block])).select(["rids", "counts"]).to_pylist():
-            answers[np.frombuffer(part["rids"], np.uint32)] = np.frombuffer(part["counts"], np.uint32)
+        own = np.full(len(answers), -1, np.int64)
+        for part in table.filter(pc.invert(is_block)).select(["rids", "counts", "classes"]).to_pylist():
+            rids = np.frombuffer(part["rids"], np.uint32)
+            answers[rids] = np.frombuffer(part["counts"], np.uint32)
+            own[rids] = np.frombuffer(part["classes"], np.int8)
+        below = np.flatnonzero(items < SHAPES)
         count = m.item_counts[items]
-        below = items < SHAPES
         count[below] = answers[rare]
         base = np.log10((count + 0.1) / (m.n + 0.1 * (m.v + 1)))
-        classes = m.class_of[items]
+        classes, value = m.class_of[items], m.emission[items]
+        is_tail = own[rare] >= 0
+        tail, deep, seen = below[is_tail], below[~is_tail], answers[rare][~is_tail]
+        classes[tail] = own[rare][is_tail]
+        value[tail] = np.log10(count[tail] + HALF) - m.weights[classes[tail]]
+        kind = items[deep]
+        new = np.maximum(m.shape_types[kind], 1)
+        value[deep] += np.log10(np.where(seen > 0, seen, new) / (m.shape_counts[kind] + new))
+        begin = np.cumsum(lengths) - lengths
+        known, base, value = (np.add.reduceat(x, begin).tobytes() for x in ((count > 0).astype(np.int64), base, value))
+        rows = [("block", row["doc_ids"], row["held"], row["lengths"], known, base, value, classes.astype(np.int8).tobytes(), None, None, None)]
+        used = np.repeat(~np.array(row["held"], bool), lengths)
         before = np.concatenate([[m.class_of[END]], classes[:-1]])
-        value = m.transition[before, classes] + m.emission[items]
-        kind, seen = items[below], answers[rare]
-        types, total = m.shape_types[kind], m.shape_counts[kind]
-        new = np.maximum(types, 1)
-        value[below] += np.log10(np.where(seen > 0, seen, new) / (total + new))
-        stop = np.cumsum(lengths)
-        begin = stop - lengths
-        sums = [np.add.reduceat(x, begin) for x in (base, value, (count > 0).astype(np.int64))]
-        return pa.table(
-            {
-                "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                "held_out": pa.array(row["held"], pa.bool_()),
-                "n_tokens": pa.array(lengths.astype(np.int64)),
-                "n_known": pa.array(sums[2]),
-                "base_score": pa.array(sums[0]),
-                "score": pa.array(sums[1]),
-            }
-        )
+        pairs = np.bincount(before[used] * CLASSES + classes[used], minlength=CLASSES * CLASSES)
+        rows += [("bigram", *(None,) * 7, k // CLASSES, k % CLASSES, int(pairs[k])) for k in np.flatnonzero(pairs).tolist()]
+        return pa.Table.from_batches([_batch(rows, PLACED_KINDS, _names(PLACED))])
+
+    return place
+
+
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def score_blocks(model):
+    """Scores of texts: what was summed, and the transitions between their classes."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = model.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                lengths = np.frombuffer(row["lengths"], np.int32)
+                classes = np.frombuffer(row["classes"], np.int8).astype(np.int64)
+                steps = m.transition[np.concatenate([[m.class_of[END]], classes[:-1]]), classes]
+                total = np.frombuffer(row["emitted"]) + np.add.reduceat(steps, np.cumsum(lengths) - lengths)
+                columns = [
+                    pa.array(row["doc_ids"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(lengths.astype(np.int64)),
+                    pa.array(np.frombuffer(row["known"], np.int64)), pa.array(np.frombuffer(row["base"])), pa.array(total),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, _names(SCORED))
 
     return score
 
 
-def answer(table: pa.Table) -> pa.Table:
-    """Counts of the words that blocks ask for, in one bucket."""
-    known: dict[bytes, int] = {}
-    for words, counts in zip(table.column("words").to_pylist(), table.column("counts").to_pylist(), strict=True):
-        if counts is not None and words:
-            known.update(zip(words.split(b" "), np.frombuffer(counts, np.uint32).tolist(), strict=True))
-    rows = []
-    for block, words, rids in zip(*(table.column(c).to_pylist() for c in ("block", "words", "rids")), strict=True):
-        if block is not None:
-            rows.append((block, rids, np.fromiter((known.get(w, 0) for w in words.split(b" ")), np.uint32).tobytes()))
-    return pa.Table.from_batches([_batch(rows, [pa.int64(), pa.binary(), pa.binary()], ["block", "rids", "counts"])])
+def likelihood(bigrams: np.ndarray) -> float:
+    """Log-likelihood of the training tokens under a partition, but for what depends on words alone."""
+
+    def entropy(x: np.ndarray) -> float:
+        x = x[x > 0]
+        return float((x * np.log(x)).sum())
+
+    return entropy(bigrams.ravel()) - entropy(bigrams.sum(axis=0)) - entropy(bigrams.sum(axis=1))
 
 
 def class_bigrams(stats: DataFrame) -> np.ndarray:
@@ -352,13 +461,20 @@ def exchange(blocks: DataFrame, item_counts: np.ndarray, buckets: int, rounds: i
     classes = np.full(len(item_counts), CLASSES - 1, np.int64)
     order = np.lexsort((np.arange(len(item_counts)), -item_counts))
     classes[order[: CLASSES - 1]] = np.arange(min(CLASSES - 1, len(order)))
+    best = None
     for turn in range(rounds + 1):
         told = spark.sparkContext.broadcast(classes)
         near = blocks.mapInArrow(count_neighbours(buckets, told), NEIGHBOURS).groupBy("bucket").applyInArrow(sum_neighbours(told), STATS)
         stats = common.stored(near, "neighbours")
         bigrams = class_bigrams(stats)
+        reached = likelihood(bigrams)
+        if best is not None and reached < best[0]:
+            common.discard(stats)
+            break
+        best = (reached, classes, bigrams)
         if turn == rounds:
-            return classes, bigrams
+            common.discard(stats)
+            break
 
         def move(batches: Iterator[pa.RecordBatch], told=told, bigrams=bigrams) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -375,50 +491,64 @@ def exchange(blocks: DataFrame, item_counts: np.ndarray, buckets: int, rounds: i
         moved = stats.filter("kind = 'items'").select("items", "left", "right").mapInArrow(move, "item long, class long").toArrow()
         classes = classes.copy()
         classes[moved.column("item").to_numpy()] = moved.column("class").to_numpy()
-        common.release(spark)
-    raise AssertionError("unreachable")
+        common.discard(stats)
+    return best[1], best[2]
 
 
 def score_texts(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per input row."""
     spark = docs.sparkSession
     common.prepared(spark)
-    buckets = min(1 << 15, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         (F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 10 == 0).alias("held_out"),
         F.col(text).alias("text"),
     )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MOST_BUCKETS, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES)))
     counted = common.stored(rows.select("held_out", "text").mapInArrow(count_words(buckets), WORDS), "word-counts")
     sums = counted.agg(F.sum("total").alias("words"), F.sum("texts").alias("texts")).first()
     texts = sums["texts"] or 0
     n = (sums["words"] or 0) + texts
-    least = max(1, -(-n >> ITEM_BITS))
-    merged = counted.filter(F.length("words") > 0).select("bucket", "words", "counts").groupBy("bucket").applyInArrow(merge_words(least), VOCABULARY)
+    head = max(1, -(-n >> ITEM_BITS))
+    merged = counted.filter(F.length("words") > 0).select("bucket", "words", "counts").groupBy("bucket").applyInArrow(merge_words(head, LEAST), VOCABULARY)
     vocabulary = common.stored(merged, "vocabulary")
     common.release(spark)
     frequent = vocabulary.filter("kind = 'word'").select("word", "count").toArrow()  # at most 2^18 rows
     pairs = sorted(zip(frequent.column("word").to_pylist(), frequent.column("count").to_pylist(), strict=True))
     item_counts = np.zeros(FIRST_WORD + len(pairs), np.int64)
-    shape_counts, shape_types = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
-    for r in vocabulary.filter("kind = 'shape'").groupBy("shape").agg(F.sum("count").alias("count"), F.sum("types").alias("types")).collect():
-        shape_counts[r["shape"]], shape_types[r["shape"]] = r["count"], r["types"]
-    item_counts[:SHAPES] = shape_counts
+    sums = {kind: np.zeros((2, SHAPES), np.int64) for kind in ("shape", "deep")}
+    for r in vocabulary.filter("kind IN ('shape', 'deep')").groupBy("kind", "shape").agg(F.sum("count").alias("count"), F.sum("types").alias("types")).collect():
+        sums[r["kind"]][:, r["shape"]] = r["count"], r["types"]
+    item_counts[:SHAPES] = sums["shape"][0]
     item_counts[END] = texts
     item_counts[FIRST_WORD:] = [c for _, c in pairs]
-    v = len(pairs) + int(shape_types.sum()) + (texts > 0)
+    v = len(pairs) + int(sums["shape"][1].sum()) + (texts > 0)
     words = spark.sparkContext.broadcast({w: FIRST_WORD + k for k, (w, _) in enumerate(pairs)})
 
-    encoded = common.stored(rows.mapInArrow(encode_texts(buckets, words), ENCODED), "encoded")
-    blocks = encoded.filter("kind = 'block'")
+    blocks = common.stored(rows.mapInArrow(encode_texts(words), ENCODED), "encoded")
+    common.discard(counted)
     classes, bigrams = exchange(blocks.select("held", "lengths", "items"), item_counts, buckets, rounds)
-    model = spark.sparkContext.broadcast(make_model(n, v, classes, bigrams, item_counts, shape_counts, shape_types))
 
     none = F.lit(None)
-    asked = encoded.filter("kind = 'asked'").select("bucket", "block", "words", "rids", none.cast("binary").alias("counts"))
-    rare = vocabulary.filter("kind = 'rare'").select("bucket", none.cast("long").alias("block"), "words", none.cast("binary").alias("rids"), "counts")
-    answers = asked.unionByName(rare).groupBy("bucket").applyInArrow(answer, "block long, rids binary, counts binary")
-    left = blocks.select("kind", "block", "doc_ids", "held", "lengths", "items", "rare", none.cast("binary").alias("rids"), none.cast("binary").alias("counts"))
-    right = answers.select(F.lit("answer").alias("kind"), "block", none.cast("array<long>").alias("doc_ids"), none.cast("array<boolean>").alias("held"), *(none.cast("binary").alias(c) for c in ("lengths", "items", "rare")), "rids", "counts")
-    scored = left.unionByName(right).groupBy("block").applyInArrow(score_block(model), SCORED)
+    told = spark.sparkContext.broadcast(classes)
+    asked = blocks.select("block", "held", "lengths", "items", "rare", "words").mapInArrow(ask(buckets, told), ASKED).withColumn("counts", none.cast("binary"))
+    rare = vocabulary.filter("kind = 'rare'").select("bucket", none.cast("long").alias("block"), "words", *(none.cast("binary").alias(c) for c in ("rids", "codes", "seen")), "counts")
+    answers = common.stored(asked.unionByName(rare).groupBy("bucket").applyInArrow(answer(told, bigrams, LEAST), ANSWERED), "answers")
+    tail = np.zeros((2, CLASSES), np.int64)
+    for r in answers.filter("kind = 'class'").groupBy("c").agg(F.sum("n").alias("n"), F.sum("members").alias("members")).collect():
+        tail[:, r["c"]] = r["n"], r["members"]
+    item_counts[:SHAPES] = sums["deep"][0]
+    common.discard(vocabulary)
+
+    def model(bigrams: np.ndarray):
+        return spark.sparkContext.broadcast(make_model(n, v, classes, bigrams, item_counts, *sums["deep"], tail))
+
+    left = blocks.select("block", "doc_ids", "held", "lengths", "items", "rare", *(none.cast("binary").alias(c) for c in ("rids", "counts", "classes")))
+    right = answers.filter("kind = 'answer'").select(
+        "block", none.cast("array<long>").alias("doc_ids"), none.cast("array<boolean>").alias("held"), *(none.cast("binary").alias(c) for c in ("lengths", "items", "rare")), "rids", "counts", "classes"
+    )
+    placed = common.stored(left.unionByName(right).groupBy("block").applyInArrow(place_block(model(bigrams)), PLACED), "placed")
+    common.discard(blocks, answers)
+    scored = placed.filter("kind = 'block'").select("doc_ids", "held", "lengths", "known", "base", "emitted", "classes").mapInArrow(score_blocks(model(class_bigrams(placed))), SCORED)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
