@@ -28,7 +28,7 @@ hash would be taken for one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,13 @@ BLOCK_SHINGLES = 1 << 19
 CHUNK_MEMBERS = 1 << 13
 #: A shingle that no more texts of a chunk hold is rare there; any number gives the same passages.
 RARE_TEXTS = 8
-#: So many stretches are compared without an index.
-FEW = 4
+#: So many stretches are compared without asking which may be similar.
+FEW = 2
+#: So many stretches are all tried, without an index of their rare shingles.
+INDEXED = 64
+#: Shingles that are tried at once.
+PART_SHINGLES = 1 << 17
+NEVER = -(1 << 60)
 #: Places of the table that tells which keys and signatures are open.
 SLOTS = 1 << 21
 PLACE_BITS = 20
@@ -57,35 +62,43 @@ PLACE_BITS = 20
 
 def compact_windows(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(l, c, r) of all compact windows of ``least`` or more places, for many sequences at once:
-    [begin, stop) in one array of fewer than 2^20 places. The Cartesian trees are built from their
-    roots by range minima, one level of all trees at a time; of equal hashes the first is smaller."""
+    [begin, stop) in one array of fewer than 2^20 places; of equal hashes the first is smaller.
+
+    The centres of such windows are the smallest places of the runs of ``least`` places, and the next
+    smaller place on either side of a centre is a centre too. So the Cartesian trees are built of the
+    centres alone, in one pass with a stack: repeated words make trees as deep as they are long."""
     mask = np.uint64((1 << PLACE_BITS) - 1)
-    levels = [(hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)]
-    widest = int((stop - begin).max(initial=0))
-    while 2 << (len(levels) - 1) <= widest:
-        half = 1 << (len(levels) - 1)
-        levels.append(np.minimum(levels[-1][:-half], levels[-1][half:]))
+    ranked = (hashes & ~mask) | np.arange(len(hashes), dtype=np.uint64)
     keep = stop - begin >= least
-    low, high = begin[keep].astype(np.int64), stop[keep].astype(np.int64) - 1
-    out_l, out_c, out_r = [], [], []
-    while len(low):
-        width = high - low + 1
-        level = np.frexp(width.astype(float))[1] - 1
-        smallest = np.empty(len(low), np.uint64)
-        for k in np.unique(level).tolist():
-            at = np.flatnonzero(level == k)
-            smallest[at] = np.minimum(levels[k][low[at]], levels[k][high[at] - (1 << k) + 1])
-        centre = (smallest & mask).astype(np.int64)
-        out_l.append(low)
-        out_c.append(centre)
-        out_r.append(high)
-        low, high = np.concatenate([low, centre + 1]), np.concatenate([centre - 1, high])
-        keep = high - low + 1 >= least
-        low, high = low[keep], high[keep]
-    if not out_l:
+    begin, stop = begin[keep].astype(np.int64), stop[keep].astype(np.int64)
+    if not len(begin):
         none = np.empty(0, np.int64)
         return none, none, none
-    return np.concatenate(out_l), np.concatenate(out_c), np.concatenate(out_r)
+    lowest, width = ranked, 1
+    while width < least:
+        step = min(width, least - width)
+        lowest = np.minimum(lowest[:-step], lowest[step:])
+        width += step
+    edges = np.zeros(len(hashes) + 1, np.int8)
+    np.add.at(edges, begin, 1)
+    np.add.at(edges, stop - least + 1, -1)
+    lowest = lowest[np.cumsum(edges[: len(lowest)], dtype=np.int8).view(bool)]
+    lowest = lowest[np.concatenate([[True], lowest[1:] != lowest[:-1]])]
+    places = (lowest & mask).astype(np.int64)
+    first = np.searchsorted(places, begin)
+    sequence = np.repeat(np.arange(len(begin)), np.diff(np.append(first, len(places))))
+
+    # A sequence begins with a place that is smaller than all of its own, just before it.
+    values = np.insert(lowest, first, 0).tolist()
+    before, after = np.insert(places, first, begin - 1), np.insert(places, first, len(hashes))
+    smaller, next_smaller, path = [0] * len(values), [-1] * len(values), []
+    for k, value in enumerate(values):
+        while path and values[path[-1]] > value:
+            next_smaller[path.pop()] = k
+        smaller[k] = path[-1] if path else 0
+        path.append(k)
+    centres = np.arange(len(places)) + sequence + 1
+    return before[np.array(smaller)[centres]] + 1, places, np.minimum(np.append(after, len(hashes))[np.array(next_smaller)[centres]], stop[sequence]) - 1
 
 
 def run_starts(windows: tuple[np.ndarray, np.ndarray, np.ndarray], run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +156,14 @@ KINDS = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int6
 OTHERS = -1
 
 
+def _with_passage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids, keys and numbers of words of the texts that are long enough for a passage."""
+    for batch in batches:
+        words = np.array([len(text.split()) if text else 0 for text in common.byte_column(batch, "text")], np.int64)
+        counted = pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(words)], ["doc_id", "key", "words"])
+        yield counted.filter(pa.array(words >= PASSAGE))
+
+
 def packed_pairs(key: np.ndarray, place: np.ndarray, span: np.ndarray, other: np.ndarray, other_place: np.ndarray) -> list[tuple[int, int, bytes]]:
     """One row per pair of texts, with all places that they share and the distances of their minima."""
     order = np.lexsort((other_place, place, other, key))
@@ -251,30 +272,50 @@ def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[
     is trimmed to its first and last shared shingle on both sides; if its similarity is too low, it
     is divided at its longest stretch of shingles that are not shared."""
     order = np.argsort(y, kind="stable")
-    ranks = np.searchsorted(y[order], x)
+    ranked = y[order]
+    ranks = np.searchsorted(ranked, x)
     hit = order[np.minimum(ranks, len(y) - 1)] if len(y) else ranks
     shared = y[hit] == x if len(y) else np.zeros(len(x), bool)
     out, parts = [], [np.flatnonzero(shared)]
+    if len(parts[0]) < run * SIMILARITY_PERCENT // 100:
+        return out
+    before, before_there = _earlier(x), _earlier(y)
+    plain = before_there is None
+    first = np.where(shared, hit, -1)
+    if not plain:  # all places of y, by shingle and place
+        width = len(y) + 1
+        listed = np.searchsorted(ranked, ranked) * width + order
     while parts:
         at = parts.pop()
         if len(at) < run * SIMILARITY_PERCENT // 100:
             continue
         there = hit[at]
-        ranked = np.sort(there)
-        low, high = int(ranked[len(there) // 50]), int(ranked[-1 - len(there) // 50])
-        # A shingle that also stands elsewhere may point far away; the bulk tells the place.
-        close = (there >= low - run) & (there <= high + run)
-        at, there = at[close], there[close]
-        a, b, c, d = int(at[0]), int(at[-1]) + 1, int(there.min()), int(there.max()) + 1
-        left, right = np.unique(x[a:b]), np.unique(y[c:d])
-        both = len(np.intersect1d(left, right, assume_unique=True))
-        whole = len(left) + len(right) - both
+        far = np.sort(there)
+        low, high = int(far[len(there) // 50]), int(far[-1 - len(there) // 50])
+        if far[0] < low - run or far[-1] > high + run:
+            # A shingle that also stands elsewhere may point far away; the bulk tells the place.
+            close = (there >= low - run) & (there <= high + run)
+            at, there = at[close], there[close]
+            far = np.sort(there)
+        a, b, c, d = int(at[0]), int(at[-1]) + 1, int(far[0]), int(far[-1]) + 1
         if min(b - a, d - c) < run:
             continue
+        held = first[a:b]
+        if plain:
+            held = (held >= c) & (held < d)
+        else:
+            asked = np.searchsorted(listed, ranks[a:b] * width + c)
+            held = (held >= 0) & (listed[np.minimum(asked, len(y) - 1)] < ranks[a:b] * width + d) & (asked < len(y))
+        if before is not None:
+            fresh = before[a:b] < a
+            left, both = int(np.count_nonzero(fresh)), int(np.count_nonzero(held & fresh))
+        else:
+            left, both = b - a, int(np.count_nonzero(held))
+        whole = left - both + (d - c if plain else int(np.count_nonzero(before_there[c:d] < c)))
         if 100 * both >= SIMILARITY_PERCENT * whole:
             out.append((a, b, c, d, both / whole))
             continue
-        gaps = np.maximum(np.diff(at), np.abs(np.diff(there)))
+        gaps = np.maximum(at[1:] - at[:-1], np.abs(there[1:] - there[:-1]))
         cut = int(np.argmax(gaps)) + 1
         if gaps[cut - 1] <= 1:
             cut = len(at) // 2
@@ -282,6 +323,32 @@ def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[
     return sorted(out)
 
 
+def passages_around(x: np.ndarray, y: np.ndarray, at: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+    """The common passages that hold one of the places on each side. What a side repeats can hide a
+    passage, so if none is found then, the sides change places."""
+    for turned in (False, True):
+        if turned and _earlier(x) is None and _earlier(y) is None:
+            break
+        found = common_passages(y, x) if turned else common_passages(x, y)
+        found = [(c, d, a, b, similarity) for a, b, c, d, similarity in found] if turned else found
+        found = [p for p in found if ((at >= p[0]) & (at < p[1])).any() and ((there >= p[2]) & (there < p[3])).any()]
+        if found:
+            return found
+    return []
+
+
+def _earlier(values: np.ndarray) -> np.ndarray | None:
+    """For each place the last earlier one of the same value, or -1; nothing if all values differ."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    same = ranked[1:] == ranked[:-1]
+    if not same.any():
+        return None
+    out = np.full(len(values), -1)
+    out[order[1:][same]] = order[:-1][same]
+    return out
+
+
 REGION = "struct<lo:int,hi:int,other_lo:int,other_hi:int>"
 
 
@@ -336,18 +403,55 @@ def _passage(key: int, lo: int, other: int, other_lo: int, found: tuple[int, int
     return (key, lo + a, lo + b + SHINGLE - 1, other, other_lo + c, other_lo + d + SHINGLE - 1, similarity, None, None)
 
 
+def _best_around(x: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The most that a window of ``RUN`` shingles or more around each place gains, as in ``Candidates``."""
+    held = np.isin(x, other)
+    before = _earlier(x)
+    once = np.ones(len(x), bool)
+    if before is not None:
+        again = np.flatnonzero(before >= 0)
+        once[again] = once[before[again]] = False
+    total = np.concatenate([[0], np.cumsum(np.where(once, np.where(held, 1, -6), 0))])
+    room = np.full(RUN, -NEVER), np.full(2 * RUN, NEVER)
+    begins = np.concatenate([room[0], total])[at[:, None] + np.arange(RUN + 1)]
+    ends = np.concatenate([total, room[1]])[at[:, None] + np.arange(1, 2 * RUN + 1)]
+    least = np.minimum.accumulate(begins, axis=1)[:, np.minimum(np.arange(1, 2 * RUN + 1), RUN)]
+    return (ends - least).max(axis=1) + len(np.unique(x[held & ~once]))
+
+
+def _near_passages(x: np.ndarray, y: np.ndarray, at: np.ndarray, there: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+    """Passages of the shingles up to a run before and two runs after pairs of places, each way round:
+    what the rest of a wide region repeats may hide them."""
+    maybe = np.flatnonzero(_best_around(x, y, at) + _best_around(y, x, there) >= 0)
+    found: list[tuple[int, int, int, int, float]] = []
+    for p, q in zip(at[maybe].tolist(), there[maybe].tolist(), strict=True):
+        if any(a <= p < b and c <= q < d for a, b, c, d, _ in found):
+            continue
+        lo, to = max(p - RUN, 0), max(q - RUN, 0)
+        pairs = passages_around(x[lo : p + 2 * RUN], y[to : q + 2 * RUN], np.array([p - lo]), np.array([q - to]))
+        found += [(lo + a, lo + b, to + c, to + d, similarity) for a, b, c, d, similarity in pairs]
+    yield from found
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of the regions, and the places of both sides that are in none of them."""
     for batch in batches:
         rows = []
         columns = (batch.column(c).to_pylist() for c in ("key", "other", "lo", "other_lo", "x", "y", "places"))
         for key, other, lo, other_lo, x, y, places in zip(*columns, strict=True):
-            passages = common_passages(_wide(x), _wide(y))
+            x, y = _wide(x), _wide(y)
+            passages = common_passages(x, y)
             rows += [_passage(key, lo, other, other_lo, p) for p in passages]
             at, there, span = np.frombuffer(places, np.int32).reshape(-1, 3).T
             held = np.zeros(len(at), bool)
             for a, b, c, d, _ in passages:
                 held |= (at >= lo + a) & (at + span < lo + b) & (there >= other_lo + c) & (there < other_lo + d)
+            if not held.all():
+                left = np.flatnonzero(~held)
+                for p in _near_passages(x, y, at[left] - lo, there[left] - other_lo):
+                    rows.append(_passage(key, lo, other, other_lo, p))
+                    a, b, c, d, _ = p
+                    held |= (at >= lo + a) & (at < lo + b) & (there >= other_lo + c) & (there < other_lo + d)
             for k, p in {*((key, p) for p in at[~held].tolist()), *((other, p) for p in there[~held].tolist())}:
                 rows.append((k, *(None,) * 7, p))
         yield _checked(rows)
@@ -378,47 +482,6 @@ def told_slots(table: DataFrame, column: str):
     return table.sparkSession.sparkContext.broadcast(bits)
 
 
-def _first_in_row(codes: np.ndarray) -> np.ndarray:
-    """Whether a place holds the first occurrence of its code in its row."""
-    order = np.argsort(codes, axis=1, kind="stable")
-    ranked = np.take_along_axis(codes, order, axis=1)
-    fresh = np.ones(codes.shape, bool)
-    fresh[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
-    out = np.empty(codes.shape, bool)
-    np.put_along_axis(out, order, fresh, axis=1)
-    return out
-
-
-class Surroundings:
-    """Codes of the shingles up to a run before and after the places of many members.
-
-    A passage holds a run of exactly ``RUN`` shingles that holds its place, and each distinct shingle of
-    either that the other lacks must be paid for by three that both hold. ``misses`` gives a lower bound
-    of the former for the best such run: shingles that occur once are counted, and of the others those
-    first met on one side of the place, whichever side has more."""
-
-    def __init__(self, parts: list[np.ndarray], at: np.ndarray, names: int):
-        self.codes = np.full((len(parts), 2 * RUN - 1), names, np.int32)
-        for k, (x, p) in enumerate(zip(parts, at.tolist(), strict=True)):
-            low, high = max(p - RUN + 1, 0), min(p + RUN, len(x))
-            self.codes[k, low - p + RUN - 1 : high - p + RUN - 1] = x[low:high]
-        outside = self.codes == names
-        once = _first_in_row(self.codes) & _first_in_row(self.codes[:, ::-1])[:, ::-1]
-        # No run leaves the text.
-        self.once = np.where(outside, 2 * RUN, once).astype(np.int32)
-        self.after = _first_in_row(self.codes[:, RUN - 1 :]) & ~once[:, RUN - 1 :] & ~outside[:, RUN - 1 :]
-        self.before = _first_in_row(self.codes[:, : RUN - 1][:, ::-1]) & ~(once | outside)[:, : RUN - 1][:, ::-1]
-
-    def misses(self, held: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Least number of distinct shingles of a run that are not among the held codes."""
-        lacks = ~held[self.codes[rows]]
-        nothing = np.zeros((len(rows), 1), np.int32)
-        single = np.concatenate([nothing, np.cumsum(lacks * self.once[rows], axis=1, dtype=np.int32)], axis=1)
-        after = np.cumsum(lacks[:, RUN - 1 :] & self.after[rows], axis=1, dtype=np.int32)
-        before = np.concatenate([nothing, np.cumsum(lacks[:, : RUN - 1][:, ::-1] & self.before[rows], axis=1, dtype=np.int32)], axis=1)
-        return (single[:, RUN:] - single[:, :RUN] + np.maximum(after, before[:, ::-1])).min(axis=1)
-
-
 def _stretches(key: np.ndarray, place: np.ndarray, lo: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """First member and shingles of each stretch of places of one text, a run or less apart, of members
     in order of (key, place): a repeated word or line has the same two minima at place after place."""
@@ -436,52 +499,92 @@ def _stretches(key: np.ndarray, place: np.ndarray, lo: np.ndarray, parts: list[n
 class Candidates:
     """For each stretch, the others that may be similar to it.
 
-    Two similar stretches share a shingle that few texts hold, which an index of these finds, or both
-    have a run that common shingles alone could make similar to another; such stretches are checked with
-    each other. Only pairs that ``Surroundings`` proves to be dissimilar are skipped."""
+    Each distinct shingle of either passage that the other lacks must be paid for by three that both
+    hold. On one side, a window of ``RUN`` shingles or more around one of the stretch's places gains one
+    for each shingle that the other stretch holds and loses six for each that it lacks; shingles that the
+    stretch repeats count as held once, wherever they are, and are never counted as lacking. If the best
+    windows of two stretches lose together, no passages of theirs are similar: only such pairs are skipped.
+
+    Among many stretches not all are tried: two similar ones share a shingle that few texts hold, which an
+    index of these finds, or the shingles that many texts hold would alone be enough for both."""
 
     def __init__(self, key: np.ndarray, at: np.ndarray, begin: np.ndarray, stop: np.ndarray, whole: list[np.ndarray]):
-        stretch = np.repeat(np.arange(len(begin)), stop - begin)
-        sizes = np.array([len(x) for x in whole])
+        self.sizes = np.array([len(x) for x in whole])
         names, code = np.unique(np.concatenate(whole), return_inverse=True)
-        coded = np.split(code.astype(np.int32), np.cumsum(sizes)[:-1])
-        self.begin, self.stop = begin, stop
-        self.around = Surroundings([coded[n] for n in stretch], at, len(names))
-        # Distinct (stretch, shingle), by stretch and, of the rare shingles, by shingle.
-        count = len(names) + 1
-        cells = np.unique(np.repeat(np.arange(len(begin)), sizes) * np.int64(count) + code)
-        member, self.held = cells // count, cells % count
+        self.code, self.count = code, len(names)
+        self.edge = np.concatenate([[0], np.cumsum(self.sizes)])
+        stretch = np.repeat(np.arange(len(begin)), self.sizes)
+        cells, met, where, times = np.unique(stretch * np.int64(self.count) + code, return_index=True, return_inverse=True, return_counts=True)
+        self.once = times[where] == 1
+        self.again = np.zeros(len(code), bool)
+        self.again[met[times > 1]] = True
+        # The last begin of a window that ends here, counted from the stretch's: at a place or before.
+        spot = np.full(len(code), -1)
+        own = self.edge[np.repeat(np.arange(len(begin)), stop - begin)] + at
+        spot[own] = own
+        number = np.arange(len(code))
+        self.latest = np.maximum(np.minimum(np.maximum.accumulate(spot), number + 1 - RUN) - self.edge[stretch], -1)
         self.texts = np.unique(key[begin], return_inverse=True)[1]
-        holders = np.bincount(np.unique(self.texts[member] * np.int64(count) + self.held) % count, minlength=count)
-        self.common = holders > RARE_TEXTS
-        self.edge = np.searchsorted(member, np.arange(len(begin) + 1))
-        rare = ~self.common[self.held]
-        by_code = np.argsort(self.held[rare], kind="stable")
-        self.listed = member[rare][by_code]
-        self.at_code = np.searchsorted(self.held[rare][by_code], np.arange(count))
-        self.paid = np.bincount(member, weights=~rare, minlength=len(begin)) // 3
-        least = [self.around.misses(self.common, m) for m in np.array_split(np.arange(len(key)), len(key) // 1024 + 1)]
-        self.least = np.minimum.reduceat(np.concatenate(least), begin)
-        self.among = np.flatnonzero(self.least <= self.paid)
-        self.mark, self.other = np.zeros(count, bool), np.zeros(count, bool)
-
-    def of(self, k: int) -> Iterator[int]:
-        own = self.held[self.edge[k] : self.edge[k + 1]]
-        met = [self.among[self.least[self.among] + self.least[k] <= np.minimum(self.paid[self.among], self.paid[k])]]
-        near = np.unique(np.concatenate(met + [self.listed[self.at_code[c] : self.at_code[c + 1]] for c in own[~self.common[own]].tolist()]))
-        for j in near[self.texts[near] != self.texts[k]].tolist():
-            there = self.held[self.edge[j] : self.edge[j + 1]]
-            self.mark[own] = True
-            shared = int(self.mark[there].sum())
-            lacking = self.around.misses(self.mark, np.arange(self.begin[j], self.stop[j])).min()
-            self.mark[own] = False
-            if lacking > shared // 3:
+        self.mark = np.zeros(self.count, bool)
+        self.column = np.full(self.count, -1)
+        self.listed = None
+        if len(begin) > INDEXED:
+            member, held = cells // self.count, cells % self.count
+            holders = np.bincount(np.unique(self.texts[member] * np.int64(self.count) + held) % self.count, minlength=self.count)
+            common_ = holders > RARE_TEXTS
+            rare = ~common_[held]
+            by_code = np.argsort(held[rare], kind="stable")
+            self.listed = member[rare][by_code]
+            self.at_code = np.searchsorted(held[rare][by_code], np.arange(self.count + 1))
+            self.rare = ~common_
+            self.alone = np.concatenate([self.best(common_[code[at]], at, self.sizes[j]) for j, at in self.parts(np.arange(len(begin)))])
+
+    def parts(self, stretches: np.ndarray, beside: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The stretches in parts of bounded size, with the positions of their shingles."""
+        weight = np.cumsum(self.sizes[stretches] + beside) // PART_SHINGLES
+        for part in np.split(stretches, np.flatnonzero(np.diff(weight)) + 1) if len(stretches) else []:
+            sizes = self.sizes[part]
+            yield part, np.repeat(self.edge[part] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+    def best(self, held: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """What the best window of each stretch gains, whose shingles stand at these positions."""
+        start = np.cumsum(sizes) - sizes
+        once = self.once[at]
+        total = np.concatenate([[0], np.cumsum(np.where(once, np.where(held, 1, -6), 0))])
+        lift = np.repeat(np.arange(len(sizes)) * (12 * len(at) + 1), sizes)
+        least = np.maximum.accumulate(lift - total[:-1])
+        latest = self.latest[at]
+        gain = total[1:] + least[np.maximum(latest, 0) + np.repeat(start, sizes)] - lift
+        gain[latest < 0] = NEVER
+        return np.maximum.reduceat(gain, start) + np.add.reduceat(held & self.again[at], start)
+
+    def of(self, k: int, wanted: Callable[[np.ndarray], np.ndarray]) -> Iterator[int]:
+        """``wanted`` tells, as late as possible, which of some stretches still matter."""
+        at = np.arange(self.edge[k], self.edge[k + 1])
+        codes = self.code[at]
+        if self.listed is None:
+            near = np.arange(len(self.sizes))
+        else:
+            met = [np.flatnonzero(self.alone + self.alone[k] >= 0)]
+            near = np.unique(np.concatenate(met + [self.listed[self.at_code[c] : self.at_code[c + 1]] for c in np.unique(codes[self.rare[codes]]).tolist()]))
+        near = near[self.texts[near] != self.texts[k]]
+        for part, there in self.parts(near, len(at)):
+            keep = wanted(part)
+            there, part = there[np.repeat(keep, self.sizes[part])], part[keep]
+            if not len(part):
                 continue
-            self.other[there] = True
-            lacking += self.around.misses(self.other, np.arange(self.begin[k], self.stop[k])).min()
-            self.other[there] = False
-            if lacking <= shared // 3:
-                yield j
+            sizes = self.sizes[part]
+            self.mark[codes] = True
+            theirs = self.best(self.mark[self.code[there]], there, sizes)
+            self.mark[codes] = False
+            # Which of this stretch's shingles each of the others holds.
+            names, column = np.unique(codes, return_inverse=True)
+            self.column[names] = np.arange(len(names))
+            held = np.zeros((len(part), len(names) + 1), bool)
+            held[np.repeat(np.arange(len(part)), sizes), self.column[self.code[there]]] = True
+            self.column[names] = -1
+            mine = self.best(held[:, column].ravel(), np.tile(at, len(part)), np.full(len(part), len(at)))
+            yield from part[theirs + mine >= 0].tolist()
 
 
 def compare_chunk(table: pa.Table) -> pa.Table:
@@ -497,59 +600,77 @@ def compare_chunk(table: pa.Table) -> pa.Table:
     begin, whole = _stretches(key, place, lo, parts)
     stop = np.append(begin[1:], len(key))
     index = Candidates(key, place - np.repeat(lo[begin], stop - begin), begin, stop, whole) if len(begin) > FEW else None
+    asking = np.logical_or.reduceat(open_, begin)
     rows = []
     for k in range(len(begin)):
         mine = slice(begin[k], stop[k])
         if not open_[mine].any():
             continue
-        for j in index.of(k) if index else np.flatnonzero(key[begin] != key[begin[k]]).tolist():
+
+        def wanted(part: np.ndarray, mine: slice = mine) -> np.ndarray:
+            return asking[part] | open_[mine].any()
+
+        for j in index.of(k, wanted) if index else np.flatnonzero(key[begin] != key[begin[k]]).tolist():
             theirs = slice(begin[j], stop[j])
             if not open_[mine].any() and not open_[theirs].any():
                 continue
             at, to = lo[begin[j]], lo[begin[k]]
-            for p in common_passages(whole[j], whole[k]):
-                # Only passages around the minima, as for pairs with representatives.
-                x = (place[theirs] - at >= p[0]) & (place[theirs] - at < p[1])
-                y = (place[mine] - to >= p[2]) & (place[mine] - to < p[3])
-                if x.any() and y.any():
-                    rows.append(_passage(int(key[begin[j]]), int(at), int(key[begin[k]]), int(to), p))
-                    open_[theirs] &= ~x
-                    open_[mine] &= ~y
+            # Only passages around the minima, as for pairs with representatives.
+            for p in passages_around(whole[j], whole[k], place[theirs] - at, place[mine] - to):
+                rows.append(_passage(int(key[begin[j]]), int(at), int(key[begin[k]]), int(to), p))
+                open_[theirs] &= (place[theirs] - at < p[0]) | (place[theirs] - at >= p[1])
+                open_[mine] &= (place[mine] - to < p[2]) | (place[mine] - to >= p[3])
+                asking[j], asking[k] = open_[theirs].any(), open_[mine].any()
     rows += [(int(key[k]), *(None,) * 6, sig, int(place[k])) for k in np.flatnonzero(open_).tolist()]
     return pa.Table.from_batches([_checked(rows)])
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A stored table, without the shuffle files of the steps before."""
+    table = common.stored(df, name)
+    common.release(df.sparkSession)
+    return table
+
+
 def compare_open(failed: DataFrame, windows: DataFrame, cut_out) -> list[DataFrame]:
     """Passages of the open places (key, place) with any text of their signatures."""
     packed = windows.filter(F.col("sig").isNotNull()).select("sig", "keys", "at")
-    failed = common.stored(failed.distinct(), "open-places")
+    failed = kept(failed.distinct(), "open-places")
     if failed.isEmpty():
+        common.discard(windows, failed)
         return []
     known = packed.mapInArrow(make_members("key", told_slots(failed, "key")), MEMBERS)
-    asked = common.stored(known.join(common.small_or_plain(failed), ["key", "place"], "left_semi").select("sig", "key", "place").distinct(), "open")
-    sigs = common.stored(asked.select("sig").distinct(), "open-signatures")
+    asked = kept(known.join(common.small_or_plain(failed), ["key", "place"], "left_semi").select("sig", "key", "place").distinct(), "open")
+    sigs = kept(asked.select("sig").distinct(), "open-signatures")
     members = packed.mapInArrow(make_members("sig", told_slots(sigs, "sig")), MEMBERS).join(common.small_or_plain(sigs), "sig", "left_semi")
     both = members.withColumn("open", F.lit(False)).unionByName(asked.withColumn("open", F.lit(True)))
-    members = common.stored(both.groupBy("sig", "key", "place").agg(F.max("open").alias("open")), "open-members")
-    sized = members.groupBy("sig").agg(F.ceil(F.count("*") / F.lit(CHUNK_MEMBERS)).cast("int").alias("chunks"))
+    members = kept(both.groupBy("sig", "key", "place").agg(F.max("open").alias("open")), "open-members")
+    common.discard(windows, failed, asked, sigs)
+    # Of two places one represented the other, so that pair has been compared.
+    sized = members.groupBy("sig").agg(F.ceil(F.count("*") / F.lit(CHUNK_MEMBERS)).cast("int").alias("chunks"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    sized = kept(sized.filter("n > 2 and low < high").select("sig", "chunks"), "open-sizes")
     lo = F.greatest(F.col("place") - RUN, F.lit(0))
-    places = members.join(sized, "sig").withColumn("lo", lo).withColumn("hi", F.col("place") + 2 * RUN)
+    places = members.join(common.small_or_plain(sized), "sig").withColumn("lo", lo).withColumn("hi", F.col("place") + 2 * RUN)
     regions = cut_out(places.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "open")
     chunk = F.pmod(F.xxhash64("key", "sig"), F.col("chunks")).cast("int")
     columns = ["sig", "chunk", "key", "place", "lo", "open", "shingles"]
-    spots = common.stored(places.join(regions, ["key", "lo", "hi"]).withColumn("chunk", chunk).select(*columns, "chunks"), "open-spots")
-    own = common.stored(spots.select(columns).groupBy("sig", "chunk").applyInArrow(compare_chunk, CHECKED), "open-chunks")
+    spots = kept(places.join(regions, ["key", "lo", "hi"]).withColumn("chunk", chunk).select(*columns, "chunks"), "open-spots")
+    common.discard(regions, members)
+    own = kept(spots.select(columns).groupBy("sig", "chunk").applyInArrow(compare_chunk, CHECKED), "open-chunks")
 
     # What has found nothing in its own chunk meets the other chunks.
     left = own.filter(F.col("place").isNotNull()).select("sig", "key", "place")
     still = spots.filter("open and chunks > 1").join(left, ["sig", "key", "place"], "left_semi")
-    still = common.stored(still, "still-open")
+    still = kept(still, "still-open")
     if still.isEmpty():
+        common.discard(spots, still)
         return [own]
     visits = still.withColumn("home", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("chunk != home")
     hosts = spots.withColumn("open", F.lit(False)).join(still.select("sig", F.col("chunk").alias("home")).distinct(), "sig").filter("chunk != home")
     whole = visits.select(*columns, "home").unionByName(hosts.select(*columns, "home"))
-    return [own, common.stored(whole.groupBy("sig", "chunk", "home").applyInArrow(compare_chunk, CHECKED), "other-chunks")]
+    others = kept(whole.groupBy("sig", "chunk", "home").applyInArrow(compare_chunk, CHECKED), "other-chunks")
+    common.discard(spots, still)
+    return [own, others]
 
 
 def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
@@ -562,35 +683,38 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("key"), F.col(text).alias("text")
     )
-    narrow = common.stored(rows.select("doc_id", "key", common.word_count(F.col("text")).alias("words")).filter(F.col("words") >= PASSAGE), "repeat-ids")
-    windows = common.stored(rows.select("key", "text").mapInArrow(make_windows(buckets), ROWS), "windows")
+    narrow = kept(rows.mapInArrow(_with_passage, "doc_id long, key long, words long"), "repeat-ids")
+    windows = kept(rows.select("key", "text").mapInArrow(make_windows(buckets), ROWS), "windows")
     cells = windows.filter(F.col("bucket") != OTHERS).select("bucket", "sig", "keys", "at", "spans")
     pairs = cells.groupBy("bucket").applyInArrow(pair_up, PAIRS).unionByName(windows.filter(F.col("bucket").isNull()).select("key", "other", "places"))
     grouped = pairs.groupBy("key", "other").agg(F.collect_list("places").alias("places"))
-    asked = common.stored(grouped.mapInArrow(_cluster, "key long, other long, lo int, hi int, other_lo int, other_hi int, places binary"), "regions")
+    asked = kept(grouped.mapInArrow(_cluster, "key long, other long, lo int, hi int, other_lo int, other_hi int, places binary"), "regions")
 
     both = asked.select("key", "lo", "hi").unionByName(asked.select(F.col("other").alias("key"), F.col("other_lo").alias("lo"), F.col("other_hi").alias("hi")))
     holders = narrow.groupBy("key").agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last"), F.count("*").alias("copies"), F.max("words").alias("words"))
-    holders = common.stored(holders, "holders")
+    holders = kept(holders, "holders")
 
     def cut_out(wanted: DataFrame, name: str) -> DataFrame:
         """Shingles of the wanted regions, from one row of each wanted text: that of the smallest id."""
-        wanted = common.stored(wanted, f"{name}-wanted")
-        one = common.stored(wanted.select("key").join(holders, "key").select(F.col("key").alias("one_key"), "holder"), f"{name}-ids")
+        wanted = kept(wanted, f"{name}-wanted")
+        one = kept(wanted.select("key").join(holders, "key").select(F.col("key").alias("one_key"), "holder"), f"{name}-ids")
         texts = rows.join(common.small_or_plain(one), (F.col("key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("key", "text")
         cut = texts.join(wanted, "key").mapInArrow(_cut, "key long, lo int, hi int, shingles binary")
-        return common.stored(cut.dropDuplicates(["key", "lo", "hi"]), f"{name}-cut")
+        cut = kept(cut.dropDuplicates(["key", "lo", "hi"]), f"{name}-cut")
+        common.discard(wanted, one)
+        return cut
 
     cut = cut_out(both.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "repeat")
     at_key = cut.withColumnRenamed("shingles", "x")
     at_other = cut.select(F.col("key").alias("other"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"), F.col("shingles").alias("y"))
     found = asked.join(at_key, ["key", "lo", "hi"]).join(at_other, ["other", "other_lo", "other_hi"]).select("key", "other", "lo", "other_lo", "x", "y", "places")
-    checked = common.stored(found.mapInArrow(_verify, CHECKED), "checked")
+    checked = kept(found.mapInArrow(_verify, CHECKED), "checked")
+    common.discard(cut, asked)
     more = compare_open(checked.filter(F.col("place").isNotNull()).select("key", "place"), windows, cut_out)
     found = checked
     for table in more:
         found = found.unionByName(table)
-    found = common.stored(found.filter(F.col("place").isNull()).drop("sig", "place").distinct(), "passages")
+    found = kept(found.filter(F.col("place").isNull()).drop("sig", "place").distinct(), "passages")
 
     # The other side's passage is a passage of its own document: one row, with one of the texts.
     first = F.min(F.struct("key", "start_word", "stop_word", "similarity")).alias("m")
