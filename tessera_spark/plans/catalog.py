@@ -761,9 +761,7 @@ def log_filter_stream(spark, sf):
 
 def log_filter_by_time(spark, sf):
     """The same by event time, the number of a turn, with a delay of two turns."""
-    stream = stream_parquet(
-        spark, sf, T.read(spark, sf, "conversations").schema, glob="conversations.parquet"
-    )
+    stream = T.stream(spark, sf, "conversations", whole=True)
     lines = text.explode_lines(stream.select(F.col("conv_id").alias("source"), F.col("turn").cast("long").alias("turn"), "text"), "text")
     return log_stream.log_filter_by_time(lines, scratch_path(spark, "lines"), 2).withColumn("turn", F.col("turn").cast(T.read(spark, sf, "conversations").schema["turn"].dataType))
 

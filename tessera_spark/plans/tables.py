@@ -15,6 +15,7 @@ from tessera_spark.functions.text import explode_lines
 from tessera_spark.operators.mlp import Layer, Network, centroid_network, predict
 from tessera_spark.operators.numbering import integer_bucket, rank_in_group
 from tessera_spark.operators.split import stratified_split
+from tessera_spark.streaming.common import stream_table
 
 RAW_ROOT, NORMALIZED_ROOT = "/raw", "/normalized"
 # A document's source says where its file lies and of which type it is.
@@ -63,6 +64,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str, whole: bool = False) -> DataFrame:
+    """One of the given tables as a stream."""
+    return stream_table(spark, f"{sf_dir}/{name}.parquet", read(spark, sf_dir, name).schema, whole)
+
+
 def lookup(column: str, values: dict[str, str]):
     out = None
     for key, value in values.items():

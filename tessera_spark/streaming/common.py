@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 from tessera_spark.session import delete_folder, materialise, scratch_path
 
 MAX_BYTES_PER_TRIGGER = 1 << 30
+NO_LIMIT = (1 << 63) - 1
 
 
 def stream_parquet(
@@ -24,6 +25,18 @@ def stream_parquet(
     return reader.options(**options).parquet(folder)
 
 
+def stream_table(spark: SparkSession, path: str, schema: StructType | str, whole: bool = False) -> DataFrame:
+    """File stream of a table that is one file or a folder of files, on whatever file system it lies.
+    The files of a table have no order among them, so a step that goes by the order of rows takes the
+    table ``whole``, in one micro-batch: cut anywhere, rows would seem to come late."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    options = {"maxBytesPerTrigger": NO_LIMIT} if whole else {}
+    if files.getFileStatus(target).isDirectory():
+        return stream_parquet(spark, path, schema, **options)
+    return stream_parquet(spark, target.getParent().toString(), schema, glob=target.getName(), **options)
+
+
 def run_to_table(stream: DataFrame, name: str, output: str | None = None) -> str:
     """Process what is available into a Parquet table and return its path. Progress and state
     live beside it in the shared folder, so a restarted job goes on where it stopped."""
