@@ -31,13 +31,13 @@ def both(spark, tmp_path_factory):
     return f"{top}/file", f"{top}/folder"
 
 
-@pytest.mark.parametrize("name", ["log_filter_by_time"])
+@pytest.mark.parametrize("name", ["log_filter_by_time", "log_filter_stream"])
 def test_a_folder_gives_the_rows_of_one_file(spark, both, name):
     file, folder = (sorted(map(tuple, driver.queries()[name](spark, sf).collect()), key=str) for sf in both)
     assert file and file == folder
 
 
-@pytest.mark.parametrize("name", ["log_filter_by_time"])
+@pytest.mark.parametrize("name", ["log_filter_by_time", "log_filter_stream"])
 def test_lines_of_a_table_do_not_depend_on_the_bound_of_a_batch(spark, both, monkeypatch, name):
     monkeypatch.setattr("tessera_spark.streaming.common.MAX_BYTES_PER_TRIGGER", 1)
     want = driver.queries()["log_filter"](spark, both[1])
