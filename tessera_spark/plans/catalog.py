@@ -704,9 +704,7 @@ def model_sources(spark, sf):
 def score_stream_query(spark, sf):
     parts = T.labelled_split(spark, sf)
     network = mlp.centroid_network(parts.filter(F.col("split") == "train"))
-    stream = stream_parquet(
-        spark, sf, T.read(spark, sf, "embeddings").schema, glob="embeddings.parquet"
-    )
+    stream = T.stream(spark, sf, "embeddings")
     path = run_to_table(score_stream(stream, network).drop("embedding"), "scores")
     return _rounded(spark.read.parquet(path), "confidence_score")
 
