@@ -22,7 +22,7 @@ from tessera_spark.session import materialise, scratch_path, ship_package
 from tessera_spark.sources import bucketed
 from tessera_spark.streaming import early_stop as early
 from tessera_spark.streaming import logs as log_stream
-from tessera_spark.streaming.common import run_by_batch, run_to_table, stream_parquet
+from tessera_spark.streaming.common import run_by_batch, run_to_table
 from tessera_spark.streaming.scoring import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -719,7 +719,7 @@ def score_stream_replayed(spark, sf):
         raise InterruptedError(f"ended after batch {number}")
 
     for after in (end_here, None):
-        stream = stream_parquet(spark, sf, T.read(spark, sf, "embeddings").schema, glob="embeddings.parquet")
+        stream = T.stream(spark, sf, "embeddings")
         try:
             run_by_batch(score_stream(stream, network).drop("embedding"), "scores", output, after)
         except StreamingQueryException:
@@ -729,7 +729,7 @@ def score_stream_replayed(spark, sf):
 
 
 def early_stop_stream(spark, sf):
-    stream = stream_parquet(spark, sf, T.read(spark, sf, "events").schema, glob="events.parquet")
+    stream = T.stream(spark, sf, "events", whole=True)
     values = stream.select(
         F.col("user_id").alias("run_id"), F.col("event_id").alias("epoch"), (F.col("value") / 1000).alias("value")
     )
@@ -739,7 +739,7 @@ def early_stop_stream(spark, sf):
 
 def early_stop_batches(spark, sf):
     """The same with its state in tables, one run spread over tasks."""
-    stream = stream_parquet(spark, sf, T.read(spark, sf, "events").schema, glob="events.parquet")
+    stream = T.stream(spark, sf, "events", whole=True)
     values = stream.select(
         F.col("user_id").alias("run_id"), F.col("event_id").alias("epoch"), (F.col("value") / 1000).alias("value")
     )

@@ -31,7 +31,7 @@ def both(spark, tmp_path_factory):
     return f"{top}/file", f"{top}/folder"
 
 
-@pytest.mark.parametrize("name", ["log_filter_by_time", "log_filter_stream", "score_stream"])
+@pytest.mark.parametrize("name", ["log_filter_by_time", "log_filter_stream", "score_stream", "score_stream_replayed"])
 def test_a_folder_gives_the_rows_of_one_file(spark, both, name):
     file, folder = (sorted(map(tuple, driver.queries()[name](spark, sf).collect()), key=str) for sf in both)
     assert file and file == folder
