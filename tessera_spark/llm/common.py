@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +123,72 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+_SPACES = np.zeros(256, bool)
+_SPACES[[32, *range(9, 14)]] = True
+#: Words from this length on are hashed one by one.
+_LONG = 32
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and hash of each word, the same hashes as of ``WordHashes``: xxh64 for all words of
+    one length at a time."""
+    import xxhash
+
+    space = _SPACES[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]])))
+    first, lengths = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(data) + 1, "<u8", buffer=data + bytes(8), strides=(1,))
+    order = np.argsort(np.minimum(lengths, _LONG).astype(np.uint8), kind="stable")
+    stops = np.cumsum(np.bincount(np.minimum(lengths, _LONG), minlength=_LONG + 1))
+    out = np.empty(len(first), np.uint64)
+    for length in range(1, _LONG):
+        part = order[stops[length - 1] : stops[length]]
+        if not len(part):
+            continue
+        at, done = first[part], 0
+        h = np.full(len(part), _P5 + np.uint64(length))
+        while length - done >= 8:
+            h = _turned(h ^ _turned(eight[at + done] * _P2, 31) * _P1, 27) * _P1 + _P4
+            done += 8
+        rest = eight[at + done]
+        if length - done >= 4:
+            h = _turned(h ^ (rest & np.uint64(0xFFFFFFFF)) * _P1, 23) * _P2 + _P3
+            rest >>= np.uint64(32)
+            done += 4
+        for _ in range(length - done):
+            h = _turned(h ^ (rest & np.uint64(0xFF)) * _P5, 11) * _P1
+            rest >>= np.uint64(8)
+        h = (h ^ (h >> np.uint64(33))) * _P2
+        h = (h ^ (h >> np.uint64(29))) * _P3
+        out[part] = h ^ (h >> np.uint64(32))
+    for k in order[stops[_LONG - 1] :].tolist():
+        out[k] = xxhash.xxh64_intdigest(data[first[k] : first[k] + lengths[k]])
+    return first, out
+
+
+def text_shingles(texts: list[bytes | None], width: int = 5, together: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The shingles of each text, worked out for about so many bytes of texts together."""
+    at = 0
+    while at < len(texts):
+        group, held = [], 0
+        while at < len(texts) and (not group or held + len(texts[at] or b"") < together):
+            group.append((texts[at] or b"").lower())
+            held += len(group[-1]) + 1
+            at += 1
+        first, hashes = word_hashes(b" ".join(group))
+        ends = np.searchsorted(first, np.cumsum([len(t) + 1 for t in group]))
+        whole = shingles(hashes, width)
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            yield whole[begin : max(end - width + 1, begin)]
+
+
 def shingles(hashes: np.ndarray, width: int = 5) -> np.ndarray:
     """One 64-bit hash per run of ``width`` words, in order of the text."""
     n = len(hashes) - width + 1

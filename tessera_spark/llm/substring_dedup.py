@@ -29,6 +29,7 @@ hash would be taken for one.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ CHUNK_MEMBERS = 1 << 13
 #: A shingle that no more texts of a chunk hold is rare there; any number gives the same passages.
 RARE_TEXTS = 8
 #: So many stretches are compared without asking which may be similar.
-FEW = 2
+FEW = 6
 #: So many stretches are all tried, without an index of their rare shingles.
 INDEXED = 64
 #: Shingles that are tried at once.
@@ -58,6 +59,8 @@ NEVER = -(1 << 60)
 #: Places of the table that tells which keys and signatures are open.
 SLOTS = 1 << 21
 PLACE_BITS = 20
+#: Steps of all positions at once before a stack takes over.
+STEPS = 64
 
 
 def compact_windows(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -89,16 +92,42 @@ def compact_windows(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray, lea
     sequence = np.repeat(np.arange(len(begin)), np.diff(np.append(first, len(places))))
 
     # A sequence begins with a place that is smaller than all of its own, just before it.
-    values = np.insert(lowest, first, 0).tolist()
+    values = np.insert(lowest, first, 0)
     before, after = np.insert(places, first, begin - 1), np.insert(places, first, len(hashes))
-    smaller, next_smaller, path = [0] * len(values), [-1] * len(values), []
+    smaller, next_smaller = nearest_smaller(values)
+    centres = np.arange(len(places)) + sequence + 1
+    return before[smaller[centres]] + 1, places, np.minimum(np.append(after, len(hashes))[next_smaller[centres]], stop[sequence]) - 1
+
+
+def nearest_smaller(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the last smaller value before each and of the first one after it (the length, if
+    there is none). The first value and what equals it are smallest. All positions step at once to
+    what their candidate points to; those that take many steps are left to one pass with a stack."""
+    open_end = np.append(values, values[:1])
+    sides = []
+    for way in (-1, 1):
+        to = np.arange(len(values)) + way
+        to[0] = max(to[0], 0)
+        active = np.flatnonzero(open_end[to] > values)
+        for _ in range(STEPS):
+            if not len(active):
+                break
+            to[active] = to[to[active]]
+            active = active[open_end[to[active]] > values[active]]
+        if len(active):
+            return _nearest_by_stack(values.tolist())
+        sides.append(to)
+    return sides[0], sides[1]
+
+
+def _nearest_by_stack(values: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    smaller, next_smaller, path = [0] * len(values), [len(values)] * len(values), []
     for k, value in enumerate(values):
         while path and values[path[-1]] > value:
             next_smaller[path.pop()] = k
         smaller[k] = path[-1] if path else 0
         path.append(k)
-    centres = np.arange(len(places)) + sequence + 1
-    return before[np.array(smaller)[centres]] + 1, places, np.minimum(np.append(after, len(hashes))[np.array(next_smaller)[centres]], stop[sequence]) - 1
+    return np.array(smaller), np.array(next_smaller)
 
 
 def run_starts(windows: tuple[np.ndarray, np.ndarray, np.ndarray], run: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,17 +229,18 @@ def make_windows(buckets: int):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS, strict=True)], names)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = common.WordHashes()
         block, held = [], 0
         seen: set[int] = set()
         for batch in batches:
+            fresh = []
             for key, text in zip(batch.column("key").to_pylist(), common.byte_column(batch, "text"), strict=True):
                 if key in seen:
                     continue
                 if len(seen) > 500_000:
                     seen.clear()
                 seen.add(key)
-                shingles = common.shingles(hashes.of(common.lower_words(text)), SHINGLE)
+                fresh.append((key, text))
+            for (key, _), shingles in zip(fresh, common.text_shingles([text for _, text in fresh], SHINGLE), strict=True):
                 # A text of more places than a block is cut into parts that overlap by a run.
                 for at in range(0, max(len(shingles) - RUN + 1, 0), BLOCK_SHINGLES):
                     part = shingles[at : at + BLOCK_SHINGLES + RUN - 1]
@@ -220,11 +250,11 @@ def make_windows(buckets: int):
                     if held + len(part) > BLOCK_SHINGLES and block:
                         yield flush(block)
                         block, held = [], 0
-                    block.append((key, part))
+                    block.append((key, part.copy()))
                     held += len(part)
         if block:
             yield flush(block)
-        del hashes, seen, block
+        del seen, block
         common.trim()
 
     def moved(batch: pa.RecordBatch, by: int) -> pa.RecordBatch:
@@ -267,24 +297,71 @@ def clusters(places: list[list[int]]) -> list[tuple[int, int, int, int, list]]:
     return [(max(a - RUN, 0), b + 2 * RUN, max(c - RUN, 0), d + 2 * RUN, at) for a, b, c, d, at in out]
 
 
-def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[int, int, int, int, float]]:
+class Side:
+    """The shingles of a region, and what comparisons ask of them: worked out once."""
+
+    def __init__(self, values: np.ndarray):
+        self.values = values
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self.values, kind="stable")
+
+    @cached_property
+    def ranked(self) -> np.ndarray:
+        return self.values[self.order]
+
+    @cached_property
+    def before(self) -> np.ndarray | None:
+        """For each place the last earlier one of the same value, or -1; nothing if all values differ."""
+        same = self.ranked[1:] == self.ranked[:-1]
+        if not same.any():
+            return None
+        out = np.full(len(self.values), -1)
+        out[self.order[1:][same]] = self.order[:-1][same]
+        return out
+
+    @cached_property
+    def once(self) -> np.ndarray:
+        """Whether the shingle of a place stands nowhere else."""
+        out = np.ones(len(self.values), bool)
+        if self.before is not None:
+            again = np.flatnonzero(self.before >= 0)
+            out[again] = out[self.before[again]] = False
+        return out
+
+    def ranks(self, x: Side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the shingles of the other side: the rank here, the first place here, whether it is here."""
+        ranks = self.ranked.searchsorted(x.values)
+        if not len(self.values):
+            return ranks, ranks, np.zeros(len(ranks), bool)
+        near = np.minimum(ranks, len(self.values) - 1)
+        return ranks, self.order[near], self.ranked[near] == x.values
+
+
+def _side(x: np.ndarray | Side) -> Side:
+    return x if isinstance(x, Side) else Side(x)
+
+
+def common_passages(x: np.ndarray | Side, y: np.ndarray | Side, run: int = RUN) -> list[tuple[int, int, int, int, float]]:
     """(begin, stop, other begin, other stop, similarity) of passages that two regions share. A part
     is trimmed to its first and last shared shingle on both sides; if its similarity is too low, it
     is divided at its longest stretch of shingles that are not shared."""
-    order = np.argsort(y, kind="stable")
-    ranked = y[order]
-    ranks = np.searchsorted(ranked, x)
-    hit = order[np.minimum(ranks, len(y) - 1)] if len(y) else ranks
-    shared = y[hit] == x if len(y) else np.zeros(len(x), bool)
-    out, parts = [], [np.flatnonzero(shared)]
-    if len(parts[0]) < run * SIMILARITY_PERCENT // 100:
-        return out
-    before, before_there = _earlier(x), _earlier(y)
+    x, y = _side(x), _side(y)
+    ranks, hit, shared = y.ranks(x)
+    whole_part = shared.nonzero()[0]
+    if len(whole_part) < run * SIMILARITY_PERCENT // 100 or whole_part[-1] - whole_part[0] < run - 1:
+        return []
+    there = hit[whole_part]
+    if there.max() - there.min() < run - 1:
+        return []
+    out, parts = [], [whole_part]
+    before, before_there = x.before, y.before
     plain = before_there is None
     first = np.where(shared, hit, -1)
     if not plain:  # all places of y, by shingle and place
-        width = len(y) + 1
-        listed = np.searchsorted(ranked, ranked) * width + order
+        width = len(y.values) + 1
+        listed = y.ranked.searchsorted(y.ranked) * width + y.order
     while parts:
         at = parts.pop()
         if len(at) < run * SIMILARITY_PERCENT // 100:
@@ -305,7 +382,7 @@ def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[
             held = (held >= c) & (held < d)
         else:
             asked = np.searchsorted(listed, ranks[a:b] * width + c)
-            held = (held >= 0) & (listed[np.minimum(asked, len(y) - 1)] < ranks[a:b] * width + d) & (asked < len(y))
+            held = (held >= 0) & (listed[np.minimum(asked, len(listed) - 1)] < ranks[a:b] * width + d) & (asked < len(listed))
         if before is not None:
             fresh = before[a:b] < a
             left, both = int(np.count_nonzero(fresh)), int(np.count_nonzero(held & fresh))
@@ -323,11 +400,12 @@ def common_passages(x: np.ndarray, y: np.ndarray, run: int = RUN) -> list[tuple[
     return sorted(out)
 
 
-def passages_around(x: np.ndarray, y: np.ndarray, at: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int, int, float]]:
+def passages_around(x: np.ndarray | Side, y: np.ndarray | Side, at: np.ndarray, there: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """The common passages that hold one of the places on each side. What a side repeats can hide a
     passage, so if none is found then, the sides change places."""
+    x, y = _side(x), _side(y)
     for turned in (False, True):
-        if turned and _earlier(x) is None and _earlier(y) is None:
+        if turned and x.before is None and y.before is None:
             break
         found = common_passages(y, x) if turned else common_passages(x, y)
         found = [(c, d, a, b, similarity) for a, b, c, d, similarity in found] if turned else found
@@ -337,18 +415,6 @@ def passages_around(x: np.ndarray, y: np.ndarray, at: np.ndarray, there: np.ndar
     return []
 
 
-def _earlier(values: np.ndarray) -> np.ndarray | None:
-    """For each place the last earlier one of the same value, or -1; nothing if all values differ."""
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    same = ranked[1:] == ranked[:-1]
-    if not same.any():
-        return None
-    out = np.full(len(values), -1)
-    out[order[1:][same]] = order[:-1][same]
-    return out
-
-
 REGION = "struct<lo:int,hi:int,other_lo:int,other_hi:int>"
 
 
@@ -366,18 +432,18 @@ def _cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles of the asked regions of each text, 48 bits each."""
-    hashes = common.WordHashes()
     for batch in batches:
-        rows = []
-        for key, text, regions in zip(batch.column("key").to_pylist(), common.byte_column(batch, "text"), batch.column("regions").to_pylist(), strict=True):
-            shingles = common.shingles(hashes.of(common.lower_words(text)), SHINGLE)
-            for r in regions:
-                part = np.ascontiguousarray(shingles[r["lo"] : r["hi"]])
-                rows.append((key, r["lo"], r["hi"], part.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "lo", "hi", "shingles"])
-    del hashes
+        regions = batch.column("regions")
+        bounds = regions.flatten()
+        ends = np.cumsum(regions.value_lengths().to_numpy()).tolist()
+        lo, hi = (x.to_numpy() for x in bounds.flatten())
+        los, his, parts, at = lo.tolist(), hi.tolist(), [], 0
+        for end, shingles in zip(ends, common.text_shingles(common.byte_column(batch, "text"), SHINGLE), strict=True):
+            narrow = np.ascontiguousarray(shingles).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+            parts += [narrow[6 * los[k] : 6 * his[k]] for k in range(at, end)]
+            at = end
+        key = np.repeat(batch.column("key").to_numpy(), np.diff([0, *ends]))
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo), pa.array(hi), pa.array(parts, pa.binary())], ["key", "lo", "hi", "shingles"])
     common.trim()
 
 
@@ -403,32 +469,47 @@ def _passage(key: int, lo: int, other: int, other_lo: int, found: tuple[int, int
     return (key, lo + a, lo + b + SHINGLE - 1, other, other_lo + c, other_lo + d + SHINGLE - 1, similarity, None, None)
 
 
-def _best_around(x: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _best_around(x: Side, held: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The most that a window of ``RUN`` shingles or more around each place gains, as in ``Candidates``."""
-    held = np.isin(x, other)
-    before = _earlier(x)
-    once = np.ones(len(x), bool)
-    if before is not None:
-        again = np.flatnonzero(before >= 0)
-        once[again] = once[before[again]] = False
-    total = np.concatenate([[0], np.cumsum(np.where(once, np.where(held, 1, -6), 0))])
+    total = np.concatenate([[0], np.cumsum(np.where(x.once, np.where(held, 1, -6), 0))])
     room = np.full(RUN, -NEVER), np.full(2 * RUN, NEVER)
     begins = np.concatenate([room[0], total])[at[:, None] + np.arange(RUN + 1)]
     ends = np.concatenate([total, room[1]])[at[:, None] + np.arange(1, 2 * RUN + 1)]
     least = np.minimum.accumulate(begins, axis=1)[:, np.minimum(np.arange(1, 2 * RUN + 1), RUN)]
-    return (ends - least).max(axis=1) + len(np.unique(x[held & ~once]))
+    again = 0 if x.before is None else np.count_nonzero(held & ~x.once & (x.before < 0))
+    return (ends - least).max(axis=1) + again
 
 
-def _near_passages(x: np.ndarray, y: np.ndarray, at: np.ndarray, there: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
+def _room(x: Side, held: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether the held shingles from a run before to two runs after each place are enough for a passage,
+    and whether those that first stand there lie far enough apart: ``common_passages`` needs the one on
+    its first side and the other on its second."""
+    lo = np.maximum(at - RUN, 0)
+    places = lo[:, None] + np.arange(3 * RUN)
+    inside = places < np.minimum(at + 2 * RUN, len(held))[:, None]
+    places = np.minimum(places, len(held) - 1)
+    every = held[places] & inside
+    fresh = every if x.before is None else every & (x.before[places] < lo[:, None])
+    far = [np.where(h.any(axis=1), h.shape[1] - h[:, ::-1].argmax(axis=1) - h.argmax(axis=1), 0) >= RUN for h in (every, fresh)]
+    return far[0] & (every.sum(axis=1) >= RUN * SIMILARITY_PERCENT // 100), far[1]
+
+
+def _near_passages(x: Side, y: Side, at: np.ndarray, there: np.ndarray) -> Iterator[tuple[int, int, int, int, float]]:
     """Passages of the shingles up to a run before and two runs after pairs of places, each way round:
     what the rest of a wide region repeats may hide them."""
-    maybe = np.flatnonzero(_best_around(x, y, at) + _best_around(y, x, there) >= 0)
+    held, held_there = y.ranks(x)[2], x.ranks(y)[2]
+    maybe = np.flatnonzero(_best_around(x, held, at) + _best_around(y, held_there, there) >= 0)
+    if not len(maybe):
+        return
+    enough, far = _room(x, held, at[maybe])
+    enough_there, far_there = _room(y, held_there, there[maybe])
+    maybe = maybe[(enough & far_there) | (far & enough_there)]
     found: list[tuple[int, int, int, int, float]] = []
     for p, q in zip(at[maybe].tolist(), there[maybe].tolist(), strict=True):
         if any(a <= p < b and c <= q < d for a, b, c, d, _ in found):
             continue
         lo, to = max(p - RUN, 0), max(q - RUN, 0)
-        pairs = passages_around(x[lo : p + 2 * RUN], y[to : q + 2 * RUN], np.array([p - lo]), np.array([q - to]))
+        pairs = passages_around(x.values[lo : p + 2 * RUN], y.values[to : q + 2 * RUN], np.array([p - lo]), np.array([q - to]))
         found += [(lo + a, lo + b, to + c, to + d, similarity) for a, b, c, d, similarity in pairs]
     yield from found
 
@@ -439,7 +520,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         columns = (batch.column(c).to_pylist() for c in ("key", "other", "lo", "other_lo", "x", "y", "places"))
         for key, other, lo, other_lo, x, y, places in zip(*columns, strict=True):
-            x, y = _wide(x), _wide(y)
+            x, y = Side(_wide(x)), Side(_wide(y))
             passages = common_passages(x, y)
             rows += [_passage(key, lo, other, other_lo, p) for p in passages]
             at, there, span = np.frombuffer(places, np.int32).reshape(-1, 3).T
@@ -475,6 +556,31 @@ def make_members(column: str, told):
     return members
 
 
+#: What names a chunk, and the chunk that visits it.
+CHUNK = ("sig", "chunk", "home")
+STRETCHES = "sig long, key long, lo int, hi int, spots array<struct<place:int,open:boolean>>"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of a text and signature as stretches of places a run or less apart: a repeated word
+    or line has the same two minima at place after place. A place that is there twice is open if one is."""
+    for batch in batches:
+        spots = batch.column("spots")
+        place, open_ = (x.to_numpy(zero_copy_only=False) for x in spots.flatten().flatten())
+        row = np.repeat(np.arange(len(batch)), spots.value_lengths().to_numpy())
+        order = np.lexsort((~open_, place, row))
+        row, place, open_ = row[order], place[order], open_[order]
+        fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1])]) if len(row) else np.zeros(0, bool)
+        row, place, open_ = row[fresh], place[fresh].astype(np.int32), open_[fresh]
+        cut = (row[1:] != row[:-1]) | (place[1:] - place[:-1] > RUN)
+        edge = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(row)]]) if len(row) else np.zeros(1, np.int64)
+        first, last = edge[:-1], edge[1:] - 1
+        lists = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.StructArray.from_arrays([pa.array(place), pa.array(open_)], ["place", "open"]))
+        bounds = [np.maximum(place[first] - RUN, 0), place[last] + np.int32(2 * RUN)]
+        owners = [pa.array(batch.column(c).to_numpy()[row[first]]) for c in ("sig", "key")]
+        yield pa.RecordBatch.from_arrays([*owners, *(pa.array(b.astype(np.int32)) for b in bounds), lists], ["sig", "key", "lo", "hi", "spots"])
+
+
 def told_slots(table: DataFrame, column: str):
     """A table of SLOTS marks, in which those of the column's values are set."""
     bits = np.zeros(SLOTS, bool)
@@ -505,10 +611,14 @@ class Candidates:
     stretch repeats count as held once, wherever they are, and are never counted as lacking. If the best
     windows of two stretches lose together, no passages of theirs are similar: only such pairs are skipped.
 
+    ``common_passages`` takes a shared shingle to stand where the other side has it first. If on neither
+    side the first places of the shared shingles lie a run apart, it finds nothing either.
+
     Among many stretches not all are tried: two similar ones share a shingle that few texts hold, which an
     index of these finds, or the shingles that many texts hold would alone be enough for both."""
 
     def __init__(self, key: np.ndarray, at: np.ndarray, begin: np.ndarray, stop: np.ndarray, whole: list[np.ndarray]):
+        """``key`` is of each stretch, ``at`` of each place, which ``begin`` and ``stop`` deal to the stretches."""
         self.sizes = np.array([len(x) for x in whole])
         names, code = np.unique(np.concatenate(whole), return_inverse=True)
         self.code, self.count = code, len(names)
@@ -516,6 +626,8 @@ class Candidates:
         stretch = np.repeat(np.arange(len(begin)), self.sizes)
         cells, met, where, times = np.unique(stretch * np.int64(self.count) + code, return_index=True, return_inverse=True, return_counts=True)
         self.once = times[where] == 1
+        self.first = np.zeros(len(code), bool)
+        self.first[met] = True
         self.again = np.zeros(len(code), bool)
         self.again[met[times > 1]] = True
         # The last begin of a window that ends here, counted from the stretch's: at a place or before.
@@ -524,7 +636,7 @@ class Candidates:
         spot[own] = own
         number = np.arange(len(code))
         self.latest = np.maximum(np.minimum(np.maximum.accumulate(spot), number + 1 - RUN) - self.edge[stretch], -1)
-        self.texts = np.unique(key[begin], return_inverse=True)[1]
+        self.texts = np.unique(key, return_inverse=True)[1]
         self.mark = np.zeros(self.count, bool)
         self.column = np.full(self.count, -1)
         self.listed = None
@@ -537,7 +649,9 @@ class Candidates:
             self.listed = member[rare][by_code]
             self.at_code = np.searchsorted(held[rare][by_code], np.arange(self.count + 1))
             self.rare = ~common_
-            self.alone = np.concatenate([self.best(common_[code[at]], at, self.sizes[j]) for j, at in self.parts(np.arange(len(begin)))])
+            known = [(common_[code[at]], at, self.sizes[j]) for j, at in self.parts(np.arange(len(begin)))]
+            self.alone = np.concatenate([self.best(*x) for x in known])
+            self.wide = np.concatenate([self.apart(held & self.first[at], at, sizes) for held, at, sizes in known])
 
     def parts(self, stretches: np.ndarray, beside: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The stretches in parts of bounded size, with the positions of their shingles."""
@@ -558,6 +672,12 @@ class Candidates:
         gain[latest < 0] = NEVER
         return np.maximum.reduceat(gain, start) + np.add.reduceat(held & self.again[at], start)
 
+    @staticmethod
+    def apart(held: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether the outermost held shingles of each stretch, which stand at these positions, lie a run apart."""
+        start = np.cumsum(sizes) - sizes
+        return np.maximum.reduceat(np.where(held, at, NEVER), start) - np.minimum.reduceat(np.where(held, at, -NEVER), start) >= RUN - 1
+
     def of(self, k: int, wanted: Callable[[np.ndarray], np.ndarray]) -> Iterator[int]:
         """``wanted`` tells, as late as possible, which of some stretches still matter."""
         at = np.arange(self.edge[k], self.edge[k + 1])
@@ -565,7 +685,7 @@ class Candidates:
         if self.listed is None:
             near = np.arange(len(self.sizes))
         else:
-            met = [np.flatnonzero(self.alone + self.alone[k] >= 0)]
+            met = [np.flatnonzero((self.alone + self.alone[k] >= 0) & (self.wide | self.wide[k]))]
             near = np.unique(np.concatenate(met + [self.listed[self.at_code[c] : self.at_code[c + 1]] for c in np.unique(codes[self.rare[codes]]).tolist()]))
         near = near[self.texts[near] != self.texts[k]]
         for part, there in self.parts(near, len(at)):
@@ -575,54 +695,124 @@ class Candidates:
                 continue
             sizes = self.sizes[part]
             self.mark[codes] = True
-            theirs = self.best(self.mark[self.code[there]], there, sizes)
+            shared = self.mark[self.code[there]]
             self.mark[codes] = False
+            keep = self.apart(shared, there, sizes)
+            if not keep.all():
+                inside = np.repeat(keep, sizes)
+                there, shared, part, sizes = there[inside], shared[inside], part[keep], sizes[keep]
+                if not len(part):
+                    continue
+            theirs = self.best(shared, there, sizes)
+            far = self.apart(shared & self.first[there], there, sizes)
             # Which of this stretch's shingles each of the others holds.
             names, column = np.unique(codes, return_inverse=True)
             self.column[names] = np.arange(len(names))
             held = np.zeros((len(part), len(names) + 1), bool)
             held[np.repeat(np.arange(len(part)), sizes), self.column[self.code[there]]] = True
             self.column[names] = -1
-            mine = self.best(held[:, column].ravel(), np.tile(at, len(part)), np.full(len(part), len(at)))
-            yield from part[theirs + mine >= 0].tolist()
+            here = held[:, column]
+            places = np.tile(at, len(part)), np.full(len(part), len(at))
+            mine = self.best(here.ravel(), *places)
+            far = (far & self.apart(here.ravel(), *places)) | self.apart((here & self.first[at]).ravel(), *places)
+            yield from part[(theirs + mine >= 0) & far].tolist()
 
 
 def compare_chunk(table: pa.Table) -> pa.Table:
     """Compare the open places of a chunk with all of its places. Returned are passages, and the
-    places that are still open. Places of one text that lie close are compared as one stretch; which
-    stretches are compared, ``Candidates`` tells, or, where there are few, all are."""
-    sig = table.column("sig")[0].as_py()
+    places that are still open. Places of one text that lie close are compared as one stretch."""
     key, place, lo = (table.column(c).to_numpy() for c in ("key", "place", "lo"))
     order = np.lexsort((place, key))
     shingles = table.column("shingles").to_pylist()
     key, place, lo, parts = key[order], place[order], lo[order], [_wide(shingles[k]) for k in order.tolist()]
     open_ = table.column("open").to_numpy(zero_copy_only=False)[order]
     begin, whole = _stretches(key, place, lo, parts)
-    stop = np.append(begin[1:], len(key))
-    index = Candidates(key, place - np.repeat(lo[begin], stop - begin), begin, stop, whole) if len(begin) > FEW else None
+    return _compared(table.column("sig")[0].as_py(), key[begin], lo[begin], whole, place, open_, np.append(begin, len(key)))
+
+
+def make_compare(apart: bool):
+    """Compare the stretches of each chunk, of rows in order of their chunks; if ``apart``, those that
+    ask only with those that do not."""
+
+    def compare_stretches(batches: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        spots = table.column("spots").combine_chunks()
+        place, open_ = (x.to_numpy(zero_copy_only=False) for x in spots.flatten().flatten())
+        sizes = spots.value_lengths().to_numpy()
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        key, lo = table.column("key").to_numpy(), table.column("lo").to_numpy()
+        order = np.lexsort((lo, key))
+        shingles = table.column("shingles").to_pylist()
+        sizes = sizes[order]
+        turn = np.repeat(edge[order] - (np.cumsum(sizes) - sizes), sizes) + np.arange(edge[-1])
+        whole = [_wide(shingles[k]) for k in order.tolist()]
+        edge = np.concatenate([[0], np.cumsum(sizes)])
+        return _compared(table.column("sig")[0].as_py(), key[order], lo[order], whole, place[turn], open_[turn], edge, apart)
+
+    def compare_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy() for c in CHUNK if c in batch.schema.names], axis=1)
+            edge = [0, *(np.flatnonzero((names[1:] != names[:-1]).any(axis=1)) + 1).tolist(), len(batch)]
+            for begin, end in zip(edge[:-1], edge[1:], strict=True):
+                if begin < end:
+                    if held and names[begin].tolist() != last:
+                        yield from compare_stretches(held).to_batches()
+                        held = []
+                    held.append(batch.slice(begin, end - begin))
+                    last = names[begin].tolist()
+        if held:
+            yield from compare_stretches(held).to_batches()
+        del held
+        common.trim()
+
+    return compare_chunks
+
+
+def by_chunk(rows: DataFrame, apart: bool) -> DataFrame:
+    """As grouped by chunk; a task takes all of its chunks in one go, as most of them are small."""
+    names = [c for c in CHUNK if c in rows.columns]
+    return rows.repartition(*names).sortWithinPartitions(*names).mapInArrow(make_compare(apart), CHECKED)
+
+
+def _compared(sig: int, key: np.ndarray, lo: np.ndarray, whole: list[np.ndarray], place: np.ndarray, open_: np.ndarray, edge: np.ndarray, apart: bool = False) -> pa.Table:
+    """``edge`` deals the places to the stretches, in order. Which stretches are compared, ``Candidates``
+    tells, or, where there are few, all are."""
+    begin, stop = edge[:-1], edge[1:]
+    index = Candidates(key, place - np.repeat(lo, stop - begin), begin, stop, whole) if len(begin) > FEW else None
+    open_ = open_.copy()
     asking = np.logical_or.reduceat(open_, begin)
+    host = ~asking if apart else None
+    sides: list[Side | None] = [None] * len(begin)
     rows = []
-    for k in range(len(begin)):
+    for k in np.flatnonzero(asking).tolist():
         mine = slice(begin[k], stop[k])
         if not open_[mine].any():
             continue
 
         def wanted(part: np.ndarray, mine: slice = mine) -> np.ndarray:
-            return asking[part] | open_[mine].any()
+            live = asking[part] | open_[mine].any()
+            return live if host is None else live & host[part]
 
-        for j in index.of(k, wanted) if index else np.flatnonzero(key[begin] != key[begin[k]]).tolist():
+        for j in index.of(k, wanted) if index else np.flatnonzero(key != key[k]).tolist():
             theirs = slice(begin[j], stop[j])
             if not open_[mine].any() and not open_[theirs].any():
                 continue
-            at, to = lo[begin[j]], lo[begin[k]]
+            if host is not None and not host[j]:
+                continue
+            at, to = lo[j], lo[k]
+            for x in (j, k):
+                sides[x] = sides[x] or Side(whole[x])
             # Only passages around the minima, as for pairs with representatives.
-            for p in passages_around(whole[j], whole[k], place[theirs] - at, place[mine] - to):
-                rows.append(_passage(int(key[begin[j]]), int(at), int(key[begin[k]]), int(to), p))
+            for p in passages_around(sides[j], sides[k], place[theirs] - at, place[mine] - to):
+                rows.append(_passage(int(key[j]), int(at), int(key[k]), int(to), p))
                 open_[theirs] &= (place[theirs] - at < p[0]) | (place[theirs] - at >= p[1])
                 open_[mine] &= (place[mine] - to < p[2]) | (place[mine] - to >= p[3])
                 asking[j], asking[k] = open_[theirs].any(), open_[mine].any()
-    rows += [(int(key[k]), *(None,) * 6, sig, int(place[k])) for k in np.flatnonzero(open_).tolist()]
-    return pa.Table.from_batches([_checked(rows)])
+    left = np.repeat(key, stop - begin)[open_]
+    blank = [pa.nulls(len(left), kind) for kind in CHECKED_KINDS[1:7]]
+    still = [pa.array(left), *blank, pa.array(np.full(len(left), sig)), pa.array(place[open_].astype(np.int32))]
+    return pa.Table.from_batches([_checked(rows), pa.RecordBatch.from_arrays(still, [c.split()[0] for c in CHECKED.split(", ")])])
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -644,31 +834,34 @@ def compare_open(failed: DataFrame, windows: DataFrame, cut_out) -> list[DataFra
     sigs = kept(asked.select("sig").distinct(), "open-signatures")
     members = packed.mapInArrow(make_members("sig", told_slots(sigs, "sig")), MEMBERS).join(common.small_or_plain(sigs), "sig", "left_semi")
     both = members.withColumn("open", F.lit(False)).unionByName(asked.withColumn("open", F.lit(True)))
-    members = kept(both.groupBy("sig", "key", "place").agg(F.max("open").alias("open")), "open-members")
+    spots = both.groupBy("sig", "key").agg(F.collect_list(F.struct("place", "open")).alias("spots"))
+    members = kept(spots.mapInArrow(_gathered, STRETCHES), "open-members")
     common.discard(windows, failed, asked, sigs)
     # Of two places one represented the other, so that pair has been compared.
-    sized = members.groupBy("sig").agg(F.ceil(F.count("*") / F.lit(CHUNK_MEMBERS)).cast("int").alias("chunks"), F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    chunks = F.ceil(F.sum(F.col("hi") - F.col("lo")) / F.lit(CHUNK_MEMBERS * 3 * RUN)).cast("int")
+    sized = members.groupBy("sig").agg(chunks.alias("chunks"), F.sum(F.size("spots")).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
     sized = kept(sized.filter("n > 2 and low < high").select("sig", "chunks"), "open-sizes")
-    lo = F.greatest(F.col("place") - RUN, F.lit(0))
-    places = members.join(common.small_or_plain(sized), "sig").withColumn("lo", lo).withColumn("hi", F.col("place") + 2 * RUN)
-    regions = cut_out(places.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "open")
+    stretches = members.join(common.small_or_plain(sized), "sig")
+    regions = cut_out(stretches.groupBy("key").agg(F.collect_set(F.struct("lo", "hi")).alias("regions")), "open")
     chunk = F.pmod(F.xxhash64("key", "sig"), F.col("chunks")).cast("int")
-    columns = ["sig", "chunk", "key", "place", "lo", "open", "shingles"]
-    spots = kept(places.join(regions, ["key", "lo", "hi"]).withColumn("chunk", chunk).select(*columns, "chunks"), "open-spots")
+    columns = ["sig", "chunk", "key", "lo", "spots", "shingles"]
+    spots = kept(stretches.join(regions, ["key", "lo", "hi"]).withColumn("chunk", chunk).select(*columns, "chunks"), "open-spots")
     common.discard(regions, members)
-    own = kept(spots.select(columns).groupBy("sig", "chunk").applyInArrow(compare_chunk, CHECKED), "open-chunks")
+    own = kept(by_chunk(spots.select(columns), False), "open-chunks")
 
     # What has found nothing in its own chunk meets the other chunks.
-    left = own.filter(F.col("place").isNotNull()).select("sig", "key", "place")
-    still = spots.filter("open and chunks > 1").join(left, ["sig", "key", "place"], "left_semi")
+    left = own.filter(F.col("place").isNotNull()).groupBy("sig", "key").agg(F.collect_set("place").alias("left"))
+    opened = F.transform("spots", lambda p: F.struct(p["place"].alias("place"), F.array_contains("left", p["place"]).alias("open")))
+    still = spots.filter("chunks > 1").join(left, ["sig", "key"]).withColumn("spots", opened).drop("left").filter(F.exists("spots", lambda p: p["open"]))
     still = kept(still, "still-open")
     if still.isEmpty():
         common.discard(spots, still)
         return [own]
     visits = still.withColumn("home", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("chunk != home")
-    hosts = spots.withColumn("open", F.lit(False)).join(still.select("sig", F.col("chunk").alias("home")).distinct(), "sig").filter("chunk != home")
+    closed = F.transform("spots", lambda p: F.struct(p["place"].alias("place"), F.lit(False).alias("open")))
+    hosts = spots.withColumn("spots", closed).join(still.select("sig", F.col("chunk").alias("home")).distinct(), "sig").filter("chunk != home")
     whole = visits.select(*columns, "home").unionByName(hosts.select(*columns, "home"))
-    others = kept(whole.groupBy("sig", "chunk", "home").applyInArrow(compare_chunk, CHECKED), "other-chunks")
+    others = kept(by_chunk(whole, True), "other-chunks")
     common.discard(spots, still)
     return [own, others]
 
