@@ -28,6 +28,7 @@ hash would be taken for one.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 from functools import cached_property
 
@@ -198,8 +199,12 @@ def packed_pairs(key: np.ndarray, place: np.ndarray, span: np.ndarray, other: np
     order = np.lexsort((other_place, place, other, key))
     key, other = key[order], other[order]
     places = np.stack([place[order], other_place[order], span[order]], axis=1).astype(np.int32)
-    cuts = np.flatnonzero((np.diff(key) != 0) | (np.diff(other) != 0)) + 1
-    return [(int(key[p[0]]), int(other[p[0]]), places[p].tobytes()) for p in (np.split(np.arange(len(key)), cuts) if len(key) else [])]
+    if not len(key):
+        return []
+    first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (other[1:] != other[:-1])]))
+    data, width = places.tobytes(), places.itemsize * 3
+    edge = (np.append(first, len(key)) * width).tolist()
+    return [(k, o, data[a:b]) for k, o, a, b in zip(key[first].tolist(), other[first].tolist(), edge[:-1], edge[1:], strict=True)]
 
 
 def make_windows(buckets: int):
@@ -284,7 +289,7 @@ def pair_up(table: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(c, k) for n, c, k in zip(("key", "other", "places"), columns, KINDS[5:], strict=True)})
 
 
-def clusters(places: list[list[int]]) -> list[tuple[int, int, int, int, list]]:
+def clusters(places: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, list]]:
     """Regions (lo, hi, other lo, other hi) of shingle places to verify, and the places: shared places
     that lie near each other on both sides, with a run's length around them."""
     out: list[list] = []
@@ -424,8 +429,8 @@ def _cluster(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, other, places in zip(batch.column("key").to_pylist(), batch.column("other").to_pylist(), batch.column("places").to_pylist(), strict=True):
-            shared = np.unique(np.frombuffer(b"".join(places), np.int32).reshape(-1, 3), axis=0)
-            rows += [(key, other, *c, np.array(at, np.int32).tobytes()) for *c, at in clusters(shared.tolist())]
+            shared = sorted({*struct.iter_unpack("=3i", b"".join(places))})
+            rows += [(key, other, *c, np.array(at, np.int32).tobytes()) for *c, at in clusters(shared)]
         columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -448,9 +453,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _wide(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.view(np.uint64).ravel()
+    return np.ndarray(len(data) // 6, "<u8", buffer=data + bytes(2), strides=(6,)) & np.uint64((1 << 48) - 1)
 
 
 FOUND = "key long, start_word int, stop_word int, other long, other_start int, other_stop int, similarity double"
@@ -517,7 +520,7 @@ def _near_passages(x: Side, y: Side, at: np.ndarray, there: np.ndarray) -> Itera
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Passages of the regions, and the places of both sides that are in none of them."""
     for batch in batches:
-        rows = []
+        rows, open_ = [], set()
         columns = (batch.column(c).to_pylist() for c in ("key", "other", "lo", "other_lo", "x", "y", "places"))
         for key, other, lo, other_lo, x, y, places in zip(*columns, strict=True):
             x, y = Side(_wide(x)), Side(_wide(y))
@@ -533,9 +536,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append(_passage(key, lo, other, other_lo, p))
                     a, b, c, d, _ = p
                     held |= (at >= lo + a) & (at < lo + b) & (there >= other_lo + c) & (there < other_lo + d)
-            for k, p in {*((key, p) for p in at[~held].tolist()), *((other, p) for p in there[~held].tolist())}:
-                rows.append((k, *(None,) * 7, p))
-        yield _checked(rows)
+            open_.update((key, p) for p in at[~held].tolist())
+            open_.update((other, p) for p in there[~held].tolist())
+        yield _checked(rows + [(k, *(None,) * 7, p) for k, p in open_])
 
 
 MEMBERS = "sig long, key long, place int"
@@ -640,8 +643,16 @@ class Candidates:
         self.mark = np.zeros(self.count, bool)
         self.column = np.full(self.count, -1)
         self.listed = None
-        if len(begin) > INDEXED:
-            member, held = cells // self.count, cells % self.count
+        member, held = cells // self.count, cells % self.count
+        if len(begin) <= INDEXED:
+            # How many distinct shingles each pair holds: without repeats a passage needs one at each place.
+            shared_ = np.bincount(held, minlength=self.count) > 1
+            row = np.zeros((len(begin), int(np.count_nonzero(shared_))), np.float32)
+            row[member[shared_[held]], (np.cumsum(shared_) - 1)[held[shared_[held]]]] = 1
+            both = row @ row.T
+            repeats = np.logical_or.reduceat(~self.once, self.edge[:-1])
+            self.tried = (both >= RUN * SIMILARITY_PERCENT // 100) | ((repeats[:, None] | repeats) & (both > 1))
+        else:
             holders = np.bincount(np.unique(self.texts[member] * np.int64(self.count) + held) % self.count, minlength=self.count)
             common_ = holders > RARE_TEXTS
             rare = ~common_[held]
@@ -683,7 +694,7 @@ class Candidates:
         at = np.arange(self.edge[k], self.edge[k + 1])
         codes = self.code[at]
         if self.listed is None:
-            near = np.arange(len(self.sizes))
+            near = np.flatnonzero(self.tried[k])
         else:
             met = [np.flatnonzero((self.alone + self.alone[k] >= 0) & (self.wide | self.wide[k]))]
             near = np.unique(np.concatenate(met + [self.listed[self.at_code[c] : self.at_code[c + 1]] for c in np.unique(codes[self.rare[codes]]).tolist()]))
@@ -892,8 +903,8 @@ def repeated_passages(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "t
         wanted = kept(wanted, f"{name}-wanted")
         one = kept(wanted.select("key").join(holders, "key").select(F.col("key").alias("one_key"), "holder"), f"{name}-ids")
         texts = rows.join(common.small_or_plain(one), (F.col("key") == F.col("one_key")) & F.col("doc_id").eqNullSafe(F.col("holder")), "left_semi").select("key", "text")
-        cut = texts.join(wanted, "key").mapInArrow(_cut, "key long, lo int, hi int, shingles binary")
-        cut = kept(cut.dropDuplicates(["key", "lo", "hi"]), f"{name}-cut")
+        once = texts.join(wanted, "key").dropDuplicates(["key"])  # a row may be there twice
+        cut = kept(once.mapInArrow(_cut, "key long, lo int, hi int, shingles binary"), f"{name}-cut")
         common.discard(wanted, one)
         return cut
 
